@@ -18,10 +18,6 @@ class ColumnTest:
     test: str
     values: tuple = ()
 
-    @property
-    def label(self) -> str:
-        return f"{self.column}.{self.test}"
-
 
 def not_null(column: str) -> ColumnTest:
     return ColumnTest(column, "not_null")
@@ -42,36 +38,38 @@ def run_tests(df: DataFrame, model: str, tests: Sequence[ColumnTest]) -> DataFra
     failing test, usually none, and only those are grouped. A unique test groups by its
     column, combined before the shuffle, so a value that repeats often is no hot key.
     """
-    row_tests = [t for t in tests if t.test != "unique"]
-    found = [_repeats(df, t) for t in tests if t.test == "unique"]
+    numbered = list(enumerate(tests))
+    found = [_repeats(df, i, t) for i, t in numbered if t.test == "unique"]
+    row_tests = [(i, t) for i, t in numbered if t.test != "unique"]
     if row_tests:
         found.append(_failing_rows(df, row_tests))
-    failures = reduce(DataFrame.unionByName, found)
+    failing = reduce(DataFrame.unionByName, found)
 
     wanted = df.sparkSession.createDataFrame(
-        [(model, t.column, t.test, t.label) for t in tests], "model string, column string, test string, label string"
+        [(i, model, t.column, t.test) for i, t in numbered], "id int, model string, column string, test string"
     )
-    count = F.coalesce(F.col("failures"), F.lit(0)).cast("bigint")
-    return wanted.join(failures, "label", "left").select(
+    count = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
+    count = F.coalesce(count, F.lit(0)).cast("bigint")
+    return wanted.join(failing, "id", "left").select(
         "model", "column", "test", count.alias("failures"), (count == 0).alias("passed")
     )
 
 
-def _repeats(df: DataFrame, test: ColumnTest) -> DataFrame:
+def _repeats(df: DataFrame, number: int, test: ColumnTest) -> DataFrame:
     repeated = df.filter(F.col(test.column).isNotNull()).groupBy(test.column).count().filter("count > 1")
-    return repeated.agg(F.count("*").alias("failures")).select(F.lit(test.label).alias("label"), "failures")
+    return repeated.agg(
+        F.lit(number).alias("id"), F.sum("count").alias("rows"), F.count("*").alias("values")
+    )
 
 
-def _failing_rows(df: DataFrame, tests: Sequence[ColumnTest]) -> DataFrame:
-    marks = F.array_compact(F.array(*[_mark(t) for t in tests]))
+def _failing_rows(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
+    marks = F.array_compact(F.array(*[_mark(number, test) for number, test in tests]))
     failing = df.select(F.explode(marks).alias("mark")).select("mark.*")
-    per_value = failing.groupBy("label", "value").count()
-    # not_null counts rows; accepted_values counts distinct values
-    weight = F.when(F.col("label").endswith(".not_null"), F.col("count")).otherwise(F.lit(1))
-    return per_value.groupBy("label").agg(F.sum(weight).alias("failures"))
+    per_value = failing.groupBy("id", "value").count()
+    return per_value.groupBy("id").agg(F.sum("count").alias("rows"), F.count("*").alias("values"))
 
 
-def _mark(test: ColumnTest) -> Column:
+def _mark(number: int, test: ColumnTest) -> Column:
     value = F.col(test.column)
     fails = value.isNull() if test.test == "not_null" else ~value.isin(*test.values)
-    return F.when(fails, F.struct(F.lit(test.label).alias("label"), value.cast("string").alias("value")))
+    return F.when(fails, F.struct(F.lit(number).alias("id"), value.cast("string").alias("value")))

@@ -72,7 +72,7 @@ def _written_times(events: DataFrame) -> DataFrame:
     ts = F.col("ts")
     layout = F.col("event_id") % 5
     return events.select(
-        "event_id",
+        "event_id", "ts",
         F.when(layout == 0, F.date_format(ts, "M/d/yyyy H:mm"))
         .when(layout == 1, F.date_format(ts, "M/d/yy H:mm"))
         .when(layout == 2, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
@@ -97,11 +97,10 @@ def _parse_timestamp(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, CASE WHEN event_id % 5 < 4 THEN CAST(ts AS DATE) END AS written_day, CAST(ts AS DATE) AS day
 FROM events""")
 def _cast_date(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
-    written = _written_times(events.select("event_id", "ts"))
-    days = events.select(F.col("event_id").alias("id"), F.col("ts").cast("date").alias("day"))
-    return written.join(days, F.col("event_id") == F.col("id")).select(
-        "event_id", clean.to_day(F.col("written")).alias("written_day"), "day"
+    return _written_times(table(spark, sf, "events")).select(
+        "event_id",
+        clean.to_day(F.col("written")).alias("written_day"),
+        F.col("ts").cast("date").alias("day"),
     )
 
 
