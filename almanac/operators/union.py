@@ -36,14 +36,15 @@ def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_sourc
     """All rows of all inputs under the superset of their (normalised) columns.
 
     A column absent from an input is NULL there; a column whose type differs is widened in
-    every input before the union. `source_column` carries the name of the input.
+    every input before the union. `source_column` carries the name of the input, unless
+    the input brings that column along.
     """
     if not inputs:
         raise ValueError("no input tables to union")
     named = {name: df.toDF(*normalize_names(df.columns)) for name, df in inputs.items()}
     types: dict[str, list[T.DataType]] = {}
     for df in named.values():
-        for field in df.schema.fields:
+        for field in df.drop(source_column).schema.fields:
             types.setdefault(field.name, []).append(field.dataType)
     wanted = {column: common_type(found) for column, found in types.items()}
 
@@ -53,7 +54,7 @@ def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_sourc
                 (F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(wanted[c]).alias(c)
                 for c in wanted
             ],
-            F.lit(name).alias(source_column),
+            F.col(source_column) if source_column in df.columns else F.lit(name).alias(source_column),
         )
         for name, df in named.items()
     ]

@@ -11,39 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.functions import clean
-
-SOURCE = "_source"
-
-# Columns of the raw reports that the cleaned tables read, with their types.
-GLOBAL_COLUMNS = {
-    "fips": "bigint", "admin2": "string", "province_state": "string", "country_region": "string",
-    "combined_key": "string", "lat": "double", "long_": "double", "confirmed": "bigint",
-    "deaths": "bigint", "recovered": "bigint", "active": "bigint", "incident_rate": "double",
-    "case_fatality_ratio": "double", "last_update": "timestamp",
-}
-US_COLUMNS = {
-    "fips": "bigint", "province_state": "string", "country_region": "string", "uid": "bigint",
-    "iso3": "string", "lat": "double", "long_": "double", "confirmed": "bigint", "deaths": "bigint",
-    "recovered": "bigint", "active": "bigint", "total_test_results": "bigint",
-    "people_tested": "bigint", "people_hospitalized": "bigint", "incident_rate": "double",
-    "case_fatality_ratio": "double", "testing_rate": "double", "hospitalization_rate": "double",
-    "mortality_rate": "double", "last_update": "timestamp", "date": "date",
-}
-FEEDS = {"global": GLOBAL_COLUMNS, "us": US_COLUMNS}
-
-_FROM_TEXT = {
-    "string": clean.na_to_null,
-    "bigint": lambda c: clean.to_count(clean.na_to_null(c)),
-    "double": lambda c: clean.to_rate(clean.na_to_null(c)),
-    "timestamp": lambda c: clean.to_utc_timestamp(clean.na_to_null(c)),
-    "date": lambda c: clean.to_day(clean.na_to_null(c)),
-}
-
-
-def typed_cell(name: str, dtype: str) -> Column:
-    """A text cell cast to its declared type; NULL when it does not fit."""
-    return _FROM_TEXT[dtype](F.col(name))
-
+from almanac.sources.feeds import FEEDS, SOURCE, typed_cell
 
 def typed(raw: DataFrame, feed: str) -> DataFrame:
     """The declared columns of a feed with their types. A column missing from all input is an error."""
@@ -51,14 +19,19 @@ def typed(raw: DataFrame, feed: str) -> DataFrame:
     missing = [c for c in [*columns, SOURCE] if c not in raw.columns]
     if missing:
         raise ValueError(f"feed {feed!r} lacks the columns {missing}")
-    text = {f.name for f in raw.schema.fields if isinstance(f.dataType, T.StringType)}
-    cells = [
-        (typed_cell(name, dtype) if name in text else F.col(name).cast(dtype)).alias(name)
-        for name, dtype in columns.items()
-    ]
+    found = {f.name: f.dataType for f in raw.schema.fields}
+    cells = [_cell(name, dtype, found[name]).alias(name) for name, dtype in columns.items()]
     return raw.select(*cells, SOURCE)
 
 
+def _cell(name: str, dtype: str, found: T.DataType) -> Column:
+    if isinstance(found, T.StringType):
+        return typed_cell(name, dtype)
+    if dtype == "bigint" and isinstance(found, T.FractionalType):
+        return F.round(F.nanvl(F.col(name).cast("double"), F.lit(None)), 0).cast(dtype)
+    return F.col(name).cast(dtype)
+
+
 def silver_global(raw: DataFrame) -> DataFrame:
     return typed(raw, "global").select(
         F.col("fips").alias("fips_code"),

@@ -161,7 +161,7 @@ def _corr_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("weekly_context", """
-SELECT event_id, SUM(1) OVER week AS weekly_events, MAX(value) OVER week AS weekly_peak,
+SELECT event_id, COUNT(*) OVER week AS weekly_events, MAX(value) OVER week AS weekly_peak,
   CAST(ROUND(CAST(AVG(value) OVER week AS DECIMAL(38,10)), 2) AS DOUBLE) AS weekly_avg
 FROM events WINDOW week AS (PARTITION BY event_type, year(ts), weekofyear(ts))""")
 def _weekly_context(spark: SparkSession, sf: str) -> DataFrame:

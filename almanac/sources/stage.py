@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from almanac.sources.files import exists
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
@@ -42,9 +44,5 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
 
 def still_there(staged: DataFrame) -> bool:
     """Whether the files of a staged table exist, for callers that keep one across queries."""
-    spark = staged.sparkSession
     files = staged.inputFiles()
-    if not files:
-        return False
-    path = spark._jvm.org.apache.hadoop.fs.Path(files[0])
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return bool(files) and exists(staged.sparkSession, files[0])

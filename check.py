@@ -31,6 +31,12 @@ def _cell(value):
     return value
 
 
+SQL_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(spark, con, name: str, sf_dir: str) -> str | None:
     """None when names, row counts and all values agree, else what differs."""
     mine = QUERIES[name](spark, sf_dir)
@@ -40,6 +46,11 @@ def difference(spark, con, name: str, sf_dir: str) -> str | None:
     names = [d[0] for d in cursor.description]
     if sorted(names) != columns:
         return f"columns {sorted(set(names) ^ set(columns))}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    odd = [f"{f.name}: {f.dataType.simpleString()} / {types[f.name]}" for f in mine.schema.fields
+           if SQL_TYPES.get(f.dataType.simpleString()) != types[f.name]]
+    if odd:
+        return f"types {odd}"
     at = [names.index(c) for c in columns]
     right = Counter(tuple(_cell(row[i]) for i in at) for row in cursor.fetchall())
     if left != right:
