@@ -7,6 +7,8 @@ the fact and everything above it run on it unchanged.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,7 +17,7 @@ from almanac.functions import clean
 from almanac.plans.fact import fact_daily
 from almanac.sources.stage import stage, still_there
 
-_staged_facts: dict[tuple[str, str], DataFrame] = {}
+_built: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +57,7 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two cleaned tables (us, global); AMERICA plays the part of the US feed."""
-    so_far = Window.partitionBy("n_nationkey").orderBy("day").rowsBetween(
+    so_far = Window.partitionBy("n_nationkey").orderBy(F.col("day").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )  # one row per nation and day
     running = {
@@ -63,15 +65,14 @@ def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         "active_cases": "n_units", "total_test_results": "lines", "people_hospitalized": "a_lines",
     }
     daily_pct = lambda part, whole: F.lit(100.0) * F.col(part).cast("double") / F.col(whole).cast("double")
-    # Staged, because both feeds below read it: the lines are scanned once.
-    reports = stage(nation_days(spark, sf_dir), "nation_days").select(
+    reports = built_nation_days(spark, sf_dir).select(
         "r_name", "day",
         F.col("n_nationkey").cast("bigint").alias("fips_code"),
         F.col("n_name").alias("province_state"),
         F.col("r_name").alias("country_region"),
         clean.zero_to_null(F.col("n_nationkey").cast("double")).alias("latitude"),
         clean.zero_to_null(-F.col("n_nationkey").cast("double")).alias("longitude"),
-        *[F.sum(source).over(so_far).alias(name) for name, source in running.items()],
+        *[clean.null_to_zero(F.sum(source).over(so_far)).alias(name) for name, source in running.items()],
         (F.sum("lines").over(so_far) * 20).alias("people_tested"),
         clean.not_below_zero(daily_pct("discount", "lines")).alias("incident_rate_per_100k"),
         clean.within_percent(daily_pct("r_units", "all_units")).alias("case_fatality_ratio_pct"),
@@ -98,9 +99,24 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_daily(us, elsewhere, one_row_per_day=True)
 
 
+def built_nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily sums as a written table: both feeds read it, so the lines are scanned once."""
+    return _build_once("nation_days", spark, sf_dir, nation_days)
+
+
 def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as a written table, built once per application: what marts and reports read."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _staged_facts or not still_there(_staged_facts[key]):
-        _staged_facts[key] = stage(fact(spark, sf_dir), "fact", partition_by=["data_source"])
-    return _staged_facts[key]
+    return _build_once("fact", spark, sf_dir, fact, partition_by=["data_source"])
+
+
+def _build_once(
+    name: str,
+    spark: SparkSession,
+    sf_dir: str,
+    build: Callable[[SparkSession, str], DataFrame],
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _built or not still_there(_built[key]):
+        _built[key] = stage(build(spark, sf_dir), name, partition_by)
+    return _built[key]

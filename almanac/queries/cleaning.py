@@ -131,7 +131,7 @@ SELECT o_orderkey AS order_key,
   CASE o_orderstatus WHEN 'O' THEN CAST(o_custkey AS VARCHAR) WHEN 'P' THEN 'C' || o_custkey END AS customer,
   CASE o_orderstatus WHEN 'F' THEN CAST(o_orderdate AS DATE) WHEN 'P' THEN CAST(o_orderdate AS DATE) END AS day,
   'orders_' || lower(o_orderstatus) AS _source
-FROM orders""")
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""")
 def _union_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     part = lambda status: orders.filter(F.col("o_orderstatus") == status)
@@ -173,8 +173,9 @@ SELECT CAST(n_nationkey AS BIGINT) AS fips_code,
   CASE WHEN n_nationkey % 2 = 0 THEN 'N' || n_nationkey END AS iso3_code,
   CASE WHEN n_nationkey <> 0 THEN CAST(n_nationkey AS DOUBLE) END AS latitude,
   CAST(NULL AS DOUBLE) AS longitude,
-  CASE WHEN lines % 5 <> 0 THEN all_units ELSE 0 END AS confirmed_cases,
-  r_units AS total_deaths, a_units AS total_recovered, -n_units AS active_cases,
+  CASE WHEN lines % 5 <> 0 THEN COALESCE(all_units, 0) ELSE 0 END AS confirmed_cases,
+  COALESCE(r_units, 0) AS total_deaths, COALESCE(a_units, 0) AS total_recovered,
+  -COALESCE(n_units, 0) AS active_cases,
   CAST(0 AS BIGINT) AS total_test_results, lines AS people_tested, a_lines AS people_hospitalized,
   CASE WHEN a_lines > 0 THEN {rounded("1e2 * discount / lines")} END AS incident_rate_per_100k,
   CASE WHEN 3 * r_units <= 100 THEN CAST(3 * r_units AS DOUBLE) END AS case_fatality_ratio_pct,
@@ -188,7 +189,7 @@ def _silver_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Nation-days written as the text cells of a raw report, some spoilt, then cleaned."""
     lines, key, day = F.col("lines"), F.col("n_nationkey"), F.col("day")
     text = lambda c: c.cast("string")
-    raw = trade.nation_days(spark, sf).select(
+    raw = trade.built_nation_days(spark, sf).select(
         F.concat(text(key), F.lit(".0")).alias("fips"),
         F.when(lines % 3 != 0, F.concat(F.lit(" "), F.col("n_name"))).otherwise(F.lit("  ")).alias("province_state"),
         F.when(lines % 4 != 0, F.col("r_name")).otherwise(F.lit("")).alias("country_region"),

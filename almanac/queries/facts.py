@@ -102,9 +102,9 @@ def _severity_ladder(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("surrogate_key", """
-SELECT o_orderkey, md5(o_orderstatus || '-' || o_orderpriority || '-'
-  || CASE WHEN o_custkey % 3 = 0 THEN '_dbt_utils_surrogate_key_null_' ELSE CAST(o_custkey AS VARCHAR) END
-  || '-' || '' || '-' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS order_hash
+SELECT o_orderkey, md5(list_aggregate(list_transform([o_orderstatus, o_orderpriority,
+  CASE WHEN o_custkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) END, '', CAST(CAST(o_orderdate AS DATE) AS VARCHAR)],
+  lambda p: COALESCE(p, '_dbt_utils_surrogate_key_null_')), 'string_agg', '-')) AS order_hash
 FROM orders""")
 def _surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(

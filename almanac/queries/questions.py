@@ -34,7 +34,7 @@ def _location_series(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("top_k_join", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (
-  SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY MAX(o_totalprice) DESC, o_custkey LIMIT 5)""")
+  SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY MAX(o_totalprice) DESC NULLS FIRST, o_custkey LIMIT 5)""")
 def _top_k_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return rows_of_top_keys(orders, "o_custkey", "o_totalprice", 5)
@@ -66,7 +66,7 @@ def _top_values(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("top_event_types", """
 SELECT event_type, COUNT(DISTINCT user_id) AS frequency, CAST(SUM(event_id) AS BIGINT) AS total FROM events
-GROUP BY event_type ORDER BY total DESC, event_type LIMIT 5""")
+GROUP BY event_type ORDER BY total DESC NULLS FIRST, event_type LIMIT 5""")
 def _top_event_types(spark: SparkSession, sf: str) -> DataFrame:
     return adhoc.top_values(table(spark, sf, "events"), "event_type", "user_id", "event_id")
 
@@ -118,7 +118,7 @@ def _sorted_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.trends_over_time(trade.built_fact(spark, sf)).orderBy("province_state", "snapshot_date")
 
 
-@query("top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+@query("top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey LIMIT 10")
 def _top_k(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return orders.orderBy(F.col("o_totalprice").desc_nulls_first(), "o_orderkey").limit(10)

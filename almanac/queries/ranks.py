@@ -87,10 +87,10 @@ def _top_n_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("rate_ladder", f"""
-SELECT l_orderkey, {ladder("100 * AVG(CAST(l_discount AS DECIMAL(10,2)))", labels.FATALITY_CLASS)} AS discount_class
+SELECT l_orderkey, {ladder("1e2 * (CAST(SUM(CAST(l_discount AS DECIMAL(10,2))) AS DOUBLE) / COUNT(l_discount))", labels.FATALITY_CLASS)} AS discount_class
 FROM lineitem GROUP BY l_orderkey""")
 def _rate_ladder(spark: SparkSession, sf: str) -> DataFrame:
-    mean = F.sum(F.col("l_discount").cast("decimal(10,2)")).cast("double") / F.count("*")
+    mean = F.try_divide(F.sum(F.col("l_discount").cast("decimal(10,2)")).cast("double"), F.count("l_discount"))
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         labels.FATALITY_CLASS(F.lit(100.0) * mean).alias("discount_class")
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from almanac.functions import labels
 from almanac.functions.labels import Ladder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,7 +63,7 @@ cells AS (
 )"""
 
 REPORTS = f"""{CELLS},
-reports AS (
+all_reports AS (
   SELECT
     CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE 'Global' END AS data_source,
     r_name AS country_region, n_name AS province_state, CAST(NULL AS VARCHAR) AS admin2,
@@ -72,10 +73,10 @@ reports AS (
     day AS report_date,
     CASE WHEN n_nationkey <> 0 THEN CAST(n_nationkey AS DOUBLE) END AS latitude,
     CASE WHEN n_nationkey <> 0 THEN -CAST(n_nationkey AS DOUBLE) END AS longitude,
-    CAST(SUM(all_units) OVER so_far AS BIGINT) AS confirmed_cases,
-    CAST(SUM(r_units) OVER so_far AS BIGINT) AS total_deaths,
-    CAST(SUM(a_units) OVER so_far AS BIGINT) AS total_recovered,
-    CAST(SUM(n_units) OVER so_far AS BIGINT) AS active_cases,
+    CAST(COALESCE(SUM(all_units) OVER so_far, 0) AS BIGINT) AS confirmed_cases,
+    CAST(COALESCE(SUM(r_units) OVER so_far, 0) AS BIGINT) AS total_deaths,
+    CAST(COALESCE(SUM(a_units) OVER so_far, 0) AS BIGINT) AS total_recovered,
+    CAST(COALESCE(SUM(n_units) OVER so_far, 0) AS BIGINT) AS active_cases,
     CASE WHEN r_name = 'AMERICA' THEN CAST(SUM(lines) OVER so_far AS BIGINT) END AS total_test_results,
     CASE WHEN r_name = 'AMERICA' THEN CAST(20 * SUM(lines) OVER so_far AS BIGINT) END AS people_tested,
     CASE WHEN r_name = 'AMERICA' THEN CAST(SUM(a_lines) OVER so_far AS BIGINT) END AS people_hospitalized,
@@ -86,8 +87,9 @@ reports AS (
     CASE WHEN r_name = 'AMERICA' THEN 1e2 * n_units / all_units END AS mortality_rate_pct,
     'bronze.orders_' || strftime(day, '%m_%d_%Y') AS _source_table
   FROM cells
-  WINDOW so_far AS (PARTITION BY n_nationkey ORDER BY day)
-)"""
+  WINDOW so_far AS (PARTITION BY n_nationkey ORDER BY day NULLS LAST)
+),
+reports AS (SELECT * FROM all_reports WHERE data_source <> 'US' OR report_date IS NOT NULL)"""
 
 FACT = f"""{REPORTS},
 compared AS (
@@ -98,14 +100,14 @@ compared AS (
     AVG(confirmed_cases) OVER seven AS mean_cases,
     AVG(total_deaths) OVER seven AS mean_deaths
   FROM reports
-  WINDOW by_day AS (PARTITION BY country_region, province_state ORDER BY report_date),
-    seven AS (PARTITION BY country_region, province_state ORDER BY report_date
+  WINDOW by_day AS (PARTITION BY country_region, province_state ORDER BY report_date NULLS LAST),
+    seven AS (PARTITION BY country_region, province_state ORDER BY report_date NULLS LAST
               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 ),
 fact AS (
   SELECT
     md5(data_source || '-' || country_region || '-' || province_state || '-' || '' || '-'
-        || CAST(report_date AS VARCHAR)) AS fact_key,
+        || COALESCE(CAST(report_date AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS fact_key,
     data_source, country_region, province_state, admin2,
     province_state || ', ' || country_region AS location_name,
     fips_code, iso3_code, uid, report_date,
@@ -130,9 +132,7 @@ fact AS (
     COALESCE(total_deaths > prev_deaths, FALSE) AS has_new_deaths,
     CASE sign(confirmed_cases - prev_cases)
       WHEN 1 THEN 'Increasing' WHEN -1 THEN 'Decreasing' WHEN 0 THEN 'Stable' ELSE 'Unknown' END AS case_trend,
-    CASE WHEN confirmed_cases < 1000 THEN 'Very Low' WHEN confirmed_cases < 10000 THEN 'Low'
-      WHEN confirmed_cases < 100000 THEN 'Moderate' WHEN confirmed_cases < 500000 THEN 'High'
-      WHEN confirmed_cases < 1000000 THEN 'Very High' ELSE 'Critical' END AS severity_category,
+    {ladder("confirmed_cases", labels.SEVERITY)} AS severity_category,
     CAST(report_date AS TIMESTAMP) AS last_updated_at, _source_table
   FROM compared
 )"""

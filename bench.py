@@ -1,7 +1,7 @@
 """Wall time of every registered query; prints one JSON line.
 
-`fact_table` is the time to build the written fact that marts, reports and questions read;
-it is built once, and their own times do not contain it again.
+`nation_days` and `fact_table` are the times to build the two written tables that marts,
+reports and questions read; they are built once, other times do not contain them again.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ def main() -> None:
     trade.table(spark, sf_dir, "orders").groupBy("o_orderstatus").count().collect()  # start the JVM's workers
 
     seconds: dict[str, float] = {}
-    start = time.perf_counter()
-    trade.built_fact(spark, sf_dir)
-    seconds["fact_table"] = round(time.perf_counter() - start, 3)
+    for name, build in {"nation_days": trade.built_nation_days, "fact_table": trade.built_fact}.items():
+        start = time.perf_counter()
+        build(spark, sf_dir)
+        seconds[name] = round(time.perf_counter() - start, 3)
     for name, build in QUERIES.items():
         start = time.perf_counter()
         build(spark, sf_dir).write.format("noop").mode("overwrite").save()
