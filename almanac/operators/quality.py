@@ -45,9 +45,7 @@ def run_tests(df: DataFrame, model: str, tests: Sequence[ColumnTest]) -> DataFra
         found.append(_failing_rows(df, row_tests))
     failing = reduce(DataFrame.unionByName, found)
 
-    wanted = df.sparkSession.createDataFrame(
-        [(i, model, t.column, t.test) for i, t in numbered], "id int, model string, column string, test string"
-    )
+    wanted = df.sparkSession.range(1).select(F.inline(F.array(*[_declared(i, model, t) for i, t in numbered])))
     count = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
     count = F.coalesce(count, F.lit(0)).cast("bigint")
     return wanted.join(failing, "id", "left").select(
@@ -55,6 +53,11 @@ def run_tests(df: DataFrame, model: str, tests: Sequence[ColumnTest]) -> DataFra
     )
 
 
+def _declared(number: int, model: str, test: ColumnTest) -> Column:
+    parts = {"id": number, "model": model, "column": test.column, "test": test.test}
+    return F.struct(*[F.lit(value).alias(name) for name, value in parts.items()])
+
+
 def _repeats(df: DataFrame, number: int, test: ColumnTest) -> DataFrame:
     repeated = df.filter(F.col(test.column).isNotNull()).groupBy(test.column).count().filter("count > 1")
     return repeated.agg(

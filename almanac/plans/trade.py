@@ -57,9 +57,11 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two cleaned tables (us, global); AMERICA plays the part of the US feed."""
-    so_far = Window.partitionBy("n_nationkey").orderBy(F.col("day").asc_nulls_last()).rowsBetween(
+    # One row per nation and day. The region is part of the key so that each feed's filter
+    # on it moves below the window, to the scan.
+    so_far = Window.partitionBy("r_name", "n_nationkey").orderBy(F.col("day").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
-    )  # one row per nation and day
+    )
     running = {
         "confirmed_cases": "all_units", "total_deaths": "r_units", "total_recovered": "a_units",
         "active_cases": "n_units", "total_test_results": "lines", "people_hospitalized": "a_lines",
@@ -101,15 +103,15 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def built_nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily sums as a written table: both feeds read it, so the lines are scanned once."""
-    return _build_once("nation_days", spark, sf_dir, nation_days)
+    return build_once("nation_days", spark, sf_dir, nation_days)
 
 
 def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as a written table, built once per application: what marts and reports read."""
-    return _build_once("fact", spark, sf_dir, fact, partition_by=["data_source"])
+    return build_once("fact", spark, sf_dir, fact, partition_by=["data_source"])
 
 
-def _build_once(
+def build_once(
     name: str,
     spark: SparkSession,
     sf_dir: str,
