@@ -3,13 +3,14 @@
 "Previous" and "7" count rows, not calendar days: gaps in a series are not filled.
 
 A location is one window partition, hence one task. That is right while a location holds
-at most a few million rows. A location beyond HOT_ROWS is cut into blocks of at most
+at most a few million rows. Locations beyond HOT_ROWS are cut into blocks of about
 BLOCK_ROWS consecutive rows that run in different tasks; each block first receives the
-last `reach` rows before it, so the results are the same as over the whole location.
+last rows before it, so the results are the same as over the whole location.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql.window import Window, WindowSpec
 from almanac.sources.stage import stage
 
 HOT_ROWS = 5_000_000
-BLOCK_BITS = 20  # blocks of at most 2**20 rows
+BLOCK_ROWS = 1_000_000
 TRAILING_ROWS = 7
 
 
@@ -49,7 +50,7 @@ def with_series(
     metrics: SeriesMetrics,
     one_row_per_day: bool = False,
     hot_rows: int = HOT_ROWS,
-    block_bits: int = BLOCK_BITS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add the metrics, rows of a location taken in `order` (absent dates last).
 
@@ -59,7 +60,7 @@ def with_series(
     if not one_row_per_day:
         hot = _hot_locations(df, location, hot_rows)
         if not hot.isEmpty():
-            return _with_split_series(df, location, order, metrics, hot, block_bits)
+            return _with_split_series(df, location, order, metrics, hot, block_rows)
     return df.withColumns(metrics.over(_location_window(location, order)))
 
 
@@ -84,54 +85,59 @@ def _with_split_series(
     order: Sequence[str],
     metrics: SeriesMetrics,
     hot: DataFrame,
-    block_bits: int,
+    block_rows: int,
 ) -> DataFrame:
     marked = df.withColumn("_location", F.xxhash64(*location))
     cold = marked.join(hot, "_location", "left_anti").drop("_location")
-    # The written row number fixes the order of equal rows for every later reader.
-    hot_rows = stage(
+    # Both tables are written: the row number orders equal rows, the block is a range of the
+    # whole order, and neither may come out differently for another reader or after a retry.
+    numbered = stage(
         marked.join(hot, "_location", "left_semi").drop("_location")
         .withColumn("_row", F.monotonically_increasing_id()),
         "hot_rows",
-    ).withColumn("_block", F.shiftright("_row", block_bits))
+    )
+    sequence = [F.col(c).asc_nulls_last() for c in [*order, "_row"]]
+    blocks = stage(
+        numbered.repartitionByRange(math.ceil(numbered.count() / block_rows), *location, *sequence)
+        .withColumn("_block", F.spark_partition_id()),
+        "hot_blocks",
+    )
 
-    block = [*location, *order, "_block"]
-    led = hot_rows.withColumn("_lead_in", F.lit(False)).unionByName(
-        _lead_in(hot_rows, location, order, metrics), allowMissingColumns=True
+    led = blocks.withColumn("_lead_in", F.lit(False)).unionByName(
+        _lead_in(blocks, location, order, metrics), allowMissingColumns=True
     )
-    window = Window.partitionBy(*block).orderBy("_row")
-    split = led.withColumns(metrics.over(window)).filter(~F.col("_lead_in"))
+    in_block = Window.partitionBy(*location, "_block").orderBy(F.desc("_lead_in"), *sequence)
+    split = led.withColumns(metrics.over(in_block)).filter(~F.col("_lead_in"))
     return cold.withColumns(metrics.over(_location_window(location, order))).unionByName(
         split.drop("_row", "_block", "_lead_in")
     )
 
 
 def _lead_in(
-    hot_rows: DataFrame, location: Sequence[str], order: Sequence[str], metrics: SeriesMetrics
+    blocks: DataFrame, location: Sequence[str], order: Sequence[str], metrics: SeriesMetrics
 ) -> DataFrame:
-    """For each block, copies of the last rows before it, with row numbers below zero.
+    """For each block of a location, copies of the last rows before it.
 
     Only the last `reach` rows of a block can be needed later, so the per-location
     window below sees a handful of rows per block, never the location's rows.
     """
     reach = TRAILING_ROWS - 1
-    block = [*location, *order, "_block"]
-    tails = (
-        hot_rows.select(*block, "_row", *metrics.inputs)
-        .withColumn("_back", F.row_number().over(Window.partitionBy(*block).orderBy(F.desc("_row"))))
+    place = [*order, "_row"]
+    forward = [F.col(c).asc_nulls_last() for c in place]
+    backward = [F.col(c).desc_nulls_first() for c in place]
+    block = Window.partitionBy(*location, "_block")
+    ends = (
+        blocks.select(*location, "_block", *place, *metrics.inputs)
+        .withColumn("_back", F.row_number().over(block.orderBy(*backward)))
         .filter(F.col("_back") <= reach)
     )
-    sequence = [F.col(c).asc_nulls_last() for c in [*order, "_block", "_row"]]
-    earlier = Window.partitionBy(*location).orderBy(*sequence).rowsBetween(-reach, -1)
-    in_block = Window.partitionBy(*block).orderBy("_row")
-    heads = (
-        tails.withColumn("_earlier", F.collect_list(F.struct(*metrics.inputs)).over(earlier))
-        .withColumn("_nth", F.row_number().over(in_block))
+    earlier = Window.partitionBy(*location).orderBy("_block", *forward).rowsBetween(-reach, -1)
+    carried = [*place, *metrics.inputs]
+    firsts = (
+        ends.withColumn("_earlier", F.collect_list(F.struct(*carried)).over(earlier))
+        .withColumn("_nth", F.row_number().over(block.orderBy(*forward)))
         .filter(F.col("_nth") == 1)
     )
-    return heads.select(*block, F.posexplode("_earlier").alias("_at", "_values")).select(
-        *block,
-        (F.col("_at") - reach).cast("bigint").alias("_row"),
-        F.lit(True).alias("_lead_in"),
-        *[F.col("_values")[c].alias(c) for c in metrics.inputs],
+    return firsts.select(*location, "_block", F.explode("_earlier").alias("_values")).select(
+        *location, "_block", F.lit(True).alias("_lead_in"), *[F.col("_values")[c].alias(c) for c in carried]
     )

@@ -54,12 +54,12 @@ def test_series_counts_rows_not_days(spark):
     assert [(r.prev, round(r["mean"], 4)) for r in got] == [(None, 10.0), (10, 11.0), (12, 10.3333)]
 
 
-@pytest.mark.parametrize("block_bits", [2, 4, 20])
-def test_hot_location_split_over_tasks_gives_the_same_rows(spark, block_bits):
+@pytest.mark.parametrize("block_rows", [4, 16, 1000])
+def test_hot_location_split_over_tasks_gives_the_same_rows(spark, block_rows):
     rows = series_rows()
     # n rises with the input order, so that equal (day, source) rows are ordered by n in both
     df = spark.createDataFrame(rows, "place string, day date, source string, n bigint").coalesce(1)
-    got = with_series(df, ["place"], ["day", "source"], METRICS, hot_rows=30, block_bits=block_bits)
+    got = with_series(df, ["place"], ["day", "source"], METRICS, hot_rows=30, block_rows=block_rows)
     assert collected(got.filter(F.col("place").isin("hot", "warm"))) == brute_series(
         [r for r in rows if r[0] in ("hot", "warm")]
     )
@@ -68,7 +68,7 @@ def test_hot_location_split_over_tasks_gives_the_same_rows(spark, block_bits):
 
 def test_hot_location_of_equal_rows(spark):
     df = spark.createDataFrame([("a", DAY, "f", 5)] * 100, "place string, day date, source string, n bigint")
-    got = with_series(df, ["place"], ["day", "source"], METRICS, hot_rows=10, block_bits=3).collect()
+    got = with_series(df, ["place"], ["day", "source"], METRICS, hot_rows=10, block_rows=8).collect()
     assert len(got) == 100
     assert sum(r.prev is None for r in got) == 1 and {r["mean"] for r in got} == {5.0}
 
