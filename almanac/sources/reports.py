@@ -29,6 +29,7 @@ from almanac.sources.stage import stage
 
 FILE_DATE, TABLE = "file_date", "source_table"
 QUARANTINE = "feed string, file string, reason string, cells bigint"
+OPEN_QUOTE = "quote left open"
 HEADER_CHUNK = 64 * 1024
 FILES_PER_TASK = 200
 # File systems whose first bytes a task can fetch directly; others are scanned by Spark.
@@ -122,65 +123,82 @@ def _empty_files(files: DataFrame) -> list[str]:
 def ingest_files(files: DataFrame, feed: str, bronze: str) -> DataFrame:
     """Load the given files. A file with a fault is left out and reported; the others load.
 
-    A fault is an unreadable header, a row with more cells than the header, or cells that
-    do not fit the declared type of their column. The partition that an earlier version of
-    such a file filled stays as it is.
+    A fault is an unreadable header, a row with more cells than the header, a quote that is
+    never closed, or cells that do not fit the declared type of their column. The partition
+    that an earlier version of such a file filled stays as it is.
     """
     spark = files.sparkSession
     grouped = read_headers(files).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    rejected, parts = [], []
+    rejected, signatures = [], []
     for group in grouped:  # one entry per distinct header, not per file
         try:
-            parts.append(_read_signature(spark, group.paths, usable_columns(group.header, feed)))
+            signatures.append((usable_columns(group.header, feed), group.paths))
         except ValueError as fault:
             rejected += [(feed, path.rsplit("/", 1)[-1], str(fault), None) for path in group.paths]
     quarantine = spark.createDataFrame(rejected, QUARANTINE)
-    if not parts:
+    if not signatures:
         return quarantine
 
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    faulty = stage(_faulty_files(rows, feed), "faulty_files")
-    write_bronze(rows.join(faulty.select("_file"), "_file", "left_anti"), feed, bronze)
+    rows, faults = _read_and_test(spark, signatures, feed, multi_line=False)
+    # Files with cells that span lines are few; only they are read as a whole, unsplit.
+    torn = {r[0] for r in faults.filter(F.col("reason") == OPEN_QUOTE).select("_file").collect()}
+    if torn:
+        again = [(names, [p for p in paths if p.rsplit("/", 1)[-1] in torn]) for names, paths in signatures]
+        joined, still = _read_and_test(spark, [s for s in again if s[1]], feed, multi_line=True)
+        rows = rows.unionByName(joined, allowMissingColumns=True)
+        faults = faults.filter(F.col("reason") != OPEN_QUOTE).unionByName(still)
+    write_bronze(rows, feed, bronze)
     return quarantine.unionByName(
-        faulty.select(F.lit(feed).alias("feed"), F.col("_file").alias("file"), "reason", "cells")
+        faults.select(F.lit(feed).alias("feed"), F.col("_file").alias("file"), "reason", "cells")
     )
 
 
-def _read_signature(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+def _read_and_test(
+    spark: SparkSession, signatures: list[tuple[list[str], list[str]]], feed: str, multi_line: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files without faults, and one row per file with faults."""
+    parts = [_read_signature(spark, names, paths, multi_line) for names, paths in signatures]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    faults = stage(_faulty_files(rows, feed), "faulty_files")
+    return rows.drop("_surplus", "_open").join(faults.select("_file"), "_file", "left_anti"), faults
+
+
+def _read_signature(spark: SparkSession, names: list[str], paths: list[str], multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt_record"]])
     reader = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("columnPruning", False)  # a pruned read would not notice rows of the wrong length
     )
-    surplus = F.size(F.split(F.regexp_replace("_corrupt_record", '"[^"]*"', ""), ",")) > len(names)
+    # Set for rows of the wrong length. Short rows are filled with NULL; a cell that spans lines
+    # leaves at least one line of the wrong length with an odd number of quotes. (A quote opened
+    # in the last cell and never closed ends with its line.)
+    bad = F.coalesce("_corrupt_record", F.lit(""))
+    surplus = F.size(F.split(F.regexp_replace(bad, '"[^"]*"', ""), ",")) > len(names)
+    quotes = F.length(bad) - F.length(F.replace(bad, F.lit('"'), F.lit("")))
     return reader.csv(paths).select(
         *[na_to_null(F.col(f"`{n}`")).alias(n) for n in names],
-        F.coalesce(surplus, F.lit(False)).alias("_surplus"),
+        surplus.alias("_surplus"),
+        (quotes % 2 == 1).alias("_open"),
         F.col("_metadata.file_name").alias("_file"),
     )
 
 
 def _faulty_files(rows: DataFrame, feed: str) -> DataFrame:
-    """One row per file with faults, counted before the shuffle."""
+    """One row per file with faults, counted before the shuffle; the first fault that holds is named."""
     typed = {c: t for c, t in FEEDS[feed].items() if t != "string" and c in rows.columns}
-    misfits: Column = reduce(
-        lambda a, b: a + b,
-        [_misfit(c, t) for c, t in typed.items()],
-        F.lit(0),
-    )
+    misfits: Column = reduce(lambda a, b: a + b, [_misfit(c, t) for c, t in typed.items()], F.lit(0))
     counts = rows.groupBy("_file").agg(
-        F.sum(misfits).alias("misfits"), F.count_if("_surplus").alias("surplus")
-    )
-    return counts.filter("misfits > 0 or surplus > 0").select(
-        "_file",
-        F.when(F.col("surplus") > 0, F.lit("rows longer than the header"))
-        .otherwise(F.lit("cells of the wrong type")).alias("reason"),
-        F.when(F.col("surplus") > 0, F.col("surplus")).otherwise(F.col("misfits")).alias("cells"),
+        F.count_if("_open").alias("open"), F.count_if("_surplus").alias("surplus"), F.sum(misfits).alias("misfits")
     )
+    found = [("open", OPEN_QUOTE), ("surplus", "rows longer than the header"), ("misfits", "cells of the wrong type")]
+    reason = F.coalesce(*[F.when(F.col(c) > 0, F.lit(text)) for c, text in found])
+    cells = F.coalesce(*[F.when(F.col(c) > 0, F.col(c)) for c, _ in found])
+    return counts.select("_file", reason.alias("reason"), cells.alias("cells")).filter(F.col("reason").isNotNull())
 
 
 def _misfit(column: str, dtype: str) -> Column:
@@ -204,7 +222,7 @@ def write_bronze(rows: DataFrame, feed: str, bronze: str) -> None:
     """Replace the partitions of the files in `rows`; each task writes what it read, without a shuffle."""
     named = rows.withColumns({FILE_DATE: file_date(F.col("_file")), TABLE: source_table(feed, F.col("_file"))})
     (
-        named.drop("_file", "_surplus")
+        named.drop("_file")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(FILE_DATE, TABLE)

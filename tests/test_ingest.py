@@ -70,6 +70,26 @@ def test_reload_replaces_only_the_files_it_reads(spark, landing, tmp_path):
     assert {r.file_date: r.n for r in after} == expected
 
 
+def test_rows_of_another_length(spark, tmp_path):
+    folder = tmp_path / "landing" / "global"
+    folder.mkdir(parents=True)
+    head = "Province_State,Country_Region,Confirmed,Combined_Key\n"
+    (folder / "01-01-2021.csv").write_text(head + "Lima,Peru\n" + '"a,b",Peru,3,"x, y"\n')  # a short row
+    (folder / "01-02-2021.csv").write_text(head + 'Lima,Peru,4,"two\nlines"\n"Cus\nco",Peru,5,k\n,Chile,6,\n')
+    (folder / "01-03-2021.csv").write_text(head + '"Lima,Peru,7,never closed\n,Chile,8,\n')
+    (folder / "01-04-2021.csv").write_text(head + 'Lima,Peru,"two\nlines",k\n')  # joined, and then of the wrong type
+    root = str(tmp_path / "bronze")
+    faults = ingest_reports(spark, str(tmp_path / "landing"), "global", root).collect()
+    assert sorted((r.file, r.reason) for r in faults) == [
+        ("01-03-2021.csv", "quote left open"), ("01-04-2021.csv", "cells of the wrong type"),
+    ]
+    rows = read_bronze(spark, root, "global").select("province_state", "country_region", "confirmed", "combined_key")
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([
+        ("Lima", "Peru", None, None), ("a,b", "Peru", "3", "x, y"), ("Lima", "Peru", "4", "two\nlines"),
+        ("Cus\nco", "Peru", "5", "k"), (None, "Chile", "6", None),
+    ], key=str)
+
+
 def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
     files = list_reports(spark, str(landing / "us")).unionByName(list_reports(spark, str(landing / "global")))
     fetched = {r.path: r.header for r in read_headers(files).collect()}
