@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,21 +31,31 @@ def accepted(column: str, *values) -> ColumnTest:
     return ColumnTest(column, "accepted_values", values)
 
 
-def run_tests(df: DataFrame, model: str, tests: Sequence[ColumnTest]) -> DataFrame:
-    """One row per test: model, column, test, failures, passed.
+def run_tests(tables: Mapping[str, DataFrame], tests: Mapping[str, Sequence[ColumnTest]]) -> DataFrame:
+    """One row per test of each table: model, column, test, failures, passed.
 
-    All not_null and accepted_values tests share one pass: a row yields one element per
-    failing test, usually none, and only those are grouped. A unique test groups by its
-    column, combined before the shuffle, so a value that repeats often is no hot key.
+    All not_null and accepted_values tests of a table share one pass: a row yields one
+    element per failing test, usually none, and only those are grouped. A unique test
+    groups by its column, combined before the shuffle, so a value that repeats often is no
+    hot key. The tables should be written ones, as each unique test reads its table again.
     """
-    numbered = list(enumerate(tests))
-    found = [_repeats(df, i, t) for i, t in numbered if t.test == "unique"]
-    row_tests = [(i, t) for i, t in numbered if t.test != "unique"]
-    if row_tests:
-        found.append(_failing_rows(df, row_tests))
-    failing = reduce(DataFrame.unionByName, found)
-
-    wanted = df.sparkSession.range(1).select(F.inline(F.array(*[_declared(i, model, t) for i, t in numbered])))
+    numbered = [(model, t) for model in tables for t in tests[model]]
+    by_table = {m: [(i, t) for i, (model, t) in enumerate(numbered) if model == m] for m in tables}
+
+    marks = [
+        _failing_rows(tables[m], [(i, t) for i, t in chosen if t.test != "unique"])
+        for m, chosen in by_table.items()
+        if any(t.test != "unique" for _, t in chosen)
+    ]
+    per_value = [_repeats(tables[m], i, t) for m, chosen in by_table.items() for i, t in chosen if t.test == "unique"]
+    if marks:
+        per_value.append(reduce(DataFrame.unionByName, marks).groupBy("id", "value").agg(F.count("*").alias("rows")))
+    failing = reduce(DataFrame.unionByName, per_value).groupBy("id").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("values")
+    )
+
+    declared = F.array(*[_declared(i, model, t) for i, (model, t) in enumerate(numbered)])
+    wanted = next(iter(tables.values())).sparkSession.range(1).select(F.inline(declared))
     count = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
     count = F.coalesce(count, F.lit(0)).cast("bigint")
     return wanted.join(failing, "id", "left").select(
@@ -59,17 +69,16 @@ def _declared(number: int, model: str, test: ColumnTest) -> Column:
 
 
 def _repeats(df: DataFrame, number: int, test: ColumnTest) -> DataFrame:
-    repeated = df.filter(F.col(test.column).isNotNull()).groupBy(test.column).count().filter("count > 1")
-    return repeated.agg(
-        F.lit(number).alias("id"), F.sum("count").alias("rows"), F.count("*").alias("values")
+    value = F.col(test.column)
+    repeated = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("rows"))
+    return repeated.filter(F.col("rows") > 1).select(
+        F.lit(number).alias("id"), F.col("value").cast("string").alias("value"), "rows"
     )
 
 
 def _failing_rows(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
     marks = F.array_compact(F.array(*[_mark(number, test) for number, test in tests]))
-    failing = df.select(F.explode(marks).alias("mark")).select("mark.*")
-    per_value = failing.groupBy("id", "value").count()
-    return per_value.groupBy("id").agg(F.sum("count").alias("rows"), F.count("*").alias("values"))
+    return df.select(F.explode(marks).alias("mark")).select("mark.*")
 
 
 def _mark(number: int, test: ColumnTest) -> Column:

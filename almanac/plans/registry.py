@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
@@ -80,14 +79,14 @@ def run_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[s
 
 def test_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[str] = ()) -> DataFrame:
     """Results of the declared column tests of the selected tables, one row per test."""
-    reports = [
-        run_tests(warehouse.read(model.layer, model.name), model.name, MODEL_TESTS[model.name])
+    tables = {
+        model.name: warehouse.read(model.layer, model.name)
         for model in select_models(tags, names)
         if model.name in MODEL_TESTS
-    ]
-    if not reports:
+    }
+    if not tables:
         raise ValueError("no declared tests in the selection")
-    return reduce(DataFrame.unionByName, reports)
+    return run_tests(tables, MODEL_TESTS)
 
 
 test_models.__test__ = False  # not a test case

@@ -27,8 +27,9 @@ def typed(raw: DataFrame, feed: str) -> DataFrame:
 def _cell(name: str, dtype: str, found: T.DataType) -> Column:
     if isinstance(found, T.StringType):
         return typed_cell(name, dtype)
-    if dtype == "bigint" and isinstance(found, T.FractionalType):
-        return F.round(F.nanvl(F.col(name).cast("double"), F.lit(None)), 0).cast(dtype)
+    if isinstance(found, (T.FloatType, T.DoubleType)):
+        number = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+        return number if dtype == "double" else F.round(number, 0).cast(dtype)
     return F.col(name).cast(dtype)
 
 

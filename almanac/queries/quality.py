@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from almanac.operators.quality import ColumnTest, accepted, not_null, run_tests, unique
@@ -48,17 +46,17 @@ ORDER_VALUES = [
 
 @query("dq_not_null", on_fact(_with_passed(_report_sql("fact", FACT_NULLS, "fact"))))
 def _dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
-    return run_tests(trade.built_fact(spark, sf), "fact", FACT_NULLS)
+    return run_tests({"fact": trade.built_fact(spark, sf)}, {"fact": FACT_NULLS})
 
 
 @query("dq_unique", _with_passed(_report_sql("lineitem", LINE_UNIQUE, "lineitem")))
 def _dq_unique(spark: SparkSession, sf: str) -> DataFrame:
-    return run_tests(table(spark, sf, "lineitem"), "lineitem", LINE_UNIQUE)
+    return run_tests({"lineitem": table(spark, sf, "lineitem")}, {"lineitem": LINE_UNIQUE})
 
 
 @query("dq_accepted_values", _with_passed(_report_sql("orders", ORDER_VALUES, "orders")))
 def _dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
-    return run_tests(table(spark, sf, "orders"), "orders", ORDER_VALUES)
+    return run_tests({"orders": table(spark, sf, "orders")}, {"orders": ORDER_VALUES})
 
 
 # published table -> (builder over the fact, check SQL)
@@ -94,5 +92,4 @@ def _built(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query("dq_report", _dq_report_sql())
 def _dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    reports = [run_tests(_built(spark, sf, name), name, tests) for name, tests in MODEL_TESTS.items()]
-    return reduce(DataFrame.unionByName, reports)
+    return run_tests({name: _built(spark, sf, name) for name in MODEL_TESTS}, MODEL_TESTS)

@@ -16,8 +16,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly inside `path`; none when it does not exist."""
+    """Names of the visible folders directly inside `path`; none when it does not exist."""
     files, located = _located(spark, path)
     if not files.exists(located):
         return []
-    return sorted(s.getPath().getName() for s in files.listStatus(located) if s.isDirectory())
+    names = [s.getPath().getName() for s in files.listStatus(located) if s.isDirectory()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def replace_folder(spark: SparkSession, path: str, complete: str) -> None:
+    """Put the folder `complete` in the place of `path`."""
+    files, located = _located(spark, path)
+    files.delete(located, True)
+    if not files.rename(_located(spark, complete)[1], located):
+        raise OSError(f"cannot move {complete} to {path}")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.sources.files import subfolders
+from almanac.sources.files import replace_folder, subfolders
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -21,11 +22,11 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}"
 
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Replace the table with the rows of `df`."""
-        writer = df.write.mode("overwrite").format("parquet").option("path", self.path(layer, table))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(f"{layer}.`{table}`")
+        """Replace the table with the rows of `df`; the earlier version stays until all rows are written."""
+        complete = self.path(layer, f"_{table}-{uuid.uuid4().hex}")
+        df.write.partitionBy(*partition_by).parquet(complete)
+        replace_folder(self.spark, self.path(layer, table), complete)
+        self._name(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
@@ -38,11 +39,14 @@ class Warehouse:
         """Name the silver and gold tables that earlier sessions built, so that SQL finds them."""
         for layer in ("silver", "gold"):
             for table in self.tables(layer):
-                name = f"{layer}.`{table}`"
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name only; files stay
-                self.spark.catalog.createTable(name, path=self.path(layer, table), source="parquet")
-                if any(column.isPartition for column in self.spark.catalog.listColumns(name)):
-                    self.spark.catalog.recoverPartitions(name)
+                self._name(layer, table)
+
+    def _name(self, layer: str, table: str) -> None:
+        name, catalog = f"{layer}.`{table}`", self.spark.catalog
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name only; files stay
+        catalog.createTable(name, path=self.path(layer, table), source="parquet")
+        if any(column.isPartition for column in catalog.listColumns(name)):
+            catalog.recoverPartitions(name)
 
 
 def read_jdbc(

@@ -11,6 +11,7 @@ from almanac.plans import fact as fact_plan
 from almanac.plans import silver
 from almanac.plans.column_tests import MODEL_TESTS
 from almanac.plans.registry import MODELS, feed_rows, run_models, select_models, test_models
+from almanac.sources.feeds import FEEDS
 from almanac.sources.reports import ingest_reports
 from almanac.sources.warehouse import Warehouse
 from report_files import write_landing
@@ -177,6 +178,17 @@ def test_first_failure_stops_a_run(spark, tmp_path):
     assert not (tmp_path / "gold").exists()
 
 
+def test_a_failed_write_keeps_the_earlier_table(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.write("gold", "kept", spark.range(3))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        wh.write("gold", "kept", spark.range(4).select((1 / F.col("id")).alias("id")))
+    assert wh.read("gold", "kept").count() == 3 == spark.table("gold.kept").count()
+    assert wh.tables("gold") == ["kept"]
+    wh.write("gold", "kept", spark.range(5).withColumn("part", F.lit("x")), ["part"])
+    assert wh.read("gold", "kept").count() == 5 == spark.table("gold.kept").count()
+
+
 def test_tables_of_an_earlier_session_are_found(spark, warehouse):
     spark.sql("DROP TABLE IF EXISTS gold.fct_covid_daily")  # files stay
     assert not spark.catalog.tableExists("gold.fct_covid_daily")
@@ -187,17 +199,29 @@ def test_tables_of_an_earlier_session_are_found(spark, warehouse):
 
 def test_typed_bronze_tables_join_the_feed(spark, warehouse):
     seed = spark.createDataFrame(
-        [(7.0, "Ohio", DAY(2023, 1, 1))], "confirmed double, province_state string, date date"
+        [(7.5, "Ohio", DAY(2023, 1, 1), float("nan"))],
+        "confirmed double, province_state string, date date, testing_rate double",
     )
     other = spark.createDataFrame([(1,)], "confirmed int")
     warehouse.write("bronze", "us_2023", seed)
     warehouse.write("bronze", "usage", other)  # not of the feed
     rows = silver.silver_us(feed_rows(warehouse, "us"))
     got = rows.filter("snapshot_date = '2023-01-01'").collect()
-    assert [(r.province_state, r.confirmed_cases, r["_source_table"]) for r in got] == [("Ohio", 7, "bronze.us_2023")]
+    assert [(r.province_state, r.confirmed_cases, r.testing_rate_per_100k, r["_source_table"]) for r in got] == [
+        ("Ohio", 8, None, "bronze.us_2023")
+    ]
     assert rows.count() == warehouse.read("silver", "silver_covid_cases_us").count() + 1
 
 
+def test_typed_cells_are_cast_without_text(spark):
+    columns = {c: t for c, t in FEEDS["us"].items()}
+    schema = ", ".join(f"`{c}` {'double' if t in ('bigint', 'double') else t}" for c, t in columns.items())
+    row = {c: 2.5 if t == "bigint" else float("nan") if t == "double" else None for c, t in columns.items()}
+    raw = spark.createDataFrame([tuple(row.values())], schema).withColumn("_source", F.lit("bronze.us_x"))
+    got = silver.silver_us(raw).collect()[0]
+    assert (got.confirmed_cases, got.incident_rate_per_100k, got.latitude, got.country_region) == (3, None, None, "US")
+
+
 def test_missing_column_is_an_error(spark):
     raw = union_drifting({"t": spark.createDataFrame([("1",)], "confirmed string")})
     with pytest.raises(ValueError, match="lacks"):

@@ -176,7 +176,7 @@ def test_column_tests(spark):
     rows = [(1, "a"), (1, "b"), (2, "b"), (2, None), (3, "z"), (None, "z"), (None, "y")]
     df = spark.createDataFrame(rows, "id int, tag string")
     tests = [not_null("id"), unique("id"), not_null("tag"), accepted("tag", "a", "b"), accepted("id", 1, 2, 3)]
-    got = [(r.model, r.column, r.test, r.failures, r.passed) for r in run_tests(df, "m", tests).collect()]
+    got = [(r.model, r.column, r.test, r.failures, r.passed) for r in run_tests({"m": df}, {"m": tests}).collect()]
     assert sorted(got) == sorted([
         ("m", "id", "not_null", 2, False),
         ("m", "id", "unique", 2, False),
