@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.operators.correlate import pearson
 from almanac.operators.latest import latest_overall, rows_of_top_keys
 
 
@@ -78,3 +79,23 @@ def trailing_mean_total_on(fact: DataFrame, day: dt.date) -> DataFrame:
 def mean_ratio(fact: DataFrame, ratio: str = "case_fatality_ratio_pct") -> DataFrame:
     """Ratios are averaged, never added."""
     return fact.agg(F.avg(ratio).alias("avg_ratio"))
+
+
+def us_correlations(fact: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row with a correlation per named pair of columns over all US rows."""
+    return fact.filter(F.col("data_source") == "US").agg(
+        *[pearson(F.col(x), F.col(y)).alias(name) for name, (x, y) in pairs.items()]
+    )
+
+
+def totals(fact: DataFrame, *columns: str) -> DataFrame:
+    return fact.agg(*[F.sum(c).alias(f"total_{c}") for c in columns])
+
+
+def trend_of(trends: DataFrame, province: str) -> DataFrame:
+    """The trend mart of one state, newest first."""
+    return (
+        trends.filter(F.col("province_state") == province)
+        .select("report_date", "province_state", "cases_7day_moving_avg", "case_trend", "severity_category")
+        .orderBy(F.desc("report_date"))
+    )

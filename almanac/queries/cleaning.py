@@ -215,3 +215,41 @@ def _silver_clean(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit('"warehouse"."bronze"."us_'), F.date_format(day, "MM_dd_yyyy"), F.lit('"')).alias("_source"),
     )
     return silver.silver_us(raw).drop("_staged_at")
+
+
+@query("silver_clean_global", f"""WITH {CELLS}
+SELECT CAST(n_nationkey AS BIGINT) AS fips_code,
+  CASE WHEN lines % 2 = 0 THEN r_name END AS admin2, n_name AS province_state,
+  CASE WHEN lines % 4 <> 0 THEN r_name ELSE 'Unknown' END AS country_region,
+  n_name || ', ' || r_name AS location_key,
+  CASE WHEN n_nationkey <> 0 THEN CAST(n_nationkey AS DOUBLE) END AS latitude,
+  CASE WHEN n_nationkey <> 0 THEN -n_nationkey / 2e0 END AS longitude,
+  COALESCE(all_units, 0) AS confirmed_cases, COALESCE(r_units, 0) AS total_deaths,
+  CAST(0 AS BIGINT) AS total_recovered, COALESCE(n_units, 0) AS active_cases,
+  CASE WHEN lines % 3 <> 0 THEN CAST(lines AS DOUBLE) END AS incident_rate_per_100k,
+  CASE WHEN all_units <= 100 THEN CAST(all_units AS DOUBLE) END AS case_fatality_ratio_pct,
+  CAST(day AS TIMESTAMP) + INTERVAL 17 HOUR AS last_updated_at,
+  'bronze.global_' || strftime(day, '%m_%d_%Y') AS _source_table
+FROM cells""")
+def _silver_clean_global(spark: SparkSession, sf: str) -> DataFrame:
+    """Nation-days as text cells of the global feed, some spoilt, then cleaned."""
+    lines, key, day = F.col("lines"), F.col("n_nationkey"), F.col("day")
+    text = lambda c: c.cast("string")
+    raw = trade.built_nation_days(spark, sf).select(
+        text(key).alias("fips"),
+        F.when(lines % 2 == 0, F.col("r_name")).otherwise(F.lit(" ")).alias("admin2"),
+        F.concat(F.col("n_name"), F.lit("  ")).alias("province_state"),
+        F.when(lines % 4 != 0, F.col("r_name")).otherwise(F.lit("   ")).alias("country_region"),
+        F.concat("n_name", F.lit(", "), "r_name").alias("combined_key"),
+        text(key).alias("lat"),
+        text(-key / 2).alias("long_"),
+        text(F.col("all_units")).alias("confirmed"),
+        F.concat(text(F.col("r_units")), F.lit(".0")).alias("deaths"),
+        F.lit(None).cast("string").alias("recovered"),
+        text(F.col("n_units")).alias("active"),
+        F.when(lines % 3 != 0, text(lines)).otherwise(text(-lines)).alias("incident_rate"),
+        text(F.col("all_units")).alias("case_fatality_ratio"),
+        F.concat(F.date_format(day, "M/d/yyyy"), F.lit(" 17:00")).alias("last_update"),
+        F.concat(F.lit('"warehouse"."bronze"."global_'), F.date_format(day, "MM_dd_yyyy"), F.lit('"')).alias("_source"),
+    )
+    return silver.silver_global(raw).drop("_staged_at")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from almanac.functions import metrics as m
 from almanac.operators.latest import rows_of_top_keys
-from almanac.plans import adhoc, agg, report, trade
+from almanac.plans import adhoc, agg, mart, report, trade
 from almanac.plans.trade import table
-from almanac.queries.models import DAILY_SUMMARY, TRENDS_REPORT
+from almanac.queries.models import DAILY_SUMMARY, TRENDS, TRENDS_REPORT
 from almanac.queries.registry import on_fact, query, rounded
 
 DAY = dt.date(1999, 12, 31)  # a day within every test table
@@ -146,3 +146,33 @@ def _filter_exclude(spark: SparkSession, sf: str) -> DataFrame:
     rows = trade.built_fact(spark, sf).select("province_state", "report_date", "iso3_code", "country_region")
     # rows without a code are dropped by the second condition as well
     return rows.filter(F.col("country_region") != "ASIA").filter(F.col("iso3_code") != "GBR")
+
+
+CORRELATED = {
+    "cases_deaths": ("confirmed_cases", "total_deaths"),
+    "testing_incident": ("testing_rate_per_100k", "incident_rate_per_100k"),
+}
+
+
+@query("us_correlations", on_fact(f"""
+SELECT {rounded("CASE WHEN NOT isnan(a) THEN a END", 4)} AS cases_deaths,
+  {rounded("CASE WHEN NOT isnan(b) THEN b END", 4)} AS testing_incident
+FROM (SELECT corr(confirmed_cases, total_deaths) AS a, corr(testing_rate_per_100k, incident_rate_per_100k) AS b
+  FROM fact WHERE data_source = 'US')"""))
+def _us_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    found = adhoc.us_correlations(trade.built_fact(spark, sf), CORRELATED)
+    return found.select(*[m.round_half_up(F.col(name), 4).alias(name) for name in CORRELATED])
+
+
+@query("additive_totals", on_fact("""
+SELECT CAST(SUM(confirmed_cases) AS BIGINT) AS total_confirmed_cases,
+  CAST(SUM(daily_new_cases) AS BIGINT) AS total_daily_new_cases FROM fact"""))
+def _additive_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return adhoc.totals(trade.built_fact(spark, sf), "confirmed_cases", "daily_new_cases")
+
+
+@query("trend_of_state", f"""
+SELECT report_date, province_state, cases_7day_moving_avg, case_trend, severity_category
+FROM ({TRENDS}) WHERE province_state = '{STATE}' ORDER BY report_date DESC""")
+def _trend_of_state(spark: SparkSession, sf: str) -> DataFrame:
+    return adhoc.trend_of(mart.trends(trade.built_fact(spark, sf)), STATE)

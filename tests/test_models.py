@@ -59,6 +59,7 @@ def test_silver_values(warehouse):
     us = warehouse.read("silver", "silver_covid_cases_us")
     guam = us.filter("province_state = 'Guam'").collect()[0]
     assert (guam.country_region, guam.iso3_code, guam.latitude, guam.fips_code) == ("US", None, None, 48)
+    assert us.filter("_staged_at IS NULL").count() == 0
     assert us.columns[19:] == ["last_updated_at", "snapshot_date", "_staged_at", "_source_table"]
 
 
