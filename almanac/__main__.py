@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from almanac.plans.registry import run_models, test_models
 from almanac.sources.feeds import FEEDS
 from almanac.sources.reports import ingest_reports, read_seeds
+from almanac.sources.stage import drop_staged
 from almanac.sources.warehouse import Warehouse
 
 
@@ -28,7 +29,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName(f"almanac {args.command}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    warehouse = Warehouse(spark, args.warehouse)
+    try:
+        return _run(Warehouse(spark, args.warehouse), args)
+    finally:
+        drop_staged(spark)
+
+
+def _run(warehouse: Warehouse, args: argparse.Namespace) -> int:
+    spark = warehouse.spark
     if args.command == "ingest":
         for feed in FEEDS:
             ingest_reports(spark, args.landing, feed, f"{warehouse.root}/bronze").show(1000, truncate=False)

@@ -14,8 +14,14 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Layouts of the report's update time, tried after the ISO layout.
-UPDATE_TIME_LAYOUTS = ["M/d/yyyy H:mm", "M/d/yy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy H:mm:ss"]
+# Layouts of the report's update time beside the ISO layout, and how each looks.
+UPDATE_TIME_LAYOUTS = {
+    "M/d/yyyy H:mm": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$",
+    "M/d/yy H:mm": r"^\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{2}$",
+    "M/d/yyyy H:mm:ss": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$",
+    "M/d/yy H:mm:ss": r"^\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{2}:\d{2}$",
+}
+DAY_LAYOUTS = {"M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$"}
 
 
 def na_to_null(cell: Column) -> Column:
@@ -59,19 +65,24 @@ def to_rate(cell: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def to_utc_timestamp(cell: Column, layouts: Iterable[str] = UPDATE_TIME_LAYOUTS) -> Column:
+def to_utc_timestamp(cell: Column) -> Column:
     """Wall-clock text read as UTC (the session zone is UTC); NULL when no layout fits."""
     text = F.trim(cell)
-    tries = [F.try_to_timestamp(text)]
-    tries += [F.try_to_timestamp(text, F.lit(layout)) for layout in layouts]
-    return F.coalesce(*tries)
+    return F.coalesce(F.try_to_timestamp(text), _by_layout(text, UPDATE_TIME_LAYOUTS | DAY_LAYOUTS))
 
 
 def to_day(cell: Column) -> Column:
-    """Text or timestamp to date; text may also carry one of the update-time layouts."""
+    """Text or timestamp to date; text may carry any of the layouts."""
     text = F.trim(cell.cast("string"))
-    return F.coalesce(text.try_cast("date"), to_utc_timestamp(text).cast("date"),
-                      F.try_to_timestamp(text, F.lit("M/d/yyyy")).cast("date"))
+    return F.coalesce(text.try_cast("date"), to_utc_timestamp(text).cast("date"))
+
+
+def _by_layout(text: Column, layouts: dict[str, str]) -> Column:
+    """Parse with the layout that the text looks like: a failed parse is slow, a failed match is not."""
+    chain = F
+    for layout, look in layouts.items():
+        chain = chain.when(text.rlike(look), F.try_to_timestamp(text, F.lit(layout)))
+    return chain
 
 
 def lineage_name(relation: Column) -> Column:

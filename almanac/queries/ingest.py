@@ -11,7 +11,7 @@ from almanac.plans.trade import table
 from almanac.queries.registry import query
 from almanac.sources.feeds import FEEDS, typed_cell
 from almanac.sources.reports import read_bronze, write_bronze
-from almanac.sources.stage import checkpoint_root
+from almanac.sources.stage import stage_folder
 
 
 @query("bronze_reload", """
@@ -31,7 +31,7 @@ def _bronze_reload(spark: SparkSession, sf: str) -> DataFrame:
     )
     as_text = F.col("confirmed").cast("string")
     changed = (F.col("confirmed") + 1000).cast("string")
-    root = f"{checkpoint_root(spark)}/almanac/{spark.sparkContext.applicationId}/bronze-{uuid.uuid4().hex}"
+    root = f"{stage_folder(spark)}/bronze-{uuid.uuid4().hex}"
     write_bronze(cells.withColumn("confirmed", as_text).drop("_day"), "global", root)
     even = cells.filter(F.col("_day") % 2 == 0)
     write_bronze(even.withColumn("confirmed", changed).drop("_day"), "global", root)

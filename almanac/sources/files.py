@@ -30,3 +30,8 @@ def replace_folder(spark: SparkSession, path: str, complete: str) -> None:
     files.delete(located, True)
     if not files.rename(_located(spark, complete)[1], located):
         raise OSError(f"cannot move {complete} to {path}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, located = _located(spark, path)
+    files.delete(located, True)

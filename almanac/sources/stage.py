@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.sources.files import exists
+from almanac.sources.files import exists, remove_folder
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -31,15 +31,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """The folder of this application's staged tables."""
+    return f"{checkpoint_root(spark)}/almanac/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all staged tables of this application; for when its results are written."""
+    remove_folder(spark, stage_folder(spark))
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write the rows once and return the written table."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/almanac/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def still_there(staged: DataFrame) -> bool:

@@ -38,14 +38,15 @@ def test_text_to_numbers(spark):
 
 
 def test_update_times(spark):
-    cells = ["1/22/2020 17:00", "2/1/20 1:52", "2020-02-02T23:43:02", "2020-03-22 08:18:20", " ", "soon", None]
+    cells = ["1/22/2020 17:00", "2/1/20 1:52", "2020-02-02T23:43:02", "2020-03-22 08:18:20", " ", "soon", None,
+             "3/8/20 5:31:07", "13/45/2020 1:00", "1/22/2020"]
     at = dt.datetime
     assert one(spark, clean.to_utc_timestamp(F.col("x")), cells, "string") == [
         at(2020, 1, 22, 17, 0), at(2020, 2, 1, 1, 52), at(2020, 2, 2, 23, 43, 2), at(2020, 3, 22, 8, 18, 20),
-        None, None, None,
+        None, None, None, at(2020, 3, 8, 5, 31, 7), None, at(2020, 1, 22),
     ]
-    assert one(spark, clean.to_day(F.col("x")), ["2020-04-12", "4/12/2020", "4/12/20 3:00", "x"], "string") == [
-        dt.date(2020, 4, 12), dt.date(2020, 4, 12), dt.date(2020, 4, 12), None,
+    assert one(spark, clean.to_day(F.col("x")), ["2020-04-12", "4/12/2020", "4/12/20 3:00", "4/12/20", "x"], "string") == [
+        *[dt.date(2020, 4, 12)] * 4, None,
     ]
 
 
