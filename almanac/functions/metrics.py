@@ -11,13 +11,22 @@ KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 
 def round_half_up(value: Column, places: int) -> Column:
-    """Round the decimal value that the double stands for, halves away from zero."""
+    """Round halves away from zero, after dropping the noise of floating-point sums (NaN is NULL)."""
     return F.round(value.try_cast("decimal(38,10)"), places).cast("double")
 
 
+def round_quotient(value: Column, places: int) -> Column:
+    """Round a quotient of two whole numbers, exactly for counts of any size.
+
+    Its double is the one nearest to the exact quotient and carries no noise, so rounding
+    the shortest decimal that names the double is exact; ten decimals first could round twice.
+    """
+    return F.round(value, places)
+
+
 def safe_pct(part: Column, whole: Column) -> Column:
     """100 * part / whole to 2 places, NULL unless the whole is positive."""
-    return F.when(whole > 0, round_half_up(F.lit(100.0) * part / whole, 2))
+    return F.when(whole > 0, round_quotient(F.lit(100.0) * part / whole, 2))
 
 
 def delta(current: Column, previous: Column) -> Column:

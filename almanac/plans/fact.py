@@ -97,8 +97,8 @@ def fact_daily(
             "daily_new_tests": m.delta(tested, prev_tested),
             "pct_change_cases": m.pct_change(cases, prev_cases),
             "pct_change_deaths": m.pct_change(deaths, prev_deaths),
-            "confirmed_cases_7day_avg": m.round_half_up(F.col("_mean_cases"), 2),
-            "deaths_7day_avg": m.round_half_up(F.col("_mean_deaths"), 2),
+            "confirmed_cases_7day_avg": m.round_quotient(F.col("_mean_cases"), 2),
+            "deaths_7day_avg": m.round_quotient(F.col("_mean_deaths"), 2),
             "calculated_cfr_pct": m.safe_pct(deaths, cases),
             "recovery_rate_pct": m.safe_pct(F.col("total_recovered"), cases),
             "test_positivity_rate_pct": m.safe_pct(cases, tested),
