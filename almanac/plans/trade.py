@@ -28,6 +28,7 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums per nation. Lines are combined per order before they meet the orders."""
     quantity = F.col("l_quantity").cast("bigint")
     flagged = lambda flag: F.when(F.col("l_returnflag") == flag, quantity).otherwise(F.lit(0))
+    hundredths = lambda c: F.floor(F.col(c) * 100 + 0.5)  # whole numbers add up exactly in any order
     per_order = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(quantity).alias("all_units"),
         F.sum(flagged("R")).alias("r_units"),
@@ -35,8 +36,8 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(flagged("N")).alias("n_units"),
         F.count("*").alias("lines"),
         F.count_if(F.col("l_returnflag") == "A").alias("a_lines"),
-        F.sum(F.col("l_discount").cast("decimal(10,2)")).alias("discount"),
-        F.sum(F.col("l_tax").cast("decimal(10,2)")).alias("tax"),
+        F.sum(hundredths("l_discount")).alias("discount"),
+        F.sum(hundredths("l_tax")).alias("tax"),
     )
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -66,6 +67,7 @@ def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         "confirmed_cases": "all_units", "total_deaths": "r_units", "total_recovered": "a_units",
         "active_cases": "n_units", "total_test_results": "lines", "people_hospitalized": "a_lines",
     }
+    mean = lambda hundredths: F.col(hundredths).cast("double") / F.col("lines").cast("double")
     daily_pct = lambda part, whole: F.lit(100.0) * F.col(part).cast("double") / F.col(whole).cast("double")
     reports = built_nation_days(spark, sf_dir).select(
         "r_name", "day",
@@ -76,9 +78,9 @@ def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         clean.zero_to_null(-F.col("n_nationkey").cast("double")).alias("longitude"),
         *[clean.null_to_zero(F.sum(source).over(so_far)).alias(name) for name, source in running.items()],
         (F.sum("lines").over(so_far) * 20).alias("people_tested"),
-        clean.not_below_zero(daily_pct("discount", "lines")).alias("incident_rate_per_100k"),
+        clean.not_below_zero(mean("discount")).alias("incident_rate_per_100k"),
         clean.within_percent(daily_pct("r_units", "all_units")).alias("case_fatality_ratio_pct"),
-        clean.not_below_zero(daily_pct("tax", "lines")).alias("testing_rate_per_100k"),
+        clean.not_below_zero(mean("tax")).alias("testing_rate_per_100k"),
         clean.within_percent(daily_pct("a_lines", "lines")).alias("hospitalization_rate_pct"),
         clean.within_percent(daily_pct("n_units", "all_units")).alias("mortality_rate_pct"),
         F.col("day").cast("timestamp").alias("last_updated_at"),

@@ -177,7 +177,7 @@ SELECT CAST(n_nationkey AS BIGINT) AS fips_code,
   COALESCE(r_units, 0) AS total_deaths, COALESCE(a_units, 0) AS total_recovered,
   -COALESCE(n_units, 0) AS active_cases,
   CAST(0 AS BIGINT) AS total_test_results, lines AS people_tested, a_lines AS people_hospitalized,
-  CASE WHEN a_lines > 0 THEN {rounded("1e2 * discount / lines")} END AS incident_rate_per_100k,
+  CASE WHEN a_lines > 0 THEN {rounded("CAST(discount AS DOUBLE) / lines")} END AS incident_rate_per_100k,
   CASE WHEN 3 * r_units <= 100 THEN CAST(3 * r_units AS DOUBLE) END AS case_fatality_ratio_pct,
   CAST(tax AS DOUBLE) AS testing_rate_per_100k,
   CAST(NULL AS DOUBLE) AS hospitalization_rate_pct,
@@ -204,7 +204,7 @@ def _silver_clean(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("nan").alias("total_test_results"),
         text(lines).alias("people_tested"),
         text(F.col("a_lines")).alias("people_hospitalized"),
-        F.when(F.col("a_lines") > 0, text(m.round_half_up(F.lit(100.0) * F.col("discount").cast("double") / lines, 2)))
+        F.when(F.col("a_lines") > 0, text(m.round_half_up(F.col("discount").cast("double") / lines, 2)))
         .otherwise(F.lit("-1")).alias("incident_rate"),
         text(3 * F.col("r_units")).alias("case_fatality_ratio"),
         text(F.col("tax")).alias("testing_rate"),

@@ -52,8 +52,8 @@ cells AS (
     {total("CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END")} AS n_units,
     COUNT(*) AS lines,
     COUNT(*) FILTER (WHERE l_returnflag = 'A') AS a_lines,
-    CAST(SUM(CAST(l_discount AS DECIMAL(10,2))) AS DOUBLE) AS discount,
-    CAST(SUM(CAST(l_tax AS DECIMAL(10,2))) AS DOUBLE) AS tax
+    {total("CAST(floor(l_discount * 100 + 0.5e0) AS BIGINT)")} AS discount,
+    {total("CAST(floor(l_tax * 100 + 0.5e0) AS BIGINT)")} AS tax
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -80,9 +80,9 @@ all_reports AS (
     CASE WHEN r_name = 'AMERICA' THEN CAST(SUM(lines) OVER so_far AS BIGINT) END AS total_test_results,
     CASE WHEN r_name = 'AMERICA' THEN CAST(20 * SUM(lines) OVER so_far AS BIGINT) END AS people_tested,
     CASE WHEN r_name = 'AMERICA' THEN CAST(SUM(a_lines) OVER so_far AS BIGINT) END AS people_hospitalized,
-    1e2 * discount / lines AS incident_rate_per_100k,
+    CAST(discount AS DOUBLE) / lines AS incident_rate_per_100k,
     1e2 * r_units / all_units AS case_fatality_ratio_pct,
-    CASE WHEN r_name = 'AMERICA' THEN 1e2 * tax / lines END AS testing_rate_per_100k,
+    CASE WHEN r_name = 'AMERICA' THEN CAST(tax AS DOUBLE) / lines END AS testing_rate_per_100k,
     CASE WHEN r_name = 'AMERICA' THEN 1e2 * a_lines / lines END AS hospitalization_rate_pct,
     CASE WHEN r_name = 'AMERICA' THEN 1e2 * n_units / all_units END AS mortality_rate_pct,
     'bronze.orders_' || strftime(day, '%m_%d_%Y') AS _source_table
