@@ -30,7 +30,7 @@ from almanac.sources.stage import stage
 FILE_DATE, TABLE = "file_date", "source_table"
 QUARANTINE = "feed string, file string, reason string, cells bigint"
 OPEN_QUOTE = "quote left open"
-HEADER_CHUNK = 64 * 1024
+HEADER_CHUNK, HEADER_LIMIT = 64 * 1024, 1024 * 1024
 FILES_PER_TASK = 200
 # File systems whose first bytes a task can fetch directly; others are scanned by Spark.
 _DIRECT_SCHEMES = {"file", "hdfs", "s3", "gs"}
@@ -43,7 +43,7 @@ def list_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """The first line of each file, NULL when there is none or it is no UTF-8 text."""
+    """The first line of each file, NULL when it cannot be read, is no UTF-8 text or has no end."""
     scheme = files.limit(1).select(F.regexp_extract("path", r"^(\w+):", 1)).collect()
     if scheme and scheme[0][0] not in _DIRECT_SCHEMES:
         return _scan_headers(files)
@@ -63,13 +63,15 @@ def _first_line(path: str) -> str | None:
     if scheme == "file":
         rest = "//" + "/" + rest.lstrip("/")
     files, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
-    line = b""
-    with files.open_input_stream(name) as stream:
-        while b"\n" not in line and (chunk := stream.read(HEADER_CHUNK)):
-            line += chunk
+    start, done = b"", False
     try:
-        return line.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None
-    except UnicodeDecodeError:
+        with files.open_input_stream(name) as stream:
+            while not done and len(start) < HEADER_LIMIT:
+                chunk = stream.read(HEADER_CHUNK)
+                start += chunk
+                done = not chunk or b"\n" in chunk
+        return start.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None if done else None
+    except (OSError, UnicodeDecodeError):
         return None
 
 

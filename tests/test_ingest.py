@@ -99,6 +99,17 @@ def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
     assert fetched == scanned and len(fetched) == len(GLOBAL_FILES) + len(us_files()) + 3
 
 
+def test_first_lines(tmp_path, monkeypatch):
+    monkeypatch.setattr(reports, "HEADER_CHUNK", 4)
+    monkeypatch.setattr(reports, "HEADER_LIMIT", 20)
+    contents = {b"Lat,Long_\r\n1,2\n": "Lat,Long_", b"Lat,Long_": "Lat,Long_", b"x" * 50: None, b"\n1": None, b"\xff\n": None}
+    for i, (data, line) in enumerate(contents.items()):
+        path = tmp_path / f"a b+{i}.csv"
+        path.write_bytes(data)
+        assert reports._first_line(f"file:{path}") == line
+    assert reports._first_line(f"file:{tmp_path}/none.csv") is None
+
+
 def test_headers_that_cannot_be_used():
     for header, reason in [(None, "readable"), ("x,y", "known"), ("Lat,lat", "repeat")]:
         with pytest.raises(ValueError, match=reason):
