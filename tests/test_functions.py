@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +83,17 @@ def test_percentages(spark):
     assert values(spark, m.delta(F.col("a"), F.col("b")), rows, "a bigint, b bigint") == [2, -2, 5, 0]
 
 
+def test_percentages_of_large_counts_are_exact(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(10**k), rng.randrange(1, 10**k)) for k in (3, 6, 9, 12) for _ in range(500)]
+    # next to and on the middle between two results
+    for d in (8, 800, 20_000, 2 * 10**8, 2 * 10**11):
+        rows += [(d * odd // 20_000 + step, d) for odd in (1, 3, 15, 2001) for step in (-1, 0, 1)]
+    rows = [(n, d) for n, d in rows if n >= 0]
+    exact = [float((Decimal(100 * n) / Decimal(d)).quantize(Decimal("0.01"), ROUND_HALF_UP)) for n, d in rows]
+    assert values(spark, m.safe_pct(F.col("a"), F.col("b")), rows, "a bigint, b bigint") == exact
+
+
 def test_surrogate_key(spark):
     import hashlib
 
