@@ -14,7 +14,7 @@ from __future__ import annotations
 import csv
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from urllib.parse import quote, unquote
 
@@ -48,31 +48,41 @@ def read_headers(files: DataFrame) -> DataFrame:
     if scheme and scheme[0][0] not in _DIRECT_SCHEMES:
         return _scan_headers(files)
     tasks = max(1, files.count() // FILES_PER_TASK)
-    return files.repartition(tasks).mapInPandas(_fetch_headers, "path string, header string")
-
-
-def _fetch_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "header": [_first_line(p) for p in batch["path"]]})
-
-
-def _first_line(path: str) -> str | None:
-    from pyarrow import fs
-
-    scheme, rest = path.split(":", 1)
-    if scheme == "file":
-        rest = "//" + "/" + rest.lstrip("/")
-    files, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
-    start, done = b"", False
-    try:
-        with files.open_input_stream(name) as stream:
-            while not done and len(start) < HEADER_LIMIT:
-                chunk = stream.read(HEADER_CHUNK)
-                start += chunk
-                done = not chunk or b"\n" in chunk
-        return start.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None if done else None
-    except (OSError, UnicodeDecodeError):
-        return None
+    fetch = _header_fetcher(_first_line_reader(HEADER_CHUNK, HEADER_LIMIT))
+    return files.repartition(tasks).mapInPandas(fetch, "path string, header string")
+
+
+def _first_line_reader(chunk_bytes: int, limit: int) -> Callable[[str], str | None]:
+    """A function that runs in tasks. It is built here, so that it travels to the executors by
+    value and they need no copy of this package."""
+
+    def first_line(path: str) -> str | None:
+        from pyarrow import fs
+
+        scheme, rest = path.split(":", 1)
+        if scheme == "file":
+            rest = "//" + "/" + rest.lstrip("/")
+        files, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+        start, done = b"", False
+        try:
+            with files.open_input_stream(name) as stream:
+                while not done and len(start) < limit:
+                    chunk = stream.read(chunk_bytes)
+                    start += chunk
+                    done = not chunk or b"\n" in chunk
+            return start.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None if done else None
+        except (OSError, UnicodeDecodeError):
+            return None
+
+    return first_line
+
+
+def _header_fetcher(first_line: Callable[[str], str | None]) -> Callable:
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "header": [first_line(p) for p in batch["path"]]})
+
+    return fetch
 
 
 def _scan_headers(files: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime as dt
 import shutil
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,15 +101,23 @@ def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
     assert fetched == scanned and len(fetched) == len(GLOBAL_FILES) + len(us_files()) + 3
 
 
-def test_first_lines(tmp_path, monkeypatch):
-    monkeypatch.setattr(reports, "HEADER_CHUNK", 4)
-    monkeypatch.setattr(reports, "HEADER_LIMIT", 20)
+def test_first_lines(tmp_path):
+    first_line = reports._first_line_reader(4, 20)
     contents = {b"Lat,Long_\r\n1,2\n": "Lat,Long_", b"Lat,Long_": "Lat,Long_", b"x" * 50: None, b"\n1": None, b"\xff\n": None}
     for i, (data, line) in enumerate(contents.items()):
         path = tmp_path / f"a b+{i}.csv"
         path.write_bytes(data)
-        assert reports._first_line(f"file:{path}") == line
-    assert reports._first_line(f"file:{tmp_path}/none.csv") is None
+        assert first_line(f"file:{path}") == line
+    assert first_line(f"file:{tmp_path}/none.csv") is None
+
+
+def test_task_code_needs_no_package_on_the_executors():
+    from pyspark import cloudpickle
+
+    fetch = reports._header_fetcher(reports._first_line_reader(4, 20))
+    shipped = cloudpickle.dumps(fetch)
+    probe = "import sys, pickle; pickle.load(sys.stdin.buffer); assert not any(m.startswith('almanac') for m in sys.modules)"
+    subprocess.run([sys.executable, "-c", probe], input=shipped, check=True, cwd="/tmp", env={"PATH": "/usr/bin:/bin"})
 
 
 def test_headers_that_cannot_be_used():
