@@ -15,13 +15,20 @@ from pyspark.sql.window import Window
 
 from almanac.functions import clean
 from almanac.plans.fact import fact_daily
+from almanac.sources.files import state_of
 from almanac.sources.stage import stage, still_there
 
-_built: dict[tuple[str, str, str], DataFrame] = {}
+# Written tables of this process, by application, input folder and state of the input tables.
+_built: dict[tuple, DataFrame] = {}
+_INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
 
 
 def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +127,9 @@ def build_once(
     build: Callable[[SparkSession, str], DataFrame],
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The written table, written again when the input tables have changed or its files are gone."""
+    inputs = tuple(state_of(spark, table_path(sf_dir, t)) for t in _INPUTS)
+    key = (spark.sparkContext.applicationId, sf_dir, name, inputs)
     if key not in _built or not still_there(_built[key]):
         _built[key] = stage(build(spark, sf_dir), name, partition_by)
     return _built[key]

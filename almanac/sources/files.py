@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
+def state_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Time of the last change and size in bytes of a file or folder: differs once its contents are replaced."""
+    files, located = _located(spark, path)
+    return files.getFileStatus(located).getModificationTime(), files.getContentSummary(located).getLength()
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders directly inside `path`; none when it does not exist."""
     files, located = _located(spark, path)

@@ -1,11 +1,13 @@
 """Summaries, marts and reports over hand-made fact rows."""
 
 import datetime as dt
+import shutil
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from almanac.functions import labels
-from almanac.plans import adhoc, agg, mart, report
+from almanac.plans import adhoc, agg, mart, report, trade
 from almanac.plans.fact import FACT_COLUMNS
 
 DAY = dt.date(2021, 3, 1)
@@ -160,3 +162,14 @@ def test_trend_groups_with_an_absent_week(spark):
     )
     got = sorted((r.daily_new_cases, r.weekly_total_new_cases, r.trend_strength) for r in mart.trends(rows).collect())
     assert got == [(1, 1, "Minimal"), (4, 10, "Minimal"), (6, 10, "Moderate")]
+
+
+def test_written_tables_follow_their_inputs(spark, tmp_path):
+    for name in ("lineitem", "orders", "customer", "nation", "region"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = trade.built_fact(spark, str(tmp_path))
+    rows = first.count()
+    assert trade.built_fact(spark, str(tmp_path)) is first
+    half = pq.read_table(tmp_path / "orders.parquet").slice(0, 700)
+    pq.write_table(half, tmp_path / "orders.parquet")
+    assert 0 < trade.built_fact(spark, str(tmp_path)).count() < rows
