@@ -16,7 +16,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.path(layer, '')}'")
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"

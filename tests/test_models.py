@@ -152,10 +152,25 @@ def test_declared_tests_report_the_known_faults(warehouse):
 
 
 def test_built_tables_answer_sql(spark, warehouse):
-    got = spark.sql("""
-        SELECT country_region, count(DISTINCT report_date) AS frequency, sum(confirmed_cases) AS total
-        FROM gold.fct_covid_daily GROUP BY country_region ORDER BY total DESC LIMIT 2""").collect()
-    assert [r.country_region for r in got] == ["Chile", "Canada"]
+    def rows(text):
+        return [tuple(r) for r in spark.sql(text).collect()]
+
+    assert rows("""SELECT country_region, count(DISTINCT report_date), sum(confirmed_cases) AS total
+        FROM gold.fct_covid_daily GROUP BY 1 ORDER BY total DESC LIMIT 2""") == [("Chile", 1, 113628), ("Canada", 1, 104541)]
+    assert rows("""SELECT country_region, province_state FROM gold.fct_covid_daily
+        WHERE report_date = (SELECT max(report_date) FROM gold.fct_covid_daily)""") == [("US", "Utah")]
+    assert rows("""SELECT daily_new_cases, case_trend FROM gold.fct_covid_daily
+        WHERE province_state = 'Ohio' AND data_source = 'US' ORDER BY report_date""") == [
+        (0, "Unknown"), (10, "Increasing"), (-5, "Decreasing"),
+    ]
+    assert rows("""SELECT report_year, week_of_year, sum(daily_new_cases), count(DISTINCT location_name)
+        FROM gold.fct_covid_daily WHERE data_source = 'US' GROUP BY 1, 2 ORDER BY 1, 2""")[-1] == (2022, 52, 4000, 1)
+    assert rows("""SELECT corr(confirmed_cases, total_deaths) BETWEEN -1 AND 1 FROM gold.fct_covid_daily
+        WHERE data_source = 'US'""") == [(True,)]
+    assert rows("SELECT severity_tier FROM gold.rpt_top_countries_by_cases ORDER BY rank_by_cases LIMIT 1") == [("Highest",)]
+    assert rows("SELECT count(*) FROM gold.mart_covid_trends WHERE province_state = 'Iowa'") == [(9,)]
+    assert len(rows("SELECT new_cases_today FROM gold.agg_daily_summary ORDER BY snapshot_date DESC LIMIT 30")) == 14
+    assert rows("SELECT count(*) FROM silver.silver_covid_cases_us WHERE _source_table = 'bronze.us_05_01_2020'") == [(1,)]
 
 
 def test_selection_by_tags_and_order():
