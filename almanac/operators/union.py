@@ -32,6 +32,11 @@ def common_type(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
+def _normalized(df: DataFrame) -> DataFrame:
+    names = normalize_names(df.columns)
+    return df if names == df.columns else df.toDF(*names)
+
+
 def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_source") -> DataFrame:
     """All rows of all inputs under the superset of their (normalised) columns.
 
@@ -41,7 +46,7 @@ def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_sourc
     """
     if not inputs:
         raise ValueError("no input tables to union")
-    named = {name: df.toDF(*normalize_names(df.columns)) for name, df in inputs.items()}
+    named = {name: _normalized(df) for name, df in inputs.items()}
     types: dict[str, list[T.DataType]] = {}
     for df in named.values():
         for field in df.drop(source_column).schema.fields:
@@ -60,7 +65,7 @@ def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_sourc
     ]
     while len(branches) > 1:  # pairwise, so the plan stays shallow for many inputs
         branches = [
-            branches[i].unionByName(branches[i + 1]) if i + 1 < len(branches) else branches[i]
+            branches[i].union(branches[i + 1]) if i + 1 < len(branches) else branches[i]
             for i in range(0, len(branches), 2)
         ]
     return branches[0]
