@@ -14,7 +14,7 @@ from __future__ import annotations
 import csv
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
 from urllib.parse import quote, unquote
 
@@ -103,8 +103,8 @@ def _scan_headers(files: DataFrame) -> DataFrame:
     return files.join(found, "path", "left")
 
 
-def usable_columns(header: str | None, feed: str) -> list[str]:
-    """Normalised names of a header line; ValueError when the line cannot head a report."""
+def usable_columns(header: str | None, feed: str, aliases: Mapping[str, str] | None = None) -> list[str]:
+    """Normalised names of a header line, aliases replaced; ValueError when the line cannot head a report."""
     if header is None:
         raise ValueError("no readable header")
     names: list[str] = []
@@ -113,17 +113,24 @@ def usable_columns(header: str | None, feed: str) -> list[str]:
         name = name if name.strip() else f"Unnamed: {at}"
         names.append(f"{name}.{seen[name]}" if seen[name] else name)  # a repeated name is numbered
         seen[name] += 1
-    names = normalize_names(names)
+    names = normalize_names([(aliases or {}).get(n, n) for n in normalize_names(names)])
     if not set(names) & set(FEEDS[feed]):
         raise ValueError("header without any known column")
     return names
 
 
-def ingest_reports(spark: SparkSession, landing: str, feed: str, bronze: str) -> DataFrame:
-    """Load all files of <landing>/<feed> into <bronze>/<feed>; returns the files left out, and why."""
+def ingest_reports(
+    spark: SparkSession, landing: str, feed: str, bronze: str, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Load all files of <landing>/<feed> into <bronze>/<feed>; returns the files left out, and why.
+
+    `aliases` maps other normalised spellings to the columns that the cleaned tables read,
+    as {"case-fatality_ratio": "case_fatality_ratio"}. Without it such columns are kept in
+    bronze under their own names.
+    """
     files = list_reports(spark, f"{landing}/{feed}")
     empty = [(feed, name, "empty file", None) for name in _empty_files(files)]
-    return ingest_files(files, feed, bronze).unionByName(spark.createDataFrame(empty, QUARANTINE))
+    return ingest_files(files, feed, bronze, aliases).unionByName(spark.createDataFrame(empty, QUARANTINE))
 
 
 def _empty_files(files: DataFrame) -> list[str]:
@@ -132,7 +139,9 @@ def _empty_files(files: DataFrame) -> list[str]:
     return sorted(listed - {row.path.rsplit("/", 1)[-1] for row in files.collect()})
 
 
-def ingest_files(files: DataFrame, feed: str, bronze: str) -> DataFrame:
+def ingest_files(
+    files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
     """Load the given files. A file with a fault is left out and reported; the others load.
 
     A fault is an unreadable header, a row with more cells than the header, a quote that is
@@ -144,7 +153,7 @@ def ingest_files(files: DataFrame, feed: str, bronze: str) -> DataFrame:
     rejected, signatures = [], []
     for group in grouped:  # one entry per distinct header, not per file
         try:
-            signatures.append((usable_columns(group.header, feed), group.paths))
+            signatures.append((usable_columns(group.header, feed, aliases), group.paths))
         except ValueError as fault:
             rejected += [(feed, path.rsplit("/", 1)[-1], str(fault), None) for path in group.paths]
     quarantine = spark.createDataFrame(rejected, QUARANTINE)

@@ -52,6 +52,13 @@ def test_columns_outside_the_feed_are_kept(spark, bronze):
     assert [r[1] for r in rows.filter("file_date = '2020-06-01'").collect()] == ["14.2"]
 
 
+def test_other_spellings_can_be_mapped(spark, landing, tmp_path):
+    root = str(tmp_path / "bronze")
+    ingest_reports(spark, str(landing), "global", root, {"case-fatality_ratio": "case_fatality_ratio"})
+    rows = read_bronze(spark, root, "global").filter("file_date = '2020-06-01'")
+    assert [r.case_fatality_ratio for r in rows.collect()] == ["14.2"]
+
+
 def test_reload_replaces_only_the_files_it_reads(spark, landing, tmp_path):
     mine = shutil.copytree(landing, tmp_path / "landing")
     root = str(tmp_path / "bronze")
@@ -125,6 +132,10 @@ def test_headers_that_cannot_be_used():
         with pytest.raises(ValueError, match=reason):
             usable_columns(header, "us")
     assert usable_columns('"Country/Region", Lat ', "global") == ["country_region", "lat"]
+    spellings = {"case-fatality_ratio": "case_fatality_ratio", "latitude": "lat"}
+    assert usable_columns("Latitude,Case-Fatality_Ratio", "us", spellings) == ["lat", "case_fatality_ratio"]
+    with pytest.raises(ValueError, match="repeat"):
+        usable_columns("Latitude,Lat", "us", spellings)
     assert usable_columns("Lat,,Lat", "us") == ["lat", "unnamed:_1", "lat.1"]
 
 
