@@ -46,20 +46,19 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(hundredths("l_discount")).alias("discount"),
         F.sum(hundredths("l_tax")).alias("tax"),
     )
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = (
         table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "n_nationkey", "n_name", "r_name", F.col("o_orderdate").cast("date").alias("day"))
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "c_nationkey", F.col("o_orderdate").cast("date").alias("day"))
     )
     sums = ["all_units", "r_units", "a_units", "n_units", "lines", "a_lines", "discount", "tax"]
-    return (
-        orders.join(per_order, "o_orderkey")
-        .groupBy("n_nationkey", "n_name", "r_name", "day")
-        .agg(*[F.sum(c).alias(c) for c in sums])
+    daily = orders.join(per_order, "o_orderkey").groupBy("c_nationkey", "day").agg(*[F.sum(c).alias(c) for c in sums])
+    # names join the sums, so that no order carries them through a shuffle
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    return daily.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "n_nationkey", "n_name", "r_name", "day", *sums
     )
 
 
