@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,11 +31,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
 
+def hundredths(column: str) -> Column:
+    """An amount with two decimals as a whole number: such sums are exact in any order."""
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
 def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums per nation. Lines are combined per order before they meet the orders."""
     quantity = F.col("l_quantity").cast("bigint")
     flagged = lambda flag: F.when(F.col("l_returnflag") == flag, quantity).otherwise(F.lit(0))
-    hundredths = lambda c: F.floor(F.col(c) * 100 + 0.5)  # whole numbers add up exactly in any order
     per_order = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(quantity).alias("all_units"),
         F.sum(flagged("R")).alias("r_units"),
@@ -73,7 +77,7 @@ def cleaned_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         "confirmed_cases": "all_units", "total_deaths": "r_units", "total_recovered": "a_units",
         "active_cases": "n_units", "total_test_results": "lines", "people_hospitalized": "a_lines",
     }
-    mean = lambda hundredths: F.col(hundredths).cast("double") / F.col("lines").cast("double")
+    mean = lambda total: F.col(total).cast("double") / F.col("lines").cast("double")
     daily_pct = lambda part, whole: F.lit(100.0) * F.col(part).cast("double") / F.col(whole).cast("double")
     reports = built_nation_days(spark, sf_dir).select(
         "r_name", "day",

@@ -20,14 +20,15 @@ from almanac.sources.stage import stage
 # A customer without orders has no total, which ranks first.
 SPENDERS = """
 WITH spenders AS (
-  SELECT c_custkey, c_nationkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent, COUNT(o_orderkey) AS n
+  SELECT c_custkey, c_nationkey, CAST(SUM(CAST(floor(o_totalprice * 100 + 0.5e0) AS BIGINT)) AS DOUBLE) / 100 AS spent,
+    COUNT(o_orderkey) AS n
   FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL
 )"""
 
 
 def _spenders(spark: SparkSession, sf: str) -> DataFrame:
     per_customer = table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spent"),
+        (F.sum(trade.hundredths("o_totalprice")).cast("double") / 100).alias("spent"),
         F.count("*").alias("n"),
     )
     joined = table(spark, sf, "customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -86,13 +87,16 @@ def _top_n_ranked(spark: SparkSession, sf: str) -> DataFrame:
     return with_share(best, "n", "pct_of_orders", customers).drop("c_nationkey", "n")
 
 
+MEAN_DISCOUNT = "CAST(SUM(CAST(floor(l_discount * 100 + 0.5e0) AS BIGINT)) AS DOUBLE) / COUNT(l_discount)"
+
+
 @query("rate_ladder", f"""
-SELECT l_orderkey, {ladder("1e2 * (CAST(SUM(CAST(l_discount AS DECIMAL(10,2))) AS DOUBLE) / COUNT(l_discount))", labels.FATALITY_CLASS)} AS discount_class
+SELECT l_orderkey, {ladder(MEAN_DISCOUNT, labels.FATALITY_CLASS)} AS discount_class
 FROM lineitem GROUP BY l_orderkey""")
 def _rate_ladder(spark: SparkSession, sf: str) -> DataFrame:
-    mean = F.try_divide(F.sum(F.col("l_discount").cast("decimal(10,2)")).cast("double"), F.count("l_discount"))
+    mean = F.try_divide(F.sum(trade.hundredths("l_discount")).cast("double"), F.count("l_discount"))
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        labels.FATALITY_CLASS(F.lit(100.0) * mean).alias("discount_class")
+        labels.FATALITY_CLASS(mean).alias("discount_class")
     )
 
 
