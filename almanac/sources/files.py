@@ -10,6 +10,12 @@ def _located(spark: SparkSession, path: str):
     return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and all folders, so that it means the same to readers, writers and the catalog."""
+    files, located = _located(spark, path)
+    return files.makeQualified(located).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, located = _located(spark, path)
     return files.exists(located)

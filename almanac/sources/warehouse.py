@@ -7,14 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.sources.files import replace_folder, subfolders
+from almanac.sources.files import qualified, replace_folder, subfolders
 
 LAYERS = ("bronze", "silver", "gold")
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = spark, qualified(spark, root)
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.path(layer, '')}'")
 

@@ -12,6 +12,7 @@ from almanac.plans import silver
 from almanac.plans.column_tests import MODEL_TESTS
 from almanac.plans.registry import MODELS, feed_rows, run_models, select_models, test_models
 from almanac.sources.feeds import FEEDS
+from almanac.sources.files import qualified
 from almanac.sources.reports import ingest_reports
 from almanac.sources.warehouse import Warehouse
 from report_files import write_landing
@@ -194,6 +195,11 @@ def test_first_failure_stops_a_run(spark, tmp_path):
     assert not (tmp_path / "gold").exists()
 
 
+def test_a_relative_root(spark):
+    root = qualified(spark, "some/root/")
+    assert root.startswith("file:/") and root.endswith("/some/root")
+
+
 def test_a_failed_write_keeps_the_earlier_table(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     wh.write("gold", "kept", spark.range(3))
