@@ -103,3 +103,8 @@ def normalize_names(names: Iterable[str]) -> list[str]:
     if repeated:
         raise ValueError(f"columns repeat after normalisation: {repeated}")
     return result
+
+
+def quoted(name: str) -> str:
+    """A column name of any characters, as F.col takes it."""
+    return "`" + name.replace("`", "``") + "`"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.functions.clean import normalize_names
+from almanac.functions.clean import normalize_names, quoted
 
 _WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _REAL = [T.FloatType, T.DoubleType]
@@ -56,7 +56,7 @@ def union_drifting(inputs: Mapping[str, DataFrame], source_column: str = "_sourc
     branches = [
         df.select(
             *[
-                (F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(wanted[c]).alias(c)
+                (F.col(quoted(c)) if c in df.columns else F.lit(None)).cast(wanted[c]).alias(c)
                 for c in wanted
             ],
             F.col(source_column) if source_column in df.columns else F.lit(name).alias(source_column),

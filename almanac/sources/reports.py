@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.functions.clean import na_to_null, normalize_names
+from almanac.functions.clean import na_to_null, normalize_names, quoted
 from almanac.sources.feeds import FEEDS, SOURCE, typed_cell
 from almanac.sources.stage import stage
 
@@ -153,7 +153,7 @@ def ingest_files(
     rejected, signatures = [], []
     for group in grouped:  # one entry per distinct header, not per file
         try:
-            signatures.append((usable_columns(group.header, feed, aliases), group.paths))
+            signatures.append((group.header, usable_columns(group.header, feed, aliases), group.paths))
         except ValueError as fault:
             rejected += [(feed, path.rsplit("/", 1)[-1], str(fault), None) for path in group.paths]
     quarantine = spark.createDataFrame(rejected, QUARANTINE)
@@ -164,8 +164,8 @@ def ingest_files(
     # Files with cells that span lines are few; only they are read as a whole, unsplit.
     torn = {r[0] for r in faults.filter(F.col("reason") == OPEN_QUOTE).select("_file").collect()}
     if torn:
-        again = [(names, [p for p in paths if p.rsplit("/", 1)[-1] in torn]) for names, paths in signatures]
-        joined, still = _read_and_test(spark, [s for s in again if s[1]], feed, multi_line=True)
+        again = [(head, names, [p for p in paths if p.rsplit("/", 1)[-1] in torn]) for head, names, paths in signatures]
+        joined, still = _read_and_test(spark, [s for s in again if s[2]], feed, multi_line=True)
         rows = rows.unionByName(joined, allowMissingColumns=True)
         faults = faults.filter(F.col("reason") != OPEN_QUOTE).unionByName(still)
     write_bronze(rows, feed, bronze)
@@ -175,17 +175,22 @@ def ingest_files(
 
 
 def _read_and_test(
-    spark: SparkSession, signatures: list[tuple[list[str], list[str]]], feed: str, multi_line: bool
+    spark: SparkSession, signatures: list[tuple[str, list[str], list[str]]], feed: str, multi_line: bool
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the files without faults, and one row per file with faults."""
-    parts = [_read_signature(spark, names, paths, multi_line) for names, paths in signatures]
+    parts = [_read_signature(spark, *signature, multi_line) for signature in signatures]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     faults = stage(_faulty_files(rows, feed), "faulty_files")
     return rows.drop("_surplus", "_open").join(faults.select("_file"), "_file", "left_anti"), faults
 
 
-def _read_signature(spark: SparkSession, names: list[str], paths: list[str], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt_record"]])
+def _read_signature(
+    spark: SparkSession, header: str, names: list[str], paths: list[str], multi_line: bool
+) -> DataFrame:
+    written = next(csv.reader([header]))
+    if "" in written or len({w.lower() for w in written}) < len(written):
+        written = names  # Spark then warns that header and schema differ
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*written, "_corrupt_record"]])
     reader = (
         spark.read.schema(schema)
         .option("header", True)
@@ -202,7 +207,7 @@ def _read_signature(spark: SparkSession, names: list[str], paths: list[str], mul
     surplus = F.size(F.split(F.regexp_replace(bad, '"[^"]*"', ""), ",")) > len(names)
     quotes = F.length(bad) - F.length(F.replace(bad, F.lit('"'), F.lit("")))
     return reader.csv(paths).select(
-        *[na_to_null(F.col(f"`{n}`")).alias(n) for n in names],
+        *[na_to_null(F.col(quoted(w))).alias(n) for w, n in zip(written, names)],
         surplus.alias("_surplus"),
         (quotes % 2 == 1).alias("_open"),
         F.col("_metadata.file_name").alias("_file"),
@@ -257,7 +262,7 @@ def read_bronze(spark: SparkSession, bronze: str, feed: str, columns: Iterable[s
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, TABLE]])
     schema.add(FILE_DATE, T.DateType())
     rows = spark.read.schema(schema).parquet(f"{bronze}/{feed}")
-    return rows.select(*names, FILE_DATE, F.concat(F.lit("bronze."), F.col(TABLE)).alias(SOURCE))
+    return rows.select(*map(quoted, names), FILE_DATE, F.concat(F.lit("bronze."), F.col(TABLE)).alias(SOURCE))
 
 
 def seed_table_name(path: str, root: str) -> str:

@@ -87,6 +87,8 @@ def test_rows_of_another_length(spark, tmp_path):
     (folder / "01-02-2021.csv").write_text(head + 'Lima,Peru,4,"two\nlines"\n"Cus\nco",Peru,5,k\n,Chile,6,\n')
     (folder / "01-03-2021.csv").write_text(head + '"Lima,Peru,7,never closed\n,Chile,8,\n')
     (folder / "01-04-2021.csv").write_text(head + 'Lima,Peru,"two\nlines",k\n')  # joined, and then of the wrong type
+    # names that Spark cannot take as they are
+    (folder / "01-05-2021.csv").write_text("Country/Region,,Confirmed,Confirmed,a`b.c\nCuba,1,9,8,7\n")
     root = str(tmp_path / "bronze")
     faults = ingest_reports(spark, str(tmp_path / "landing"), "global", root).collect()
     assert sorted((r.file, r.reason) for r in faults) == [
@@ -95,8 +97,10 @@ def test_rows_of_another_length(spark, tmp_path):
     rows = read_bronze(spark, root, "global").select("province_state", "country_region", "confirmed", "combined_key")
     assert sorted(map(tuple, rows.collect()), key=str) == sorted([
         ("Lima", "Peru", None, None), ("a,b", "Peru", "3", "x, y"), ("Lima", "Peru", "4", "two\nlines"),
-        ("Cus\nco", "Peru", "5", "k"), (None, "Chile", "6", None),
+        ("Cus\nco", "Peru", "5", "k"), (None, "Chile", "6", None), (None, "Cuba", "9", None),
     ], key=str)
+    odd = read_bronze(spark, root, "global", ["unnamed:_1", "confirmed.1", "a`b.c"]).filter("file_date = '2021-01-05'")
+    assert [tuple(r)[:3] for r in odd.collect()] == [("1", "8", "7")]
 
 
 def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
