@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from almanac.operators.quality import run_tests
 from almanac.operators.union import union_drifting
 from almanac.plans import agg, fact, mart, report, silver
 from almanac.plans.column_tests import MODEL_TESTS
 from almanac.sources.feeds import SOURCE
+from almanac.sources.files import path_of
 from almanac.sources.reports import read_bronze
 from almanac.sources.warehouse import Warehouse
 
@@ -100,11 +102,24 @@ def _input(warehouse: Warehouse, name: str) -> DataFrame:
 
 def feed_rows(warehouse: Warehouse, feed: str) -> DataFrame:
     """Bronze rows of a feed: the ingested dataset and any bronze table named <feed>_..."""
-    inputs = {
-        f"bronze.{name}": warehouse.read("bronze", name) for name in warehouse.tables("bronze", f"{feed}_")
-    }
+    inputs = _tables_by_schema(warehouse, warehouse.tables("bronze", f"{feed}_"))
     if feed in warehouse.tables("bronze"):
         inputs[feed] = read_bronze(warehouse.spark, f"{warehouse.root}/bronze", feed)
     if not inputs:
         raise FileNotFoundError(f"feed {feed!r} has no bronze rows under {warehouse.root}")
     return union_drifting(inputs, SOURCE)
+
+
+def _tables_by_schema(warehouse: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
+    """One scan per distinct schema, not per table; the table's name comes from the file path."""
+    alike: dict[str, list[str]] = {}
+    schemas = {name: warehouse.read("bronze", name).schema for name in names}
+    for name, schema in schemas.items():
+        alike.setdefault(schema.json(), []).append(name)
+    table = F.regexp_extract(path_of(F.col("_metadata.file_path")), r"/([^/]+)/[^/]+$", 1)
+    return {
+        group[0]: warehouse.spark.read.schema(schemas[group[0]])
+        .parquet(*[warehouse.path("bronze", name) for name in group])
+        .withColumn(SOURCE, F.concat(F.lit("bronze."), table))
+        for group in alike.values()
+    }

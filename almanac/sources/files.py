@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+
+def path_of(uri: Column) -> Column:
+    """The path in a file's metadata, which writes special characters as %xx."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def _located(spark: SparkSession, path: str):

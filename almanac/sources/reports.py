@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from almanac.functions.clean import na_to_null, normalize_names, quoted
 from almanac.sources.feeds import FEEDS, SOURCE, typed_cell
+from almanac.sources.files import path_of
 from almanac.sources.stage import stage
 
 FILE_DATE, TABLE = "file_date", "source_table"
@@ -96,10 +97,9 @@ def _scan_headers(files: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("at"),
     )
     first = lines.filter(F.col("start") == 0).groupBy("uri").agg(F.min_by("value", "at").alias("line"))
-    path = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
     line = F.regexp_replace("line", "^\ufeff|\r$", "")
     header = F.when(~line.contains("\ufffd"), F.nullif(line, F.lit("")))
-    found = first.select(F.regexp_replace(path, "^file:///", "file:/").alias("path"), header.alias("header"))
+    found = first.select(F.regexp_replace(path_of(F.col("uri")), "^file:///", "file:/").alias("path"), header.alias("header"))
     return files.join(found, "path", "left")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -42,7 +43,8 @@ class Warehouse:
                 self._name(layer, table)
 
     def _name(self, layer: str, table: str) -> None:
-        name, catalog = f"{layer}.`{table}`", self.spark.catalog
+        # the catalog takes letters, digits and underscores only
+        name, catalog = f"{layer}.`{re.sub(r'[^A-Za-z0-9_]', '_', table)}`", self.spark.catalog
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name only; files stay
         catalog.createTable(name, path=self.path(layer, table), source="parquet")
         if any(column.isPartition for column in catalog.listColumns(name)):

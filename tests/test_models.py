@@ -226,13 +226,15 @@ def test_typed_bronze_tables_join_the_feed(spark, warehouse):
     )
     other = spark.createDataFrame([(1,)], "confirmed int")
     warehouse.write("bronze", "us_2023", seed)
+    warehouse.write("bronze", "us_more of +2023", seed.withColumn("province_state", F.lit("Utah")))
     warehouse.write("bronze", "usage", other)  # not of the feed
     rows = silver.silver_us(feed_rows(warehouse, "us"))
-    got = rows.filter("snapshot_date = '2023-01-01'").collect()
+    got = rows.filter("snapshot_date = '2023-01-01'").orderBy("province_state").collect()
     assert [(r.province_state, r.confirmed_cases, r.testing_rate_per_100k, r["_source_table"]) for r in got] == [
-        ("Ohio", 8, None, "bronze.us_2023")
+        ("Ohio", 8, None, "bronze.us_2023"), ("Utah", 8, None, "bronze.us_more of +2023"),
     ]
-    assert rows.count() == warehouse.read("silver", "silver_covid_cases_us").count() + 1
+    assert rows.count() == warehouse.read("silver", "silver_covid_cases_us").count() + 2
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2  # scans
 
 
 def test_typed_cells_are_cast_without_text(spark):
