@@ -6,14 +6,35 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from almanac.llm import packing, token_counts
-from almanac.llm.common import table
+from almanac.llm import fingerprints, language_id, mixing, near_dedup, packing, quality_rules, token_counts, toxicity
+from almanac.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    sample = language_id.training_sample(docs, ~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    return language_id.predict(docs, language_id.train(sample), keep=("doc_id", "held_out"))
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 5) == 0)
+    index = toxicity.build_index(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return toxicity.score(docs, index, keep=("doc_id", "held_out"))
+
+
 def op6_pack_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -22,8 +43,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.learn_rules(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_mix_sources": op1_mix_sources,
+    "op2_language_id": op2_language_id,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_toxicity_neighbours": op5_toxicity_neighbours,
     "op6_pack_least_squares": op6_pack_least_squares,
     "op8_token_counts": op8_token_counts,
+    "op9_simhash_fingerprints": op9_simhash_fingerprints,
+    "op10_quality_rules": op10_quality_rules,
 }
+#: What SQL can say; the others are learned or pseudorandom and are tested against brute force.
 ORACLES: dict[str, str] = {}
