@@ -38,9 +38,15 @@ def main(argv: list[str] | None = None) -> int:
 def _run(warehouse: Warehouse, args: argparse.Namespace) -> int:
     spark = warehouse.spark
     if args.command == "ingest":
+        left_out = 0
         for feed in FEEDS:
-            ingest_reports(spark, args.landing, feed, f"{warehouse.root}/bronze").show(1000, truncate=False)
-        return 0
+            faults = ingest_reports(spark, args.landing, feed, f"{warehouse.root}/bronze")
+            for row in faults.groupBy("left_out", "reason").count().orderBy("left_out", "reason").collect():
+                print(f"{feed}: {row['count']} x {row.left_out} left out, {row.reason}")
+                left_out += row["count"]
+        if left_out:
+            print(f"each one is a row of {warehouse.root}/bronze/_faults/<feed>")
+        return 1 if left_out else 0
     if args.command == "seed":
         for name, df in read_seeds(spark, args.landing).items():
             warehouse.write("bronze", name, df)

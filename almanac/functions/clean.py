@@ -55,8 +55,9 @@ def within_percent(rate: Column) -> Column:
 
 
 def to_count(cell: Column) -> Column:
-    """Text to whole number; '7.0' is 7, text that is no number is NULL."""
-    return F.round(F.trim(cell).try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    """Text to whole number; '7.0' is 7, text that is no whole number ('7.5', 'many') is NULL."""
+    value = F.trim(cell).try_cast("decimal(38,10)")
+    return F.when(value == F.round(value, 0), value).try_cast("bigint")
 
 
 def to_rate(cell: Column) -> Column:
@@ -66,22 +67,31 @@ def to_rate(cell: Column) -> Column:
 
 
 def to_utc_timestamp(cell: Column) -> Column:
-    """Wall-clock text read as UTC (the session zone is UTC); NULL when no layout fits."""
+    """Wall-clock text read as UTC, whatever the session's zone; NULL when no layout fits. A written zone counts."""
     text = F.trim(cell)
-    return F.coalesce(F.try_to_timestamp(text), _by_layout(text, UPDATE_TIME_LAYOUTS | DAY_LAYOUTS))
+    timed = text.contains(":")
+    zoned = timed & text.rlike(r"(?i)(?:z|[a-z]{3,}|[+-]\d{1,2}(?::?\d{2}){0,2})$")
+    day = F.concat(text.try_cast("date").cast("string"), F.lit(" 00:00:00Z"))
+    iso = F.when(zoned, F.try_to_timestamp(text)).when(timed, F.try_to_timestamp(F.concat(text, F.lit("Z"))))
+    return F.coalesce(iso.otherwise(F.try_to_timestamp(day)), _by_layout(text, UPDATE_TIME_LAYOUTS | DAY_LAYOUTS))
+
+
+def utc_day(moment: Column) -> Column:
+    """The date of a timestamp in UTC, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(moment) / 86_400_000_000).cast("int"))
 
 
 def to_day(cell: Column) -> Column:
-    """Text or timestamp to date; text may carry any of the layouts."""
+    """Text, date or timestamp to date; text may carry any of the layouts."""
     text = F.trim(cell.cast("string"))
-    return F.coalesce(text.try_cast("date"), to_utc_timestamp(text).cast("date"))
+    return F.coalesce(text.try_cast("date"), utc_day(to_utc_timestamp(text)))
 
 
 def _by_layout(text: Column, layouts: dict[str, str]) -> Column:
     """Parse with the layout that the text looks like: a failed parse is slow, a failed match is not."""
     chain = F
     for layout, look in layouts.items():
-        chain = chain.when(text.rlike(look), F.try_to_timestamp(text, F.lit(layout)))
+        chain = chain.when(text.rlike(look), F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{layout} Z")))
     return chain
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import labels
 from almanac.functions import metrics as m
+from almanac.functions.clean import utc_day
 from almanac.operators.series import HOT_ROWS, SeriesMetrics, with_series
 
 LOCATION = ["data_source", "country_region", "province_state", "admin2"]
@@ -65,7 +66,7 @@ def combine_feeds(silver_us: DataFrame, silver_global: DataFrame) -> DataFrame:
     )
     elsewhere = silver_global.filter(~F.col("country_region").isin("US", "Unknown")).select(
         F.lit("Global").alias("data_source"),
-        F.col("last_updated_at").cast("date").alias("report_date"),
+        utc_day(F.col("last_updated_at")).alias("report_date"),
         *_SHARED, *_absent(_US_ONLY), *_GLOBAL_ONLY,
     )
     return us.unionByName(elsewhere)

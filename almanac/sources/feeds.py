@@ -26,6 +26,11 @@ US_COLUMNS = {
 }
 FEEDS = {"global": GLOBAL_COLUMNS, "us": US_COLUMNS}
 
+#: Columns without which a row says nothing or something wrong: a cell that does not fit leaves its row out.
+REQUIRED = frozenset({
+    "confirmed", "deaths", "recovered", "active", "total_test_results", "people_tested", "people_hospitalized", "date",
+})
+
 _FROM_TEXT = {
     "string": clean.na_to_null,
     "bigint": lambda c: clean.to_count(clean.na_to_null(c)),

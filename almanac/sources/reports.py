@@ -1,40 +1,43 @@
 """Daily report files to the bronze dataset.
 
 A feed is a folder of CSV files named MM-DD-YYYY.csv, each with a header row. Headers
-drift: columns come, go, move and change spelling. One read over files with different
-headers would shift columns, so files are grouped by header and read once per distinct
-header, then united by column name. Cells stay text in bronze.
+drift: columns come, go, move and change spelling. All files are parsed in one scan by
+position; what a position means is looked up by the file's header. Cells stay text in bronze.
 
 Bronze is one Parquet dataset per feed, partitioned by file date and source table. A load
-replaces exactly the partitions of the files it read; repeating it changes nothing.
+replaces exactly the partitions of the files it accepted, those without rows included;
+repeating it changes nothing. What a load left out is kept as a table of faults.
 """
 
 from __future__ import annotations
 
 import csv
 import re
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
 from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.functions.clean import na_to_null, normalize_names, quoted
-from almanac.sources.feeds import FEEDS, SOURCE, typed_cell
-from almanac.sources.files import path_of
+from almanac.sources.feeds import FEEDS, REQUIRED, SOURCE, typed_cell
+from almanac.sources.files import exists, path_of, remove_folder
 from almanac.sources.stage import stage
 
 FILE_DATE, TABLE = "file_date", "source_table"
-QUARANTINE = "feed string, file string, reason string, cells bigint"
-OPEN_QUOTE = "quote left open"
-HEADER_CHUNK, HEADER_LIMIT = 64 * 1024, 1024 * 1024
+# left_out: file, row or cell. A cell left out is empty in the cleaned tables; its row is loaded.
+FAULTS = "feed string, file string, left_out string, reason string, column string, cell string, line string"
+OPEN_QUOTE, SURPLUS, MISFIT = "quote left open", "row longer than the header", "cell of the wrong type"
+HEADER_CHUNK = 64 * 1024
 FILES_PER_TASK = 200
-# File systems whose first bytes a task can fetch directly; others are scanned by Spark.
-_DIRECT_SCHEMES = {"file", "hdfs", "s3", "gs"}
+# File systems whose first bytes a task can fetch directly, and the names of the same under Hadoop;
+# others are scanned by Spark.
+_DIRECT_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
 
 def list_reports(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,18 +47,18 @@ def list_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """The first line of each file, NULL when it cannot be read, is no UTF-8 text or has no end."""
+    """The first line of each file, NULL when the file is gone, empty or no UTF-8 text."""
     scheme = files.limit(1).select(F.regexp_extract("path", r"^(\w+):", 1)).collect()
     if scheme and scheme[0][0] not in _DIRECT_SCHEMES:
         return _scan_headers(files)
     tasks = max(1, files.count() // FILES_PER_TASK)
-    fetch = _header_fetcher(_first_line_reader(HEADER_CHUNK, HEADER_LIMIT))
+    fetch = _header_fetcher(_first_line_reader(HEADER_CHUNK))
     return files.repartition(tasks).mapInPandas(fetch, "path string, header string")
 
 
-def _first_line_reader(chunk_bytes: int, limit: int) -> Callable[[str], str | None]:
+def _first_line_reader(chunk_bytes: int, schemes: Mapping[str, str] = _DIRECT_SCHEMES) -> Callable[[str], str | None]:
     """A function that runs in tasks. It is built here, so that it travels to the executors by
-    value and they need no copy of this package."""
+    value and they need no copy of this package. Errors of the store fail the task, which Spark repeats."""
 
     def first_line(path: str) -> str | None:
         from pyarrow import fs
@@ -63,16 +66,16 @@ def _first_line_reader(chunk_bytes: int, limit: int) -> Callable[[str], str | No
         scheme, rest = path.split(":", 1)
         if scheme == "file":
             rest = "//" + "/" + rest.lstrip("/")
-        files, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
-        start, done = b"", False
+        files, name = fs.FileSystem.from_uri(f"{schemes[scheme]}:{quote(rest)}")
+        start, done = bytearray(), False
         try:
             with files.open_input_stream(name) as stream:
-                while not done and len(start) < limit:
+                while not done:
                     chunk = stream.read(chunk_bytes)
                     start += chunk
                     done = not chunk or b"\n" in chunk
-            return start.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None if done else None
-        except (OSError, UnicodeDecodeError):
+            return bytes(start).split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig") or None
+        except (FileNotFoundError, UnicodeDecodeError):
             return None
 
     return first_line
@@ -122,114 +125,206 @@ def usable_columns(header: str | None, feed: str, aliases: Mapping[str, str] | N
 def ingest_reports(
     spark: SparkSession, landing: str, feed: str, bronze: str, aliases: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Load all files of <landing>/<feed> into <bronze>/<feed>; returns the files left out, and why.
+    """Load all files of <landing>/<feed> into <bronze>/<feed>; returns what this load left out, and why.
 
     `aliases` maps other normalised spellings to the columns that the cleaned tables read,
     as {"case-fatality_ratio": "case_fatality_ratio"}. Without it such columns are kept in
-    bronze under their own names.
+    bronze under their own names. The faults also stay under <bronze>/_faults/<feed>.
     """
-    files = list_reports(spark, f"{landing}/{feed}")
-    empty = [(feed, name, "empty file", None) for name in _empty_files(files)]
-    return ingest_files(files, feed, bronze, aliases).unionByName(spark.createDataFrame(empty, QUARANTINE))
-
-
-def _empty_files(files: DataFrame) -> list[str]:
-    """Names of files without content, which Spark lists but does not read."""
-    listed = {unquote(uri.rsplit("/", 1)[-1]) for uri in files.inputFiles()}
-    return sorted(listed - {row.path.rsplit("/", 1)[-1] for row in files.collect()})
+    folder = f"{landing}/{feed}"
+    files = list_reports(spark, folder)
+    return _ingest(files, _listed(files), lambda reader: reader.option("pathGlobFilter", "*.csv").csv(folder),
+                   feed, bronze, aliases, f"load={uuid.uuid4().hex}")
 
 
 def ingest_files(
-    files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None
+    files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None, load: str | None = None
 ) -> DataFrame:
-    """Load the given files. A file with a fault is left out and reported; the others load.
+    """The same for the given files, a bounded number: their paths pass through the driver."""
+    paths = [row.path for row in files.select("path").collect()]
+    given = files.sparkSession.createDataFrame([(p,) for p in paths], "path string")
+    return _ingest(given, _listed(files), lambda reader: reader.csv(paths), feed, bronze, aliases, load or f"load={uuid.uuid4().hex}")
+
+
+def _listed(files: DataFrame) -> set[str]:
+    """Names of all files of a listing, those without content included."""
+    return {unquote(uri.rsplit("/", 1)[-1]) for uri in files.inputFiles()}
+
 
-    A fault is an unreadable header, a row with more cells than the header, a quote that is
-    never closed, or cells that do not fit the declared type of their column. The partition
-    that an earlier version of such a file filled stays as it is.
+def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader], DataFrame], feed: str, bronze: str,
+            aliases: Mapping[str, str] | None, load: str) -> DataFrame:
+    """A file is left out whole when its header cannot be used or a quote in it is never closed.
+
+    A row is left out when it has more cells than its header, or a required cell (a count, the
+    date) that does not fit its type. Any other cell that does not fit is empty in the cleaned
+    tables, and its row is loaded.
     """
     spark = files.sparkSession
-    grouped = read_headers(files).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    rejected, signatures = [], []
-    for group in grouped:  # one entry per distinct header, not per file
+    heads = stage(
+        read_headers(files).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("_file"), "header").unionByName(
+            _without_content(spark, files, listed)), "headers")
+    signatures, refused = _signatures([row.header for row in heads.select("header").distinct().collect()], feed, aliases)
+    known = heads.join(_small(spark, [(head, i) for i, (head, _) in enumerate(signatures)], "_head string, _signature int"),
+                       F.col("header") == F.col("_head")).select("_file", "_signature")
+    why = _small(spark, refused, "_head string, reason string")
+    unusable = heads.join(why, F.col("header").eqNullSafe(F.col("_head"))).select("_file", "reason")
+
+    rows, torn = _no_rows(spark), []
+    if signatures:
+        rows = stage(_parsed(spark, read, known, signatures, feed, multi_line=False), "rows")
+        torn = [row._file for row in rows.where("_open").select("_file").distinct().collect()]
+    if torn:  # Files with cells that span lines are few; only their rows come from a parse of whole files.
+        files_of = lambda reader: read(reader).where(F.col("_metadata.file_name").isin(torn))  # noqa: E731  skips the other files
+        whole = _parsed(spark, files_of, known, signatures, feed, multi_line=True)
+        rows = stage(rows.where(~F.col("_file").isin(torn)).unionByName(whole), "rows")
+        torn = [row._file for row in rows.where("_open").select("_file").distinct().collect()]
+    accepted = known.where(~F.col("_file").isin(torn)).select("_file") if torn else known.select("_file")
+    usable = rows.where(~F.col("_file").isin(torn)) if torn else rows
+
+    files_out = unusable.unionByName(_small(spark, [(name, OPEN_QUOTE) for name in torn], "_file string, reason string"))
+    found = _faults(usable, files_out, feed)
+    path = f"{bronze}/_faults/{feed}/{load}"
+    found.write.mode("overwrite").parquet(path)
+    if signatures:
+        _remember_columns(spark, bronze, feed, {name for _, names in signatures for name in names})
+        loaded = usable.where(~F.col("_left_out")).drop("_open", "_left_out", "_surplus", "_misfits", "_line", "_signature")
+        write_bronze(loaded, feed, bronze)
+        drop_partitions(spark, accepted.join(loaded.select("_file").distinct(), "_file", "left_anti"), feed, bronze)
+    return spark.read.schema(FAULTS).parquet(path)
+
+
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "_file string, _open boolean, _left_out boolean, _surplus boolean, _line string, "
+                                     "_misfits array<struct<column:string,cell:string>>")
+
+
+def _without_content(spark: SparkSession, files: DataFrame, listed: set[str]) -> DataFrame:
+    """Files without content, which Spark lists but does not read; their header is empty text."""
+    names = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("_file"))
+    every = _small(spark, [(name,) for name in sorted(listed)], "_file string")
+    return every.join(names, "_file", "left_anti").withColumn("header", F.lit(""))
+
+
+def _signatures(
+    headers: list[str | None], feed: str, aliases: Mapping[str, str] | None
+) -> tuple[list[tuple[str, list[str]]], list[tuple[str | None, str]]]:
+    """(header, column names) of the headers that can be used, (header, reason) of the others; one entry per distinct header."""
+    usable, refused = [], []
+    for header in sorted(headers, key=str):
         try:
-            signatures.append((group.header, usable_columns(group.header, feed, aliases), group.paths))
+            usable.append((header, usable_columns(header, feed, aliases)))
         except ValueError as fault:
-            rejected += [(feed, path.rsplit("/", 1)[-1], str(fault), None) for path in group.paths]
-    quarantine = spark.createDataFrame(rejected, QUARANTINE)
-    if not signatures:
-        return quarantine
-
-    rows, faults = _read_and_test(spark, signatures, feed, multi_line=False)
-    # Files with cells that span lines are few; only they are read as a whole, unsplit.
-    torn = {r[0] for r in faults.filter(F.col("reason") == OPEN_QUOTE).select("_file").collect()}
-    if torn:
-        again = [(head, names, [p for p in paths if p.rsplit("/", 1)[-1] in torn]) for head, names, paths in signatures]
-        joined, still = _read_and_test(spark, [s for s in again if s[2]], feed, multi_line=True)
-        rows = rows.unionByName(joined, allowMissingColumns=True)
-        faults = faults.filter(F.col("reason") != OPEN_QUOTE).unionByName(still)
-    write_bronze(rows, feed, bronze)
-    return quarantine.unionByName(
-        faults.select(F.lit(feed).alias("feed"), F.col("_file").alias("file"), "reason", "cells")
-    )
-
+            refused.append((header, "empty file" if header == "" else str(fault)))
+    return usable, refused
 
-def _read_and_test(
-    spark: SparkSession, signatures: list[tuple[str, list[str], list[str]]], feed: str, multi_line: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of the files without faults, and one row per file with faults."""
-    parts = [_read_signature(spark, *signature, multi_line) for signature in signatures]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    faults = stage(_faulty_files(rows, feed), "faulty_files")
-    return rows.drop("_surplus", "_open").join(faults.select("_file"), "_file", "left_anti"), faults
 
-
-def _read_signature(
-    spark: SparkSession, header: str, names: list[str], paths: list[str], multi_line: bool
-) -> DataFrame:
-    written = next(csv.reader([header]))
-    if "" in written or len({w.lower() for w in written}) < len(written):
-        written = names  # Spark then warns that header and schema differ
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*written, "_corrupt_record"]])
+def _parsed(spark: SparkSession, read: Callable[[DataFrameReader], DataFrame], known: DataFrame, signatures: list[tuple[str, list[str]]],
+            feed: str, multi_line: bool) -> DataFrame:
+    """The rows of the known files under their column names, with what is wrong with them."""
+    width = max(len(names) for _, names in signatures)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*(f"_c{i}" for i in range(width)), "_raw"]])
     reader = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("columnPruning", False)  # a pruned read would not notice rows of the wrong length
+        .option("columnNameOfCorruptRecord", "_raw")
+        .option("columnPruning", False)  # a pruned read would not notice rows of another length
     )
-    # Set for rows of the wrong length. Short rows are filled with NULL; a cell that spans lines
-    # leaves at least one line of the wrong length with an odd number of quotes. (A quote opened
-    # in the last cell and never closed ends with its line.)
-    bad = F.coalesce("_corrupt_record", F.lit(""))
-    surplus = F.size(F.split(F.regexp_replace(bad, '"[^"]*"', ""), ",")) > len(names)
-    quotes = F.length(bad) - F.length(F.replace(bad, F.lit('"'), F.lit("")))
-    return reader.csv(paths).select(
-        *[na_to_null(F.col(quoted(w))).alias(n) for w, n in zip(written, names)],
-        surplus.alias("_surplus"),
-        (quotes % 2 == 1).alias("_open"),
-        F.col("_metadata.file_name").alias("_file"),
+    # _raw is set for rows whose length differs from the widest header. Their cells are the pieces
+    # between commas outside quotes; a quote opened in the last cell and never closed ends with its line.
+    raw = F.coalesce("_raw", F.lit(""))
+    closed = F.regexp_replace(raw, '"[^"]*"', "")
+    cells = F.when(F.col("_raw").isNull(), F.lit(width)).otherwise(F.size(F.split(F.regexp_replace(closed, '"[^"]*$', ""), ",")))
+    by_signature = lambda values: _chosen("_signature", dict(enumerate(values)))
+    own_width = by_signature([F.lit(len(names)) for _, names in signatures])
+    every = list(dict.fromkeys(name for _, names in signatures for name in names))
+    named = {
+        name: na_to_null(_chosen("_signature", {i: F.col(f"_c{names.index(name)}") for i, (_, names) in enumerate(signatures) if name in names}))
+        for name in every
+    }
+    placed = read(reader).withColumn("_file", F.col("_metadata.file_name")).join(known, "_file")
+    rows = placed.select(
+        *[cell.alias(name) for name, cell in named.items()], "_file", "_signature",
+        (cells > own_width).alias("_surplus"),
+        (closed.contains('"') & (cells != own_width)).alias("_open"),
+        F.col("_raw"),
     )
+    typed = {c: t for c, t in FEEDS[feed].items() if t != "string" and c in every}
+    wrong = [F.when(_misfit(c, t), F.struct(F.lit(c).alias("column"), F.col(c).alias("cell"))) for c, t in typed.items()]
+    misfits = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<struct<column:string,cell:string>>")
+    rows = rows.withColumn("_misfits", misfits)
+    left_out = F.col("_surplus") | F.exists("_misfits", lambda m: m["column"].isin(*REQUIRED))
+    line = F.coalesce("_raw", F.to_json(F.struct(*[quoted(name) for name in every])))
+    return rows.withColumn("_left_out", left_out).withColumn("_line", F.when(F.col("_left_out") | (F.size("_misfits") > 0), line)).drop("_raw")
+
+
+def _chosen(column: str, values: Mapping[int, Column]) -> Column:
+    chain = F
+    for key, value in values.items():
+        chain = chain.when(F.col(column) == key, value)
+    return chain
+
+
+def _faults(rows: DataFrame, files_out: DataFrame, feed: str) -> DataFrame:
+    """Everything that is left out: files, rows and cells."""
+    none = F.lit(None).cast("string")
+    whole = files_out.select(F.col("_file").alias("file"), F.lit("file").alias("left_out"), "reason",
+                             none.alias("column"), none.alias("cell"), none.alias("line"))
+    long = rows.where("_surplus").select(F.col("_file").alias("file"), F.lit("row").alias("left_out"), F.lit(SURPLUS).alias("reason"),
+                                         none.alias("column"), none.alias("cell"), F.col("_line").alias("line"))
+    odd = rows.where("NOT _surplus").select("_file", "_left_out", "_line", F.explode("_misfits").alias("_m")).select(
+        F.col("_file").alias("file"), F.when(F.col("_left_out"), F.lit("row")).otherwise(F.lit("cell")).alias("left_out"),
+        F.lit(MISFIT).alias("reason"), F.col("_m.column").alias("column"), F.col("_m.cell").alias("cell"), F.col("_line").alias("line"))
+    return reduce(DataFrame.unionByName, [whole, long, odd]).select(F.lit(feed).alias("feed"), "file", "left_out", "reason", "column", "cell", "line")
+
+
+def report_empty_files(spark: SparkSession, landing: str, feed: str, bronze: str) -> None:
+    """Keep which files of a feed have no content now; for loads that are only told of files with content."""
+    files = list_reports(spark, f"{landing}/{feed}")
+    empty = _without_content(spark, files, _listed(files)).select("_file", F.lit("empty file").alias("reason"))
+    _faults(_no_rows(spark), empty, feed).write.mode("overwrite").parquet(f"{bronze}/_faults/{feed}/load=empty-files")
 
 
-def _faulty_files(rows: DataFrame, feed: str) -> DataFrame:
-    """One row per file with faults, counted before the shuffle; the first fault that holds is named."""
-    typed = {c: t for c, t in FEEDS[feed].items() if t != "string" and c in rows.columns}
-    misfits: Column = reduce(lambda a, b: a + b, [_misfit(c, t) for c, t in typed.items()], F.lit(0))
-    counts = rows.groupBy("_file").agg(
-        F.count_if("_open").alias("open"), F.count_if("_surplus").alias("surplus"), F.sum(misfits).alias("misfits")
-    )
-    found = [("open", OPEN_QUOTE), ("surplus", "rows longer than the header"), ("misfits", "cells of the wrong type")]
-    reason = F.coalesce(*[F.when(F.col(c) > 0, F.lit(text)) for c, text in found])
-    cells = F.coalesce(*[F.when(F.col(c) > 0, F.col(c)) for c, _ in found])
-    return counts.select("_file", reason.alias("reason"), cells.alias("cells")).filter(F.col("reason").isNotNull())
+def read_faults(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
+    """What all loads of a feed left out."""
+    return spark.read.schema(f"{FAULTS}, load string").parquet(f"{bronze}/_faults/{feed}")
 
 
 def _misfit(column: str, dtype: str) -> Column:
     written = F.coalesce(F.trim(F.col(column)), F.lit("")) != ""
-    return (written & typed_cell(column, dtype).isNull()).cast("bigint")
+    return written & typed_cell(column, dtype).isNull()
+
+
+def _remember_columns(spark: SparkSession, bronze: str, feed: str, names: set[str]) -> None:
+    """Keep which columns the files of a feed have had, so that one that none has is noticed."""
+    fresh = sorted(names - (seen_columns(spark, bronze, feed) or set()))
+    if fresh:
+        _small(spark, [(n,) for n in fresh], "name string").coalesce(1).write.mode("append").parquet(f"{bronze}/_columns/{feed}")
+
+
+def seen_columns(spark: SparkSession, bronze: str, feed: str) -> set[str] | None:
+    """Columns that any loaded file of the feed had; None when bronze was not written by a load of files."""
+    path = f"{bronze}/_columns/{feed}"
+    return {row.name for row in spark.read.schema("name string").parquet(path).collect()} if exists(spark, path) else None
+
+
+def drop_partitions(spark: SparkSession, files: DataFrame, feed: str, bronze: str) -> None:
+    """Remove the bronze partitions of the given files, where an earlier load filled them."""
+    root = f"{bronze}/{feed}"
+    if not exists(spark, root):
+        return
+    places = files.select(file_date(F.col("_file")).alias(FILE_DATE), source_table(feed, F.col("_file")).alias(TABLE))
+    filled = spark.read.schema(f"{TABLE} string, {FILE_DATE} date").parquet(root).select(FILE_DATE, TABLE).distinct()
+    day = F.coalesce(F.col(FILE_DATE).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    stale = filled.join(places.alias("p"), filled[TABLE] == F.col(f"p.{TABLE}"), "left_semi").select(day.alias("day"), TABLE)
+    for row in stale.collect():
+        remove_folder(spark, f"{root}/{FILE_DATE}={row.day}/{TABLE}={row[TABLE]}")
 
 
 def source_table(feed: str, file: Column) -> Column:
@@ -245,10 +340,10 @@ def file_date(file: Column) -> Column:
 
 
 def write_bronze(rows: DataFrame, feed: str, bronze: str) -> None:
-    """Replace the partitions of the files in `rows`; each task writes what it read, without a shuffle."""
+    """Replace the partitions of the files in `rows`, which are brought together so that a partition is few files."""
     named = rows.withColumns({FILE_DATE: file_date(F.col("_file")), TABLE: source_table(feed, F.col("_file"))})
     (
-        named.drop("_file")
+        named.drop("_file").hint("rebalance", F.col(FILE_DATE), F.col(TABLE))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(FILE_DATE, TABLE)
@@ -257,8 +352,11 @@ def write_bronze(rows: DataFrame, feed: str, bronze: str) -> None:
 
 
 def read_bronze(spark: SparkSession, bronze: str, feed: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Bronze rows of a feed as text cells plus lineage: the columns that the cleaned table reads, or `columns`."""
-    names = [*(columns or FEEDS[feed])]
+    """Bronze rows of a feed as text cells plus lineage: `columns`, or those columns of the cleaned table that a file has had."""
+    if columns is None:
+        seen = seen_columns(spark, bronze, feed)
+        columns = [n for n in FEEDS[feed] if seen is None or n in seen]
+    names = [*columns]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, TABLE]])
     schema.add(FILE_DATE, T.DateType())
     rows = spark.read.schema(schema).parquet(f"{bronze}/{feed}")
@@ -273,9 +371,16 @@ def seed_table_name(path: str, root: str) -> str:
 
 
 def read_seeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Hand-kept CSV tables under a folder, by table name, with inferred types."""
+    """Hand-kept CSV tables under a folder, by table name, with inferred types.
+
+    ValueError when two files would have one name, or a file the name of a feed.
+    """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     paths = sorted(row.path for row in listing.load(root).select("path").collect())
-    return {
-        seed_table_name(p, root): spark.read.option("header", True).option("inferSchema", True).csv(p) for p in paths
-    }
+    names = [seed_table_name(p, root) for p in paths]
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"several seed files for the tables {repeated}")
+    if taken := sorted(set(names) & {*FEEDS, "_faults", "_columns"}):
+        raise ValueError(f"seed files with the names of feeds: {taken}")
+    return {n: spark.read.option("header", True).option("inferSchema", True).csv(p) for n, p in zip(names, paths, strict=True)}

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from almanac.functions.clean import quoted
 from almanac.sources.files import exists, remove_folder
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -48,7 +49,7 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
 def still_there(staged: DataFrame) -> bool:

@@ -15,6 +15,9 @@ LAYERS = ("bronze", "silver", "gold")
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+            raise ValueError(f"the tables are in UTC: set spark.sql.session.timeZone to UTC, it is {zone}")
         self.spark, self.root = spark, qualified(spark, root)
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.path(layer, '')}'")
@@ -57,13 +60,22 @@ def read_jdbc(
     table: str,
     properties: dict[str, str],
     split_on: str | None = None,
-    bounds: tuple[int, int] = (0, 0),
-    splits: int = 1,
+    bounds: tuple[int, int] | None = None,
+    splits: int = 16,
 ) -> DataFrame:
-    """A database table; with `split_on` it is read by `splits` tasks over ranges of that column."""
+    """A database table; with `split_on`, a whole-number column, it is read by `splits` tasks over ranges of it.
+
+    Without `bounds` the column's smallest and largest values are asked for first.
+    """
     if split_on is None:
         return spark.read.jdbc(url, table, properties=properties)
+    if bounds is None:
+        ask = f"(SELECT MIN({split_on}) AS low, MAX({split_on}) AS high FROM {table}) bounds"
+        found = spark.read.jdbc(url, ask, properties=properties).first()
+        bounds = (found[0] or 0, found[1] or 0)
     low, high = bounds
+    if low >= high:
+        return spark.read.jdbc(url, table, properties=properties)
     return spark.read.jdbc(url, table, split_on, low, high, splits, properties=properties)
 
 

@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from almanac.sources.reports import QUARANTINE, ingest_files
+from almanac.sources.reports import ingest_files, report_empty_files
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
+#: Files of one micro-batch, at most; more files are more batches.
+BATCH_FILES = 10_000
 
 
 def ingest_new_reports(
-    spark: SparkSession, landing: str, feed: str, bronze: str, state: str, quarantine: str | None = None
+    spark: SparkSession, landing: str, feed: str, bronze: str, state: str,
+    aliases: Mapping[str, str] | None = None, batch_files: int = BATCH_FILES,
 ) -> StreamingQuery:
     """Load the files that earlier runs with the same `state` folder have not loaded.
 
     Only paths flow through the stream; contents are read by the batch load, which
-    replaces whole partitions, so a repeated micro-batch changes nothing. A file replaced
+    replaces whole partitions, so a repeated micro-batch changes nothing. What is left out
+    is kept as by the batch load, one set for each micro-batch. A file replaced
     under its old name is not seen as new: load it with the batch ingest.
     """
     files = (
         spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", "*.csv")
-        .load(f"{landing}/{feed}").select("path")
+        .option("maxFilesPerTrigger", batch_files).load(f"{landing}/{feed}").select("path")
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        faults = ingest_files(batch, feed, bronze)
-        if quarantine is not None:
-            faults.write.mode("overwrite").parquet(f"{quarantine}/{feed}/batch={batch_id}")
+        ingest_files(batch, feed, bronze, aliases, f"load=batch-{batch_id}")
+        report_empty_files(spark, landing, feed, bronze)
 
     return (
         files.writeStream.foreachBatch(load).option("checkpointLocation", f"{state}/{feed}")
         .trigger(availableNow=True).start()
     )
-
-
-def read_quarantine(spark: SparkSession, quarantine: str, feed: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).parquet(f"{quarantine}/{feed}").drop("batch")

@@ -95,11 +95,11 @@ def write_landing(root: Path) -> Path:
     return root
 
 
-EMPTY = ("04-22-2020.csv", "empty file", None)
+# (file, left out, reason, column)
 FAULTS = {
-    ("bad.csv", "no readable header", None),
-    ("04-20-2020.csv", "cells of the wrong type", 1),
-    ("04-21-2020.csv", "rows longer than the header", 1),
-    EMPTY,
-    ("04-23-2020.csv", "header without any known column", None),
+    ("bad.csv", "file", "no readable header", None),
+    ("04-20-2020.csv", "row", "cell of the wrong type", "confirmed"),
+    ("04-21-2020.csv", "row", "row longer than the header", None),
+    ("04-22-2020.csv", "file", "empty file", None),
+    ("04-23-2020.csv", "file", "header without any known column", None),
 }

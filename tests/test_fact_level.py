@@ -166,7 +166,7 @@ def test_trend_groups_with_an_absent_week(spark):
 
 def test_written_tables_follow_their_inputs(spark, tmp_path):
     for name in ("lineitem", "orders", "customer", "nation", "region"):
-        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
     first = trade.built_fact(spark, str(tmp_path))
     rows = first.count()
     assert trade.built_fact(spark, str(tmp_path)) is first

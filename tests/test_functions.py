@@ -34,7 +34,7 @@ def test_placeholders_and_guards(spark):
 
 def test_text_to_numbers(spark):
     cells = ["7", "7.0", " 8 ", "-2", "x", "", None, "2.5"]
-    assert one(spark, clean.to_count(F.col("x")), cells, "string") == [7, 7, 8, -2, None, None, None, 3]
+    assert one(spark, clean.to_count(F.col("x")), cells, "string") == [7, 7, 8, -2, None, None, None, None]
     assert one(spark, clean.to_rate(F.col("x")), ["1.25", "nan", "x", None], "string") == [1.25, None, None, None]
     assert one(spark, clean.na_to_null(F.col("x")), ["NA", "nan", "", "Nan", None], "string") == [None, None, None, "Nan", None]
 
@@ -52,6 +52,26 @@ def test_update_times(spark):
     ]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo", "UTC"])
+def test_times_are_utc_whatever_the_session_zone(spark, zone):
+    cells = ["1/22/2020 17:00", "2020-03-22 08:18:20", "2020-02-02T23:43:02", "2020-03-22", "3/8/20", "2020-03-22 08:18:20-05:00", "2020-03-22 08:18:20Z"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(c,) for c in cells], "x string")
+        parsed = clean.to_utc_timestamp(F.col("x"))
+        got = [tuple(r) for r in rows.select(F.unix_seconds(parsed), clean.to_day(F.col("x")), clean.utc_day(parsed)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    at = lambda *parts: int(dt.datetime(*parts, tzinfo=dt.timezone.utc).timestamp())
+    assert [g[0] for g in got] == [
+        at(2020, 1, 22, 17), at(2020, 3, 22, 8, 18, 20), at(2020, 2, 2, 23, 43, 2), at(2020, 3, 22), at(2020, 3, 8),
+        at(2020, 3, 22, 13, 18, 20), at(2020, 3, 22, 8, 18, 20),
+    ]
+    days = [dt.date(2020, 1, 22), dt.date(2020, 3, 22), dt.date(2020, 2, 2), dt.date(2020, 3, 22), dt.date(2020, 3, 8)]
+    assert [g[2] for g in got[:5]] == days and [g[1] for g in got[:5]] == days
+
+
 def test_names():
     assert clean.normalize_names([" Province/State ", "Last Update", "Case-Fatality_Ratio"]) == [
         "province_state", "last_update", "case-fatality_ratio",

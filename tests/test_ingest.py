@@ -6,12 +6,13 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from almanac.plans.silver import silver_us
 from almanac.sources import reports
 from almanac.sources.reports import (
-    ingest_reports, list_reports, read_bronze, read_headers, read_seeds, seed_table_name, usable_columns,
+    ingest_reports, list_reports, read_bronze, read_faults, read_headers, read_seeds, seed_table_name, usable_columns,
 )
-from almanac.streaming.reports import ingest_new_reports, read_quarantine
-from report_files import EMPTY, FAULTS, GLOBAL_FILES, us_files, us_row, write_landing, US_HEADER
+from almanac.streaming.reports import ingest_new_reports
+from report_files import FAULTS, GLOBAL_FILES, us_files, us_row, write_landing, US_HEADER
 
 
 @pytest.fixture(scope="module")
@@ -26,10 +27,18 @@ def bronze(spark, landing, tmp_path_factory):
     return root, faults
 
 
-def test_faulty_files_are_left_out_and_reported(spark, bronze):
+def described(faults):
+    return {(r.file, r.left_out, r.reason, r.column) for r in faults}
+
+
+def test_faults_are_left_out_and_kept(spark, bronze):
     root, faults = bronze
     assert faults["global"] == []
-    assert {(r.file, r.reason, r.cells) for r in faults["us"]} == FAULTS
+    assert described(faults["us"]) == FAULTS
+    kept = read_faults(spark, root, "us").collect()
+    assert described(kept) == FAULTS and len({r.load for r in kept}) == 1
+    wrong = next(r for r in kept if r.column == "confirmed")
+    assert wrong.cell == "many" and "Ohio" in wrong.line
     loaded = {r.file_date for r in read_bronze(spark, root, "us").select("file_date").distinct().collect()}
     assert loaded == {dt.datetime.strptime(n, "%m-%d-%Y.csv").date() for n in us_files()}
 
@@ -72,10 +81,14 @@ def test_reload_replaces_only_the_files_it_reads(spark, landing, tmp_path):
     day = dt.date(2020, 4, 13)
     (mine / "us" / "04-13-2020.csv").write_text(US_HEADER + "\n" + us_row("Texas", day, 1))
     # a reload that cannot be read leaves the earlier version of that day
-    (mine / "us" / "04-12-2020.csv").write_text(US_HEADER + "\n" + us_row("Texas", dt.date(2020, 4, 12), "x"))
+    (mine / "us" / "04-12-2020.csv").write_text("a,b\n1,2\n")
+    # files with a header and no rows, or with no row that can be used, replace it
+    (mine / "us" / "04-15-2020.csv").write_text(US_HEADER + "\n")
+    (mine / "us" / "05-01-2020.csv").write_text(US_HEADER + "\n" + us_row("Texas", dt.date(2020, 5, 1), "x"))
     ingest_reports(spark, str(mine), "us", root)
     after = read_bronze(spark, root, "us").groupBy("file_date").agg(F.sum("confirmed").alias("n")).collect()
     expected = {r.file_date: r.n for r in before} | {day: 1.0}
+    del expected[dt.date(2020, 4, 15)], expected[dt.date(2020, 5, 1)]
     assert {r.file_date: r.n for r in after} == expected
 
 
@@ -91,8 +104,8 @@ def test_rows_of_another_length(spark, tmp_path):
     (folder / "01-05-2021.csv").write_text("Country/Region,,Confirmed,Confirmed,a`b.c\nCuba,1,9,8,7\n")
     root = str(tmp_path / "bronze")
     faults = ingest_reports(spark, str(tmp_path / "landing"), "global", root).collect()
-    assert sorted((r.file, r.reason) for r in faults) == [
-        ("01-03-2021.csv", "quote left open"), ("01-04-2021.csv", "cells of the wrong type"),
+    assert sorted((r.file, r.left_out, r.reason) for r in faults) == [
+        ("01-03-2021.csv", "file", "quote left open"), ("01-04-2021.csv", "row", "cell of the wrong type"),
     ]
     rows = read_bronze(spark, root, "global").select("province_state", "country_region", "confirmed", "combined_key")
     assert sorted(map(tuple, rows.collect()), key=str) == sorted([
@@ -103,6 +116,45 @@ def test_rows_of_another_length(spark, tmp_path):
     assert [tuple(r)[:3] for r in odd.collect()] == [("1", "8", "7")]
 
 
+def test_one_odd_cell_costs_no_other_row(spark, tmp_path):
+    folder = tmp_path / "landing" / "us"
+    folder.mkdir(parents=True)
+    day = dt.date(2020, 4, 12)
+    rows = [us_row(f"S{i}", day, i) for i in range(1000)]
+    odd = us_row("Odd", day, 5).replace(f"{day:%Y-%m-%d} 04:30:00", "yesterday")
+    half = us_row("Half", day, "7.5")
+    (folder / "04-12-2020.csv").write_text(US_HEADER + "\n" + "".join([*rows, odd, half]))
+    root = str(tmp_path / "bronze")
+    faults = ingest_reports(spark, str(tmp_path / "landing"), "us", root).collect()
+    assert sorted((r.left_out, r.column, r.cell) for r in faults) == [("cell", "last_update", "yesterday"), ("row", "confirmed", "7.5")]
+    loaded = read_bronze(spark, root, "us")
+    assert loaded.count() == 1001
+    cleaned = silver_us(loaded).where("province_state = 'Odd'").collect()
+    assert [(r.confirmed_cases, r.last_updated_at) for r in cleaned] == [(5, None)]
+
+
+def test_a_column_that_no_file_has_is_an_error(spark, tmp_path):
+    folder = tmp_path / "landing" / "us"
+    folder.mkdir(parents=True)
+    day = dt.date(2020, 4, 12)
+    (folder / "04-12-2020.csv").write_text(US_HEADER.replace("Confirmed", "Cases").replace("Deaths", "Dead") + "\n" + us_row("Ohio", day, 5))
+    root = str(tmp_path / "bronze")
+    assert ingest_reports(spark, str(tmp_path / "landing"), "us", root).count() == 0
+    with pytest.raises(ValueError, match="'confirmed', 'deaths'"):
+        silver_us(read_bronze(spark, root, "us"))
+    ingest_reports(spark, str(tmp_path / "landing"), "us", root, {"cases": "confirmed", "dead": "deaths"})
+    assert [r.confirmed_cases for r in silver_us(read_bronze(spark, root, "us")).collect()] == [5]
+
+
+def test_one_scan_whatever_the_headers(spark, landing, tmp_path, monkeypatch):
+    plans = []
+    staged = reports.stage
+    monkeypatch.setattr(reports, "stage", lambda df, name, *more: plans.append((name, df._jdf.queryExecution().toString())) or staged(df, name, *more))
+    ingest_reports(spark, str(landing), "global", str(tmp_path / "bronze"))
+    parsed = [plan for name, plan in plans if name == "rows"]
+    assert len(parsed) == 1 and parsed[0].split("== Physical Plan ==")[-1].count("FileScan csv") == 1
+
+
 def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
     files = list_reports(spark, str(landing / "us")).unionByName(list_reports(spark, str(landing / "global")))
     fetched = {r.path: r.header for r in read_headers(files).collect()}
@@ -113,19 +165,21 @@ def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
 
 
 def test_first_lines(tmp_path):
-    first_line = reports._first_line_reader(4, 20)
-    contents = {b"Lat,Long_\r\n1,2\n": "Lat,Long_", b"Lat,Long_": "Lat,Long_", b"x" * 50: None, b"\n1": None, b"\xff\n": None}
+    first_line = reports._first_line_reader(4)
+    contents = {b"Lat,Long_\r\n1,2\n": "Lat,Long_", b"Lat,Long_": "Lat,Long_", b"x" * 50: "x" * 50, b"\n1": None, b"\xff\n": None}
     for i, (data, line) in enumerate(contents.items()):
         path = tmp_path / f"a b+{i}.csv"
         path.write_bytes(data)
         assert first_line(f"file:{path}") == line
     assert first_line(f"file:{tmp_path}/none.csv") is None
+    with pytest.raises(OSError):  # the task fails and is repeated; the file is not given up
+        first_line(f"file:{tmp_path}")
 
 
 def test_task_code_needs_no_package_on_the_executors():
     from pyspark import cloudpickle
 
-    fetch = reports._header_fetcher(reports._first_line_reader(4, 20))
+    fetch = reports._header_fetcher(reports._first_line_reader(4))
     shipped = cloudpickle.dumps(fetch)
     probe = "import sys, pickle; pickle.load(sys.stdin.buffer); assert not any(m.startswith('almanac') for m in sys.modules)"
     subprocess.run([sys.executable, "-c", probe], input=shipped, check=True, cwd="/tmp", env={"PATH": "/usr/bin:/bin"})
@@ -152,13 +206,21 @@ def test_seeds(spark, tmp_path):
     seeds = read_seeds(spark, str(tmp_path))
     assert sorted(seeds) == ["codes", "us_2022"]
     assert [tuple(r) for r in seeds["us_2022"].collect()] == [(7, dt.date(2022, 1, 1))]
+    (tmp_path / "x" / "us").mkdir(parents=True)
+    (tmp_path / "x" / "us" / "2022.csv").write_text("uid\n8\n")
+    with pytest.raises(ValueError, match="us_2022"):
+        read_seeds(spark, str(tmp_path))
+    (tmp_path / "x" / "us" / "2022.csv").unlink()
+    (tmp_path / "global.csv").write_text("uid\n8\n")
+    with pytest.raises(ValueError, match="global"):
+        read_seeds(spark, str(tmp_path))
 
 
 def test_stream_loads_what_the_batch_loads(spark, landing, bronze, tmp_path):
     mine = shutil.copytree(landing, tmp_path / "landing")
     late = (mine / "us" / "04-15-2020.csv").rename(tmp_path / "04-15-2020.csv")
-    root, state, faults = (str(tmp_path / n) for n in ("bronze", "state", "faults"))
-    run = lambda: ingest_new_reports(spark, str(mine), "us", root, state, faults).awaitTermination()
+    root, state = (str(tmp_path / n) for n in ("bronze", "state"))
+    run = lambda: ingest_new_reports(spark, str(mine), "us", root, state, batch_files=5).awaitTermination()
     run()
     partial = read_bronze(spark, root, "us")
     assert partial.filter("file_date = '2020-04-15'").count() == 0
@@ -166,4 +228,4 @@ def test_stream_loads_what_the_batch_loads(spark, landing, bronze, tmp_path):
     run()
     rows = lambda where: sorted(map(str, read_bronze(spark, where, "us").collect()))
     assert rows(root) == rows(bronze[0])
-    assert {(r.file, r.reason, r.cells) for r in read_quarantine(spark, faults, "us").collect()} == FAULTS - {EMPTY}
+    assert described(read_faults(spark, root, "us").collect()) == FAULTS
