@@ -54,6 +54,9 @@ def with_series(
 ) -> DataFrame:
     """Add the metrics, rows of a location taken in `order` (absent dates last).
 
+    `order` should decide between any two rows that differ in the inputs: then the result is
+    the same whichever way it is computed, at any size and after any retry.
+
     `one_row_per_day` states that the caller has grouped by location and date, so that a
     location cannot outgrow the calendar and the count of rows per location is not needed.
     """
@@ -123,16 +126,16 @@ def _lead_in(
     """
     reach = TRAILING_ROWS - 1
     place = [*order, "_row"]
+    carried = list(dict.fromkeys([*place, *metrics.inputs]))
     forward = [F.col(c).asc_nulls_last() for c in place]
     backward = [F.col(c).desc_nulls_first() for c in place]
     block = Window.partitionBy(*location, "_block")
     ends = (
-        blocks.select(*location, "_block", *place, *metrics.inputs)
+        blocks.select(*location, "_block", *carried)
         .withColumn("_back", F.row_number().over(block.orderBy(*backward)))
         .filter(F.col("_back") <= reach)
     )
     earlier = Window.partitionBy(*location).orderBy("_block", *forward).rowsBetween(-reach, -1)
-    carried = [*place, *metrics.inputs]
     firsts = (
         ends.withColumn("_earlier", F.collect_list(F.struct(*carried)).over(earlier))
         .withColumn("_nth", F.row_number().over(block.orderBy(*forward)))

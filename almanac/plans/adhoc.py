@@ -52,8 +52,13 @@ def top_values(df: DataFrame, column: str, frequency: str, measure: str, n: int
     )
 
 
+def _on(fact: DataFrame, day: dt.date) -> DataFrame:
+    """Rows of one date; the year picks the folders of the written fact, the date the row groups in them."""
+    return fact.filter((F.col("report_year") == day.year) & (F.col("report_date") == F.lit(day)))
+
+
 def countries_on(fact: DataFrame, day: dt.date) -> DataFrame:
-    return fact.filter(F.col("report_date") == F.lit(day)).groupBy("country_region").agg(
+    return _on(fact, day).groupBy("country_region").agg(
         F.sum("confirmed_cases").alias("total_cases"),
         F.sum("total_deaths").alias("total_deaths"),
         F.avg("case_fatality_ratio_pct").alias("avg_cfr"),
@@ -71,7 +76,7 @@ def last_days(daily_summary: DataFrame, n: int = 30) -> DataFrame:
 
 def trailing_mean_total_on(fact: DataFrame, day: dt.date) -> DataFrame:
     """Trailing means may be added over locations of one date, not over dates."""
-    return fact.filter(F.col("report_date") == F.lit(day)).agg(
+    return _on(fact, day).agg(
         F.sum("confirmed_cases_7day_avg").alias("total_7day_avg")
     )
 

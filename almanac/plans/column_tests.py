@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.functions import labels
-from almanac.functions.labels import Ladder
 from almanac.operators.quality import ColumnTest, accepted, not_null, unique
 
 
-def _any_of(column: str, ladder: Ladder) -> ColumnTest:
-    return accepted(column, *[label for _, label in ladder.steps], ladder.default)
-
-
 _TRENDS = ("Increasing", "Decreasing", "Stable", "Unknown")
 
 # Which columns of which published table are tested, and how.
@@ -25,7 +19,7 @@ MODEL_TESTS: dict[str, list[ColumnTest]] = {
         not_null("report_date"),
         not_null("confirmed_cases"),
         accepted("case_trend", *_TRENDS),
-        _any_of("severity_category", labels.SEVERITY),
+        accepted("severity_category", "Critical", "Very High", "High", "Moderate", "Low", "Very Low"),
         not_null("_fact_created_at"),
     ],
     "rpt_top_countries_by_cases": [
@@ -46,21 +40,23 @@ MODEL_TESTS: dict[str, list[ColumnTest]] = {
         unique("metric_pair"),
         not_null("correlation_coefficient"),
         not_null("sample_size"),
-        _any_of("correlation_strength", labels.CORRELATION_STRENGTH),
+        accepted("correlation_strength", "Very Strong", "Strong", "Moderate", "Weak", "Very Weak or None"),
         accepted("correlation_direction", "Positive", "Negative", "None"),
-        _any_of("statistical_confidence", labels.CONFIDENCE),
+        accepted("statistical_confidence", "High confidence", "Medium confidence", "Low confidence"),
     ],
     "agg_daily_summary": [not_null("snapshot_date"), unique("snapshot_date")],
     "agg_state_summary": [
         not_null("province_state"),
         unique("province_state"),
-        _any_of("impact_category", labels.STATE_IMPACT),
+        accepted("impact_category", "Top 5 - Critical", "Top 10 - Severe", "Top 20 - High", "Moderate", "Lower Impact"),
     ],
     "agg_country_summary": [
         not_null("country_region"),
         unique("country_region"),
-        _any_of("global_impact_tier", labels.GLOBAL_TIER),
-        _any_of("severity_classification", labels.FATALITY_CLASS),
+        accepted("global_impact_tier", "Top 10 Globally", "Top 25 Globally", "Top 50 Globally", "Other"),
+        accepted(
+            "severity_classification", "Very High Severity", "High Severity", "Moderate Severity", "Low Severity", "Very Low Severity",
+        ),
     ],
     "mart_top_countries": [not_null("rank_by_cases"), not_null("country_region")],
     "mart_covid_trends": [not_null("report_date")],

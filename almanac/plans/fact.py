@@ -11,8 +11,9 @@ from almanac.functions.clean import utc_day
 from almanac.operators.series import HOT_ROWS, SeriesMetrics, with_series
 
 LOCATION = ["data_source", "country_region", "province_state", "admin2"]
-# Rows of one location and date are taken in the order of their source table.
-SERIES_ORDER = ["report_date", "_source_table"]
+# Rows of one location and date are taken in the order of their source table, and then of what is
+# measured: rows that still are equal give the same series in any order, whichever way it is computed.
+SERIES_ORDER = ["report_date", "_source_table", "confirmed_cases", "total_deaths", "people_tested"]
 
 # Columns both feeds share, and columns that one feed lacks with the type they have in the other.
 _SHARED = [
@@ -47,6 +48,10 @@ FACT_COLUMNS = [
     "last_updated_at", "_staged_at", "_source_table", "_fact_created_at",
 ]
 
+# Folders of the written fact, and the order of rows in a file: questions about a date read little else.
+FACT_FOLDERS = ("data_source", "report_year")
+FACT_SORT = "report_date"
+
 SERIES = SeriesMetrics(
     previous={"_prev_cases": "confirmed_cases", "_prev_deaths": "total_deaths", "_prev_tested": "people_tested"},
     trailing_mean={"_mean_cases": "confirmed_cases", "_mean_deaths": "total_deaths"},

@@ -27,6 +27,7 @@ class Model:
     inputs: tuple[str, ...]  # other models, or feed:<name>
     build: Callable[..., DataFrame]
     partition_by: tuple[str, ...] = ()
+    sort_by: str | None = None
 
 
 def _gold(name: str, tag: str, build: Callable[..., DataFrame], *inputs: str, **kwargs) -> Model:
@@ -41,7 +42,7 @@ MODELS = {
     for model in [
         Model(SILVER_GLOBAL, "silver", frozenset({"silver"}), ("feed:global",), silver.silver_global),
         Model(SILVER_US, "silver", frozenset({"silver"}), ("feed:us",), silver.silver_us),
-        _gold(FACT, "fact", fact.fact_daily, SILVER_US, SILVER_GLOBAL, partition_by=("data_source",)),
+        _gold(FACT, "fact", fact.fact_daily, SILVER_US, SILVER_GLOBAL, partition_by=fact.FACT_FOLDERS, sort_by=fact.FACT_SORT),
         _gold("agg_daily_summary", "agg", agg.daily_summary),
         _gold("agg_state_summary", "agg", agg.state_summary),
         _gold("agg_country_summary", "agg", agg.country_summary),
@@ -74,7 +75,7 @@ def run_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[s
     built = []
     for model in select_models(tags, names):
         rows = model.build(*[_input(warehouse, name) for name in model.inputs])
-        warehouse.write(model.layer, model.name, rows, model.partition_by)
+        warehouse.write(model.layer, model.name, rows, model.partition_by, model.sort_by)
         built.append(model.name)
     return built
 

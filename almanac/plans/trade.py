@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from almanac.functions import clean
-from almanac.plans.fact import fact_daily
-from almanac.sources.files import state_of
+from almanac.plans.fact import FACT_FOLDERS, FACT_SORT, fact_daily
+from almanac.sources.files import files_of
 from almanac.sources.stage import stage, still_there
 
 # Written tables of this process, by application, input folder and state of the input tables.
@@ -120,7 +120,7 @@ def built_nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as a written table, built once per application: what marts and reports read."""
-    return build_once("fact", spark, sf_dir, fact, partition_by=["data_source"])
+    return build_once("fact", spark, sf_dir, fact, partition_by=list(FACT_FOLDERS), sort_by=FACT_SORT)
 
 
 def build_once(
@@ -129,10 +129,11 @@ def build_once(
     sf_dir: str,
     build: Callable[[SparkSession, str], DataFrame],
     partition_by: list[str] | None = None,
+    sort_by: str | None = None,
 ) -> DataFrame:
     """The written table, written again when the input tables have changed or its files are gone."""
-    inputs = tuple(state_of(spark, table_path(sf_dir, t)) for t in _INPUTS)
+    inputs = tuple(files_of(spark, table_path(sf_dir, t)) for t in _INPUTS)
     key = (spark.sparkContext.applicationId, sf_dir, name, inputs)
     if key not in _built or not still_there(_built[key]):
-        _built[key] = stage(build(spark, sf_dir), name, partition_by)
+        _built[key] = stage(build(spark, sf_dir), name, partition_by, sort_by)
     return _built[key]

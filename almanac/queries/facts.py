@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import labels
 from almanac.functions import metrics as m
-from almanac.operators.series import with_series
+from almanac.operators.series import SeriesMetrics, with_series
 from almanac.plans import fact as fact_plan
 from almanac.plans import trade
 from almanac.plans.trade import table
@@ -154,3 +154,41 @@ def _round_half_up(spark: SparkSession, sf: str) -> DataFrame:
         m.round_half_up(price * F.col("l_discount"), 2).alias("places_2"),
         m.round_half_up(price * F.col("l_tax") / 7, 4).alias("places_4"),
     )
+
+
+_ORDER_SERIES = SeriesMetrics(previous={"prev_price": "o_totalprice"}, trailing_mean={"mean_customer": "o_custkey"})
+
+
+def _order_series_sql(location: str) -> str:
+    return f"""
+SELECT o_orderkey, {location}, LAG(o_totalprice) OVER w AS prev_price,
+  {rounded("AVG(o_custkey) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4)} AS mean_customer
+FROM orders WINDOW w AS (PARTITION BY {location} ORDER BY o_orderdate NULLS LAST, o_orderkey)"""
+
+
+def _order_series(spark: SparkSession, sf: str, location: str, **sizes: int) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", location, "o_orderdate", "o_totalprice", "o_custkey")
+    rows = with_series(orders, [location], ["o_orderdate", "o_orderkey"], _ORDER_SERIES, **sizes)
+    return rows.select("o_orderkey", location, "prev_price", m.round_half_up(F.col("mean_customer"), 4).alias("mean_customer"))
+
+
+@query("lag_by_customer", _order_series_sql("o_custkey"))
+def _lag_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """As many locations as customers, with several rows on a day: grows with the tables."""
+    return _order_series(spark, sf, "o_custkey")
+
+
+@query("lag_hot_location", _order_series_sql("o_orderstatus"))
+def _lag_hot_location(spark: SparkSession, sf: str) -> DataFrame:
+    """Three locations that hold all orders, cut into blocks as a location beyond the size of one task is."""
+    return _order_series(spark, sf, "o_orderstatus", hot_rows=1, block_rows=max(1, table(spark, sf, "orders").count() // 12))
+
+
+@query("build_stamps", on_fact("""
+SELECT data_source, COUNT(*) AS n, COUNT(*) AS staged, COUNT(*) AS created, TRUE AS in_order FROM fact GROUP BY ALL"""))
+def _build_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of the fact says when it was cleaned and when it was built, in this order."""
+    return trade.built_fact(spark, sf).groupBy("data_source").agg(
+        F.count("*").alias("n"), F.count("_staged_at").alias("staged"), F.count("_fact_created_at").alias("created"),
+        F.bool_and(F.col("_staged_at") <= F.col("_fact_created_at")).alias("in_order"),
+    )

@@ -1,4 +1,4 @@
-"""The bronze dataset over a whole table: load, reload of some files, read back with types."""
+"""The ingest layer over a whole table: files with drifting headers, faults, reloads, seeds, bronze read back with types."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.plans.silver import silver_global
 from almanac.plans.trade import table
 from almanac.queries.registry import query
 from almanac.sources.feeds import FEEDS, typed_cell
-from almanac.sources.reports import read_bronze, write_bronze
+from almanac.sources.files import move_only_file, subfolders
+from almanac.sources.reports import ingest_reports, read_bronze, read_seeds, write_bronze
 from almanac.sources.stage import stage_folder
 
 
@@ -39,3 +41,123 @@ def _bronze_reload(spark: SparkSession, sf: str) -> DataFrame:
     names = ["fips", "province_state", "incident_rate", "confirmed", "lat"]
     typed = [typed_cell(c, FEEDS["global"][c]).alias(c) for c in names]
     return read_bronze(spark, root, "global").select(*typed, "file_date", "_source")
+
+
+# Report files from the order book, one per month, under two headers: months of even number lack some
+# columns and write others differently. Cells are those of SQL below.
+_SHORT = {
+    "Province/State": "province", "Country/Region": "status", "Last Update": "us_time", "Confirmed": "confirmed",
+    "Deaths": "deaths", "Recovered": "recovered",
+}
+_LONG = {
+    "FIPS": "key", "Admin2": "clerk", "Province_State": "province", "Country_Region": "status", "Last_Update": "iso_time",
+    "Lat": "zero", "Long_": "key", "Confirmed": "confirmed", "Deaths": "deaths", "Recovered": "recovered", "Active": "active",
+    "Combined_Key": "clerk", "Incident_Rate": "price", "Case_Fatality_Ratio": "ratio",
+}
+
+
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    date, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    return table(spark, sf, "orders").where("o_orderdate IS NOT NULL").select(
+        key.alias("key"), F.col("o_orderpriority").alias("province"), F.col("o_orderstatus").alias("status"),
+        F.date_format(date, "M/d/yyyy '17:00'").alias("us_time"), F.date_format(date, "yyyy-MM-dd '08:30:00'").alias("iso_time"),
+        F.col("o_custkey").alias("confirmed"), (key % 7).alias("deaths"), F.when(key % 5 != 0, key % 11).alias("recovered"),
+        F.lit("1.0").alias("active"), F.concat(F.lit('no, '), F.col("o_custkey").cast("string")).alias("clerk"), F.lit("0").alias("zero"),
+        F.col("o_totalprice").alias("price"), (key % 150).alias("ratio"),
+        (F.month(date) % 2 == 0).alias("_short"), F.date_format(date, "MM-'01'-yyyy'.csv'").alias("_file"),
+    )
+
+
+def _write_files(cells: DataFrame, folder: str) -> None:
+    """CSV files under the names in `_file`, each written by one task with the header of its month."""
+    spark = cells.sparkSession
+    for short, header in ((True, _SHORT), (False, _LONG)):
+        own = cells.where(F.col("_short") == short).select(*[F.col(c).cast("string").alias(name) for name, c in header.items()], "_file")
+        written = f"{folder}-{uuid.uuid4().hex}"
+        own.withColumnRenamed("_file", "file").repartition("file").write.partitionBy("file").option("header", True).csv(written)
+        for name in subfolders(spark, written):
+            move_only_file(spark, f"{written}/{name}", f"{folder}/{name.removeprefix('file=')}", ".csv")
+
+
+def _loaded(spark: SparkSession, sf: str, change=lambda cells: cells) -> tuple[str, DataFrame]:
+    """Root of a bronze dataset that was loaded from such files, and the faults of the load."""
+    root = f"{stage_folder(spark)}/landing-{uuid.uuid4().hex}"
+    _write_files(change(_cells(spark, sf)), f"{root}/files/global")
+    return root, ingest_reports(spark, f"{root}/files", "global", f"{root}/bronze")
+
+
+_CLEANED = """
+SELECT CASE WHEN month(day) % 2 = 1 THEN o_orderkey END AS fips_code, CASE WHEN month(day) % 2 = 1 THEN 'no, ' || o_custkey END AS admin2,
+  o_orderpriority AS province_state, o_orderstatus AS country_region, CAST(o_custkey AS BIGINT) AS confirmed_cases,
+  CAST(o_orderkey % 7 AS BIGINT) AS total_deaths,
+  CAST(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 11 ELSE 0 END AS BIGINT) AS total_recovered,
+  CAST(CASE WHEN month(day) % 2 = 1 THEN 1 ELSE 0 END AS BIGINT) AS active_cases,
+  CASE WHEN month(day) % 2 = 1 AND o_orderkey <> 0 THEN CAST(o_orderkey AS DOUBLE) END AS longitude,
+  CASE WHEN month(day) % 2 = 1 THEN o_totalprice END AS incident_rate_per_100k,
+  CASE WHEN month(day) % 2 = 1 AND o_orderkey % 150 <= 100 THEN CAST(o_orderkey % 150 AS DOUBLE) END AS case_fatality_ratio_pct,
+  CAST(day AS TIMESTAMP) + CASE WHEN month(day) % 2 = 1 THEN INTERVAL 510 MINUTE ELSE INTERVAL 1020 MINUTE END AS last_updated_at,
+  'bronze.global_' || strftime(day, '%m_01_%Y') AS _source_table
+FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders) WHERE day IS NOT NULL"""
+_CLEANED_COLUMNS = [
+    "fips_code", "admin2", "province_state", "country_region", "confirmed_cases", "total_deaths", "total_recovered", "active_cases",
+    "longitude", "incident_rate_per_100k", "case_fatality_ratio_pct", "last_updated_at", "_source_table",
+]
+
+
+@query("csv_ingest", _CLEANED)
+def _csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with two headers through bronze into the cleaned table."""
+    root, _ = _loaded(spark, sf)
+    return silver_global(read_bronze(spark, f"{root}/bronze", "global")).select(*_CLEANED_COLUMNS)
+
+
+@query("ingest_faults", """
+SELECT strftime(day, '%m-01-%Y') || '.csv' AS file, left_out, "column", cell, COUNT(*) AS n FROM (
+  SELECT CAST(o_orderdate AS DATE) AS day, 'row' AS left_out, 'confirmed' AS "column", 'many' AS cell
+  FROM orders WHERE o_orderkey % 50 = 0 AND o_orderdate IS NOT NULL
+  UNION ALL
+  SELECT CAST(o_orderdate AS DATE), 'cell', 'last_update', 'soon' FROM orders
+  WHERE o_orderkey % 50 = 1 AND month(o_orderdate) % 2 = 1
+) GROUP BY ALL""")
+def _ingest_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fiftieth row has a count that is none, others an odd time; what the load kept of that."""
+    key = F.col("key") % 50
+    _, faults = _loaded(spark, sf, lambda cells: cells.withColumns({
+        "confirmed": F.when(key == 0, F.lit("many")).otherwise(F.col("confirmed").cast("string")),
+        "iso_time": F.when(key == 1, F.lit("soon")).otherwise(F.col("iso_time")),
+    }))
+    return faults.groupBy("file", "left_out", "column", "cell").agg(F.count("*").alias("n"))
+
+
+@query("ingest_reload_empty", f"SELECT _source_table, COUNT(*) AS n FROM ({_CLEANED}) WHERE month(last_updated_at) % 2 = 1 GROUP BY ALL")
+def _ingest_reload_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """The files of even months are loaded a second time with their header alone: their rows go, the others stay."""
+    root, _ = _loaded(spark, sf)
+    again = f"{root}/again/global"
+    short = _cells(spark, sf).where("_short").select("_file").distinct()
+    written = f"{again}-{uuid.uuid4().hex}"
+    short.select(F.lit(",".join(_SHORT)).alias("value"), F.col("_file").alias("file")).repartition("file").write.partitionBy("file").text(written)  # one header line
+    for name in subfolders(spark, written):
+        move_only_file(spark, f"{written}/{name}", f"{again}/{name.removeprefix('file=')}", ".txt")
+    ingest_reports(spark, f"{root}/again", "global", f"{root}/bronze")
+    return read_bronze(spark, f"{root}/bronze", "global").groupBy(F.col("_source").alias("_source_table")).agg(F.count("*").alias("n"))
+
+
+@query("seed_tables", """
+SELECT 'geo_nation' AS seed, CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation
+UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+def _seed_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two hand-kept tables as CSV, one of them in a folder, read back under their names with inferred types."""
+    root = f"{stage_folder(spark)}/seeds-{uuid.uuid4().hex}"
+    for name, path in (("nation", "geo/nation.csv"), ("region", "region.csv")):
+        written = f"{root}-{name}"
+        table(spark, sf, name).coalesce(1).write.option("header", True).csv(written)
+        move_only_file(spark, written, f"{root}/{path}", ".csv")
+    seeds = read_seeds(spark, root)
+    key = {"geo_nation": "n", "region": "r"}
+    parts = [
+        seeds[name].select(F.lit(name).alias("seed"), F.col(f"{c}_{name.split('_')[-1]}key").cast("bigint").alias("key"),
+                           F.col(f"{c}_name").alias("name"))
+        for name, c in key.items()
+    ]
+    return parts[0].unionByName(parts[1])

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.functions import labels
 from almanac.plans import agg, mart, report, trade
+from almanac.queries import expected
 from almanac.queries.registry import ladder, on_fact, pct, query, rounded
 
 
@@ -15,7 +15,7 @@ def _over_fact(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessio
     return lambda spark, sf: build(trade.built_fact(spark, sf))
 
 
-MEAN_RATES = ",\n  ".join(f"{rounded(f'AVG({r})')} AS avg_{r}" for r in agg.RATES)
+MEAN_RATES = ",\n  ".join(f"{rounded(f'AVG({r})')} AS avg_{r}" for r in expected.RATES)
 
 DAYS = f"""
 days AS (
@@ -64,11 +64,11 @@ SELECT province_state, days_reporting, latest_report_date, cases AS total_confir
   by_cases AS national_rank_cases, by_deaths AS national_rank_deaths,
   by_incidents AS national_rank_incident_rate,
   {rounded("p_cases", 4)} AS cases_percentile, {rounded("p_deaths", 4)} AS deaths_percentile,
-  {', '.join(f'{rounded(f"r{i + 1}")} AS avg_{rate}' for i, rate in enumerate(agg.RATES))},
+  {', '.join(f'{rounded(f"r{i + 1}")} AS avg_{rate}' for i, rate in enumerate(expected.RATES))},
   {pct("deaths", "cases")} AS overall_case_fatality_ratio_pct,
   {pct("cases", "total_people_tested")} AS test_positivity_rate_pct,
   cases AS peak_confirmed_cases, deaths AS peak_deaths,
-  {ladder("by_cases", labels.STATE_IMPACT)} AS impact_category
+  {ladder("by_cases", expected.STATE_IMPACT)} AS impact_category
 FROM ranked_states""", STATES)
 
 COUNTRIES = """
@@ -97,8 +97,8 @@ SELECT country_region, data_points, provinces_reporting, unique_locations, cases
   {rounded("r1")} AS avg_incident_rate_per_100k, {rounded("r2")} AS avg_case_fatality_ratio_pct,
   {pct("deaths", "cases")} AS overall_case_fatality_ratio_pct, {pct("recovered", "cases")} AS recovery_rate_pct,
   max_single_location_cases, max_single_location_deaths,
-  {ladder("by_cases", labels.GLOBAL_TIER)} AS global_impact_tier,
-  {ladder("r2", labels.FATALITY_CLASS)} AS severity_classification
+  {ladder("by_cases", expected.GLOBAL_TIER)} AS global_impact_tier,
+  {ladder("r2", expected.FATALITY_CLASS)} AS severity_classification
 FROM ranked_countries""", COUNTRIES)
 
 SNAPSHOT = f"""
@@ -124,11 +124,11 @@ _BEST = """rank_by_cases, country_region, occurrence_frequency, total_confirmed_
 
 TOP_COUNTRIES = on_fact(f"""
 SELECT {_BEST}, provinces AS provinces_reporting, peak_severity_category,
-  {ladder("rank_by_cases", labels.TOP_TIER)} AS impact_tier
+  {ladder("rank_by_cases", expected.TOP_TIER)} AS impact_tier
 FROM best WHERE rank_by_cases <= 5""", SNAPSHOT)
 
 TOP_COUNTRIES_REPORT = on_fact(f"""
-SELECT {_BEST}, provinces AS unique_provinces, {ladder("rank_by_cases", labels.TOP_TIER)} AS severity_tier
+SELECT {_BEST}, provinces AS unique_provinces, {ladder("rank_by_cases", expected.TOP_TIER)} AS severity_tier
 FROM best WHERE rank_by_cases <= 5""", SNAPSHOT)
 
 TRENDS = on_fact(f"""
@@ -142,7 +142,7 @@ SELECT report_date, report_year, report_month, week_of_year, day_of_week, provin
   CAST(SUM(daily_new_cases) OVER week AS BIGINT) AS weekly_total_new_cases,
   {rounded("test_positivity_rate_pct")} AS test_positivity_rate_pct,
   {rounded("case_fatality_ratio_pct")} AS case_fatality_ratio_pct,
-  case_trend, severity_category, {ladder("abs(pct_change_cases)", labels.TREND_STRENGTH)} AS trend_strength
+  case_trend, severity_category, {ladder("abs(pct_change_cases)", expected.TREND_STRENGTH)} AS trend_strength
 FROM fact WHERE data_source = 'US' AND province_state IS NOT NULL
 WINDOW week AS (PARTITION BY province_state, report_year, week_of_year)""")
 
@@ -175,28 +175,28 @@ def _pair_sql(name: str, x: str, y: str) -> str:
 
 PAIR_STATISTICS = f"""
 us AS (SELECT * FROM fact WHERE data_source = 'US' AND confirmed_cases > 0),
-raw_pairs AS ({' UNION ALL '.join(_pair_sql(p.name, p.first, p.second) for p in mart.PAIRS)}),
+raw_pairs AS ({' UNION ALL '.join(_pair_sql(*pair) for pair in expected.PAIRS)}),
 pairs AS (SELECT * REPLACE (CASE WHEN NOT isnan(r) THEN r END AS r) FROM raw_pairs)"""
 _PAIR_COLUMNS = f"""metric_pair, {rounded("r", 4)} AS correlation_coefficient, sample_size,
   {rounded("a1")} AS metric_1_avg, {rounded("a2")} AS metric_2_avg,
   {rounded("s1")} AS metric_1_stddev, {rounded("s2")} AS metric_2_stddev"""
-_PAIR_LABELS = f"""{ladder("abs(r)", labels.CORRELATION_STRENGTH)} AS correlation_strength,
+_PAIR_LABELS = f"""{ladder("abs(r)", expected.CORRELATION_STRENGTH)} AS correlation_strength,
   CASE sign(r) WHEN 1 THEN 'Positive' WHEN -1 THEN 'Negative' ELSE 'None' END AS correlation_direction"""
 
 
 def _explained(texts: dict[str, str]) -> str:
     whens = " ".join(f"WHEN '{pair}' THEN '{text}'" for pair, text in texts.items())
-    return f"CASE metric_pair {whens} ELSE '{labels.NO_EXPLANATION}' END AS interpretation"
+    return f"CASE metric_pair {whens} ELSE '{expected.UNEXPLAINED}' END AS interpretation"
 
 
 CORRELATION_MART = on_fact(f"""
 SELECT {_PAIR_COLUMNS}, {_PAIR_LABELS},
-  {ladder("sample_size", labels.CONFIDENCE_MART)} AS statistical_confidence,
-  {rounded("r * r", 4)} AS r_squared, {_explained(labels.MART_EXPLANATIONS)} FROM pairs""", PAIR_STATISTICS)
+  {ladder("sample_size", expected.CONFIDENCE_MART)} AS statistical_confidence,
+  {rounded("r * r", 4)} AS r_squared, {_explained(expected.MART_EXPLANATIONS)} FROM pairs""", PAIR_STATISTICS)
 CORRELATION_REPORT = on_fact(f"""
 SELECT {_PAIR_COLUMNS}, {_PAIR_LABELS},
-  {ladder("sample_size", labels.CONFIDENCE)} AS statistical_confidence,
-  {_explained(labels.REPORT_EXPLANATIONS)} FROM pairs""", PAIR_STATISTICS)
+  {ladder("sample_size", expected.CONFIDENCE)} AS statistical_confidence,
+  {_explained(expected.REPORT_EXPLANATIONS)} FROM pairs""", PAIR_STATISTICS)
 
 query("agg_daily_summary", DAILY_SUMMARY)(_over_fact(agg.daily_summary))
 query("agg_state_summary", STATE_SUMMARY)(_over_fact(agg.state_summary))

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almanac.operators.quality import ColumnTest, accepted, not_null, run_tests, unique
 from almanac.plans import agg, mart, report, trade
 from almanac.plans.column_tests import MODEL_TESTS
+from almanac.plans.registry import SILVER_GLOBAL, SILVER_US, run_models, select_models
 from almanac.plans.trade import table
 from almanac.queries import models
 from almanac.queries.registry import on_fact, query
+from almanac.sources.stage import stage_folder
+from almanac.sources.warehouse import Warehouse
 
 
 def _failures_sql(test: ColumnTest, source: str) -> str:
@@ -93,3 +99,26 @@ def _built(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("dq_report", _dq_report_sql())
 def _dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return run_tests({name: _built(spark, sf, name) for name in MODEL_TESTS}, MODEL_TESTS)
+
+
+def _layers_sql() -> str:
+    built = {"fct_covid_daily": on_fact("SELECT * FROM fact")} | {name: sql for name, (_, sql) in _TESTED.items()}
+    return " UNION ALL ".join(f"SELECT '{name}' AS model, TRUE AS after_inputs, COUNT(*) AS n FROM ({sql})" for name, sql in built.items())
+
+
+@query("build_layers", _layers_sql())
+def _build_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold tables built from the cleaned ones in dependency order, as a tagged run writes them, and read back."""
+    warehouse = Warehouse(spark, f"{stage_folder(spark)}/warehouse-{uuid.uuid4().hex}")
+    for name, rows in zip((SILVER_US, SILVER_GLOBAL), trade.cleaned_reports(spark, sf), strict=True):
+        warehouse.write("silver", name, rows)
+    done = run_models(warehouse, tags=["gold"])
+    in_order = {m.name: all(i not in done or done.index(i) < done.index(m.name) for i in m.inputs) for m in select_models(["gold"])}
+    parts = [
+        warehouse.read("gold", name).agg(F.count("*").alias("n")).select(F.lit(name).alias("model"), F.lit(in_order[name]).alias("after_inputs"), "n")
+        for name in done
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -103,10 +103,9 @@ def _mean_ratio(spark: SparkSession, sf: str) -> DataFrame:
 @query("state_day_report", on_fact(f"""
 SELECT report_date, province_state, CAST(SUM(confirmed_cases) AS BIGINT) AS cases,
   {rounded("AVG(pct_change_cases)")} AS mean_change, MAX(case_trend) AS trend
-FROM fact WHERE data_source = 'Global' GROUP BY report_date, province_state"""))
+FROM fact GROUP BY report_date, province_state"""))
 def _state_day_report(spark: SparkSession, sf: str) -> DataFrame:
-    rows = trade.built_fact(spark, sf).filter(F.col("data_source") == "Global")
-    return rows.groupBy("report_date", "province_state").agg(
+    return trade.built_fact(spark, sf).groupBy("report_date", "province_state").agg(
         F.sum("confirmed_cases").alias("cases"),
         m.round_half_up(F.avg("pct_change_cases"), 2).alias("mean_change"),
         F.max("case_trend").alias("trend"),

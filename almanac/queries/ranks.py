@@ -14,6 +14,7 @@ from almanac.operators.ranking import Percentile, Rank, top_rows, with_ranks, wi
 from almanac.plans import agg, mart, trade
 from almanac.plans.trade import table
 from almanac.queries.models import COUNTRIES, DAYS, PAIR_STATISTICS, STATES
+from almanac.queries import expected
 from almanac.queries.registry import ladder, on_fact, query, rounded
 from almanac.sources.stage import stage
 
@@ -58,8 +59,8 @@ def _percentile_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("rank_ladder", f"""{SPENDERS}
-SELECT c_custkey, {ladder("r", labels.STATE_IMPACT)} AS impact, {ladder("r", labels.GLOBAL_TIER)} AS tier,
-  {ladder("r", labels.TOP_TIER)} AS top_tier
+SELECT c_custkey, {ladder("r", expected.STATE_IMPACT)} AS impact, {ladder("r", expected.GLOBAL_TIER)} AS tier,
+  {ladder("r", expected.TOP_TIER)} AS top_tier
 FROM (SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY spent DESC NULLS FIRST, c_custkey) AS r FROM spenders)""")
 def _rank_ladder(spark: SparkSession, sf: str) -> DataFrame:
     ranked = with_ranks(_spenders(spark, sf), "c_custkey", [Rank("r", "spent")])
@@ -91,7 +92,7 @@ MEAN_DISCOUNT = "CAST(SUM(CAST(floor(l_discount * 100 + 0.5e0) AS BIGINT)) AS DO
 
 
 @query("rate_ladder", f"""
-SELECT l_orderkey, {ladder(MEAN_DISCOUNT, labels.FATALITY_CLASS)} AS discount_class
+SELECT l_orderkey, {ladder(MEAN_DISCOUNT, expected.FATALITY_CLASS)} AS discount_class
 FROM lineitem GROUP BY l_orderkey""")
 def _rate_ladder(spark: SparkSession, sf: str) -> DataFrame:
     mean = F.try_divide(F.sum(trade.hundredths("l_discount")).cast("double"), F.count("l_discount"))
@@ -102,7 +103,7 @@ def _rate_ladder(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("trend_strength", on_fact(f"""
 SELECT country_region, province_state, report_date,
-  {ladder("abs(pct_change_cases)", labels.TREND_STRENGTH)} AS trend_strength FROM fact"""))
+  {ladder("abs(pct_change_cases)", expected.TREND_STRENGTH)} AS trend_strength FROM fact"""))
 def _trend_strength(spark: SparkSession, sf: str) -> DataFrame:
     return trade.built_fact(spark, sf).select(
         "country_region", "province_state", "report_date",
@@ -149,10 +150,10 @@ def _corr_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("corr_labels", on_fact(f"""
-SELECT metric_pair, {ladder("abs(r)", labels.CORRELATION_STRENGTH)} AS correlation_strength,
+SELECT metric_pair, {ladder("abs(r)", expected.CORRELATION_STRENGTH)} AS correlation_strength,
   CASE WHEN r > 0 THEN 'Positive' WHEN r < 0 THEN 'Negative' ELSE 'None' END AS correlation_direction,
-  {ladder("sample_size", labels.CONFIDENCE)} AS statistical_confidence,
-  CASE WHEN metric_pair = '{labels.NEW_CASES_POSITIVITY}' THEN FALSE ELSE TRUE END AS has_explanation
+  {ladder("sample_size", expected.CONFIDENCE)} AS statistical_confidence,
+  CASE WHEN metric_pair = 'Daily New Cases vs Test Positivity Rate' THEN FALSE ELSE TRUE END AS has_explanation
 FROM pairs""", PAIR_STATISTICS))
 def _corr_labels(spark: SparkSession, sf: str) -> DataFrame:
     statistics = mart.us_pair_statistics(trade.built_fact(spark, sf))
@@ -164,6 +165,17 @@ def _corr_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("rank_in_ranges", f"""
+WITH units AS (SELECT l_orderkey, CAST(SUM(l_quantity) AS BIGINT) AS units FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, units, ROW_NUMBER() OVER (ORDER BY units DESC NULLS FIRST, l_orderkey) AS by_units,
+  {rounded("PERCENT_RANK() OVER (ORDER BY units NULLS LAST)", 4)} AS share FROM units""")
+def _rank_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders ranked by range partitions, the way that large group counts take."""
+    quantity = F.sum(F.col("l_quantity")).cast("bigint").alias("units")
+    units = stage(table(spark, sf, "lineitem").groupBy("l_orderkey").agg(quantity), "units")
+    return with_ranks(units, "l_orderkey", [Rank("by_units", "units")], [Percentile("share", "units")], max(1, units.count() // 8))
+
+
 @query("weekly_context", """
 SELECT event_id, COUNT(*) OVER week AS weekly_events, MAX(value) OVER week AS weekly_peak,
   CAST(ROUND(CAST(AVG(value) OVER week AS DECIMAL(38,10)), 2) AS DOUBLE) AS weekly_avg
@@ -184,7 +196,7 @@ def _weekly_context(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("daily_totals", on_fact("""
-SELECT * REPLACE (states_reporting AS states_reporting) FROM days""", DAYS))
+SELECT * FROM days""", DAYS))
 def _daily_totals(spark: SparkSession, sf: str) -> DataFrame:
     return agg.day_totals(trade.built_fact(spark, sf)).withColumnsRenamed(
         {"total_confirmed_cases": "cases", "total_deaths": "deaths"}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.functions import labels
-from almanac.functions.labels import Ladder
+from almanac.queries import expected
+from almanac.queries.expected import ladder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,12 +33,6 @@ def pct(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} > 0 THEN {rounded(f'1e2 * ({part}) / ({whole})')} END"
 
 
-def ladder(value: str, steps: Ladder) -> str:
-    compare = "<=" if steps.ascending else ">="
-    whens = " ".join(f"WHEN {value} {compare} {t} THEN '{label}'" for t, label in steps.steps)
-    return f"CASE {whens} ELSE '{steps.default}' END"
-
-
 def total(expr: str) -> str:
     return f"CAST(SUM({expr}) AS BIGINT)"
 
@@ -132,7 +126,7 @@ fact AS (
     COALESCE(total_deaths > prev_deaths, FALSE) AS has_new_deaths,
     CASE sign(confirmed_cases - prev_cases)
       WHEN 1 THEN 'Increasing' WHEN -1 THEN 'Decreasing' WHEN 0 THEN 'Stable' ELSE 'Unknown' END AS case_trend,
-    {ladder("confirmed_cases", labels.SEVERITY)} AS severity_category,
+    {ladder("confirmed_cases", expected.SEVERITY)} AS severity_category,
     CAST(report_date AS TIMESTAMP) AS last_updated_at, _source_table
   FROM compared
 )"""

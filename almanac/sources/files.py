@@ -27,10 +27,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
-def state_of(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Time of the last change and size in bytes of a file or folder: differs once its contents are replaced."""
+def files_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(path, size, time of change) of every file of a table: differs once any of them is replaced."""
     files, located = _located(spark, path)
-    return files.getFileStatus(located).getModificationTime(), files.getContentSummary(located).getLength()
+    found, each = [], files.listFiles(located, True)
+    while each.hasNext():
+        file = each.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
@@ -50,6 +54,18 @@ def replace_folder(spark: SparkSession, path: str, complete: str) -> None:
         raise OSError(f"cannot move {complete} to {path}")
 
 
+def move_only_file(spark: SparkSession, folder: str, to: str, suffix: str) -> None:
+    """Give the one file with this suffix in a folder that a single task wrote another place and name."""
+    files, located = _located(spark, folder)
+    names = [s.getPath() for s in files.listStatus(located) if s.getPath().getName().endswith(suffix)]
+    if len(names) != 1:
+        raise ValueError(f"{len(names)} files *{suffix} in {folder}")
+    target = _located(spark, to)[1]
+    files.mkdirs(target.getParent())
+    if not files.rename(names[0], target):
+        raise OSError(f"cannot move {names[0]} to {to}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, located = _located(spark, path)
     files.delete(located, True)

@@ -42,10 +42,11 @@ def drop_staged(spark: SparkSession) -> None:
     remove_folder(spark, stage_folder(spark))
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: str | None = None) -> DataFrame:
     """Write the rows once and return the written table."""
     path = f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    rows = df.sortWithinPartitions(*(partition_by or []), sort_by) if sort_by else df
+    writer = rows.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

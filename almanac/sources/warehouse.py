@@ -25,10 +25,11 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+    def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None) -> None:
         """Replace the table with the rows of `df`; the earlier version stays until all rows are written."""
         complete = self.path(layer, f"_{table}-{uuid.uuid4().hex}")
-        df.write.partitionBy(*partition_by).parquet(complete)
+        rows = df.sortWithinPartitions(*partition_by, sort_by) if sort_by else df
+        rows.write.partitionBy(*partition_by).parquet(complete)
         replace_folder(self.spark, self.path(layer, table), complete)
         self._name(layer, table)
 
