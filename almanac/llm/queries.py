@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import fingerprints, language_id, mixing, near_dedup, packing, quality_rules, token_counts, toxicity
+from almanac.llm import fingerprints, html_text, language_id, mixing, near_dedup, packing, quality_rules, secret_scan, token_counts, toxicity
 from almanac.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(sample), keep=("doc_id", "held_out"))
 
 
+def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_chars", F.sha2("value", 256).alias("value_sha256"), "probability", "accepted")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,11 @@ def op6_pack_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn(pages))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -55,9 +65,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
+    "op3_secret_forest": op3_secret_forest,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_toxicity_neighbours": op5_toxicity_neighbours,
     "op6_pack_least_squares": op6_pack_least_squares,
+    "op7_html_main_text": op7_html_main_text,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_quality_rules": op10_quality_rules,

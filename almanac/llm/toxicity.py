@@ -34,10 +34,11 @@ TERMS = 400
 MIN_EXAMPLES = 5
 #: How far apart the shares of a term in the two labels must be, in standard errors.
 MIN_APART = 5.0
-#: Terms of all examples that the driver chooses from, at most, by their frequency in either label.
+#: Nearest examples that vote; examples in a block; weight of the label's overall share.
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_WEIGHT = 0.25
+THRESHOLD = 0.5
 
 
 def words_in(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,7 +156,20 @@ def build_index(docs: DataFrame, labels: DataFrame, learnable: Column, key: str
                  totals.get(1, 0) / all_rows if all_rows else 0.0)
 
 
-def score(docs: DataFrame, index: Index, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.5) -> DataFrame:
+def _judged(index: Index, vocabulary: pa.Array, texts: pa.Array) -> tuple[np.ndarray, list[list[str]]]:
+    """Scores, and the ids of the nearest examples, of texts without nulls."""
+    at, terms, times = words_in(texts, vocabulary)
+    scores, evidence = np.full(len(texts), index.share), [[] for _ in range(len(texts))]
+    start = 0
+    for end in np.flatnonzero(np.diff(np.append(at, -1))) + 1:
+        found, cosines = index.nearest(terms[start:end], times[start:end])
+        scores[at[start]] = index.score(found, cosines)
+        evidence[at[start]] = [str(x) for x in index.ids[found]]
+        start = end
+    return scores, evidence
+
+
+def score(docs: DataFrame, index: Index, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """The kept columns, score, predicted and `evidence`: ids of the nearest examples, nearest first."""
     spark = docs.sparkSession
     ship(spark)
@@ -163,19 +177,9 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep: tuple[str, ..
     narrow = docs.select(*keep, text_or_empty(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        vocabulary = pa.array(own.terms, pa.string())
+        vocabulary = pa.array(sent.value.terms, pa.string())
         for batch in slices(batches, "_text"):
-            at, terms, times = words_in(batch.column(len(keep)), vocabulary)
-            scores, evidence = np.full(batch.num_rows, own.share), [[] for _ in range(batch.num_rows)]
-            ends = np.flatnonzero(np.diff(np.append(at, -1)))
-            start = 0
-            for end in ends + 1:
-                row = at[start]
-                found, cosines = own.nearest(terms[start:end], times[start:end])
-                scores[row] = own.score(found, cosines)
-                evidence[row] = [str(x) for x in own.ids[found]]
-                start = end
+            scores, evidence = _judged(sent.value, vocabulary, batch.column(len(keep)))
             yield pa.record_batch({
                 **{name: batch.column(i) for i, name in enumerate(keep)},
                 "score": pa.array(scores), "predicted": pa.array((scores >= threshold).astype(np.int32)),
@@ -184,3 +188,19 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep: tuple[str, ..
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     return narrow.mapInArrow(run, f"{schema}, score double, predicted int, evidence array<string>")
+
+
+def without_toxic(docs: DataFrame, index: Index, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` with a score below the threshold, with all their columns."""
+    spark = docs.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(sent.value.terms, pa.string())
+        for batch in slices(batches, text):
+            texts = pc.fill_null(pc.cast(batch.column(batch.schema.get_field_index(text)), pa.string()), "")
+            scores, _ = _judged(sent.value, vocabulary, texts)
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
