@@ -1,10 +1,11 @@
 """Main text of web pages by the maximum-scoring run of words and tags.
 
 A page is a sequence of tags and words. A word scores by where it stands (its block element, in or
-out of the page's main element, in boilerplate, in a link) and tags score below zero; both weights
-are log odds learned from pages whose main region is marked, with counts summed by Spark. One
-linear scan finds the contiguous run with the highest score: the content region. Of the region, the
-words in boilerplate elements, forms and hidden elements are left out.
+out of the page's main element, in a link) and tags score below zero; both weights are log odds
+learned from pages whose main region is marked, with counts summed by Spark. One linear scan finds
+the contiguous run with the highest score: the content region. What stands in boilerplate elements
+(menus, adverts, forms, comments and the like, by element and by class, id or role) counts nothing
+in the scan and is left out of the region's text.
 
 Character references are decoded; white space inside a block, line breaks included, becomes one
 space; blocks are joined by an empty line, in page order. Nothing else is dropped or capped. Null
@@ -94,7 +95,7 @@ def tokens(page: str) -> list[Token]:
                         break
             decoded = html.unescape(text)
             words = len(decoded.split())
-            out.append(Token(f"{inner}|{int(boiler)}|{int(link)}", words, decoded, block, main, boiler))
+            out.append(Token(f"{inner}|{int(link)}", words, decoded, block, main, boiler))
             continue
         if name is None:
             continue
@@ -106,6 +107,7 @@ def tokens(page: str) -> list[Token]:
             continue
         is_block = name in _BLOCKS
         block += is_block
+        marked = bool(stack) and stack[-1][2]
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
@@ -123,11 +125,12 @@ def tokens(page: str) -> list[Token]:
                 boiler = before[2] or name in _BOILERPLATE or (name not in ("html", "body") and _is_marked(attributes))
                 boiler |= name == "header" and not before[1]
                 stack.append((name, (before[1] or name in _MAIN) and not boiler, boiler))
+                marked = boiler
         if name == "br":
-            out.append(Token("+br", 0, " ", block, stack[-1][1] if stack else False, stack[-1][2] if stack else False))
+            out.append(Token("+br", 0, " ", block, stack[-1][1] if stack else False, marked))
         else:
             known = name if is_block or name in ("a", "b", "i", "em", "strong", "span", "img", "u", "code", "input", "label") else "other"
-            out.append(Token(f"{'-' if closing else '+'}{known}", 0, "", block, stack[-1][1] if stack else False, False))
+            out.append(Token(f"{'-' if closing else '+'}{known}", 0, "", block, stack[-1][1] if stack else False, marked))
     return out
 
 
@@ -142,6 +145,8 @@ class Weights:
     tags: dict[str, float]
 
     def of(self, token: Token, has_main: bool) -> float:
+        if token.boiler:  # left out in any case, so it neither ends a run nor carries one
+            return 0.0
         if not token.words:
             return self.tags.get(token.kind, -1.0) if token.kind[0] in "+-" else 0.0
         for place in _places(token, has_main):
@@ -152,11 +157,9 @@ class Weights:
 
 def _unseen(token: Token, has_main: bool) -> float:
     """Weight of a place that no labelled page has."""
-    if token.boiler:
-        return -MOST / 2
     if has_main:
         return MOST / 2 if token.main else -MOST / 2
-    block, _, link = token.kind.split("|")
+    block, link = token.kind.split("|")
     return (MOST / 2 if block in _TEXT_BLOCKS else 0.25) - (1.0 if link == "1" else 0.0)
 
 
@@ -166,12 +169,13 @@ def _counts(page: str) -> Iterator[tuple[str, int, int]]:
     if not any(t.main for t in found):
         return
     for t in found:
-        inside = t.main and not t.boiler
+        if t.boiler:
+            continue
         if t.words:
             for place in _places(t, True):
-                yield "w" + place, t.words * inside, t.words * (not inside)
+                yield "w" + place, t.words * t.main, t.words * (not t.main)
         elif t.kind[0] in "+-":
-            yield "t" + t.kind, int(inside), int(not inside)
+            yield "t" + t.kind, int(t.main), int(not t.main)
 
 
 def learn(pages: DataFrame, key: str = "page_id", html_column: str = "html", rows: int = TRAIN_PAGES) -> Weights:

@@ -113,13 +113,14 @@ def test_least_squares_is_optimal():
 
 def test_plan_places_every_number_once():
     rng = np.random.default_rng(1)
-    histogram = Counter(int(x) for x in rng.integers(1, 4097, 5000)) + Counter({640: 3000, 4096: 10})
+    histogram = Counter(int(x) for x in rng.integers(1, 4097, 500)) + Counter({640: 3000, 4096: 10})
+    ranges = packing.plan(histogram)
     room = Counter()
-    for length, first, past, sequence, repeats, _ in packing.plan(histogram):
+    for length, first, past, sequence, repeats, _ in ranges:
         assert (past - first) % repeats == 0
         for repeat in range(repeats):
             room[sequence + repeat] += length * (past - first) // repeats
     assert max(room.values()) <= 4096
     for length, count in histogram.items():
-        own = sorted((a, b) for n, a, b, *_ in packing.plan(histogram) if n == length)
+        own = sorted((a, b) for n, a, b, *_ in ranges if n == length)
         assert own[0][0] == 0 and own[-1][1] == count and all(x[1] == y[0] for x, y in zip(own, own[1:], strict=False))
