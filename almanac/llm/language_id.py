@@ -42,9 +42,9 @@ def _letters() -> np.ndarray:
 def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text number, bucket) of all n-grams, one pair of arrays for each length; grams of gaps alone are left out."""
     lowered = pc.utf8_lower(texts).to_pylist()
-    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    lengths = np.fromiter(map(len, lowered), np.int64, len(lowered))
-    lengths[:-1] += 1
+    # Every text ends in a gap, wherever it stands in the batch.
+    points = np.frombuffer("".join(f"{text}\n" for text in lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
     letter = _letters()[points]
     keep = letter | np.append(False, letter[:-1])
     at = np.repeat(np.arange(len(lowered), dtype=np.int32), lengths)[keep]
