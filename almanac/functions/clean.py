@@ -55,9 +55,14 @@ def within_percent(rate: Column) -> Column:
 
 
 def to_count(cell: Column) -> Column:
-    """Text to whole number; '7.0' is 7, text that is no whole number ('7.5', 'many') is NULL."""
+    """Text to whole number; '7.0' is 7, text that is no number is NULL, a fraction is rounded (files with one are refused at load)."""
+    return F.round(F.trim(cell).try_cast("decimal(38,10)"), 0).try_cast("bigint")
+
+
+def is_whole(cell: Column) -> Column:
+    """Whether text is a whole number: '7' and '7.0' are, '7.5' and 'many' are not."""
     value = F.trim(cell).try_cast("decimal(38,10)")
-    return F.when(value == F.round(value, 0), value).try_cast("bigint")
+    return F.coalesce((value == F.round(value, 0)) & value.try_cast("bigint").isNotNull(), F.lit(False))
 
 
 def to_rate(cell: Column) -> Column:

@@ -34,23 +34,18 @@ def accepted(column: str, *values) -> ColumnTest:
 def run_tests(tables: Mapping[str, DataFrame], tests: Mapping[str, Sequence[ColumnTest]]) -> DataFrame:
     """One row per test of each table: model, column, test, failures, passed.
 
-    All not_null and accepted_values tests of a table share one pass: a row yields one
-    element per failing test, usually none, and only those are grouped. A unique test
-    groups by its column, combined before the shuffle, so a value that repeats often is no
-    hot key. The tables should be written ones, as each unique test reads its table again.
+    Each table is read once for all its tests: a row yields an element per failing not_null or
+    accepted_values test, usually none, and one per unique column. Elements are counted by test and
+    value, combined before the one shuffle, so a value that repeats often is no hot key.
     """
     numbered = [(model, t) for model in tables for t in tests[model]]
-    by_table = {m: [(i, t) for i, (model, t) in enumerate(numbered) if model == m] for m in tables}
-
     marks = [
-        _failing_rows(tables[m], [(i, t) for i, t in chosen if t.test != "unique"])
-        for m, chosen in by_table.items()
-        if any(t.test != "unique" for _, t in chosen)
+        _marks(tables[m], [(i, t) for i, (model, t) in enumerate(numbered) if model == m])
+        for m in tables if tests[m]
     ]
-    per_value = [_repeats(tables[m], i, t) for m, chosen in by_table.items() for i, t in chosen if t.test == "unique"]
-    if marks:
-        per_value.append(reduce(DataFrame.unionByName, marks).groupBy("id", "value").agg(F.count("*").alias("rows")))
-    failing = reduce(DataFrame.unionByName, per_value).groupBy("id").agg(
+    unique_ids = [i for i, (_, t) in enumerate(numbered) if t.test == "unique"]
+    per_value = reduce(DataFrame.unionByName, marks).groupBy("id", "value").agg(F.count("*").alias("rows"))
+    failing = per_value.filter(~F.col("id").isin(unique_ids) | (F.col("rows") > 1)).groupBy("id").agg(
         F.sum("rows").alias("rows"), F.count("*").alias("values")
     )
 
@@ -68,20 +63,12 @@ def _declared(number: int, model: str, test: ColumnTest) -> Column:
     return F.struct(*[F.lit(value).alias(name) for name, value in parts.items()])
 
 
-def _repeats(df: DataFrame, number: int, test: ColumnTest) -> DataFrame:
-    value = F.col(test.column)
-    repeated = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("rows"))
-    return repeated.filter(F.col("rows") > 1).select(
-        F.lit(number).alias("id"), F.col("value").cast("string").alias("value"), "rows"
-    )
-
-
-def _failing_rows(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
+def _marks(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
     marks = F.array_compact(F.array(*[_mark(number, test) for number, test in tests]))
     return df.select(F.explode(marks).alias("mark")).select("mark.*")
 
 
 def _mark(number: int, test: ColumnTest) -> Column:
     value = F.col(test.column)
-    fails = value.isNull() if test.test == "not_null" else ~value.isin(*test.values)
-    return F.when(fails, F.struct(F.lit(number).alias("id"), value.cast("string").alias("value")))
+    counted = {"not_null": value.isNull(), "unique": value.isNotNull(), "accepted_values": ~value.isin(*test.values)}[test.test]
+    return F.when(counted, F.struct(F.lit(number).alias("id"), value.cast("string").alias("value")))

@@ -58,10 +58,15 @@ def with_ranks(
 
     ranges = 2 * math.ceil(rows / one_task_rows)
     result = groups
-    for r in ranks:
-        result = _number_in_ranges(result, _descending(r.value, key), r.name, ranges)
-    for p in percentiles:
-        result = _percent_in_ranges(result, p, key, rows, ranges)
+    for column in (*ranks, *percentiles):
+        # Only key and value are sorted; the number is joined back to the group by its key.
+        narrow = groups.select(key, column.value)
+        if isinstance(column, Rank):
+            placed = _number_in_ranges(narrow, _descending(column.value, key), column.name, ranges)
+        else:
+            placed = _percent_in_ranges(narrow, column, key, rows, ranges)
+        own = placed.select(F.col(key).alias("_key"), column.name)
+        result = result.join(own, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     return result
 
 
@@ -104,7 +109,8 @@ def _percent_in_ranges(df: DataFrame, p: Percentile, key: str, rows: int, ranges
     order = [F.col(p.value).asc_nulls_last(), F.col(key).asc_nulls_last()]
     numbered = stage(_number_in_ranges(df, order, "_number", ranges), "numbered")
     # Equal values share the smallest number; grouped first, so a frequent value is one row.
-    first = numbered.groupBy(F.col(p.value).alias("_value")).agg(F.min("_number").alias("_first"))
+    # Written, so that its true size decides about a broadcast, which a frequent value needs.
+    first = stage(numbered.groupBy(F.col(p.value).alias("_value")).agg(F.min("_number").alias("_first")), "first")
     share = (F.col("_first") - 1) / F.lit(float(max(rows - 1, 1)))
     return (
         numbered.join(first, F.col(p.value).eqNullSafe(F.col("_value")))

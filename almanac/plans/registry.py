@@ -117,7 +117,7 @@ def _tables_by_schema(warehouse: Warehouse, names: Iterable[str]) -> dict[str, D
     schemas = {name: warehouse.read("bronze", name).schema for name in names}
     for name, schema in schemas.items():
         alike.setdefault(schema.json(), []).append(name)
-    table = F.regexp_extract(path_of(F.col("_metadata.file_path")), r"/([^/]+)/[^/]+$", 1)
+    table = F.regexp_extract(path_of(F.col("_metadata.file_path")), r"/bronze/([^/]+)/", 1)
     return {
         group[0]: warehouse.spark.read.schema(schemas[group[0]])
         .parquet(*[warehouse.path("bronze", name) for name in group])

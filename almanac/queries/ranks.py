@@ -16,7 +16,6 @@ from almanac.plans.trade import table
 from almanac.queries.models import COUNTRIES, DAYS, PAIR_STATISTICS, STATES
 from almanac.queries import expected
 from almanac.queries.registry import ladder, on_fact, query, rounded
-from almanac.sources.stage import stage
 
 # A customer without orders has no total, which ranks first.
 SPENDERS = """
@@ -28,14 +27,17 @@ WITH spenders AS (
 
 
 def _spenders(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals per customer as a written table that the queries below share."""
+    return trade.build_once("spenders", spark, sf, _spent)
+
+
+def _spent(spark: SparkSession, sf: str) -> DataFrame:
     per_customer = table(spark, sf, "orders").groupBy("o_custkey").agg(
         (F.sum(trade.hundredths("o_totalprice")).cast("double") / 100).alias("spent"),
         F.count("*").alias("n"),
     )
     joined = table(spark, sf, "customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return stage(
-        joined.select("c_custkey", "c_nationkey", "spent", F.coalesce("n", F.lit(0)).alias("n")), "spenders"
-    )
+    return joined.select("c_custkey", "c_nationkey", "spent", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query("rank_global", f"""{SPENDERS}
@@ -172,7 +174,7 @@ SELECT l_orderkey, units, ROW_NUMBER() OVER (ORDER BY units DESC NULLS FIRST, l_
 def _rank_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """All orders ranked by range partitions, the way that large group counts take."""
     quantity = F.sum(F.col("l_quantity")).cast("bigint").alias("units")
-    units = stage(table(spark, sf, "lineitem").groupBy("l_orderkey").agg(quantity), "units")
+    units = trade.build_once("units", spark, sf, lambda spark, sf: table(spark, sf, "lineitem").groupBy("l_orderkey").agg(quantity))
     return with_ranks(units, "l_orderkey", [Rank("by_units", "units")], [Percentile("share", "units")], max(1, units.count() // 8))
 
 

@@ -46,14 +46,6 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if n[0] not in "._")
 
 
-def replace_folder(spark: SparkSession, path: str, complete: str) -> None:
-    """Put the folder `complete` in the place of `path`."""
-    files, located = _located(spark, path)
-    files.delete(located, True)
-    if not files.rename(_located(spark, complete)[1], located):
-        raise OSError(f"cannot move {complete} to {path}")
-
-
 def move_only_file(spark: SparkSession, folder: str, to: str, suffix: str) -> None:
     """Give the one file with this suffix in a folder that a single task wrote another place and name."""
     files, located = _located(spark, folder)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.functions.clean import na_to_null, normalize_names, quoted
+from almanac.functions.clean import is_whole, na_to_null, normalize_names, quoted
 from almanac.sources.feeds import FEEDS, REQUIRED, SOURCE, typed_cell
 from almanac.sources.files import exists, path_of, remove_folder
 from almanac.sources.stage import stage
@@ -298,7 +298,7 @@ def read_faults(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
 
 def _misfit(column: str, dtype: str) -> Column:
     written = F.coalesce(F.trim(F.col(column)), F.lit("")) != ""
-    return written & typed_cell(column, dtype).isNull()
+    return written & (~is_whole(F.col(column)) if dtype == "bigint" else typed_cell(column, dtype).isNull())
 
 
 def _remember_columns(spark: SparkSession, bronze: str, feed: str, names: set[str]) -> None:

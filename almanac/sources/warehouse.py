@@ -1,16 +1,18 @@
-"""Tables of the warehouse: <root>/<layer>/<table> as Parquet, also named <layer>.<table> for SQL."""
+"""Tables of the warehouse: <root>/<layer>/<table>/<version> as Parquet, also named <layer>.<table> for SQL."""
 
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.sources.files import qualified, replace_folder, subfolders
+from almanac.sources.files import exists, qualified, remove_folder, subfolders
 
 LAYERS = ("bronze", "silver", "gold")
+_VERSION = re.compile(r"v-\d{15}-[0-9a-f]{32}")
 
 
 class Warehouse:
@@ -20,18 +22,31 @@ class Warehouse:
             raise ValueError(f"the tables are in UTC: set spark.sql.session.timeZone to UTC, it is {zone}")
         self.spark, self.root = spark, qualified(spark, root)
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.path(layer, '')}'")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+
+    def _versions(self, layer: str, table: str) -> list[str]:
+        """Complete versions of a table, oldest first; Spark marks a write that has ended."""
+        folder = f"{self.root}/{layer}/{table}"
+        names = [n for n in subfolders(self.spark, folder) if _VERSION.fullmatch(n)]
+        return [f"{folder}/{n}" for n in names if exists(self.spark, f"{folder}/{n}/_SUCCESS")]
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+        """Where the table's files are now: its newest complete version, or the folder itself (ingested feeds)."""
+        return (self._versions(layer, table) or [f"{self.root}/{layer}/{table}"])[-1]
 
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None) -> None:
-        """Replace the table with the rows of `df`; the earlier version stays until all rows are written."""
-        complete = self.path(layer, f"_{table}-{uuid.uuid4().hex}")
+        """Replace the table with the rows of `df`.
+
+        They are written to a new version; once it is complete readers and SQL find it, and only then
+        earlier versions go. A run that dies in between leaves a table that can be read. Nothing is renamed.
+        """
+        earlier = self._versions(layer, table)
         rows = df.sortWithinPartitions(*partition_by, sort_by) if sort_by else df
-        rows.write.partitionBy(*partition_by).parquet(complete)
-        replace_folder(self.spark, self.path(layer, table), complete)
+        version = f"v-{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex}"
+        rows.write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
         self._name(layer, table)
+        for path in earlier:
+            remove_folder(self.spark, path)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))

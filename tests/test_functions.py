@@ -34,7 +34,8 @@ def test_placeholders_and_guards(spark):
 
 def test_text_to_numbers(spark):
     cells = ["7", "7.0", " 8 ", "-2", "x", "", None, "2.5"]
-    assert one(spark, clean.to_count(F.col("x")), cells, "string") == [7, 7, 8, -2, None, None, None, None]
+    assert one(spark, clean.to_count(F.col("x")), cells, "string") == [7, 7, 8, -2, None, None, None, 3]
+    assert one(spark, clean.is_whole(F.col("x")), cells, "string") == [True, True, True, True, False, False, False, False]
     assert one(spark, clean.to_rate(F.col("x")), ["1.25", "nan", "x", None], "string") == [1.25, None, None, None]
     assert one(spark, clean.na_to_null(F.col("x")), ["NA", "nan", "", "Nan", None], "string") == [None, None, None, "Nan", None]
 
