@@ -1,14 +1,15 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are runs of letters, lower-cased. The index holds at most PER_CLASS examples of each label
-and the TERMS terms whose presence differs most between the labels. Examples are kept in blocks;
+and the TERMS terms whose presence differs most between the labels; all other words of a text are
+one more term, so that one odd word in a long text is no likeness to a text full of them. Examples are kept in blocks;
 for each term a block's largest weight is known, so a block's best possible cosine with a query is
 one sum. Blocks are visited from the best bound down and the search ends when the next bound
 cannot reach the K-th best cosine found: the neighbours are exact.
 
 The K neighbours vote with their cosines as weights, set right for the share of each label in the
-whole training part; the label's overall share votes with a fixed small weight, so a text that is
-like no example gets that share as its score. Null and empty texts are like no example. With no
+whole training part; the label's overall share votes with a fixed small weight. A text without any
+of the index's own terms gets that share as its score, as do null and empty texts. With no
 usable label every score is 0. Equal cosines: the example with the smaller doc_id. Repeated rows
 give a row each; an empty table gives no rows; other columns are not looked at.
 """
@@ -38,24 +39,29 @@ MIN_APART = 5.0
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_WEIGHT = 0.25
+#: Weight of all words that are not terms of the index, together; it grows with the root of their number.
+OTHERS_WEIGHT = 0.2
 THRESHOLD = 0.5
 
 
-def words_in(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, term number, times) for the terms of the vocabulary, by text and term."""
+def words_in(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, term number, times) for the terms of the vocabulary, by text and term; and the other words of each text."""
     spaced = pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL]+", " ")
     split = pc.ascii_split_whitespace(spaced)
-    found = pc.index_in(split.flatten(), value_set=vocabulary)
+    words = split.flatten()
+    owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    found = pc.index_in(words, value_set=vocabulary)
     held = pc.is_valid(found).to_numpy(zero_copy_only=False)
-    at = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[held]
-    terms = found.drop_null().to_numpy().astype(np.int64)
+    blank = pc.equal(words, "").to_numpy(zero_copy_only=False)
+    others = np.bincount(owner[~held & ~blank], minlength=len(texts))
+    at, terms = owner[held], found.drop_null().to_numpy().astype(np.int64)
     both, times = np.unique(at * max(1, len(vocabulary)) + terms, return_counts=True)
-    return both // max(1, len(vocabulary)), both % max(1, len(vocabulary)), times
+    return both // max(1, len(vocabulary)), both % max(1, len(vocabulary)), times, others
 
 
 @dataclass
 class Index:
-    """Examples in blocks. weights: terms x examples (padded to whole blocks); best: terms x blocks."""
+    """Examples in blocks. weights: (terms and one row for all other words) x examples, padded to whole blocks; best: the same x blocks."""
 
     terms: list[str]
     idf: np.ndarray
@@ -66,10 +72,11 @@ class Index:
     vote: np.ndarray
     share: float
 
-    def nearest(self, terms: np.ndarray, times: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms: np.ndarray, times: np.ndarray, others: int = 0, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest with a cosine above 0, nearest first."""
-        query = (1 + np.log(times)) * self.idf[terms]
+        query = np.append((1 + np.log(times)) * self.idf[terms], OTHERS_WEIGHT * np.sqrt(others))
         query /= np.linalg.norm(query)
+        terms = np.append(terms, len(self.terms))
         bounds = query @ self.best[terms]
         order = np.argsort(-bounds, kind="stable")
         rows, found, scores, least = self.weights[terms], np.zeros(0, np.int64), np.zeros(0), 0.0
@@ -128,9 +135,11 @@ def build_index(docs: DataFrame, labels: DataFrame, learnable: Column, key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            at, term, times = words_in(batch.column(2), vocabulary)
-            yield pa.record_batch({"_id": batch.column(0).take(pa.array(at)), "_toxic": batch.column(1).take(pa.array(at)),
-                                   "_term": pa.array(term), "_times": pa.array(times)})
+            at, term, times, others = words_in(batch.column(2), vocabulary)
+            every = np.append(at, np.arange(batch.num_rows))
+            yield pa.record_batch({"_id": batch.column(0).take(pa.array(every)), "_toxic": batch.column(1).take(pa.array(every)),
+                                   "_term": pa.array(np.append(term, np.full(batch.num_rows, len(vocabulary)))),
+                                   "_times": pa.array(np.append(times, others))})
 
     kind = examples.schema["_id"].dataType.simpleString()
     entries = examples.select("_id", "_toxic", "_text").mapInArrow(run, f"_id {kind}, _toxic int, _term long, _times long")
@@ -140,29 +149,29 @@ def build_index(docs: DataFrame, labels: DataFrame, learnable: Column, key: str
     at = np.array([place[x] for x in found["_id"].to_pylist()], np.int64)
     toxic = np.zeros(len(ids))
     toxic[at] = found["_toxic"].to_numpy()
-    order = np.lexsort((np.arange(len(ids)), -toxic))
-    back = np.argsort(order)
     blocks = max(1, -(-len(ids) // BLOCK))
-    weights = np.zeros((len(terms), blocks * BLOCK))
+    weights = np.zeros((len(terms) + 1, blocks * BLOCK))
     if len(at):
-        term = found["_term"].to_numpy()
-        weights[term, back[at]] = (1 + np.log(found["_times"].to_numpy())) * idf[term]
+        term, times = found["_term"].to_numpy(), found["_times"].to_numpy()
+        own = term < len(terms)
+        weights[term[own], at[own]] = (1 + np.log(times[own])) * idf[term[own]]
+        weights[-1, at[~own]] = OTHERS_WEIGHT * np.sqrt(times[~own])
         weights /= np.maximum(np.linalg.norm(weights, axis=0), 1e-12)
-    best = weights.reshape(len(terms), blocks, BLOCK).max(axis=2) if len(terms) else np.zeros((0, blocks))
+    best = weights.reshape(len(terms) + 1, blocks, BLOCK).max(axis=2)
     all_rows = sum(totals.values())
     per_label = np.array([totals.get(c, 0) / max(1, n.get(c, 0)) for c in (0, 1)])
     vote = per_label / max(per_label.max(), 1e-12)
-    return Index([row._term for row in terms], idf, weights, best, ids[order], toxic[order], vote[toxic[order].astype(int)],
+    return Index([row._term for row in terms], idf, weights, best, ids, toxic, vote[toxic.astype(int)],
                  totals.get(1, 0) / all_rows if all_rows else 0.0)
 
 
 def _judged(index: Index, vocabulary: pa.Array, texts: pa.Array) -> tuple[np.ndarray, list[list[str]]]:
     """Scores, and the ids of the nearest examples, of texts without nulls."""
-    at, terms, times = words_in(texts, vocabulary)
+    at, terms, times, others = words_in(texts, vocabulary)
     scores, evidence = np.full(len(texts), index.share), [[] for _ in range(len(texts))]
     start = 0
     for end in np.flatnonzero(np.diff(np.append(at, -1))) + 1:
-        found, cosines = index.nearest(terms[start:end], times[start:end])
+        found, cosines = index.nearest(terms[start:end], times[start:end], others[at[start]])
         scores[at[start]] = index.score(found, cosines)
         evidence[at[start]] = [str(x) for x in index.ids[found]]
         start = end

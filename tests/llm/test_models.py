@@ -65,11 +65,12 @@ def test_nearest_examples_are_exact(index):
     for _ in range(200):
         terms = np.sort(rng.choice(len(index.terms), rng.integers(1, min(8, len(index.terms)) + 1), replace=False))
         times = rng.integers(1, 5, len(terms))
-        query = (1 + np.log(times)) * index.idf[terms]
-        cosines = (query / np.linalg.norm(query)) @ index.weights[terms]
+        others = int(rng.integers(0, 500))
+        query = np.append((1 + np.log(times)) * index.idf[terms], toxicity.OTHERS_WEIGHT * np.sqrt(others))
+        cosines = (query / np.linalg.norm(query)) @ index.weights[np.append(terms, len(index.terms))]
         want = np.lexsort((np.arange(len(cosines)), -cosines))[: toxicity.NEIGHBOURS]
         want = want[cosines[want] > 0]
-        found, got = index.nearest(terms, times)
+        found, got = index.nearest(terms, times, others)
         assert np.allclose(got, cosines[want])
         if not len(want):
             continue
