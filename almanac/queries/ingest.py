@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.plans.registry import feed_rows
 from almanac.plans.silver import silver_global
 from almanac.plans.trade import table
 from almanac.queries.registry import query
@@ -14,6 +15,7 @@ from almanac.sources.feeds import FEEDS, typed_cell
 from almanac.sources.files import move_only_file, subfolders
 from almanac.sources.reports import ingest_reports, read_bronze, read_seeds, write_bronze
 from almanac.sources.stage import stage_folder
+from almanac.sources.warehouse import Warehouse
 
 
 @query("bronze_reload", """
@@ -161,3 +163,22 @@ def _seed_tables(spark: SparkSession, sf: str) -> DataFrame:
         for name, c in key.items()
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query("tables_by_prefix", """
+SELECT CAST(o_custkey AS BIGINT) AS confirmed, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS province_state,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS iso3,
+  CASE WHEN o_orderkey % 2 = 1 THEN 'bronze.us_odd' ELSE 'bronze.us_even' END AS _source
+FROM orders""")
+def _tables_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables of the feed with different columns and types, found by their prefix; a third only begins alike."""
+    warehouse = Warehouse(spark, f"{stage_folder(spark)}/prefix-{uuid.uuid4().hex}")
+    orders = table(spark, sf, "orders")
+    parts = {
+        "us_odd": orders.where("o_orderkey % 2 = 1").select(F.col("o_custkey").cast("int").alias("Confirmed"), F.col("o_orderstatus").alias("Province_State")),
+        "us_even": orders.where("o_orderkey % 2 = 0").select(F.col("o_custkey").cast("bigint").alias("confirmed"), F.col("o_orderpriority").alias("iso3")),
+        "usage": orders.select("o_orderkey"),
+    }
+    for name, rows in parts.items():
+        warehouse.write("bronze", name, rows)
+    return feed_rows(warehouse, "us").select("confirmed", "province_state", "iso3", "_source")

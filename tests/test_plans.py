@@ -5,7 +5,8 @@ import re
 import pytest
 
 
-from almanac.plans import agg, fact as fact_plan, mart, report, trade
+from almanac.operators import quality
+from almanac.plans import adhoc, agg, fact as fact_plan, mart, report, trade
 from almanac.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -150,3 +151,16 @@ def test_hot_location_plan_uses_blocks(spark, fact):
     plain = with_series(rows, ["province_state"], ["report_date", "_source_table"], metrics, one_row_per_day=True)
     assert "_block" in simple_plan(split)
     assert split.exceptAll(plain).count() == 0 == plain.exceptAll(split).count()
+
+
+def test_a_question_about_a_date_reads_its_year(fact):
+    day = fact.agg({"report_date": "max"}).first()[0]
+    plan = plan_of(adhoc.countries_on(fact, day))
+    assert "PartitionFilters: [isnotnull(report_year" in plan and "(report_year#" in plan
+    assert "EqualTo(report_date" in plan
+
+
+def test_all_column_tests_are_one_shuffle_of_values(spark):
+    tests = [quality.unique("l_orderkey"), quality.unique("l_shipdate"), quality.not_null("l_tax")]
+    rows = quality.run_tests({"lineitem": trade.table(spark, SF_DIR, "lineitem")}, {"lineitem": tests})
+    assert simple_plan(rows).count("FileScan parquet") == 1
