@@ -75,4 +75,27 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
 }
 #: What SQL can say; the others are learned or pseudorandom and are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_minhash_near_dedup": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM worded
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+linked AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 75 * (a.n + b.n - COUNT(*))
+),
+links AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON reached.other = links.x
+),
+named AS (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN named USING (doc_id)""",
+}

@@ -3,8 +3,9 @@
 import corpus_pipeline
 import pytest
 
-from almanac.llm.queries import QUERIES
+from almanac.llm.queries import ORACLES, QUERIES
 from almanac.sources.stage import stage
+from check import connect
 
 from .conftest import SMALL, WORD
 from .test_near_dedup import groups
@@ -39,3 +40,13 @@ def test_queries_return_every_row(spark, name):
     rows = spark.read.parquet(f"{SMALL}/{table}.parquet").count()
     got = QUERIES[name](spark, SMALL).count()
     assert got > 0 if name.startswith("op3") else got >= rows if name.startswith("op6") else got == rows
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_give_the_rows_of_their_sql(spark, name):
+    con = connect(SMALL)
+    cursor = con.execute(ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    rows = QUERIES[name](spark, SMALL)
+    assert sorted(rows.columns) == sorted(columns)
+    assert sorted(map(tuple, rows.select(*columns).collect())) == sorted(cursor.fetchall())
