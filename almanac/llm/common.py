@@ -47,7 +47,7 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about `most_bytes` of `column`, at least a row each; bounds what a task holds."""
     for batch in batches:
         if not batch.num_rows:

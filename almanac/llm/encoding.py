@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words a worker keeps; when full, all but the given frequent ones are forgotten.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 #: Longer words are encoded each time, so that the cache's bytes are bounded too.
 CACHE_WORD_BYTES = 64
 #: Words handed to the tokenizer in one call.

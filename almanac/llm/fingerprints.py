@@ -35,7 +35,7 @@ from almanac.sources.stage import stage
 
 BITS = 64
 #: Bytes of text whose words are hashed at once, about; bounds memory.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Ranges of ids for each shuffle partition, so that partitions come out even.
 RANGES_PER_TASK = 3
 #: Fixed odd numbers: the polynomial's base, and the multipliers of the mixing steps.
@@ -83,7 +83,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     hashes = np.zeros(len(starts), np.uint64)
     first = 0
     while first < len(starts):
-        last = max(first + 1, int(np.searchsorted(stops, starts[first] + 2 * SLICE_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(stops, starts[first] + SLICE_BYTES, side="right")))
         low, high = int(starts[first]), int(stops[last - 1])
         power, inverse = _powers_to(high - low)
         with np.errstate(over="ignore"):

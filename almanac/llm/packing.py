@@ -33,7 +33,7 @@ from almanac.sources.stage import stage
 WINDOW, GRID, DEPTH, END_ID = 4096, 64, 5, 2
 #: Pieces of one length that one task numbers, about.
 SALT_ROWS = 100_000
-#: A shuffle partition of piece rows, about.
+#: Columns of a piece beside the key.
 PIECE_COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
