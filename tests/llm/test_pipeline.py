@@ -18,7 +18,7 @@ def test_stages(spark, small):
         assert docs.columns == small.columns
     whole = {r.doc_id: r.text for r in small.collect()}
     calm = {r.doc_id: r.text for r in results["toxicity"].collect()}
-    assert 0.7 * len(whole) < len(calm) < len(whole) and all(whole[i] == t for i, t in calm.items())
+    assert 0.7 * len(whole) < len(calm) <= len(whole) and all(whole[i] == t for i, t in calm.items())
     labels, _ = groups(calm)
     assert {r.doc_id for r in results["near_dedup"].collect()} == set(labels.values())
     masked = {r.doc_id: r.text for r in results["secrets"].collect()}
