@@ -146,3 +146,29 @@ def test_learned_lists_separate_what_thresholds_can():
         held |= np.logical_and.reduce([c.holds(values) for c in rule])
     assert 1 <= len(rules) <= quality_rules.MAX_RULES and (held == bad).mean() > 0.95
     assert quality_rules.learn(values, np.zeros(600, bool), np.arange(600) % 3 == 0) == []
+
+
+def test_index_holds_all_terms_and_texts_with_rare_words_are_searched(spark):
+    """Too few examples for any test of significance: still, every term of theirs is in the index."""
+    docs = spark.createDataFrame([(1, "vile fool"), (2, "calm lake walk"), (3, "a Fool sat"), (4, "lake"), (5, "unseen"), (6, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    index = toxicity.build_index(docs, labels, F.lit(True))
+    assert index.terms.to_pylist() == ["calm", "fool", "lake", "vile", "walk"]
+    assert np.allclose(index.idf, (np.log(6 / (1 + np.array([1, 2, 2, 1, 1]))) + 1) * np.sqrt(2))
+    rows = {r.doc_id: r for r in toxicity.score(docs, index).collect()}
+    assert [rows[i].evidence for i in range(1, 7)] == [["1"], ["2"], ["1"], ["2"], [], []]
+    assert rows[3].score > 0.5 > rows[4].score and rows[5].score == rows[6].score == 0.5
+
+
+def test_toxicity_recall_of_held_out_rows_by_language(spark):
+    large = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{large}/labels.parquet").where("toxic IN (0, 1)").select("doc_id", "toxic")
+    langs = spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "lang")
+    rows = QUERIES["op5_toxicity_neighbours"](spark, large).join(labels, "doc_id").join(langs, "doc_id").where("held_out").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    for lang in ("en", "de", "fr"):
+        own = [r.predicted for r in toxic if r.lang == lang]
+        assert len(own) >= 10 and sum(own) > 0.8 * len(own)
+    assert sum(r.predicted for r in toxic) > 0.85 * len(toxic)
+    assert sum(r.predicted for r in rows if r.toxic == 0) < 0.01 * sum(r.toxic == 0 for r in rows)
+    assert all(r.evidence for r in rows if r.held_out and r.score != 0 and r.predicted)
