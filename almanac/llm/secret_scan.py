@@ -30,8 +30,8 @@ from almanac.sources.stage import stage
 SHORTEST = 12
 #: Labelled findings that the forest is trained on, at most, of each label; chosen by a hash of the value.
 TRAIN_FINDINGS = 10_000
-#: Words of the dictionary, at most, and documents, about, that they are counted in.
-DICTIONARY, DICTIONARY_ROWS = 2_000, 2_000
+#: Different texts, at least, that hold a word of the dictionary; told apart by the last six bits of a hash, so alike ones count once.
+FEWEST_TEXTS = 5
 TREES, DEPTH, SEED = 20, 5, 11
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -45,12 +45,26 @@ FEATURES = ["chars", "transitions", "distinct_share", "digit_share", "upper_shar
             "named", "assigned", "quoted", "digits_alone"]
 
 
-def dictionary(docs: DataFrame, text: str = "text") -> list[str]:
-    """The most frequent words of four letters or more in about DICTIONARY_ROWS rows."""
-    step = max(1, docs.count() // DICTIONARY_ROWS)
-    rows = docs.where(F.pmod(F.xxhash64(F.substring(text, 1, 64), F.length(text)), F.lit(step)) == 0)
-    words = rows.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")).where(F.length("word") >= 4)
-    return [r.word for r in words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(DICTIONARY).collect()]
+def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word): letter runs of four or more, lower-cased, that stand alone in FEWEST_TEXTS different texts or more; all documents are counted.
+
+    Runs inside a longer value (keys, identifiers, paths) do not count. Copies of a text set the same bit, so they do not make a word.
+    """
+    alone = r"(?<![\p{L}\p{N}_/+=@.~\-])(\p{L}{4,})(?![\p{L}\p{N}_/+=@~\-])"
+    texts = docs.select(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(`{text}`), 64) AS INT))").alias("_bit"),
+                        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(alone), 1))).alias("word"))
+    return texts.groupBy("word").agg(F.bit_or("_bit").alias("_bits")).where(F.bit_count("_bits") >= FEWEST_TEXTS).select("word")
+
+
+def cover(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Written candidates with the share of each value that different words of the dictionary cover."""
+    runs = F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"([a-z]{4,})"), 1))
+    known = (
+        found.select("value").distinct().select("value", F.explode(runs).alias("word"))
+        .join(words, "word").groupBy("value").agg(F.sum(F.length("word")).alias("_known"))
+    )
+    joined = found.join(stage(known, "covered"), "value", "left")
+    return joined.withColumn("covered", F.coalesce("_known", F.lit(0)) / F.col("chars")).select(*found.columns)
 
 
 def candidates(docs: DataFrame, words: list[str], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -130,7 +144,8 @@ def judge(found: DataFrame, labelled: DataFrame | None = None, threshold: float
 
 def findings(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), labelled: DataFrame | None = None) -> DataFrame:
     """Kept columns, start, n_chars, value, probability and accepted, for every candidate."""
-    found = stage(candidates(docs, dictionary(docs, text), text, keep), "candidates")
+    found = stage(candidates(docs, [], text, keep), "candidates")
+    found = stage(cover(found, dictionary(docs, text)), "covered-candidates")
     return judge(found, labelled).select(*keep, "start", F.col("chars").cast("int").alias("n_chars"), "value", "probability", "accepted")
 
 

@@ -154,3 +154,15 @@ def test_labelled_findings_decide(spark):
     labelled = found.withColumn("label", (F.col("digits_alone") == 0).cast("int"))
     rows = secret_scan.findings(docs, labelled=labelled).collect()
     assert len(rows) == 120 and all(r.accepted == r.value.startswith("abc") for r in rows)
+
+
+def test_dictionary_is_counted_over_all_documents(spark):
+    """Ordinary words of a small source are in it at any size; copies and parts of keys are not."""
+    rows = [(i, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(60))) for i in range(676)]
+    rows = [(i, t) for i, t in rows for _ in range(5)]
+    rows += [(9_000 + i, f"Plattform, ({i}) kennung. key-{i}=inside{i}outer") for i in range(40)] + [(9_900, "copied words") for _ in range(500)]
+    words = {r.word for r in secret_scan.dictionary(spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")).collect()}
+    assert words == {"plattform", "kennung"}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.candidates(spark.createDataFrame([(1, "id = plattform_kennung_7")], "doc_id long, text string"), [])
+    assert [round(r.covered * r.chars) for r in secret_scan.cover(found, secret_scan.dictionary(docs)).collect()] == [16]
