@@ -5,7 +5,8 @@ out of the page's main element, in a link) and tags score below zero; both weigh
 learned from pages whose main region is marked, with counts summed by Spark. One linear scan finds
 the contiguous run with the highest score: the content region. What stands in boilerplate elements
 (menus, adverts, forms, comments and the like, by element and by class, id or role) counts nothing
-in the scan and is left out of the region's text.
+in the scan and is left out of the region's text; an element that holds most of the page's words is
+never taken for one. A main element decides places only where it holds most of the other words.
 
 Character references are decoded; white space inside a block, line breaks included, becomes one
 space; blocks are joined by an empty line, in page order. Nothing else is dropped or capped. Null
@@ -34,7 +35,7 @@ TRAIN_PAGES = 2_000
 MOST, TAG_COST = 4.0, 0.2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)", re.S)
-_RAW = frozenset({"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title"})
+_RAW = frozenset({"script", "style", "textarea", "title"})
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -42,24 +43,26 @@ _BLOCKS = frozenset(
 _TEXT_BLOCKS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 dd dt figcaption".split())
 _MAIN = frozenset({"article", "main"})
 #: Elements that are no part of an article, and words in class, id or role that say the same. Fixed values.
-_BOILERPLATE = frozenset("nav footer aside form menu button dialog head fieldset".split())
+_BOILERPLATE = frozenset("nav footer aside form menu button dialog head fieldset select template svg iframe".split())
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
     "copyright disclaimer discussion dialog footer form hidden login masthead menu modal nav navbar navigation newsletter notice notices "
     "overlay pagination popup promo promotion recommended related reply replies search share sharing sidebar signup social sponsor "
     "sponsored subscribe tags toolbar widget widgets alert contentinfo complementary respond".split())
-_MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 
-def _is_marked(attributes: str) -> bool:
-    if not attributes:
-        return False
-    for found in _MARKED.findall(attributes):
-        for word in re.split(r"[\s_]+", "".join(found).lower()):
-            if word in _MARKS or any(part in _MARKS for part in word.split("-")):
+def _is_marked(attributes: str, in_main: bool = False) -> bool:
+    """Words of class, id and role count where all their parts are marks (`cookie-notice`, not `has-sidebar`); inside the main element an id names a section."""
+    for found in _ATTRIBUTE.findall(attributes):
+        name, value = found[0].lower(), "".join(found[1:]).lower()
+        if name in ("class", "role") or name == "id" and not in_main:
+            if any(all(part in _MARKS for part in re.split("[-_]+", word)) for word in value.split()):
                 return True
-    return bool(_HIDDEN.search(attributes))
+        elif name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
 
 
 @dataclass(frozen=True)
@@ -75,13 +78,27 @@ class Token:
 
 
 def tokens(page: str) -> list[Token]:
-    """Tags and text runs in order; script, style and other raw elements are left out."""
+    """Tags and text runs in order; script, style, textarea and title are left out."""
+    spared: set[int] = set()
+    while True:
+        out, words_under = _tokens(page, spared)
+        total = sum(words_under.values())
+        large = {start for start, n in words_under.items() if start >= 0 and 2 * n > total}
+        if not large:
+            return out
+        spared |= large
+
+
+def _tokens(page: str, spared: set[int]) -> tuple[list[Token], dict[int, int]]:
+    """Tokens, where boilerplate elements that start at a spared place are none; words under each outermost boilerplate element, and under none (-1)."""
     out: list[Token] = []
     stack: list[tuple[str, bool, bool]] = []  # name, in main, in boilerplate
+    words_under: dict[int, int] = {}
+    outermost = -1
     block, at = 0, 0
     while at < len(page):
         found = _TOKEN.match(page, at)
-        at = found.end()
+        here, at = at, found.end()
         closing, name, attributes, text = found.groups()
         if text is not None:
             inner, main, boiler = "body", False, False
@@ -95,6 +112,8 @@ def tokens(page: str) -> list[Token]:
                         break
             decoded = html.unescape(text)
             words = len(decoded.split())
+            under = outermost if boiler else -1
+            words_under[under] = words_under.get(under, 0) + words
             out.append(Token(f"{inner}|{int(link)}", words, decoded, block, main, boiler))
             continue
         if name is None:
@@ -122,8 +141,11 @@ def tokens(page: str) -> list[Token]:
                 stack.pop()
             if name not in _VOID:
                 before = stack[-1] if stack else ("", False, False)
-                boiler = before[2] or name in _BOILERPLATE or (name not in ("html", "body") and _is_marked(attributes))
+                boiler = name in _BOILERPLATE or (name not in ("html", "body") and _is_marked(attributes, before[1]))
                 boiler |= name == "header" and not before[1]
+                boiler = before[2] or boiler and here not in spared
+                if boiler and not before[2]:
+                    outermost = here
                 stack.append((name, (before[1] or name in _MAIN) and not boiler, boiler))
                 marked = boiler
         if name == "br":
@@ -131,7 +153,13 @@ def tokens(page: str) -> list[Token]:
         else:
             known = name if is_block or name in ("a", "b", "i", "em", "strong", "span", "img", "u", "code", "input", "label") else "other"
             out.append(Token(f"{'-' if closing else '+'}{known}", 0, "", block, stack[-1][1] if stack else False, marked))
-    return out
+    return out, words_under
+
+
+def _main_decides(found: list[Token]) -> bool:
+    """The main element holds most of the words that are no boilerplate; a teaser or an empty element does not."""
+    inside = sum(t.words for t in found if t.main)
+    return 2 * inside > sum(t.words for t in found if not t.boiler)
 
 
 def _places(token: Token, has_main: bool) -> tuple[str, ...]:
@@ -166,7 +194,7 @@ def _unseen(token: Token, has_main: bool) -> float:
 def _counts(page: str) -> Iterator[tuple[str, int, int]]:
     """(place or tag, inside, outside) of a page with a marked main region."""
     found = tokens(page)
-    if not any(t.main for t in found):
+    if not _main_decides(found):
         return
     for t in found:
         if t.boiler:
@@ -222,11 +250,11 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: Weights) -> str:
     found = tokens(page)
-    has_main = any(t.main for t in found)
+    has_main = _main_decides(found)
     start, stop = best_run([weights.of(t, has_main) for t in found])
     blocks: dict[int, list[str]] = {}
     for t in found[start:stop]:
-        if t.text and not t.boiler and (t.main or not has_main):
+        if t.text and not t.boiler:
             blocks.setdefault(t.block, []).append(t.text)
     texts = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(text for text in texts if text)

@@ -166,3 +166,27 @@ def test_dictionary_is_counted_over_all_documents(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = secret_scan.candidates(spark.createDataFrame([(1, "id = plattform_kennung_7")], "doc_id long, text string"), [])
     assert [round(r.covered * r.chars) for r in secret_scan.cover(found, secret_scan.dictionary(docs)).collect()] == [16]
+
+
+LEARNED = html_text.Weights({}, {})
+BODY = " ".join(f"sentence{i} of the story" for i in range(60))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><article>teaser card</article><div><p>{BODY}</p></div></body>",
+    f"<body><main></main><div><p>{BODY}</p></div></body>",
+    f"<body><div class='layout has-sidebar'><p>{BODY}</p></div></body>",
+    f"<body><article class='post has-comments'><p>{BODY}</p></article></body>",
+    f"<body><article><p>Before.</p><section id='related-work'><p>{BODY}</p></section></article></body>",
+    f"<body><article><section id='discussion'><p>{BODY}</p></section></article></body>",
+    f"<body><form class='form'><p>{BODY}</p></form></body>",
+    f"<body><div data-state='not hidden here'><p>{BODY}</p></div></body>",
+    f"<body><object><p>{BODY}</p></object></body>",
+])
+def test_marks_do_not_lose_a_whole_article(page):
+    assert BODY in html_text.main_text(page, LEARNED)
+
+
+def test_marked_elements_are_left_out():
+    page = f"<body><p>{BODY}</p><div class='box comments'>one said</div><p hidden>two</p><p aria-hidden='true'>three</p><p style='display: none'>four</p></body>"
+    assert html_text.main_text(page, LEARNED) == BODY
