@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import fingerprints, html_text, language_id, mixing, near_dedup, packing, quality_rules, secret_scan, token_counts, toxicity
+from almanac.llm import (
+    fingerprints, html_text, language_id, mixing, near_dedup, packing, quality_rules, ranked_search, secret_scan, token_counts, toxicity,
+)
 from almanac.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
 }
 #: What SQL can say; the others are learned or pseudorandom and are tested against brute force.
 ORACLES: dict[str, str] = {
@@ -98,4 +105,40 @@ reached(doc_id, other) AS (
 ),
 named AS (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY doc_id)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN named USING (doc_id)""",
+    "op11_ranked_search": r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+sized AS (SELECT place, doc_id, w, len(w)::BIGINT AS n FROM worded WHERE len(w) > 0),
+whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sized),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY ALL
+),
+held AS (
+  SELECT place, term, count(*)::BIGINT AS tf FROM (SELECT place, unnest(w) AS term FROM sized)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term), whole
+),
+parts AS (
+  SELECT place, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS part
+  FROM held JOIN sized USING (place) JOIN weighed USING (term), whole
+),
+scored AS (
+  SELECT item_id, doc_id, place, sum(times * part)::BIGINT AS score FROM asked JOIN parts USING (term) JOIN sized USING (place) GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
