@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import (
-    fingerprints, html_text, language_id, mixing, near_dedup, packing, quality_rules, ranked_search, secret_scan, token_counts, toxicity,
+    chat_format, conversation_repair, fingerprints, html_text, language_id, mixing, near_dedup, packing, quality_rules, ranked_search,
+    secret_scan, token_counts, toxicity,
 )
 from almanac.llm.common import remainder, table
 
@@ -68,6 +69,18 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    both = F.array(*[F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"),
+                              F.lit("</s>[INST] ok [/INST]").alias("text")) for i, role in enumerate(("user", "assistant"))])
+    talks = talks.unionByName(spark.range(1).select(F.inline(both)))
+    return chat_format.read_back(chat_format.format_conversations(talks))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -80,6 +93,8 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_quality_rules": op10_quality_rules,
     "op11_ranked_search": op11_ranked_search,
+    "op12_repair_conversations": op12_repair_conversations,
+    "op13_chat_format": op13_chat_format,
 }
 #: What SQL can say; the others are learned or pseudorandom and are tested against brute force.
 ORACLES: dict[str, str] = {
@@ -141,4 +156,25 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_chat_format": r"""
+WITH talks AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+measured AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+    CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 16 WHEN 'assistant' THEN 8 ELSE 23 + length(role) END AS marks,
+    -- one character more for each escape character and each control string
+    length(regexp_replace(text, '\\|</?s>|\[/?INST\]|<</?SYS>>|\[/?ROLE\]|\[/TURN\]', '\0-', 'g')) AS escaped
+  FROM talks
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(marks + escaped)::BIGINT AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before = 'assistant' OR before = 'system' THEN role = 'user'
+    WHEN before = 'user' THEN role = 'assistant' ELSE FALSE END)
+    AND last(role ORDER BY turn NULLS FIRST, role, text) = 'assistant' AS valid
+FROM measured GROUP BY conv_id""",
 }
