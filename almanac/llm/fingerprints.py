@@ -9,7 +9,8 @@ without words has all bits zero.
 `within` finds pairs at a Hamming distance of at most r: with b > r blocks, two fingerprints that
 differ in r bits agree in b - r whole blocks, so each is listed under every choice of b - r blocks
 (the permuted tables); tables are joined on those bits and distances are checked. Equal
-fingerprints are one entry with a count, so copies are not expanded.
+fingerprints are one entry with a count, so copies are not expanded. `near_counts` asks this for
+stated rows against all rows.
 
 `with_next` pairs a row with the row after it in descending order of id (after the last, the
 first) without a sort in one task: ids are cut into ranges, each range also gets the first rows of
@@ -21,6 +22,7 @@ rows are rows of their own; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
@@ -133,21 +135,13 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     ids = stage(narrow.select("_id"), "ids")
     tops = sorted(row.top for row in ids.repartitionByRange(RANGES_PER_TASK * tasks, "_id").groupBy(F.spark_partition_id()).agg(
         F.max("_id").alias("top")).collect())
-    sent = spark.sparkContext.broadcast(np.array(tops, np.int64))
-
-    @F.pandas_udf("array<struct<range:int,turn:int>>")
-    def ranges(values):
-        tops = sent.value
-        at = np.searchsorted(tops, values.to_numpy())
-        own = len(tops) - 1 - at
-        first = tops[np.minimum(at, len(tops) - 1)] == values.to_numpy()
-        import pandas as pd
-
-        return pd.Series([[(r, 0), ((r - 1) % len(tops), 1)] if f else [(r, 0)] for r, f in zip(own.tolist(), first.tolist(), strict=True)])
-
+    own = len(tops) - 1 - _below(tops, F.col("_id"))
+    place = lambda r, turn: F.struct(r.cast("int").alias("range"), F.lit(turn).alias("turn"))
+    # the first row of a range, its largest id, also ends the range before it
+    both = F.array(place(own, 0), place(F.pmod(own - 1, F.lit(max(1, len(tops)))), 1))
     in_range = Window.partitionBy("_range").orderBy("_turn", F.desc("_id"), "text")
     return (
-        narrow.withColumn("_at", F.explode(ranges("_id")))
+        narrow.withColumn("_at", F.explode(F.when(F.col("_id").isin(tops), both).otherwise(F.array(place(own, 0)))))
         .select(key, "text", "_id", F.col("_at.range").alias("_range"), F.col("_at.turn").alias("_turn"))
         .withColumn("next", F.lead("text").over(in_range))
         .where("_turn = 0")
@@ -155,6 +149,16 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     )
 
 
+def _below(tops: list[int], value: Column) -> Column:
+    """How many of the sorted numbers are less: by the last of each group, then inside one group."""
+    width = max(1, math.isqrt(len(tops)))
+    groups = [tops[i : i + width] for i in range(0, len(tops), width)]
+    less = lambda numbers: F.size(F.filter(numbers, lambda t: t < value))
+    whole = less(F.array(*[F.lit(g[-1]).cast("long") for g in groups[:-1]]).cast("array<long>"))
+    inside = F.element_at(F.array(*[F.array(*[F.lit(t).cast("long") for t in g]) for g in groups or [[0]]]), whole + 1)
+    return whole * width + less(inside)
+
+
 def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for every row."""
     pairs = with_next(docs, key, text)
@@ -210,13 +214,14 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def block_tables(fingerprint: str, radius: int, blocks: int) -> Column:
     """The keys under which a fingerprint is listed: the bits of each choice of blocks - radius blocks, and the choice."""
+    return F.transform(_masks(radius, blocks), lambda mask, number: F.struct(
+        number.alias("table"), F.col(fingerprint).bitwiseAND(mask).alias("bits")))
+
+
+def _masks(radius: int, blocks: int) -> Column:
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = sum(((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in chosen)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(number).alias("table"), F.col(fingerprint).bitwiseAND(F.lit(signed)).alias("bits")))
-    return F.array(*keys)
+    masks = [sum(((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+    return F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in masks])
 
 
 def within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
@@ -229,9 +234,23 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int =
 
     left = listed(queries.select("fingerprint").where("fingerprint IS NOT NULL").distinct()).withColumnRenamed("fingerprint", "query")
     right = listed(prints.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.count("*").alias("n"))).withColumnRenamed("fingerprint", "found")
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
+    differ = F.col("query").bitwiseXOR(F.col("found"))
+    first = F.array_position(F.transform(_masks(radius, blocks), lambda m: differ.bitwiseAND(m) == 0), F.lit(True)) - 1
+    # a pair meets in every table whose blocks are equal and is taken in the first of these
     return (
         left.join(right, ["table", "bits"])
-        .withColumn("distance", distance).where(F.col("distance") <= radius)
-        .select("query", "found", "distance", "n").distinct()
+        .withColumn("distance", F.bit_count(differ)).where((F.col("distance") <= radius) & (F.col("table") == first))
+        .select("query", "found", "distance", "n")
     )
+
+
+def near_counts(docs: DataFrame, asked: Column, radius: int = 3, fingerprint: str = "fingerprint", name: str = "n_near") -> DataFrame:
+    """`docs` with the number of other rows within the radius of a row's fingerprint (16 hex digits), for the rows `asked` for; null for others.
+
+    `docs` must be cheap to read more than once.
+    """
+    number = F.conv(F.col(fingerprint), 16, -10).cast("long")
+    found = within(docs.where(asked).select(number.alias("fingerprint")), docs.select(number.alias("fingerprint")), radius)
+    counts = found.groupBy(F.lpad(F.lower(F.hex("query")), 16, "0").alias("_print")).agg((F.sum("n") - 1).alias("_n"))
+    rows = docs.join(counts, F.col(fingerprint) == F.col("_print"), "left")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(asked, F.col("_n")).alias(name))

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from almanac.llm import fingerprints, html_text, secret_scan
 
@@ -66,6 +67,26 @@ def test_search_within_a_radius_is_exact(spark):
         assert got == want
 
 
+def test_near_counts_of_the_query(spark, small):
+    from almanac.llm import queries
+
+    rows = queries.op9_simhash_fingerprints(spark, SMALL).collect()
+    prints = [int(r.fingerprint, 16) for r in rows]
+    assert len(rows) == small.count()
+    for r in rows:
+        near = sum((int(r.fingerprint, 16) ^ p).bit_count() <= 3 for p in prints) - 1
+        assert r.n_near == (near if r.doc_id % 20 == 0 else None)
+    assert any(r.n_near for r in rows)
+
+
+def test_numbers_below(spark):
+    pick = random.Random(6)
+    for n in (1, 2, 7, 60, 153):
+        tops = sorted(pick.randrange(-500, 500) for _ in range(n))
+        got = spark.range(-510, 510).select("id", fingerprints._below(tops, F.col("id")).alias("n")).collect()
+        assert all(r.n == sum(t < r.id for t in tops) for r in got)
+
+
 PAGE = (
     "<html><head><title>T t</title><style>p{}</style><script>var a='</p><p>x';</script></head><body>{head}<nav><ul><li><a href='/'>Home page</a></li>"
     "</ul></nav><div class='cookie-notice'><p>We use cookies here</p></div>{open}<h1>A &amp; B</h1><p>First <b>bo</b>ld&nbsp;text\n  here<br>and more."
