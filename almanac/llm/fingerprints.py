@@ -238,7 +238,7 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int =
     first = F.array_position(F.transform(_masks(radius, blocks), lambda m: differ.bitwiseAND(m) == 0), F.lit(True)) - 1
     # a pair meets in every table whose blocks are equal and is taken in the first of these
     return (
-        left.join(right, ["table", "bits"])
+        left.hint("merge").join(right, ["table", "bits"])  # neither side is bounded
         .withColumn("distance", F.bit_count(differ)).where((F.col("distance") <= radius) & (F.col("table") == first))
         .select("query", "found", "distance", "n")
     )
@@ -252,5 +252,5 @@ def near_counts(docs: DataFrame, asked: Column, radius: int = 3, fingerprint: st
     number = F.conv(F.col(fingerprint), 16, -10).cast("long")
     found = within(docs.where(asked).select(number.alias("fingerprint")), docs.select(number.alias("fingerprint")), radius)
     counts = found.groupBy(F.lpad(F.lower(F.hex("query")), 16, "0").alias("_print")).agg((F.sum("n") - 1).alias("_n"))
-    rows = docs.join(counts, F.col(fingerprint) == F.col("_print"), "left")
+    rows = docs.hint("merge").join(counts, F.col(fingerprint) == F.col("_print"), "left")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(asked, F.col("_n")).alias(name))
