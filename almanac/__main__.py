@@ -45,7 +45,7 @@ def _run(warehouse: Warehouse, args: argparse.Namespace) -> int:
                 print(f"{feed}: {row['count']} x {row.left_out} left out, {row.reason}")
                 left_out += row["count"]
         if left_out:
-            print(f"each one is a row of {warehouse.root}/bronze/_faults/<feed>")
+            print(f"almanac.sources.reports.read_faults has them all")
         return 1 if left_out else 0
     if args.command == "seed":
         for name, df in read_seeds(spark, args.landing).items():

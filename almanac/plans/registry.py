@@ -13,9 +13,9 @@ from almanac.operators.quality import run_tests
 from almanac.operators.union import union_drifting
 from almanac.plans import agg, fact, mart, report, silver
 from almanac.plans.column_tests import MODEL_TESTS
+from almanac.sources.bronze import Bronze
 from almanac.sources.feeds import SOURCE
 from almanac.sources.files import path_of
-from almanac.sources.reports import read_bronze
 from almanac.sources.warehouse import Warehouse
 
 
@@ -104,8 +104,9 @@ def _input(warehouse: Warehouse, name: str) -> DataFrame:
 def feed_rows(warehouse: Warehouse, feed: str) -> DataFrame:
     """Bronze rows of a feed: the ingested dataset and any bronze table named <feed>_..."""
     inputs = _tables_by_schema(warehouse, warehouse.tables("bronze", f"{feed}_"))
-    if feed in warehouse.tables("bronze"):
-        inputs[feed] = read_bronze(warehouse.spark, f"{warehouse.root}/bronze", feed)
+    ingested = Bronze(warehouse.spark, f"{warehouse.root}/bronze", feed)
+    if ingested.loaded():
+        inputs[feed] = ingested.read()
     if not inputs:
         raise FileNotFoundError(f"feed {feed!r} has no bronze rows under {warehouse.root}")
     return union_drifting(inputs, SOURCE)

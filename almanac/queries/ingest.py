@@ -11,13 +11,31 @@ from almanac.plans.registry import feed_rows
 from almanac.plans.silver import silver_global
 from almanac.plans.trade import table
 from almanac.queries.registry import query
+from almanac.sources.bronze import Bronze
 from almanac.sources.feeds import FEEDS, typed_cell
 from almanac.sources.files import move_only_file, subfolders
-from almanac.sources.reports import ingest_reports, read_bronze, read_seeds, write_bronze
+from almanac.sources.reports import ingest_reports, read_bronze, read_seeds
 from almanac.sources.stage import stage_folder
 from almanac.sources.warehouse import Warehouse
 
 
+def _event_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as report cells, one file per day."""
+    return table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("fips"),
+        F.col("event_type").alias("province_state"),
+        F.col("value").cast("string").alias("incident_rate"),
+        F.col("user_id").cast("string").alias("confirmed"),
+        F.day("ts").alias("_day"),
+        F.date_format("ts", "MM-dd-yyyy'.csv'").alias("_file"),
+    )
+
+
+def _changed(cells: DataFrame) -> DataFrame:
+    """The files of even days, with other counts."""
+    return cells.filter(F.col("_day") % 2 == 0).withColumn("confirmed", (F.col("confirmed").cast("bigint") + 1000).cast("string"))
+
+
 @query("bronze_reload", """
 SELECT event_id AS fips, event_type AS province_state, value AS incident_rate,
   CASE WHEN day(ts) % 2 = 0 THEN user_id + 1000 ELSE user_id END AS confirmed,
@@ -25,24 +43,47 @@ SELECT event_id AS fips, event_type AS province_state, value AS incident_rate,
 FROM events""")
 def _bronze_reload(spark: SparkSession, sf: str) -> DataFrame:
     """Events as report cells, one file per day; the files of even days are loaded a second time, changed."""
-    cells = table(spark, sf, "events").select(
-        F.col("event_id").cast("string").alias("fips"),
-        F.col("event_type").alias("province_state"),
-        F.col("value").cast("string").alias("incident_rate"),
-        F.col("user_id").alias("confirmed"),
-        F.day("ts").alias("_day"),
-        F.date_format("ts", "MM-dd-yyyy'.csv'").alias("_file"),
-    )
-    as_text = F.col("confirmed").cast("string")
-    changed = (F.col("confirmed") + 1000).cast("string")
-    root = f"{stage_folder(spark)}/bronze-{uuid.uuid4().hex}"
-    write_bronze(cells.withColumn("confirmed", as_text).drop("_day"), "global", root)
-    even = cells.filter(F.col("_day") % 2 == 0)
-    write_bronze(even.withColumn("confirmed", changed).drop("_day"), "global", root)
+    cells = _event_cells(spark, sf)
+    bronze = Bronze(spark, f"{stage_folder(spark)}/bronze-{uuid.uuid4().hex}", "global")
+    bronze.load(cells.drop("_day"))
+    bronze.load(_changed(cells).drop("_day"))
 
     names = ["fips", "province_state", "incident_rate", "confirmed", "lat"]
     typed = [typed_cell(c, FEEDS["global"][c]).alias(c) for c in names]
-    return read_bronze(spark, root, "global").select(*typed, "file_date", "_source")
+    return bronze.read().select(*typed, "file_date", "_source")
+
+
+@query("reload_under_reader", """
+SELECT reader, file_date, COUNT(*) AS n, CAST(SUM(confirmed) AS BIGINT) AS confirmed FROM (
+  SELECT 'began before' AS reader, CAST(ts AS DATE) AS file_date, user_id AS confirmed FROM events
+  UNION ALL
+  SELECT 'began after', CAST(ts AS DATE), CASE WHEN day(ts) % 2 = 0 THEN user_id + 1000 ELSE user_id END FROM events
+) GROUP BY ALL""")
+def _reload_under_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """Readers that began before and after a reload of the files of even days; the first still sees what was there."""
+    cells = _event_cells(spark, sf)
+    bronze = Bronze(spark, f"{stage_folder(spark)}/bronze-{uuid.uuid4().hex}", "global")
+    bronze.load(cells.drop("_day"))
+    before = bronze.read(["confirmed"])
+    bronze.load(_changed(cells).drop("_day"))
+    bronze.clean(keep_hours=1)
+    readers = before.withColumn("reader", F.lit("began before")).unionByName(bronze.read(["confirmed"]).withColumn("reader", F.lit("began after")))
+    return readers.groupBy("reader", "file_date").agg(F.count("*").alias("n"), F.sum(F.col("confirmed").cast("bigint")).alias("confirmed"))
+
+
+@query("rebuild_under_reader", """
+SELECT 'began before' AS reader, o_orderpriority, COUNT(*) AS n FROM orders GROUP BY ALL
+UNION ALL SELECT 'began after', o_orderpriority, COUNT(*) FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""")
+def _rebuild_under_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for a table that is built twice."""
+    warehouse = Warehouse(spark, f"{stage_folder(spark)}/rebuilt-{uuid.uuid4().hex}")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    warehouse.write("gold", "orders_twice", orders, ["o_orderstatus"], "o_orderkey")
+    before = warehouse.read("gold", "orders_twice")
+    warehouse.write("gold", "orders_twice", orders.where("o_orderstatus = 'F'"), ["o_orderstatus"], "o_orderkey")
+    after = warehouse.read("gold", "orders_twice")
+    readers = before.withColumn("reader", F.lit("began before")).unionByName(after.withColumn("reader", F.lit("began after")))
+    return readers.groupBy("reader", "o_orderpriority").agg(F.count("*").alias("n"))
 
 
 # Report files from the order book, one per month, under two headers: months of even number lack some

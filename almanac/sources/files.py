@@ -27,6 +27,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
+def time_of(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in seconds."""
+    files, located = _located(spark, path)
+    return files.getFileStatus(located).getModificationTime() / 1000
+
+
 def files_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
     """(path, size, time of change) of every file of a table: differs once any of them is replaced."""
     files, located = _located(spark, path)

@@ -4,8 +4,7 @@ A feed is a folder of CSV files named MM-DD-YYYY.csv, each with a header row. He
 drift: columns come, go, move and change spelling. All files are parsed in one scan by
 position; what a position means is looked up by the file's header. Cells stay text in bronze.
 
-Bronze is one Parquet dataset per feed, partitioned by file date and source table. A load
-replaces exactly the partitions of the files it accepted, those without rows included;
+A load replaces in bronze exactly the files it accepted, those without rows included, in one step;
 repeating it changes nothing. What a load left out is kept as a table of faults.
 """
 
@@ -13,7 +12,6 @@ from __future__ import annotations
 
 import csv
 import re
-import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
@@ -25,13 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.functions.clean import is_whole, na_to_null, normalize_names, quoted
-from almanac.sources.feeds import FEEDS, REQUIRED, SOURCE, typed_cell
-from almanac.sources.files import exists, path_of, remove_folder
+from almanac.sources.bronze import Bronze
+from almanac.sources.feeds import FEEDS, REQUIRED, typed_cell
+from almanac.sources.files import path_of
 from almanac.sources.stage import stage
 
-FILE_DATE, TABLE = "file_date", "source_table"
-# left_out: file, row or cell. A cell left out is empty in the cleaned tables; its row is loaded.
-FAULTS = "feed string, file string, left_out string, reason string, column string, cell string, line string"
 OPEN_QUOTE, SURPLUS, MISFIT = "quote left open", "row longer than the header", "cell of the wrong type"
 HEADER_CHUNK = 64 * 1024
 FILES_PER_TASK = 200
@@ -129,21 +125,21 @@ def ingest_reports(
 
     `aliases` maps other normalised spellings to the columns that the cleaned tables read,
     as {"case-fatality_ratio": "case_fatality_ratio"}. Without it such columns are kept in
-    bronze under their own names. The faults also stay under <bronze>/_faults/<feed>.
+    bronze under their own names. The faults stay with the load (`read_faults`).
     """
     folder = f"{landing}/{feed}"
     files = list_reports(spark, folder)
     return _ingest(files, _listed(files), lambda reader: reader.option("pathGlobFilter", "*.csv").csv(folder),
-                   feed, bronze, aliases, f"load={uuid.uuid4().hex}")
+                   feed, bronze, aliases)
 
 
 def ingest_files(
-    files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None, load: str | None = None
+    files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None, label: str | None = None
 ) -> DataFrame:
-    """The same for the given files, a bounded number: their paths pass through the driver."""
+    """The same for the given files, a bounded number: their paths pass through the driver. A later load with the same label replaces this one's faults."""
     paths = [row.path for row in files.select("path").collect()]
     given = files.sparkSession.createDataFrame([(p,) for p in paths], "path string")
-    return _ingest(given, _listed(files), lambda reader: reader.csv(paths), feed, bronze, aliases, load or f"load={uuid.uuid4().hex}")
+    return _ingest(given, _listed(files), lambda reader: reader.csv(paths), feed, bronze, aliases, label)
 
 
 def _listed(files: DataFrame) -> set[str]:
@@ -152,7 +148,7 @@ def _listed(files: DataFrame) -> set[str]:
 
 
 def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader], DataFrame], feed: str, bronze: str,
-            aliases: Mapping[str, str] | None, load: str) -> DataFrame:
+            aliases: Mapping[str, str] | None, label: str | None = None) -> DataFrame:
     """A file is left out whole when its header cannot be used or a quote in it is never closed.
 
     A row is left out when it has more cells than its header, or a required cell (a count, the
@@ -183,14 +179,13 @@ def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader]
 
     files_out = unusable.unionByName(_small(spark, [(name, OPEN_QUOTE) for name in torn], "_file string, reason string"))
     found = _faults(usable, files_out, feed)
-    path = f"{bronze}/_faults/{feed}/{load}"
-    found.write.mode("overwrite").parquet(path)
+    place = Bronze(spark, bronze, feed)
     if signatures:
-        _remember_columns(spark, bronze, feed, {name for _, names in signatures for name in names})
         loaded = usable.where(~F.col("_left_out")).drop("_open", "_left_out", "_surplus", "_misfits", "_line", "_signature")
-        write_bronze(loaded, feed, bronze)
-        drop_partitions(spark, accepted.join(loaded.select("_file").distinct(), "_file", "left_anti"), feed, bronze)
-    return spark.read.schema(FAULTS).parquet(path)
+        load = place.load(loaded, accepted, {name for _, names in signatures for name in names}, found, label)
+    else:
+        load = place.load(faults=found, label=label)
+    return place.faults_of(load)
 
 
 def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -288,12 +283,12 @@ def report_empty_files(spark: SparkSession, landing: str, feed: str, bronze: str
     """Keep which files of a feed have no content now; for loads that are only told of files with content."""
     files = list_reports(spark, f"{landing}/{feed}")
     empty = _without_content(spark, files, _listed(files)).select("_file", F.lit("empty file").alias("reason"))
-    _faults(_no_rows(spark), empty, feed).write.mode("overwrite").parquet(f"{bronze}/_faults/{feed}/load=empty-files")
+    Bronze(spark, bronze, feed).load(faults=_faults(_no_rows(spark), empty, feed), label="empty files")
 
 
 def read_faults(spark: SparkSession, bronze: str, feed: str) -> DataFrame:
     """What all loads of a feed left out."""
-    return spark.read.schema(f"{FAULTS}, load string").parquet(f"{bronze}/_faults/{feed}")
+    return Bronze(spark, bronze, feed).faults()
 
 
 def _misfit(column: str, dtype: str) -> Column:
@@ -301,66 +296,9 @@ def _misfit(column: str, dtype: str) -> Column:
     return written & (~is_whole(F.col(column)) if dtype == "bigint" else typed_cell(column, dtype).isNull())
 
 
-def _remember_columns(spark: SparkSession, bronze: str, feed: str, names: set[str]) -> None:
-    """Keep which columns the files of a feed have had, so that one that none has is noticed."""
-    fresh = sorted(names - (seen_columns(spark, bronze, feed) or set()))
-    if fresh:
-        _small(spark, [(n,) for n in fresh], "name string").coalesce(1).write.mode("append").parquet(f"{bronze}/_columns/{feed}")
-
-
-def seen_columns(spark: SparkSession, bronze: str, feed: str) -> set[str] | None:
-    """Columns that any loaded file of the feed had; None when bronze was not written by a load of files."""
-    path = f"{bronze}/_columns/{feed}"
-    return {row.name for row in spark.read.schema("name string").parquet(path).collect()} if exists(spark, path) else None
-
-
-def drop_partitions(spark: SparkSession, files: DataFrame, feed: str, bronze: str) -> None:
-    """Remove the bronze partitions of the given files, where an earlier load filled them."""
-    root = f"{bronze}/{feed}"
-    if not exists(spark, root):
-        return
-    places = files.select(file_date(F.col("_file")).alias(FILE_DATE), source_table(feed, F.col("_file")).alias(TABLE))
-    filled = spark.read.schema(f"{TABLE} string, {FILE_DATE} date").parquet(root).select(FILE_DATE, TABLE).distinct()
-    day = F.coalesce(F.col(FILE_DATE).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-    stale = filled.join(places.alias("p"), filled[TABLE] == F.col(f"p.{TABLE}"), "left_semi").select(day.alias("day"), TABLE)
-    for row in stale.collect():
-        remove_folder(spark, f"{root}/{FILE_DATE}={row.day}/{TABLE}={row[TABLE]}")
-
-
-def source_table(feed: str, file: Column) -> Column:
-    """us + 04-12-2020.csv -> us_04_12_2020"""
-    stem = F.regexp_replace(file, r"\.csv$", "")
-    return F.concat(F.lit(f"{feed}_"), F.replace(stem, F.lit("-"), F.lit("_")))
-
-
-def file_date(file: Column) -> Column:
-    """The date in the file name, NULL when it has none."""
-    written = F.regexp_extract(file, r"^(\d{2}-\d{2}-\d{4})\.csv$", 1)
-    return F.try_to_timestamp(written, F.lit("MM-dd-yyyy")).cast("date")
-
-
-def write_bronze(rows: DataFrame, feed: str, bronze: str) -> None:
-    """Replace the partitions of the files in `rows`, which are brought together so that a partition is few files."""
-    named = rows.withColumns({FILE_DATE: file_date(F.col("_file")), TABLE: source_table(feed, F.col("_file"))})
-    (
-        named.drop("_file").hint("rebalance", F.col(FILE_DATE), F.col(TABLE))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(FILE_DATE, TABLE)
-        .parquet(f"{bronze}/{feed}")
-    )
-
-
 def read_bronze(spark: SparkSession, bronze: str, feed: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Bronze rows of a feed as text cells plus lineage: `columns`, or those columns of the cleaned table that a file has had."""
-    if columns is None:
-        seen = seen_columns(spark, bronze, feed)
-        columns = [n for n in FEEDS[feed] if seen is None or n in seen]
-    names = [*columns]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, TABLE]])
-    schema.add(FILE_DATE, T.DateType())
-    rows = spark.read.schema(schema).parquet(f"{bronze}/{feed}")
-    return rows.select(*map(quoted, names), FILE_DATE, F.concat(F.lit("bronze."), F.col(TABLE)).alias(SOURCE))
+    return Bronze(spark, bronze, feed).read(columns)
 
 
 def seed_table_name(path: str, root: str) -> str:
@@ -381,6 +319,6 @@ def read_seeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ValueError(f"several seed files for the tables {repeated}")
-    if taken := sorted(set(names) & {*FEEDS, "_faults", "_columns"}):
+    if taken := sorted(set(names) & {*FEEDS, "_faults", "_contents", "_commits"}):
         raise ValueError(f"seed files with the names of feeds: {taken}")
     return {n: spark.read.option("header", True).option("inferSchema", True).csv(p) for n, p in zip(names, paths, strict=True)}

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almanac.functions.clean import quoted
 from almanac.sources.files import exists, remove_folder
@@ -19,6 +21,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None) -> DataFrame:
+    """Rows brought together by folder (adaptive execution splits large ones and merges small ones) and sorted within files."""
+    rows = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
+    return rows.sortWithinPartitions(*partition_by, sort_by) if sort_by else rows
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; only a local session falls back to a temporary one."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
@@ -45,8 +53,7 @@ def drop_staged(spark: SparkSession) -> None:
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: str | None = None) -> DataFrame:
     """Write the rows once and return the written table."""
     path = f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    rows = df.sortWithinPartitions(*(partition_by or []), sort_by) if sort_by else df
-    writer = rows.write.mode("errorifexists")
+    writer = clustered(df, partition_by or [], sort_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

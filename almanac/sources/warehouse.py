@@ -3,50 +3,60 @@
 from __future__ import annotations
 
 import re
-import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.sources.files import exists, qualified, remove_folder, subfolders
+from almanac.sources.commits import Commits
+from almanac.sources.files import qualified, remove_folder, subfolders, time_of
+from almanac.sources.stage import clustered
 
 LAYERS = ("bronze", "silver", "gold")
-_VERSION = re.compile(r"v-\d{15}-[0-9a-f]{32}")
+#: Replaced versions stay so long for the readers that have begun with them.
+KEEP_HOURS = 24.0
+_VERSION = re.compile(r"v-[0-9a-f]{32}")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_hours: float = KEEP_HOURS):
         zone = spark.conf.get("spark.sql.session.timeZone")
         if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
             raise ValueError(f"the tables are in UTC: set spark.sql.session.timeZone to UTC, it is {zone}")
-        self.spark, self.root = spark, qualified(spark, root)
+        self.spark, self.root, self.keep_hours = spark, qualified(spark, root), keep_hours
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
 
-    def _versions(self, layer: str, table: str) -> list[str]:
-        """Complete versions of a table, oldest first; Spark marks a write that has ended."""
-        folder = f"{self.root}/{layer}/{table}"
-        names = [n for n in subfolders(self.spark, folder) if _VERSION.fullmatch(n)]
-        return [f"{folder}/{n}" for n in names if exists(self.spark, f"{folder}/{n}/_SUCCESS")]
+    def _commits(self, layer: str, table: str) -> Commits:
+        return Commits(self.spark, f"{self.root}/{layer}/{table}/_commits")
 
     def path(self, layer: str, table: str) -> str:
-        """Where the table's files are now: its newest complete version, or the folder itself (ingested feeds)."""
-        return (self._versions(layer, table) or [f"{self.root}/{layer}/{table}"])[-1]
+        """Where the table's files are now: its committed version, or the folder itself."""
+        folder, version = f"{self.root}/{layer}/{table}", self._commits(layer, table).head().get("version")
+        return f"{folder}/{version}" if version else folder
 
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None) -> None:
         """Replace the table with the rows of `df`.
 
-        They are written to a new version; once it is complete readers and SQL find it, and only then
-        earlier versions go. A run that dies in between leaves a table that can be read. Nothing is renamed.
+        They are written to a new version, which one commit then makes the table. Readers that have begun
+        go on with the version before; it is removed `keep_hours` after it was replaced. Rows are brought
+        together by folder, so that a folder has few files, whatever the number of tasks.
         """
-        earlier = self._versions(layer, table)
-        rows = df.sortWithinPartitions(*partition_by, sort_by) if sort_by else df
-        version = f"v-{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex}"
-        rows.write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
+        version = f"v-{uuid.uuid4().hex}"
+        clustered(df, partition_by, sort_by).write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
+        self._commits(layer, table).commit(lambda _: {"version": version})
         self._name(layer, table)
-        for path in earlier:
-            remove_folder(self.spark, path)
+        self.clean(layer, table)
+
+    def clean(self, layer: str, table: str) -> None:
+        """Remove versions out of use, those of runs that died included."""
+        commits, folder = self._commits(layer, table), f"{self.root}/{layer}/{table}"
+        states, limit = commits.in_use(self.keep_hours * 3600)
+        used = {state["version"] for state in states}
+        for name in subfolders(self.spark, folder):
+            if _VERSION.fullmatch(name) and name not in used and time_of(self.spark, f"{folder}/{name}") < limit:
+                remove_folder(self.spark, f"{folder}/{name}")
+        commits.forget(self.keep_hours * 3600)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))

@@ -21,7 +21,7 @@ def ingest_new_reports(
     """Load the files that earlier runs with the same `state` folder have not loaded.
 
     Only paths flow through the stream; contents are read by the batch load, which
-    replaces whole partitions, so a repeated micro-batch changes nothing. What is left out
+    replaces whole files, so a repeated micro-batch changes nothing. What is left out
     is kept as by the batch load, one set for each micro-batch. A file replaced
     under its old name is not seen as new: load it with the batch ingest.
     """
@@ -31,7 +31,7 @@ def ingest_new_reports(
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        ingest_files(batch, feed, bronze, aliases, f"load=batch-{batch_id}")
+        ingest_files(batch, feed, bronze, aliases, f"batch {batch_id}")
         report_empty_files(spark, landing, feed, bronze)
 
     return (
