@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -34,20 +35,29 @@ def accepted(column: str, *values) -> ColumnTest:
 def run_tests(tables: Mapping[str, DataFrame], tests: Mapping[str, Sequence[ColumnTest]]) -> DataFrame:
     """One row per test of each table: model, column, test, failures, passed.
 
-    Each table is read once for all its tests: a row yields an element per failing not_null or
-    accepted_values test, usually none, and one per unique column. Elements are counted by test and
-    value, combined before the one shuffle, so a value that repeats often is no hot key.
+    Each table is read once for all its tests: a row yields an element of eight bytes per unique column,
+    and one per not_null or accepted_values test that it fails, usually none. Elements are counted by test and
+    key, combined before the one shuffle, so a value that repeats often is no hot key. The key of a value is its
+    64-bit hash, which for types of up to eight bytes no two values share. Texts may: those columns are
+    read again, and only rows whose hash failed are counted by their text. Where none did, nothing is read.
     """
     numbered = [(model, t) for model in tables for t in tests[model]]
-    marks = [
-        _marks(tables[m], [(i, t) for i, (model, t) in enumerate(numbered) if model == m])
-        for m in tables if tests[m]
-    ]
+    own = {m: [(i, t) for i, (model, t) in enumerate(numbered) if model == m] for m in tables if tests[m]}
+    inexact = {m: [(i, t) for i, t in listed if t.test != "not_null" and not _is_exact(tables[m], t.column)] for m, listed in own.items()}
+    inexact = {m: listed for m, listed in inexact.items() if listed}
+    again = [i for listed in inexact.values() for i, _ in listed]
     unique_ids = [i for i, (_, t) in enumerate(numbered) if t.test == "unique"]
-    per_value = reduce(DataFrame.unionByName, marks).groupBy("id", "value").agg(F.count("*").alias("rows"))
-    failing = per_value.filter(~F.col("id").isin(unique_ids) | (F.col("rows") > 1)).groupBy("id").agg(
-        F.sum("rows").alias("rows"), F.count("*").alias("values")
-    )
+    fails = ~F.col("id").isin(unique_ids) | (F.col("rows") > 1)
+
+    marks = reduce(DataFrame.unionByName, [_marks(tables[m], listed) for m, listed in own.items()])
+    per_key = marks.groupBy("id", "key").agg(F.count("*").alias("rows")).filter(fails)
+    failing = per_key.filter(~F.col("id").isin(again)).select("id", "rows")
+    if inexact:
+        texts = reduce(DataFrame.unionByName, [_texts(tables[m], listed) for m, listed in inexact.items()])
+        seen = per_key.filter(F.col("id").isin(again)).select("id", "key")
+        by_text = texts.join(seen, ["id", "key"], "left_semi").groupBy("id", "value").agg(F.count("*").alias("rows"))
+        failing = failing.unionByName(by_text.filter(fails).select("id", "rows"))
+    failing = failing.groupBy("id").agg(F.sum("rows").alias("rows"), F.count("*").alias("values"))
 
     declared = F.array(*[_declared(i, model, t) for i, (model, t) in enumerate(numbered)])
     wanted = next(iter(tables.values())).sparkSession.range(1).select(F.inline(declared))
@@ -63,12 +73,32 @@ def _declared(number: int, model: str, test: ColumnTest) -> Column:
     return F.struct(*[F.lit(value).alias(name) for name, value in parts.items()])
 
 
-def _marks(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
-    marks = F.array_compact(F.array(*[_mark(number, test) for number, test in tests]))
-    return df.select(F.explode(marks).alias("mark")).select("mark.*")
+def _is_exact(df: DataFrame, column: str) -> bool:
+    """Whether the 64-bit hash of the column's type is one-to-one."""
+    kind = df.select(column).schema[0].dataType
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) and not (
+        isinstance(kind, T.DecimalType) and kind.precision > 18)
 
 
-def _mark(number: int, test: ColumnTest) -> Column:
+def _counted(test: ColumnTest) -> Column:
+    """Whether a row's value is counted: for unique columns all values, else those that fail."""
     value = F.col(test.column)
-    counted = {"not_null": value.isNull(), "unique": value.isNotNull(), "accepted_values": ~value.isin(*test.values)}[test.test]
-    return F.when(counted, F.struct(F.lit(number).alias("id"), value.cast("string").alias("value")))
+    return {"not_null": value.isNull(), "unique": value.isNotNull(), "accepted_values": F.coalesce(~value.isin(*test.values), F.lit(False))}[test.test]
+
+
+def _marks(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
+    """(id, key): each value of the unique columns by its hash, and what fails another test."""
+    mark = lambda n, t: F.struct(F.lit(n).alias("id"), F.when(_counted(t), F.xxhash64(t.column)).alias("key"))
+    unique_marks = F.array(*[mark(n, t) for n, t in tests if t.test == "unique"]).cast("array<struct<id:int,key:bigint>>")
+    others = [(n, t) for n, t in tests if t.test != "unique"]
+    marks = unique_marks
+    if others:
+        failed = F.filter(F.array(*[mark(n, t) for n, t in others]), lambda m: m["key"].isNotNull())
+        marks = F.when(reduce(Column.__or__, [_counted(t) for _, t in others]), F.concat(unique_marks, failed)).otherwise(unique_marks)
+    return df.select(F.inline(marks)).where("key IS NOT NULL")
+
+
+def _texts(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
+    """(id, key, value) of the same for columns whose hashes do not tell all values apart."""
+    texts = [F.struct(F.lit(n).alias("id"), F.xxhash64(t.column).alias("key"), F.when(_counted(t), F.col(t.column).cast("string")).alias("value")) for n, t in tests]
+    return df.select(F.inline(F.array(*texts))).where("value IS NOT NULL")

@@ -184,3 +184,37 @@ def test_column_tests(spark):
         ("m", "tag", "accepted_values", 2, False),  # z and y
         ("m", "id", "accepted_values", 0, True),
     ])
+
+
+def test_column_tests_of_all_types(spark):
+    from collections import Counter
+    from decimal import Decimal
+
+    columns = {
+        "a string": ["x", "x", "X", "", None, "é"], "b double": [0.5, 0.5, float("nan"), float("nan"), None, 2.0], "c date": [dt.date(2020, 1, 1)] * 2 + [None] * 4,
+        "d timestamp": [dt.datetime(2020, 1, 1, 0, 0, 0, i % 2) for i in range(6)], "e decimal(30,2)": [Decimal(i // 4) for i in range(6)],
+        "f binary": [b"1", b"1", b"2", None, b"", b""], "g boolean": [True, False, None, None, None, None], "h bigint": [2**62, -(2**62), 0, 0, 0, 1],
+    }
+    df = spark.createDataFrame([*zip(*columns.values())], ", ".join(columns))
+    tests = [unique(c) for c in df.columns] + [accepted("a", "x"), accepted("h", 0), accepted("f", bytearray(b"1"))]
+    got = {(r.column, r.test): r.failures for r in run_tests({"m": df}, {"m": tests}).collect()}
+    for name, values in zip(df.columns, columns.values()):
+        assert got[name, "unique"] == sum(n > 1 for v, n in Counter(map(str, values)).items() if v != "None"), name
+    assert (got["a", "accepted_values"], got["h", "accepted_values"], got["f", "accepted_values"]) == (3, 3, 2)
+
+
+def test_texts_with_one_hash_are_told_apart(spark, monkeypatch):
+    from almanac.operators import quality
+
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "tag string")
+    tests = [unique("tag"), accepted("tag", "a"), not_null("tag")]
+    assert {r.test: r.failures for r in run_tests({"m": df}, {"m": tests}).collect()} == {"unique": 1, "accepted_values": 2, "not_null": 1}
+
+
+def test_texts_are_read_again_only_where_hashes_repeat(spark, tmp_path):
+    spark.range(1000).select(F.col("id").cast("string").alias("key")).write.parquet(str(tmp_path / "t"))
+    rows = run_tests({"m": spark.read.parquet(str(tmp_path / "t"))}, {"m": [unique("key")]})
+    assert [r.passed for r in rows.collect()] == [True]
+    final = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "FileScan" not in final  # the join with no hashes is gone, and its scan with it
