@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 from almanac.plans.registry import run_models, test_models
 from almanac.sources.feeds import FEEDS
-from almanac.sources.reports import ingest_reports, read_seeds
+from almanac.sources.reports import ingest_reports
+from almanac.sources.seeds import read_seeds
 from almanac.sources.stage import drop_staged
 from almanac.sources.warehouse import Warehouse
 
@@ -48,8 +49,7 @@ def _run(warehouse: Warehouse, args: argparse.Namespace) -> int:
             print(f"almanac.sources.reports.read_faults has them all")
         return 1 if left_out else 0
     if args.command == "seed":
-        for name, df in read_seeds(spark, args.landing).items():
-            warehouse.write("bronze", name, df)
+        warehouse.write_all("bronze", read_seeds(spark, args.landing))
         return 0
     selection = {"tags": args.tags.split(",") if args.tags else [], "names": args.models.split(",") if args.models else []}
     if args.command == "run":

@@ -103,7 +103,7 @@ def _input(warehouse: Warehouse, name: str) -> DataFrame:
 
 def feed_rows(warehouse: Warehouse, feed: str) -> DataFrame:
     """Bronze rows of a feed: the ingested dataset and any bronze table named <feed>_..."""
-    inputs = _tables_by_schema(warehouse, warehouse.tables("bronze", f"{feed}_"))
+    inputs = _tables_by_schema(warehouse, f"{feed}_")
     ingested = Bronze(warehouse.spark, f"{warehouse.root}/bronze", feed)
     if ingested.loaded():
         inputs[feed] = ingested.read()
@@ -112,16 +112,10 @@ def feed_rows(warehouse: Warehouse, feed: str) -> DataFrame:
     return union_drifting(inputs, SOURCE)
 
 
-def _tables_by_schema(warehouse: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
+def _tables_by_schema(warehouse: Warehouse, prefix: str) -> dict[str, DataFrame]:
     """One scan per distinct schema, not per table; the table's name comes from the file path."""
-    alike: dict[str, list[str]] = {}
-    schemas = {name: warehouse.read("bronze", name).schema for name in names}
-    for name, schema in schemas.items():
-        alike.setdefault(schema.json(), []).append(name)
     table = F.regexp_extract(path_of(F.col("_metadata.file_path")), r"/bronze/([^/]+)/", 1)
     return {
-        group[0]: warehouse.spark.read.schema(schemas[group[0]])
-        .parquet(*[warehouse.path("bronze", name) for name in group])
-        .withColumn(SOURCE, F.concat(F.lit("bronze."), table))
-        for group in alike.values()
+        paths[0]: warehouse.spark.read.schema(schema).parquet(*paths).withColumn(SOURCE, F.concat(F.lit("bronze."), table))
+        for schema, paths in warehouse.by_schema("bronze", prefix)
     }

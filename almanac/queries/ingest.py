@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from almanac.plans.trade import table
 from almanac.queries.registry import query
 from almanac.sources.bronze import Bronze
 from almanac.sources.feeds import FEEDS, typed_cell
-from almanac.sources.files import move_only_file, subfolders
-from almanac.sources.reports import ingest_reports, read_bronze, read_seeds
-from almanac.sources.stage import stage_folder
+from almanac.sources.files import create_empty, move_only_file, subfolders
+from almanac.sources.reports import ingest_reports, read_bronze
+from almanac.sources.seeds import read_seeds
+from almanac.sources.stage import stage, stage_folder
 from almanac.sources.warehouse import Warehouse
 
 
@@ -188,22 +190,81 @@ def _ingest_reload_empty(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("seed_tables", """
 SELECT 'geo_nation' AS seed, CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation
-UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name FROM region
+UNION ALL SELECT 'book_customer', CAST(c_custkey AS BIGINT), c_name FROM customer
+UNION ALL SELECT 'book_supplier', CAST(s_suppkey AS BIGINT), s_name FROM supplier""")
 def _seed_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Two hand-kept tables as CSV, one of them in a folder, read back under their names with inferred types."""
+    """Hand-kept tables as CSV, in folders and as parts written by several tasks, read back under their names with inferred types."""
+    seeds = _seeds(spark, sf)
+    key = {"geo_nation": "n_nation", "region": "r_region", "book_customer": "c_cust", "book_supplier": "s_supp"}
+    parts = [
+        seeds[name].select(F.lit(name).alias("seed"), F.col(f"{c}key").cast("bigint").alias("key"), F.col(f"{c[0]}_name").alias("name"))
+        for name, c in key.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("seed_types", """
+SELECT seed, "column", kind FROM (VALUES ('book_customer', 'c_custkey', 'int'), ('book_customer', 'c_name', 'string'), ('book_customer', 'c_acctbal', 'double'),
+  ('book_customer', 'c_nationkey', 'int'), ('book_orders', 'o_orderdate', 'date'), ('book_orders', 'o_big', 'bigint'), ('book_orders', 'o_late', 'boolean'),
+  ('book_orders', 'o_mixed', 'string')) AS t(seed, "column", kind)
+WHERE (SELECT COUNT(*) FROM customer) > 0 AND (SELECT COUNT(*) FROM orders) > 0""")
+def _seed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of some seed columns: the narrowest that holds all cells of all parts."""
+    seeds = _seeds(spark, sf)
+    asked = {"book_customer": ["c_custkey", "c_name", "c_acctbal", "c_nationkey"], "book_orders": ["o_orderdate", "o_big", "o_late", "o_mixed"]}
+    rows = [(seed, c, seeds[seed].schema[c].dataType.simpleString()) for seed, columns in asked.items() for c in columns]
+    return spark.createDataFrame(rows, "seed string, column string, kind string")
+
+
+def _seeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Seeds cut from the tables: two small ones as single files, the others as folders of part files."""
     root = f"{stage_folder(spark)}/seeds-{uuid.uuid4().hex}"
     for name, path in (("nation", "geo/nation.csv"), ("region", "region.csv")):
         written = f"{root}-{name}"
         table(spark, sf, name).coalesce(1).write.option("header", True).csv(written)
         move_only_file(spark, written, f"{root}/{path}", ".csv")
-    seeds = read_seeds(spark, root)
-    key = {"geo_nation": "n", "region": "r"}
-    parts = [
-        seeds[name].select(F.lit(name).alias("seed"), F.col(f"{c}_{name.split('_')[-1]}key").cast("bigint").alias("key"),
-                           F.col(f"{c}_name").alias("name"))
-        for name, c in key.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    orders = table(spark, sf, "orders").where("o_orderdate IS NOT NULL").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), (F.col("o_orderkey") + F.lit(3_000_000_000)).alias("o_big"),
+        (F.col("o_orderkey") % 3 == 0).alias("o_late"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(F.col("o_orderstatus")).alias("o_mixed"))
+    for name, rows in (("customer", table(spark, sf, "customer")), ("supplier", table(spark, sf, "supplier")), ("orders", orders)):
+        rows.repartition(4).write.option("header", True).csv(f"{root}/book/{name}.csv")
+    return read_seeds(spark, root)
+
+
+#: Tables of the feed, each with one customer group; three kinds of columns.
+PREFIX_TABLES = 210
+
+
+@query("many_tables_by_prefix", f"""
+SELECT CAST(c_custkey AS BIGINT) AS confirmed, CASE WHEN part % 3 = 0 THEN c_name END AS province_state,
+  CASE WHEN part % 3 = 1 THEN c_mktsegment END AS iso3, CASE WHEN part % 3 = 2 THEN c_acctbal END AS lat, 'bronze.us_' || lpad(CAST(part AS VARCHAR), 3, '0') AS _source
+FROM (SELECT *, c_custkey % {PREFIX_TABLES} AS part FROM customer)""")
+def _many_tables_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in as many tables as they have groups, with three sets of columns: their schemas are found by one job, their rows by three scans."""
+    warehouse = Warehouse(spark, f"{stage_folder(spark)}/many-{uuid.uuid4().hex}")
+    groups = stage(table(spark, sf, "customer").withColumn("part", F.col("c_custkey") % PREFIX_TABLES), "groups", ["part"])
+    kinds = [[F.col("c_custkey").cast("int").alias("Confirmed"), F.col("c_name").alias("Province/State")],
+             [F.col("c_custkey").alias("confirmed"), F.col("c_mktsegment").alias("ISO3")], [F.col("c_custkey").alias("confirmed"), F.col("c_acctbal").alias("lat")]]
+    warehouse.write_all("bronze", {f"us_{part:03d}": groups.where(F.col("part") == part).select(*kinds[part % 3]) for part in range(PREFIX_TABLES)})
+    return feed_rows(warehouse, "us").select("confirmed", "province_state", "iso3", "lat", "_source")
+
+
+@query("ingest_empty_files", f"""
+SELECT _source_table, COUNT(*) AS n FROM ({_CLEANED}) WHERE month(last_updated_at) % 3 <> 0 GROUP BY ALL
+UNION ALL SELECT DISTINCT strftime(CAST(o_orderdate AS DATE), '%m-01-%Y') || '.csv', 0 FROM orders WHERE month(o_orderdate) % 3 = 0""")
+def _ingest_empty_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The files of every third month have no content: they are faults, the others are loaded."""
+    root = f"{stage_folder(spark)}/landing-{uuid.uuid4().hex}"
+    cells = _cells(spark, sf)
+    third = F.substring("_file", 1, 2).cast("int") % 3 == 0
+    _write_files(cells.where(~third), f"{root}/files/global")
+    for row in cells.where(third).select("_file").distinct().collect():  # as many as there are months
+        create_empty(spark, f"{root}/files/global/{row._file}")
+    faults = ingest_reports(spark, f"{root}/files", "global", f"{root}/bronze")
+    loaded = read_bronze(spark, f"{root}/bronze", "global").groupBy(F.col("_source").alias("_source_table")).agg(F.count("*").alias("n"))
+    return loaded.unionByName(faults.where("reason = 'empty file' AND left_out = 'file'").select(F.col("file").alias("_source_table"), F.lit(0).cast("bigint").alias("n")))
 
 
 @query("tables_by_prefix", """

@@ -2,8 +2,8 @@
 
 Every load writes its rows to a folder of its own, `<bronze>/<feed>/load=<id>`, by file date and source
 table, and what it left out to `<bronze>/_faults/<feed>/load=<id>`. Then it writes the new list of
-contents, a small table with a row for each source table and set of faults and the load that has it,
-and commits it. So a load replaces exactly the files it accepted, those without rows included, at once or
+contents, a small table with a row for each source table and set of faults and the load that has it
+and for each file that was seen with its time and length, and commits it. So a load replaces exactly the files it accepted, those without rows included, at once or
 not at all; readers of the list before go on with the folders they know.
 """
 
@@ -27,7 +27,7 @@ FILE_DATE, TABLE, LOAD = "file_date", "source_table", "load"
 # left_out: file, row or cell. A cell left out is empty in the cleaned tables; its row is loaded.
 FAULTS = "feed string, file string, left_out string, reason string, column string, cell string, line string"
 #: `label` names a set of faults; a later load with the same label replaces it. `current` is false for replaced rows.
-_CONTENTS = "kind string, load string, label string, file_date date, source_table string, current boolean"
+_CONTENTS = "kind string, load string, label string, file_date date, source_table string, current boolean, time long, length long"
 
 
 def source_table(feed: str, file: Column) -> Column:
@@ -74,9 +74,12 @@ class Bronze:
 
     def load(
         self, rows: DataFrame | None = None, files: DataFrame | None = None, columns: Iterable[str] | None = None,
-        faults: DataFrame | None = None, label: str | None = None,
+        faults: DataFrame | None = None, label: str | None = None, seen: DataFrame | None = None,
     ) -> str:
-        """One load: `rows` (with `_file`) take the place of all that earlier loads have of `files` (`_file`; those of the rows by default)."""
+        """One load: `rows` (with `_file`) take the place of all that earlier loads have of `files` (`_file`; those of the rows by default).
+
+        `seen`: (file, time, length) of all files that the load looked at.
+        """
         load = uuid.uuid4().hex
         if rows is not None:
             named = rows.withColumns({FILE_DATE: file_date(F.col("_file")), TABLE: source_table(self.feed, F.col("_file"))}).drop("_file")
@@ -94,13 +97,19 @@ class Bronze:
                 old = replaced.distinct().select(F.col(TABLE).alias("_table"))
                 listed = listed.join(old, F.col(TABLE) == F.col("_table"), "left").withColumn("current", F.col("current") & F.col("_table").isNull()).drop("_table")
                 listed = listed.unionByName(written.select(F.lit("rows").alias("kind"), F.lit(load).alias(LOAD), F.lit(None).cast("string").alias("label"),
-                                                           FILE_DATE, TABLE, F.lit(True).alias("current")))
+                                                           FILE_DATE, TABLE, F.lit(True).alias("current"), F.lit(None).cast("long").alias("time"), F.lit(None).cast("long").alias("length")))
             if faults is not None:
                 again = (F.col("kind") == "faults") & (F.col("label") == (label or load))
-                own = self.spark.createDataFrame([("faults", load, label or load, None, None, True)], _CONTENTS)
+                own = self.spark.createDataFrame([("faults", load, label or load, None, None, True, None, None)], _CONTENTS)
                 listed = listed.withColumn("current", F.col("current") & ~again).unionByName(own)
-            seen = state.get("columns") if state else []
-            known = None if seen is None or (rows is not None and columns is None) else sorted({*seen, *(columns or ())})
+            if seen is not None:
+                here = seen.select(F.lit("file").alias("kind"), F.lit(load).alias(LOAD), F.col("file").alias("label"), F.lit(None).cast("date").alias(FILE_DATE),
+                                   F.lit(None).cast("string").alias(TABLE), F.lit(True).alias("current"), "time", "length")
+                again = here.select(F.lit("file").alias("_kind"), F.col("label").alias("_label"))
+                same = (F.col("kind") == F.col("_kind")) & (F.col("label") == F.col("_label"))
+                listed = listed.join(again, same, "left_anti").unionByName(here)
+            had = state.get("columns") if state else []
+            known = None if had is None or (rows is not None and columns is None) else sorted({*had, *(columns or ())})
             return {"contents": self._write_list(listed), "columns": known}
 
         self.commits.commit(change)
@@ -144,6 +153,10 @@ class Bronze:
             rows = rows.join(old, (F.col(LOAD) == F.col("_load")) & (F.col(TABLE) == F.col("_table")), "left_anti")
         return rows.select(*map(quoted, names), FILE_DATE, F.concat(F.lit("bronze."), F.col(TABLE)).alias(SOURCE))
 
+    def files(self) -> DataFrame:
+        """(file, time, length) of the files that loads have looked at, as they were at the last look."""
+        return self._listed(self.commits.head()).where("kind = 'file'").select(F.col("label").alias("file"), "time", "length")
+
     def faults(self) -> DataFrame:
         """What all loads left out."""
         listed = self._listed(self.commits.head()).where("kind = 'faults' AND current")
@@ -171,7 +184,7 @@ class Bronze:
             self.commits.commit(lambda state: state | {"contents": self._write_list(self._listed(state).join(
                 removed, (F.col(LOAD) == F.col("_load")) & (F.col(TABLE) == F.col("_table")), "left_anti"))})
         states, _ = self.commits.in_use(keep_hours * 3600)
-        used = {(r.kind, r[LOAD]) for state in states for r in self._listed(state).where("kind = 'rows' OR current").select("kind", LOAD).distinct().collect()}
+        used = {(r.kind, r[LOAD]) for state in states for r in self._listed(state).where("kind = 'rows' OR kind = 'faults' AND current").select("kind", LOAD).distinct().collect()}
         for kind, at in (("rows", self.rows_at), ("faults", self.faults_at)):
             for name in subfolders(self.spark, at):
                 if name.startswith(f"{LOAD}=") and (kind, name.removeprefix(f"{LOAD}=")) not in used:

@@ -43,6 +43,12 @@ def files_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]
     return tuple(sorted(found))
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether visible files lie directly inside a folder."""
+    files, located = _located(spark, path)
+    return any(s.isFile() and s.getPath().getName()[0] not in "._" for s in files.listStatus(located))
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders directly inside `path`; none when it does not exist."""
     files, located = _located(spark, path)
@@ -64,6 +70,12 @@ def move_only_file(spark: SparkSession, folder: str, to: str, suffix: str) -> No
         raise OSError(f"cannot move {names[0]} to {to}")
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    files, located = _located(spark, path)
+    files.mkdirs(located.getParent())
+    files.create(located, True).close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, located = _located(spark, path)
     files.delete(located, True)

@@ -15,7 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from almanac.functions.clean import is_whole, na_to_null, normalize_names, quoted
 from almanac.sources.bronze import Bronze
 from almanac.sources.feeds import FEEDS, REQUIRED, typed_cell
-from almanac.sources.files import path_of
+from almanac.sources.files import path_of, qualified
 from almanac.sources.stage import stage
 
+LISTING = "path string, time long, length long"
 OPEN_QUOTE, SURPLUS, MISFIT = "quote left open", "row longer than the header", "cell of the wrong type"
 HEADER_CHUNK = 64 * 1024
 FILES_PER_TASK = 200
@@ -37,19 +38,53 @@ _DIRECT_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n
 
 
 def list_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of all report files of a folder; file contents are not read."""
+    """(path, time, length) of all report files of a folder, empty ones included; contents are not read.
+
+    A task lists the folder, so its names do not pass the driver. File systems that only Spark can read
+    are listed by Spark, which leaves empty files out of a scan; the driver adds those.
+    """
+    root = qualified(spark, folder)
+    scheme = root.split(":", 1)[0]
+    if scheme in _DIRECT_SCHEMES:
+        return spark.createDataFrame([(root,)], "path string").mapInPandas(_lister(_DIRECT_SCHEMES), LISTING)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return files.select("path")
+    listed = files.select("path", F.unix_millis("modificationTime").alias("time"), "length")
+    names = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(_one_slash(path_of(F.col("path"))).alias("path"))
+    empty = names.join(listed, "path", "left_anti").select("path", F.lit(0).cast("long").alias("time"), F.lit(0).cast("long").alias("length"))
+    return listed.unionByName(empty)
+
+
+def _lister(schemes: Mapping[str, str]) -> Callable:
+    """A function that runs in tasks, built here so that it travels by value: the report files of folders."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for root in batch["path"]:
+                scheme, rest = root.split(":", 1)
+                rest = "//" + "/" + rest.lstrip("/") if scheme == "file" else rest
+                files, name = fs.FileSystem.from_uri(f"{schemes[scheme]}:{quote(rest)}")
+                found = [f for f in files.get_file_info(fs.FileSelector(name)) if f.type == fs.FileType.File and f.base_name.endswith(".csv")
+                         and f.base_name[0] not in "._"]
+                yield pd.DataFrame({
+                    "path": [f"{root.rstrip('/')}/{f.base_name}" for f in found],
+                    "time": [(f.mtime_ns or 0) // 1_000_000 for f in found], "length": [f.size or 0 for f in found]})
+
+    return run
 
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """The first line of each file, NULL when the file is gone, empty or no UTF-8 text."""
+def read_headers(files: DataFrame, folder: str | None = None) -> DataFrame:
+    """The first line of each file, NULL when the file is gone, empty or no UTF-8 text.
+
+    `folder`, where it is known, saves the driver the names of files that only Spark can read.
+    """
     scheme = files.limit(1).select(F.regexp_extract("path", r"^(\w+):", 1)).collect()
     if scheme and scheme[0][0] not in _DIRECT_SCHEMES:
-        return _scan_headers(files)
+        return _scan_headers(files, folder)
     tasks = max(1, files.count() // FILES_PER_TASK)
     fetch = _header_fetcher(_first_line_reader(HEADER_CHUNK))
-    return files.repartition(tasks).mapInPandas(fetch, "path string, header string")
+    return files.select("path").repartition(tasks).mapInPandas(fetch, "path string, header string")
 
 
 def _first_line_reader(chunk_bytes: int, schemes: Mapping[str, str] = _DIRECT_SCHEMES) -> Callable[[str], str | None]:
@@ -85,11 +120,11 @@ def _header_fetcher(first_line: Callable[[str], str | None]) -> Callable:
     return fetch
 
 
-def _scan_headers(files: DataFrame) -> DataFrame:
+def _scan_headers(files: DataFrame, folder: str | None = None) -> DataFrame:
     """The same through a text scan, for file systems that only Spark can read."""
     spark = files.sparkSession
-    paths = [row.path for row in files.collect()]
-    lines = spark.read.text(paths).select(
+    paths = folder or [row.path for row in files.select("path").collect()]
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -98,8 +133,8 @@ def _scan_headers(files: DataFrame) -> DataFrame:
     first = lines.filter(F.col("start") == 0).groupBy("uri").agg(F.min_by("value", "at").alias("line"))
     line = F.regexp_replace("line", "^\ufeff|\r$", "")
     header = F.when(~line.contains("\ufffd"), F.nullif(line, F.lit("")))
-    found = first.select(F.regexp_replace(path_of(F.col("uri")), "^file:///", "file:/").alias("path"), header.alias("header"))
-    return files.join(found, "path", "left")
+    found = first.select(_one_slash(path_of(F.col("uri"))).alias("path"), header.alias("header"))
+    return files.select("path").join(found, "path", "left")
 
 
 def usable_columns(header: str | None, feed: str, aliases: Mapping[str, str] | None = None) -> list[str]:
@@ -128,26 +163,37 @@ def ingest_reports(
     bronze under their own names. The faults stay with the load (`read_faults`).
     """
     folder = f"{landing}/{feed}"
-    files = list_reports(spark, folder)
-    return _ingest(files, _listed(files), lambda reader: reader.option("pathGlobFilter", "*.csv").csv(folder),
-                   feed, bronze, aliases)
+    files = stage(list_reports(spark, folder), "listing")
+    return _ingest(files, folder, lambda reader: reader.option("pathGlobFilter", "*.csv").csv(folder), feed, bronze, aliases)
 
 
 def ingest_files(
     files: DataFrame, feed: str, bronze: str, aliases: Mapping[str, str] | None = None, label: str | None = None
 ) -> DataFrame:
-    """The same for the given files, a bounded number: their paths pass through the driver. A later load with the same label replaces this one's faults."""
-    paths = [row.path for row in files.select("path").collect()]
-    given = files.sparkSession.createDataFrame([(p,) for p in paths], "path string")
-    return _ingest(given, _listed(files), lambda reader: reader.csv(paths), feed, bronze, aliases, label)
+    """The same for the given files (path, time, length), a bounded number: their paths pass through the driver. A later load with the same label replaces this one's faults."""
+    files = stage(files.select("path", "time", "length"), "listing")
+    paths = [row.path for row in files.where("length > 0").select("path").collect()]
+    read = lambda reader: reader.csv(paths)
+    return _ingest(files, None, read, feed, bronze, aliases, label)
+
 
+def changed_files(spark: SparkSession, landing: str, feed: str, bronze: str) -> DataFrame:
+    """(path, time, length) of the files that loads have seen and that have since been replaced under their names."""
+    now = list_reports(spark, f"{landing}/{feed}").withColumn("file", _name_of("path"))
+    seen = Bronze(spark, bronze, feed).files().select(F.col("file").alias("_file"), F.col("time").alias("_time"), F.col("length").alias("_length"))
+    differs = (F.col("time") != F.col("_time")) | (F.col("length") != F.col("_length"))
+    return now.join(seen, (F.col("file") == F.col("_file")) & differs).select("path", "time", "length")
 
-def _listed(files: DataFrame) -> set[str]:
-    """Names of all files of a listing, those without content included."""
-    return {unquote(uri.rsplit("/", 1)[-1]) for uri in files.inputFiles()}
 
+def _one_slash(uri: Column) -> Column:
+    return F.regexp_replace(uri, "^file:///", "file:/")
 
-def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader], DataFrame], feed: str, bronze: str,
+
+def _name_of(path: str) -> Column:
+    return F.regexp_extract(path, r"([^/]+)$", 1)
+
+
+def _ingest(files: DataFrame, folder: str | None, read: Callable[[DataFrameReader], DataFrame], feed: str, bronze: str,
             aliases: Mapping[str, str] | None, label: str | None = None) -> DataFrame:
     """A file is left out whole when its header cannot be used or a quote in it is never closed.
 
@@ -156,9 +202,8 @@ def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader]
     tables, and its row is loaded.
     """
     spark = files.sparkSession
-    heads = stage(
-        read_headers(files).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("_file"), "header").unionByName(
-            _without_content(spark, files, listed)), "headers")
+    empty = files.where("length = 0").select(_name_of("path").alias("_file"), F.lit("").alias("header"))
+    heads = stage(read_headers(files.where("length > 0"), folder).select(_name_of("path").alias("_file"), "header").unionByName(empty), "headers")
     signatures, refused = _signatures([row.header for row in heads.select("header").distinct().collect()], feed, aliases)
     known = heads.join(_small(spark, [(head, i) for i, (head, _) in enumerate(signatures)], "_head string, _signature int"),
                        F.col("header") == F.col("_head")).select("_file", "_signature")
@@ -180,11 +225,12 @@ def _ingest(files: DataFrame, listed: set[str], read: Callable[[DataFrameReader]
     files_out = unusable.unionByName(_small(spark, [(name, OPEN_QUOTE) for name in torn], "_file string, reason string"))
     found = _faults(usable, files_out, feed)
     place = Bronze(spark, bronze, feed)
+    seen = files.select(_name_of("path").alias("file"), "time", "length")
     if signatures:
         loaded = usable.where(~F.col("_left_out")).drop("_open", "_left_out", "_surplus", "_misfits", "_line", "_signature")
-        load = place.load(loaded, accepted, {name for _, names in signatures for name in names}, found, label)
+        load = place.load(loaded, accepted, {name for _, names in signatures for name in names}, found, label, seen)
     else:
-        load = place.load(faults=found, label=label)
+        load = place.load(faults=found, label=label, seen=seen)
     return place.faults_of(load)
 
 
@@ -197,13 +243,6 @@ def _no_rows(spark: SparkSession) -> DataFrame:
                                      "_misfits array<struct<column:string,cell:string>>")
 
 
-def _without_content(spark: SparkSession, files: DataFrame, listed: set[str]) -> DataFrame:
-    """Files without content, which Spark lists but does not read; their header is empty text."""
-    names = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("_file"))
-    every = _small(spark, [(name,) for name in sorted(listed)], "_file string")
-    return every.join(names, "_file", "left_anti").withColumn("header", F.lit(""))
-
-
 def _signatures(
     headers: list[str | None], feed: str, aliases: Mapping[str, str] | None
 ) -> tuple[list[tuple[str, list[str]]], list[tuple[str | None, str]]]:
@@ -281,8 +320,7 @@ def _faults(rows: DataFrame, files_out: DataFrame, feed: str) -> DataFrame:
 
 def report_empty_files(spark: SparkSession, landing: str, feed: str, bronze: str) -> None:
     """Keep which files of a feed have no content now; for loads that are only told of files with content."""
-    files = list_reports(spark, f"{landing}/{feed}")
-    empty = _without_content(spark, files, _listed(files)).select("_file", F.lit("empty file").alias("reason"))
+    empty = list_reports(spark, f"{landing}/{feed}").where("length = 0").select(_name_of("path").alias("_file"), F.lit("empty file").alias("reason"))
     Bronze(spark, bronze, feed).load(faults=_faults(_no_rows(spark), empty, feed), label="empty files")
 
 
@@ -299,26 +337,3 @@ def _misfit(column: str, dtype: str) -> Column:
 def read_bronze(spark: SparkSession, bronze: str, feed: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Bronze rows of a feed as text cells plus lineage: `columns`, or those columns of the cleaned table that a file has had."""
     return Bronze(spark, bronze, feed).read(columns)
-
-
-def seed_table_name(path: str, root: str) -> str:
-    """<root>/us/2022.csv -> us_2022, <root>/2022.csv -> 2022"""
-    inside = re.split(r"[/\\]", path.split(root.rstrip("/"), 1)[-1].strip("/"))
-    stem = inside[-1].removesuffix(".csv")
-    return f"{inside[-2]}_{stem}" if len(inside) > 1 else stem
-
-
-def read_seeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Hand-kept CSV tables under a folder, by table name, with inferred types.
-
-    ValueError when two files would have one name, or a file the name of a feed.
-    """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-    paths = sorted(row.path for row in listing.load(root).select("path").collect())
-    names = [seed_table_name(p, root) for p in paths]
-    repeated = sorted({n for n in names if names.count(n) > 1})
-    if repeated:
-        raise ValueError(f"several seed files for the tables {repeated}")
-    if taken := sorted(set(names) & {*FEEDS, "_faults", "_contents", "_commits"}):
-        raise ValueError(f"seed files with the names of feeds: {taken}")
-    return {n: spark.read.option("header", True).option("inferSchema", True).csv(p) for n, p in zip(names, paths, strict=True)}

@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.sources.commits import Commits
-from almanac.sources.files import qualified, remove_folder, subfolders, time_of
+from almanac.sources.files import has_files, path_of, qualified, remove_folder, subfolders, time_of
 from almanac.sources.stage import clustered
 
 LAYERS = ("bronze", "silver", "gold")
 #: Replaced versions stay so long for the readers that have begun with them.
 KEEP_HOURS = 24.0
+#: Tables written at the same time by one call.
+AT_ONCE = 8
 _VERSION = re.compile(r"v-[0-9a-f]{32}")
 
 
+def _as_read(schema: T.StructType) -> str:
+    """The schema as written files give it back: anything may be null."""
+    return re.sub(r'("(?:nullable|containsNull|valueContainsNull)"): ?false', r"\1:true", schema.json())
+
+
+def _no_glob(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, keep_hours: float = KEEP_HOURS):
         zone = spark.conf.get("spark.sql.session.timeZone")
@@ -44,10 +60,54 @@ class Warehouse:
         """
         version = f"v-{uuid.uuid4().hex}"
         clustered(df, partition_by, sort_by).write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
-        self._commits(layer, table).commit(lambda _: {"version": version})
-        self._name(layer, table)
+        self._commits(layer, table).commit(lambda _: {"version": version, "schema": _as_read(df.schema)})
+        self._name(layer, table, None if partition_by else T.StructType.fromJson(json.loads(_as_read(df.schema))))
         self.clean(layer, table)
 
+    def write_all(self, layer: str, tables: Mapping[str, DataFrame], at_once: int = AT_ONCE) -> None:
+        """Replace several tables, a few at a time; the first failure is raised when those under way have ended."""
+        with ThreadPoolExecutor(at_once) as pool:
+            for done in [pool.submit(self.write, layer, name, df) for name, df in tables.items()]:
+                done.result()
+
+    def by_schema(self, layer: str, prefix: str = "") -> list[tuple[T.StructType, list[str]]]:
+        """(schema, paths) of the tables whose name starts with exactly this prefix, one entry for each different schema.
+
+        Tasks read the tables' commits, in one job for any number of tables. A table that was not written here
+        has none; its own files are asked, one table after another.
+        """
+        names = self.tables(layer, prefix)
+        if not names:
+            return []
+        found = self._committed(layer, prefix)
+        alike: dict[str, list[str]] = {}
+        for schema, paths in found:
+            alike.setdefault(schema, []).extend(paths)
+        known = {path.rsplit("/", 2)[-2] for _, paths in found for path in paths}
+        for name in names:
+            if name not in known and has_files(self.spark, f"{self.root}/{layer}/{name}"):
+                path = f"{self.root}/{layer}/{name}"
+                alike.setdefault(self.spark.read.parquet(path).schema.json(), []).append(path)
+        return [(T.StructType.fromJson(json.loads(schema)), sorted(paths)) for schema, paths in sorted(alike.items())]
+
+    def _committed(self, layer: str, prefix: str) -> list[tuple[str, list[str]]]:
+        folder = f"{self.root}/{layer}"
+        glob = f"{_no_glob(f'{folder}/{prefix}')}*/_commits/*.json"
+        try:
+            lines = self.spark.read.option("wholetext", True).text(glob)
+        except AnalysisException as fault:
+            if fault.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        place = path_of(F.col("_metadata.file_path"))
+        state = F.from_json("value", "version string, schema string")
+        commits = lines.select(F.regexp_extract(place, r"/([^/]+)/_commits/(\d+)\.json$", 1).alias("table"),
+                               F.regexp_extract(place, r"/(\d+)\.json$", 1).alias("number"), state.alias("state")).where("state.schema IS NOT NULL")
+        newest = commits.groupBy("table").agg(F.max_by("state", "number").alias("state"))
+        path = F.concat(F.lit(f"{folder}/"), "table", F.lit("/"), "state.version")
+        grouped = newest.groupBy("state.schema").agg(F.collect_list(path).alias("paths"))
+        return [(row.schema, row.paths) for row in grouped.collect()]  # as many paths as a reader of these tables names
+
     def clean(self, layer: str, table: str) -> None:
         """Remove versions out of use, those of runs that died included."""
         commits, folder = self._commits(layer, table), f"{self.root}/{layer}/{table}"
@@ -71,12 +131,12 @@ class Warehouse:
             for table in self.tables(layer):
                 self._name(layer, table)
 
-    def _name(self, layer: str, table: str) -> None:
+    def _name(self, layer: str, table: str, schema: T.StructType | None = None) -> None:
         # the catalog takes letters, digits and underscores only
         name, catalog = f"{layer}.`{re.sub(r'[^A-Za-z0-9_]', '_', table)}`", self.spark.catalog
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name only; files stay
-        catalog.createTable(name, path=self.path(layer, table), source="parquet")
-        if any(column.isPartition for column in catalog.listColumns(name)):
+        catalog.createTable(name, path=self.path(layer, table), source="parquet", schema=schema)
+        if schema is None and any(column.isPartition for column in catalog.listColumns(name)):
             catalog.recoverPartitions(name)
 
 

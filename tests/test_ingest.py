@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from almanac.plans.silver import silver_us
 from almanac.sources import reports
 from almanac.sources.reports import (
-    ingest_reports, list_reports, read_bronze, read_faults, read_headers, read_seeds, seed_table_name, usable_columns,
+    ingest_reports, list_reports, read_bronze, read_faults, read_headers, usable_columns,
 )
+from almanac.sources.seeds import read_seeds, seed_table_name
 from almanac.streaming.reports import ingest_new_reports
 from report_files import FAULTS, GLOBAL_FILES, us_files, us_row, write_landing, US_HEADER
 
@@ -157,6 +158,7 @@ def test_one_scan_whatever_the_headers(spark, landing, tmp_path, monkeypatch):
 
 def test_headers_by_text_scan_equal_fetched_headers(spark, landing):
     files = list_reports(spark, str(landing / "us")).unionByName(list_reports(spark, str(landing / "global")))
+    files = files.where("length > 0")
     fetched = {r.path: r.header for r in read_headers(files).collect()}
     scanned = {r.path: r.header for r in reports._scan_headers(files).collect()}
     bad = next(p for p in fetched if p.endswith("bad.csv"))
@@ -229,3 +231,48 @@ def test_stream_loads_what_the_batch_loads(spark, landing, bronze, tmp_path):
     rows = lambda where: sorted(map(str, read_bronze(spark, where, "us").collect()))
     assert rows(root) == rows(bronze[0])
     assert described(read_faults(spark, root, "us").collect()) == FAULTS
+
+
+def test_stream_loads_a_replaced_file_again(spark, landing, tmp_path):
+    mine = shutil.copytree(landing, tmp_path / "landing")
+    root, state, whole = (str(tmp_path / n) for n in ("bronze", "state", "whole"))
+    run = lambda: ingest_new_reports(spark, str(mine), "us", root, state).awaitTermination()
+    run()
+    loads = lambda: len(reports.Bronze(spark, root, "us").commits.history())
+    before = loads()
+    run()  # nothing new: only the list of empty files
+    assert loads() == before + 1
+    day = dt.date(2020, 4, 13)
+    (mine / "us" / "04-13-2020.csv").write_text(US_HEADER + "\n" + us_row("Texas", day, 1))  # replaced
+    (mine / "us" / "04-23-2020.csv").write_text(US_HEADER + "\n" + us_row("Ohio", dt.date(2020, 4, 23), 9))  # was unusable
+    (mine / "us" / "04-12-2020.csv").write_text("")  # emptied: the earlier rows stay
+    (mine / "us" / "04-24-2020.csv").write_text(US_HEADER + "\n" + us_row("Ohio", dt.date(2020, 4, 24), 9))  # new
+    run()
+    ingest_reports(spark, str(landing), "us", whole)
+    ingest_reports(spark, str(mine), "us", whole)
+    rows = lambda where: sorted(map(str, read_bronze(spark, where, "us").collect()))
+    assert rows(root) == rows(whole)
+    empty = [r.file for r in read_faults(spark, root, "us").collect() if r.reason == "empty file"]
+    assert sorted(set(empty)) == ["04-12-2020.csv", "04-22-2020.csv"]
+
+
+def test_listing_has_empty_files_and_no_others(spark, landing):
+    listed = {r.path.rsplit("/", 1)[-1]: r.length for r in list_reports(spark, str(landing / "us")).collect()}
+    assert listed == {p.name: p.stat().st_size for p in (landing / "us").glob("*.csv")} and listed["04-22-2020.csv"] == 0
+    times = {r.path.rsplit("/", 1)[-1]: r.time for r in list_reports(spark, str(landing / "us")).collect()}
+    assert times == {p.name: p.stat().st_mtime_ns // 1_000_000 for p in (landing / "us").glob("*.csv")}
+
+
+def test_listing_without_direct_access_is_the_same(spark, landing, monkeypatch):
+    paths = lambda: {(r.path.rsplit("/", 1)[-1], r.length) for r in list_reports(spark, str(landing / "us")).collect()}
+    direct = paths()
+    monkeypatch.setattr(reports, "_DIRECT_SCHEMES", {})
+    assert paths() == direct
+
+
+def test_ingest_without_direct_access_is_the_same(spark, landing, bronze, tmp_path, monkeypatch):
+    monkeypatch.setattr(reports, "_DIRECT_SCHEMES", {})
+    root = str(tmp_path / "bronze")
+    faults = ingest_reports(spark, str(landing), "us", root).collect()
+    rows = lambda where: sorted(map(str, read_bronze(spark, where, "us").collect()))
+    assert rows(root) == rows(bronze[0]) and described(faults) == FAULTS
