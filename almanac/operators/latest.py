@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.sources.stage import stage
@@ -24,6 +24,25 @@ def latest_overall(df: DataFrame, date: str) -> DataFrame:
     return df.filter(F.col(date) == df.agg(F.max(date)).scalar())
 
 
+def stored_maximum(spark: SparkSession, path: str, column: str):
+    """The largest value of a date or number column of a Parquet table, from the statistics in its files' footers.
+
+    No row group is read: Spark pushes the aggregate to the files where it reads them by its newer reader,
+    which a session of its own is told to use. None for a table without values.
+    """
+    return _maximum(spark, path, column).first()[0]
+
+
+def _maximum(spark: SparkSession, path: str, column: str) -> DataFrame:
+    own = spark.newSession()
+    for name, value in _FOOTERS.items():
+        own.conf.set(name, value)
+    return own.read.parquet(path).agg(F.max(column))
+
+
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
 def rows_of_top_keys(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
     """All rows whose key is among the n keys with the largest `value`."""
     top = (

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.operators.correlate import pearson
-from almanac.operators.latest import latest_overall, rows_of_top_keys
+from almanac.operators.latest import latest_overall, rows_of_top_keys, stored_maximum
 
 
-def latest_snapshot(fact: DataFrame) -> DataFrame:
-    return latest_overall(fact, "report_date").select(
+def latest_snapshot(fact: DataFrame, path: str | None = None) -> DataFrame:
+    """`path`: where the fact is written; the latest date then comes from the files' footers and prunes what is read."""
+    day = path and stored_maximum(fact.sparkSession, path, "report_date")
+    latest = _on(fact, day) if day else latest_overall(fact, "report_date")
+    return latest.select(
         "country_region", "province_state", "report_date", "confirmed_cases", "total_deaths",
         "daily_new_cases", "case_trend", "severity_category",
     )

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from almanac.functions import metrics as m
 from almanac.operators.latest import rows_of_top_keys
 from almanac.plans import adhoc, agg, mart, report, trade
+from almanac.plans.fact import FACT_FOLDERS
 from almanac.plans.trade import table
 from almanac.queries.models import DAILY_SUMMARY, TRENDS, TRENDS_REPORT
 from almanac.queries.registry import on_fact, query, rounded
+from almanac.sources.stage import root_of
 
 DAY = dt.date(1999, 12, 31)  # a day within every test table
 STATE = "NATION_11"
@@ -22,7 +24,8 @@ STATE = "NATION_11"
 SELECT country_region, province_state, report_date, confirmed_cases, total_deaths, daily_new_cases, case_trend,
   severity_category FROM fact WHERE report_date = (SELECT MAX(report_date) FROM fact)"""))
 def _latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return adhoc.latest_snapshot(trade.built_fact(spark, sf))
+    fact = trade.built_fact(spark, sf)
+    return adhoc.latest_snapshot(fact, root_of(fact, FACT_FOLDERS))
 
 
 @query("location_series", on_fact(f"""

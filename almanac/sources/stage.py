@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,12 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
+def root_of(staged: DataFrame, partition_by: Sequence[str] = ()) -> str | None:
+    """The folder of a staged table that is partitioned so; None when it has no rows."""
+    files = staged._jdf.inputFiles()
+    return unquote(files[0].rsplit("/", len(partition_by) + 1)[0]) if len(files) else None
+
+
 def still_there(staged: DataFrame) -> bool:
     """Whether the files of a staged table exist, for callers that keep one across queries."""
     files = staged.inputFiles()

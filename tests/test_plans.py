@@ -164,3 +164,20 @@ def test_all_column_tests_are_one_shuffle_of_values(spark):
     tests = [quality.unique("l_orderkey"), quality.unique("l_shipdate"), quality.not_null("l_tax")]
     rows = quality.run_tests({"lineitem": trade.table(spark, SF_DIR, "lineitem")}, {"lineitem": tests})
     assert simple_plan(rows).count("FileScan parquet") == 1
+
+
+def test_the_latest_date_comes_from_footers(spark, fact):
+    from almanac.operators.latest import _maximum, stored_maximum
+    from almanac.plans.fact import FACT_FOLDERS
+    from almanac.sources.stage import root_of
+
+    path = root_of(fact, FACT_FOLDERS)
+    plan = simple_plan(_maximum(spark, path, "report_date"))
+    assert "PushedAggregation: [MAX(report_date)]" in plan and "BatchScan" in plan
+    day = stored_maximum(spark, path, "report_date")
+    assert day == fact.agg({"report_date": "max"}).first()[0]
+    snapshot = adhoc.latest_snapshot(fact, path)
+    plan = plan_of(snapshot)
+    assert "PartitionFilters: [isnotnull(report_year" in plan and "EqualTo(report_date" in plan and "Subquery" not in plan
+    assert sorted(map(str, snapshot.collect())) == sorted(map(str, adhoc.latest_snapshot(fact).collect()))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
