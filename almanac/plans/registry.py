@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
@@ -16,7 +17,7 @@ from almanac.plans.column_tests import MODEL_TESTS
 from almanac.sources.bronze import Bronze
 from almanac.sources.feeds import SOURCE
 from almanac.sources.files import path_of
-from almanac.sources.warehouse import Warehouse
+from almanac.sources.warehouse import AT_ONCE, Warehouse
 
 
 @dataclass(frozen=True)
@@ -67,29 +68,41 @@ def select_models(tags: Iterable[str] = (), names: Iterable[str] = ()) -> list[M
     return [MODELS[n] for n in TopologicalSorter(edges).static_order() if n in chosen]
 
 
-def run_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[str] = ()) -> list[str]:
-    """Build and write the selected tables in dependency order; the first failure stops the run.
+def run_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[str] = (), at_once: int = AT_ONCE) -> list[str]:
+    """Build and write the selected tables, each once its inputs are written; independent ones at the same time.
 
-    A model reads its inputs as written tables, so lineage ends at each layer.
+    The first failure stops the run when the builds under way have ended. A model reads its inputs as written
+    tables, so lineage ends at each layer. Rows that fail a declared test are counted as they are written.
     """
-    built = []
-    for model in select_models(tags, names):
-        rows = model.build(*[_input(warehouse, name) for name in model.inputs])
-        warehouse.write(model.layer, model.name, rows, model.partition_by, model.sort_by)
-        built.append(model.name)
+    chosen = {model.name: model for model in select_models(tags, names)}
+    order = TopologicalSorter({n: [i for i in m.inputs if i in chosen] for n, m in chosen.items()})
+    order.prepare()
+    built: list[str] = []
+    with ThreadPoolExecutor(at_once) as pool:
+        running: dict[Future, str] = {}
+        while order.is_active():
+            running |= {pool.submit(_build, warehouse, chosen[name]): name for name in order.get_ready()}
+            done, _ = wait(running, return_when=FIRST_COMPLETED)
+            for name in sorted(running.pop(future) for future in done if future.exception() is None):
+                built.append(name)
+                order.done(name)
+            for future in done:
+                future.result()
     return built
 
 
+def _build(warehouse: Warehouse, model: Model) -> None:
+    rows = model.build(*[_input(warehouse, name) for name in model.inputs])
+    warehouse.write(model.layer, model.name, rows, model.partition_by, model.sort_by, MODEL_TESTS.get(model.name, ()))
+
+
 def test_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[str] = ()) -> DataFrame:
     """Results of the declared column tests of the selected tables, one row per test."""
-    tables = {
-        model.name: warehouse.read(model.layer, model.name)
-        for model in select_models(tags, names)
-        if model.name in MODEL_TESTS
-    }
-    if not tables:
+    chosen = [model for model in select_models(tags, names) if model.name in MODEL_TESTS]
+    if not chosen:
         raise ValueError("no declared tests in the selection")
-    return run_tests(tables, MODEL_TESTS)
+    tables = {model.name: warehouse.read(model.layer, model.name) for model in chosen}
+    return run_tests(tables, MODEL_TESTS, {model.name: warehouse.failed(model.layer, model.name) for model in chosen})
 
 
 test_models.__test__ = False  # not a test case

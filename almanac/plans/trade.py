@@ -7,19 +7,22 @@ the fact and everything above it run on it unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from almanac.functions import clean
+from almanac.operators.quality import ColumnTest, watched
+from almanac.plans.column_tests import MODEL_TESTS
 from almanac.plans.fact import FACT_FOLDERS, FACT_SORT, fact_daily
 from almanac.sources.files import files_of
 from almanac.sources.stage import stage, still_there
 
 # Written tables of this process, by application, input folder and state of the input tables.
 _built: dict[tuple, DataFrame] = {}
+_failed: dict[tuple, dict[ColumnTest, int]] = {}
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 
@@ -120,7 +123,7 @@ def built_nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as a written table, built once per application: what marts and reports read."""
-    return build_once("fact", spark, sf_dir, fact, partition_by=list(FACT_FOLDERS), sort_by=FACT_SORT)
+    return build_once("fact", spark, sf_dir, fact, list(FACT_FOLDERS), FACT_SORT, MODEL_TESTS["fct_covid_daily"])
 
 
 def build_once(
@@ -130,10 +133,21 @@ def build_once(
     build: Callable[[SparkSession, str], DataFrame],
     partition_by: list[str] | None = None,
     sort_by: str | None = None,
+    tests: Sequence[ColumnTest] = (),
 ) -> DataFrame:
     """The written table, written again when the input tables have changed or its files are gone."""
-    inputs = tuple(files_of(spark, table_path(sf_dir, t)) for t in _INPUTS)
-    key = (spark.sparkContext.applicationId, sf_dir, name, inputs)
+    key = _key(name, spark, sf_dir)
     if key not in _built or not still_there(_built[key]):
-        _built[key] = stage(build(spark, sf_dir), name, partition_by, sort_by)
+        rows, failed = watched(build(spark, sf_dir), tests)
+        _built[key] = stage(rows, name, partition_by, sort_by)
+        _failed[key] = failed()
     return _built[key]
+
+
+def failed_when_built(name: str, spark: SparkSession, sf_dir: str) -> dict[ColumnTest, int]:
+    """Rows of a table built once that failed its tests, as counted when it was written."""
+    return _failed[_key(name, spark, sf_dir)]
+
+
+def _key(name: str, spark: SparkSession, sf_dir: str) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir, name, tuple(files_of(spark, table_path(sf_dir, t)) for t in _INPUTS))

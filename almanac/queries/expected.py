@@ -52,3 +52,68 @@ def ladder(value: str, steps: tuple) -> str:
     compare, thresholds, default = steps
     whens = " ".join(f"WHEN {value} {compare} {t} THEN '{label}'" for t, label in thresholds)
     return f"CASE {whens} ELSE '{default}' END"
+
+# Which columns of which published table are tested; written out apart from the tests that run.
+TESTS = {
+    "fct_covid_daily": [
+        ("fact_key", "not_null", ()),
+        ("fact_key", "unique", ()),
+        ("data_source", "not_null", ()),
+        ("data_source", "accepted_values", ("US", "Global")),
+        ("country_region", "not_null", ()),
+        ("location_name", "not_null", ()),
+        ("report_date", "not_null", ()),
+        ("confirmed_cases", "not_null", ()),
+        ("case_trend", "accepted_values", ("Increasing", "Decreasing", "Stable", "Unknown")),
+        ("severity_category", "accepted_values", ("Critical", "Very High", "High", "Moderate", "Low", "Very Low")),
+        ("_fact_created_at", "not_null", ()),
+    ],
+    "rpt_top_countries_by_cases": [
+        ("rank_by_cases", "not_null", ()),
+        ("rank_by_cases", "accepted_values", (1, 2, 3, 4, 5)),
+        ("country_region", "not_null", ()),
+        ("country_region", "unique", ()),
+        ("occurrence_frequency", "not_null", ()),
+        ("total_confirmed_cases", "not_null", ()),
+    ],
+    "rpt_covid_trends_over_time": [
+        ("snapshot_date", "not_null", ()),
+        ("province_state", "not_null", ()),
+        ("trend_direction", "accepted_values", ("Increasing", "Decreasing", "Stable", "Unknown")),
+    ],
+    "rpt_correlation_analysis": [
+        ("metric_pair", "not_null", ()),
+        ("metric_pair", "unique", ()),
+        ("correlation_coefficient", "not_null", ()),
+        ("sample_size", "not_null", ()),
+        ("correlation_strength", "accepted_values", ("Very Strong", "Strong", "Moderate", "Weak", "Very Weak or None")),
+        ("correlation_direction", "accepted_values", ("Positive", "Negative", "None")),
+        ("statistical_confidence", "accepted_values", ("High confidence", "Medium confidence", "Low confidence")),
+    ],
+    "agg_daily_summary": [
+        ("snapshot_date", "not_null", ()),
+        ("snapshot_date", "unique", ()),
+    ],
+    "agg_state_summary": [
+        ("province_state", "not_null", ()),
+        ("province_state", "unique", ()),
+        ("impact_category", "accepted_values", ("Top 5 - Critical", "Top 10 - Severe", "Top 20 - High", "Moderate", "Lower Impact")),
+    ],
+    "agg_country_summary": [
+        ("country_region", "not_null", ()),
+        ("country_region", "unique", ()),
+        ("global_impact_tier", "accepted_values", ("Top 10 Globally", "Top 25 Globally", "Top 50 Globally", "Other")),
+        ("severity_classification", "accepted_values", ("Very High Severity", "High Severity", "Moderate Severity", "Low Severity", "Very Low Severity")),
+    ],
+    "mart_top_countries": [
+        ("rank_by_cases", "not_null", ()),
+        ("country_region", "not_null", ()),
+    ],
+    "mart_covid_trends": [
+        ("report_date", "not_null", ()),
+    ],
+    "mart_correlation_metrics": [
+        ("metric_pair", "not_null", ()),
+        ("correlation_coefficient", "not_null", ()),
+    ],
+}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almanac.operators.quality import ColumnTest, watched
 from almanac.sources.commits import Commits
 from almanac.sources.files import has_files, path_of, qualified, remove_folder, subfolders, time_of
 from almanac.sources.stage import clustered
@@ -51,16 +52,21 @@ class Warehouse:
         folder, version = f"{self.root}/{layer}/{table}", self._commits(layer, table).head().get("version")
         return f"{folder}/{version}" if version else folder
 
-    def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None) -> None:
+    def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None,
+              tests: Sequence[ColumnTest] = ()) -> None:
         """Replace the table with the rows of `df`.
 
+        Rows that fail one of the `tests` are counted as they are written; the commit keeps the counts.
+
         They are written to a new version, which one commit then makes the table. Readers that have begun
         go on with the version before; it is removed `keep_hours` after it was replaced. Rows are brought
         together by folder, so that a folder has few files, whatever the number of tasks.
         """
         version = f"v-{uuid.uuid4().hex}"
-        clustered(df, partition_by, sort_by).write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
-        self._commits(layer, table).commit(lambda _: {"version": version, "schema": _as_read(df.schema)})
+        rows, failed = watched(df, tests)
+        clustered(rows, partition_by, sort_by).write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
+        counts = [[t.column, t.test, list(t.values), n] for t, n in failed().items()]
+        self._commits(layer, table).commit(lambda _: {"version": version, "schema": _as_read(df.schema), "tests": counts})
         self._name(layer, table, None if partition_by else T.StructType.fromJson(json.loads(_as_read(df.schema))))
         self.clean(layer, table)
 
@@ -118,6 +124,10 @@ class Warehouse:
                 remove_folder(self.spark, f"{folder}/{name}")
         commits.forget(self.keep_hours * 3600)
 
+    def failed(self, layer: str, table: str) -> dict[ColumnTest, int]:
+        """Rows of the table that failed a test, as counted when it was written."""
+        return {ColumnTest(c, t, tuple(v)): n for c, t, v, n in self._commits(layer, table).head().get("tests", [])}
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
