@@ -2,8 +2,7 @@
 
 The input of every function here is one row per group. A window without partitions runs
 in one task, so it is used only up to ONE_TASK_ROWS groups, a number that is counted, not
-assumed. Beyond it rows are range-partitioned by the rank order, numbered inside each
-range, and shifted by the sizes of the ranges before.
+assumed. Beyond it all ranks are numbered by one range shuffle.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,18 +56,7 @@ def with_ranks(
             columns[p.name] = round_half_up(share, 4)
         return groups.withColumns(columns)
 
-    ranges = 2 * math.ceil(rows / one_task_rows)
-    result = groups
-    for column in (*ranks, *percentiles):
-        # Only key and value are sorted; the number is joined back to the group by its key.
-        narrow = groups.select(key, column.value)
-        if isinstance(column, Rank):
-            placed = _number_in_ranges(narrow, _descending(column.value, key), column.name, ranges)
-        else:
-            placed = _percent_in_ranges(narrow, column, key, rows, ranges)
-        own = placed.select(F.col(key).alias("_key"), column.name)
-        result = result.join(own, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    return result
+    return _ranked_in_ranges(groups, key, [*ranks, *percentiles], rows, one_task_rows)
 
 
 def with_share(groups: DataFrame, value: str, name: str, whole: DataFrame | None = None) -> DataFrame:
@@ -87,33 +76,42 @@ def _descending(value: str, key: str) -> list[Column]:
     return [F.col(value).desc_nulls_first(), F.col(key).asc_nulls_last()]
 
 
-def _number_in_ranges(df: DataFrame, order: list[Column], name: str, ranges: int) -> DataFrame:
+_IN_PARTITION = 33  # bits of monotonically_increasing_id that count inside a partition
+
+
+def _ranked_in_ranges(groups: DataFrame, key: str, columns: Sequence[Rank | Percentile], rows: int, one_task_rows: int) -> DataFrame:
+    """All ranks from one range shuffle and one staged table, whatever their number, joined back to the groups once.
+
+    Every group gives an entry for each rank. Entries are dealt to ranges by (rank, value, key) and sorted there; an
+    entry's place in its range, plus the sizes of the ranges before, less the entries of the ranks before, is its number.
+    """
+    places = range(len(columns))
+    entry = lambda i: F.struct(F.lit(i).alias("_rank"), F.col(key).alias("_key"), *[
+        (F.col(c.value) if i == j else F.lit(None).cast(groups.schema[c.value].dataType)).alias(f"_v{j}") for j, c in enumerate(columns)])
+    order = [F.col("_rank").asc()]
+    order += [F.col(f"_v{i}").desc_nulls_first() if isinstance(c, Rank) else F.col(f"_v{i}").asc_nulls_last() for i, c in enumerate(columns)]
+    order.append(F.col("_key").asc_nulls_last())
+    ranges = 2 * len(columns) * math.ceil(rows / one_task_rows)
     # Staged, because a second evaluation could sample other range bounds.
-    ranged = stage(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    sorted_entries = stage(
+        groups.select(F.inline(F.array(*map(entry, places)))).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    in_range = F.shiftright("_id", _IN_PARTITION)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_range").count().select(
-        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
-    )
-    number = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    offsets = sorted_entries.groupBy(in_range.alias("_range")).count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    place = F.col("_offset") + F.col("_id").bitwiseAND(F.lit((1 << _IN_PARTITION) - 1)) - F.col("_rank") * F.lit(rows) + 1
     # One offset per range: the broadcast holds `ranges` rows.
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, (number + F.col("_offset")).cast("bigint"))
-        .drop("_range", "_offset")
-    )
-
-
-def _percent_in_ranges(df: DataFrame, p: Percentile, key: str, rows: int, ranges: int) -> DataFrame:
-    order = [F.col(p.value).asc_nulls_last(), F.col(key).asc_nulls_last()]
-    numbered = stage(_number_in_ranges(df, order, "_number", ranges), "numbered")
-    # Equal values share the smallest number; grouped first, so a frequent value is one row.
-    # Written, so that its true size decides about a broadcast, which a frequent value needs.
-    first = stage(numbered.groupBy(F.col(p.value).alias("_value")).agg(F.min("_number").alias("_first")), "first")
-    share = (F.col("_first") - 1) / F.lit(float(max(rows - 1, 1)))
-    return (
-        numbered.join(first, F.col(p.value).eqNullSafe(F.col("_value")))
-        .withColumn(p.name, round_half_up(share, 4))
-        .drop("_number", "_value", "_first")
-    )
+    numbered = sorted_entries.join(F.broadcast(offsets), in_range == F.col("_range")).withColumn("_number", place.cast("bigint"))
+
+    shared = [i for i in places if isinstance(columns[i], Percentile)]
+    if shared:
+        # Equal values share the smallest number; grouped first, so a frequent value is one row.
+        # Written, so that its true size decides about a broadcast, which a frequent value needs.
+        own = [F.col(f"_v{i}").alias(f"_w{i}") for i in shared]
+        first = numbered.where(F.col("_rank").isin(shared)).groupBy(F.col("_rank").alias("_of"), *own).agg(F.min("_number").alias("_first"))
+        same = reduce(Column.__and__, [F.col(f"_v{i}").eqNullSafe(F.col(f"_w{i}")) for i in shared], F.col("_rank") == F.col("_of"))
+        numbered = numbered.join(stage(first, "first"), same, "left")
+    share = lambda: round_half_up((F.col("_first") - 1) / F.lit(float(max(rows - 1, 1))), 4)
+    value = [F.col("_number") if isinstance(c, Rank) else share() for c in columns]
+    by_key = numbered.groupBy(F.col("_key")).agg(*[F.max(F.when(F.col("_rank") == i, value[i])).alias(c.name) for i, c in enumerate(columns)])
+    return groups.join(by_key, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
