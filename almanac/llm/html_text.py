@@ -1,12 +1,15 @@
 """Main text of web pages by the maximum-scoring run of words and tags.
 
-A page is a sequence of tags and words. A word scores by where it stands (its block element, in or
-out of the page's main element, in a link) and tags score below zero; both weights are log odds
-learned from pages whose main region is marked, with counts summed by Spark. One linear scan finds
-the contiguous run with the highest score: the content region. What stands in boilerplate elements
-(menus, adverts, forms, comments and the like, by element and by class, id or role) counts nothing
-in the scan and is left out of the region's text; an element that holds most of the page's words is
-never taken for one. A main element decides places only where it holds most of the other words.
+A page is a sequence of tags and words. A word scores by where it stands (its block element, in a
+link or not) and tags score below zero; both weights are log odds learned from pages whose main
+region is marked, with counts summed by Spark. Places and tags do not say whether they are in a main
+element; where a page has one that holds most words, that is added to the score as a fixed bonus, or taken
+from it outside, and tags inside cost next to nothing, so tables and lists end no run. One linear scan
+finds the contiguous run with the highest score: the content region. What stands in boilerplate elements
+(menus, adverts, forms, comments and the like, by element and by class, id or role) counts nothing in the
+scan and is left out of the region's text; an element that holds most of the page's words is never taken
+for one, unless it is marked as reader comments. A page is read once, in time linear in its length, however
+deep its elements are nested.
 
 Character references are decoded; white space inside a block, line breaks included, becomes one
 space; blocks are joined by an empty line, in page order. Nothing else is dropped or capped. Null
@@ -33,36 +36,59 @@ from almanac.llm.common import ship, slices
 TRAIN_PAGES = 2_000
 #: Bounds of a weight, and the least cost of a tag.
 MOST, TAG_COST = 4.0, 0.2
+#: What a word inside the deciding main element gains, and one outside loses; what a tag inside costs.
+MAIN_BONUS, MAIN_TAG_COST = MOST + 1, 0.001
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)", re.S)
+#: A quote opens a value only after an equals sign; elsewhere it is a character of a name.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)|([^<]+|<)", re.S)
 _RAW = frozenset({"script", "style", "textarea", "title"})
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _TEXT_BLOCKS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 dd dt figcaption".split())
+_CELLS = frozenset("li td th caption".split())
 _MAIN = frozenset({"article", "main"})
+#: Tags that come in numbers inside content: they cost little where no labelled page has them.
+_MANY = frozenset("table thead tbody tfoot tr td th caption ul ol li dl dt dd pre br a b i em strong span u code other".split())
 #: Elements that are no part of an article, and words in class, id or role that say the same. Fixed values.
-_BOILERPLATE = frozenset("nav footer aside form menu button dialog head fieldset select template svg iframe".split())
-_MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
+_BOILERPLATE = frozenset("nav footer aside form menu button dialog head fieldset select template svg iframe noscript".split())
+_COMMENTS = frozenset("comment comments commentlist respond disqus".split())
+_MARKS = _COMMENTS | frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies "
     "copyright disclaimer discussion dialog footer form hidden login masthead menu modal nav navbar navigation newsletter notice notices "
     "overlay pagination popup promo promotion recommended related reply replies search share sharing sidebar signup social sponsor "
-    "sponsored subscribe tags toolbar widget widgets alert contentinfo complementary respond".split())
+    "sponsored subscribe tags toolbar widget widgets alert contentinfo complementary".split())
+#: Words that may stand beside a mark in one name, as in site-footer or related-posts. Fixed values.
+_BESIDE = frozenset(
+    "post posts article articles story stories page site main global top bottom left right primary secondary inner outer wrapper wrap "
+    "container holder box block panel bar area section list item items link links button buttons icon icons slot unit zone text content "
+    "body title heading reader readers user users thread media input message policy more fb".split())
 _ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 
-def _is_marked(attributes: str, in_main: bool = False) -> bool:
-    """Words of class, id and role count where all their parts are marks (`cookie-notice`, not `has-sidebar`); inside the main element an id names a section."""
+def _is_mark(word: str, marks: frozenset[str]) -> bool:
+    """`cookie-bar` and `site-footer` are, `has-sidebar` and `post-content` are not."""
+    parts = [p for p in re.split("[-_]+", word) if p]
+    return any(p in marks for p in parts) and all(p in _MARKS or p in _BESIDE for p in parts)
+
+
+def _marked(attributes: str, in_main: bool = False) -> str:
+    """`comments`, `other` or nothing: what class, id and role say. Inside the main element an id names a section, and a discussion is one."""
+    said = ""
     for found in _ATTRIBUTE.findall(attributes):
         name, value = found[0].lower(), "".join(found[1:]).lower()
-        if name in ("class", "role") or name == "id" and not in_main:
-            if any(all(part in _MARKS for part in re.split("[-_]+", word)) for word in value.split()):
-                return True
+        if name in ("class", "role", "id"):
+            words = value.split()
+            if any(_is_mark(word, _COMMENTS) for word in words):
+                return "comments"
+            marks = _MARKS - {"discussion"} if in_main else _MARKS
+            if not (in_main and name == "id") and any(_is_mark(word, marks) for word in words):
+                said = "other"
         elif name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and _NOT_SHOWN.search(value):
-            return True
-    return False
+            said = "other"
+    return said
 
 
 @dataclass(frozen=True)
@@ -77,44 +103,40 @@ class Token:
     boiler: bool
 
 
+class _Open:
+    """An element that is open: in a main element or not, in which block, link and boilerplate."""
+
+    __slots__ = ("name", "main", "block", "link", "boiler", "starts", "block_at")
+
+    def __init__(self, name: str, main: bool, block: str, link: bool, boiler: int, starts: bool, block_at: int):
+        self.name, self.main, self.block, self.link, self.boiler, self.starts, self.block_at = name, main, block, link, boiler, starts, block_at
+
+
 def tokens(page: str) -> list[Token]:
     """Tags and text runs in order; script, style, textarea and title are left out."""
-    spared: set[int] = set()
-    while True:
-        out, words_under = _tokens(page, spared)
-        total = sum(words_under.values())
-        large = {start for start, n in words_under.items() if start >= 0 and 2 * n > total}
-        if not large:
-            return out
-        spared |= large
-
-
-def _tokens(page: str, spared: set[int]) -> tuple[list[Token], dict[int, int]]:
-    """Tokens, where boilerplate elements that start at a spared place are none; words under each outermost boilerplate element, and under none (-1)."""
-    out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in main, in boilerplate
-    words_under: dict[int, int] = {}
-    outermost = -1
-    block, at = 0, 0
+    out: list[tuple[str, int, str, int, bool, int]] = []  # the last is the innermost boilerplate element, by number
+    around, first, under, comments = [-1], [0], [0], [False]  # of each boilerplate element; number 0 is none
+    stack = [_Open("", False, "body", False, 0, False, 0)]
+    open_names: dict[str, int] = {}
+    total, block, at = 0, 0, 0
+
+    def pop_to(depth: int) -> None:
+        while len(stack) > depth:
+            gone = stack.pop()
+            open_names[gone.name] -= 1
+            if gone.starts:
+                under[gone.boiler] = total - first[gone.boiler]
+
     while at < len(page):
         found = _TOKEN.match(page, at)
-        here, at = at, found.end()
+        at = found.end()
         closing, name, attributes, text = found.groups()
+        top = stack[-1]
         if text is not None:
-            inner, main, boiler = "body", False, False
-            link = False
-            if stack:
-                main, boiler = stack[-1][1], stack[-1][2]
-                for open_, _, _ in reversed(stack):
-                    link |= open_ == "a"
-                    if open_ in _BLOCKS:
-                        inner = open_
-                        break
             decoded = html.unescape(text)
             words = len(decoded.split())
-            under = outermost if boiler else -1
-            words_under[under] = words_under.get(under, 0) + words
-            out.append(Token(f"{inner}|{int(link)}", words, decoded, block, main, boiler))
+            total += words
+            out.append((f"{top.block}|{int(top.link)}", words, decoded, block, top.main, top.boiler))
             continue
         if name is None:
             continue
@@ -126,34 +148,43 @@ def _tokens(page: str, spared: set[int]) -> tuple[list[Token], dict[int, int]]:
             continue
         is_block = name in _BLOCKS
         block += is_block
-        marked = bool(stack) and stack[-1][2]
+        boiler = top.boiler
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
+            if open_names.get(name):
+                depth = len(stack) - 1
+                while stack[depth].name != name:
+                    depth -= 1
+                pop_to(depth)
         else:
-            if is_block and name not in ("html", "body") and any(open_ == "p" for open_, _, _ in stack):
-                depth = max(i for i, s in enumerate(stack) if s[0] == "p")
-                if not any(s[0] in _BLOCKS for s in stack[depth + 1 :]):
-                    del stack[depth:]
-            if name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                stack.pop()
+            if is_block and name not in ("html", "body") and top.block == "p":  # a block ends a paragraph
+                pop_to(top.block_at)
+            if name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack[-1].name == name:
+                pop_to(len(stack) - 1)
             if name not in _VOID:
-                before = stack[-1] if stack else ("", False, False)
-                boiler = name in _BOILERPLATE or (name not in ("html", "body") and _is_marked(attributes, before[1]))
-                boiler |= name == "header" and not before[1]
-                boiler = before[2] or boiler and here not in spared
-                if boiler and not before[2]:
-                    outermost = here
-                stack.append((name, (before[1] or name in _MAIN) and not boiler, boiler))
-                marked = boiler
+                before = stack[-1]
+                said = _marked(attributes, before.main) if name not in ("html", "body") else ""
+                boiler, starts = before.boiler, False
+                if said or name in _BOILERPLATE or name == "header" and not before.main:
+                    boiler, starts = len(around), True
+                    around.append(before.boiler)
+                    first.append(total)
+                    under.append(-1)
+                    comments.append(said == "comments")
+                stack.append(_Open(name, before.main or name in _MAIN, name if is_block else before.block, before.link or name == "a", boiler, starts,
+                                   len(stack) if is_block else before.block_at))
+                open_names[name] = open_names.get(name, 0) + 1
+        top = stack[-1]
         if name == "br":
-            out.append(Token("+br", 0, " ", block, stack[-1][1] if stack else False, marked))
+            out.append(("+br", 0, " ", block, top.main, boiler))
         else:
             known = name if is_block or name in ("a", "b", "i", "em", "strong", "span", "img", "u", "code", "input", "label") else "other"
-            out.append(Token(f"{'-' if closing else '+'}{known}", 0, "", block, stack[-1][1] if stack else False, marked))
-    return out, words_under
+            out.append((f"{'-' if closing else '+'}{known}", 0, "", block, top.main, boiler))
+    pop_to(1)
+    # an element that holds most words is spared, and what is in one that is not spared goes with it
+    left_out = [False]
+    for number in range(1, len(around)):
+        left_out.append(left_out[around[number]] or comments[number] or 2 * under[number] <= total)
+    return [Token(kind, words, text, place, main and not left_out[boiler], left_out[boiler]) for kind, words, text, place, main, boiler in out]
 
 
 def _main_decides(found: list[Token]) -> bool:
@@ -162,11 +193,6 @@ def _main_decides(found: list[Token]) -> bool:
     return 2 * inside > sum(t.words for t in found if not t.boiler)
 
 
-def _places(token: Token, has_main: bool) -> tuple[str, ...]:
-    """A word's place, with the main element where the page has one, and without."""
-    return (f"{token.kind}|{int(token.main)}", token.kind) if has_main else (token.kind,)
-
-
 @dataclass(frozen=True)
 class Weights:
     words: dict[str, float]
@@ -175,20 +201,20 @@ class Weights:
     def of(self, token: Token, has_main: bool) -> float:
         if token.boiler:  # left out in any case, so it neither ends a run nor carries one
             return 0.0
-        if not token.words:
-            return self.tags.get(token.kind, -1.0) if token.kind[0] in "+-" else 0.0
-        for place in _places(token, has_main):
-            if place in self.words:
-                return token.words * self.words[place]
-        return token.words * _unseen(token, has_main)
+        if token.words:
+            own = self.words.get(token.kind, _unseen(token.kind))
+            return token.words * (own + (MAIN_BONUS if token.main else -MAIN_BONUS) * has_main)
+        if token.kind[0] not in "+-":
+            return 0.0
+        if has_main and token.main:
+            return -MAIN_TAG_COST
+        return self.tags.get(token.kind, -TAG_COST / 4 if token.kind[1:] in _MANY else -2 * TAG_COST)
 
 
-def _unseen(token: Token, has_main: bool) -> float:
+def _unseen(place: str) -> float:
     """Weight of a place that no labelled page has."""
-    if has_main:
-        return MOST / 2 if token.main else -MOST / 2
-    block, link = token.kind.split("|")
-    return (MOST / 2 if block in _TEXT_BLOCKS else 0.25) - (1.0 if link == "1" else 0.0)
+    block, link = place.split("|")
+    return (MOST / 2 if block in _TEXT_BLOCKS else 0.75 if block in _CELLS else 0.25) - (2.0 if link == "1" else 0.0)
 
 
 def _counts(page: str) -> Iterator[tuple[str, int, int]]:
@@ -200,8 +226,7 @@ def _counts(page: str) -> Iterator[tuple[str, int, int]]:
         if t.boiler:
             continue
         if t.words:
-            for place in _places(t, True):
-                yield "w" + place, t.words * t.main, t.words * (not t.main)
+            yield "w" + t.kind, t.words * t.main, t.words * (not t.main)
         elif t.kind[0] in "+-":
             yield "t" + t.kind, int(t.main), int(not t.main)
 
