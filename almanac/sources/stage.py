@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,9 +53,25 @@ def drop_staged(spark: SparkSession) -> None:
     remove_folder(spark, stage_folder(spark))
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: str | None = None) -> DataFrame:
-    """Write the rows once and return the written table."""
-    path = f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, when nothing that reads them lazily is left."""
+    folder = f"run-{uuid.uuid4().hex}"
+    before = _inside.set(folder)
+    try:
+        yield
+    finally:
+        _inside.reset(before)
+        remove_folder(spark, f"{stage_folder(spark)}/{folder}")
+
+
+_inside: ContextVar[str] = ContextVar("inside", default="")
+
+
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: str | None = None, to_stay: bool = False) -> DataFrame:
+    """Write the rows once and return the written table; `to_stay`: not with the tables of a `scratch`."""
+    inside = "" if to_stay else _inside.get()
+    path = "/".join([stage_folder(df.sparkSession), *([inside] if inside else []), f"{name}-{uuid.uuid4().hex}"])
     writer = clustered(df, partition_by or [], sort_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

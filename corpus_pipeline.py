@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from almanac.llm import mixing, near_dedup, packing, secret_scan, toxicity
 from almanac.llm.common import remainder, table
-from almanac.sources.stage import stage
+from almanac.sources.files import remove_folder
+from almanac.sources.stage import root_of, scratch, stage
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -39,8 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids with their places in the training sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
+    """Pieces with their token ids and their places in the training sequences; `packing.sequences` joins them."""
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), with_ids=True)
 
 
 STAGES = [
@@ -56,7 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Rows of the last stage. What a stage has written besides its result goes with it, and the result when the next one has it.
+
+    Null or empty texts, repeated rows and an empty table go through all stages, each as its operator says.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}", to_stay=True)
+        if before:
+            remove_folder(spark, before)
+        before = root_of(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
