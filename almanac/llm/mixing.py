@@ -3,16 +3,18 @@
 1. Each source's texts, in a fixed pseudorandom order, are one stream of words cut into blocks of
    `block_words`. A text's place in the stream is a sum of sizes, made per (source, salt) with as
    many salts as the largest source needs.
-2. A source's target says how many block slots it gets: whole rounds over its blocks, then part of
-   a round. Slots are dealt to output shards by a multinomial draw for each source.
-3. Slot j of a source takes block permutation(j mod blocks) of round j div blocks; the permutation
+2. The mix has as many block slots as the targets need, dealt evenly to output shards. For each shard in
+   turn a multinomial draw says how many of its slots each source gets, with what the sources' targets still
+   lack as weights; these draws decide what is taken. What a draw gives a source beyond its target's last
+   slot, or beyond `most` rounds of its blocks, is drawn again among the others, so totals come close to the targets.
+3. Slot j of a source, counted over the shards, takes block permutation(j mod blocks) of round j div blocks; the permutation
    is a keyed four-round Feistel network on the block index, different for each source and round.
 4. Slots are joined with the blocks by index; what a text gives to the mix is the words of its
    blocks times how often they were drawn.
 
 Targets share all words by weight. A target above `most` times its source stops there and the
-excess is shared again, so no block is drawn more than `most` times. Draws depend on the seed and
-the source name alone: reruns agree.
+excess is shared again, so no block is drawn more than `most` times. Draws depend on the seed and on
+the sources' names and sizes alone: reruns agree. The driver holds a number for each source and shard.
 
 Null text has size 0 and takes nothing; null is a source of its own, last in order. Repeated rows
 are rows of their own. Ties in the order of texts are broken by size; rows that agree in id, source
@@ -49,7 +51,7 @@ class Source:
     size: int
     target: float
     blocks: int
-    slots: int
+    slots: float  # that the target needs
 
 
 def targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, most: float = MOST_ROUNDS) -> dict[str | None, float]:
@@ -73,10 +75,30 @@ def targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, mo
 def _source(name: str | None, size: int, target: float, block_words: int, most: int) -> Source:
     blocks = -(-size // block_words)
     rounds = min(most, math.floor(target / size)) if size else 0
-    rest = min(blocks, round((target - rounds * size) / block_words)) if rounds < most else 0
+    rest = min(blocks, (target - rounds * size) / block_words) if rounds < most else 0
     return Source(name, size, target, blocks, rounds * blocks + rest)
 
 
+def shard_counts(sources: Sequence[Source], shards: int, most: int = MOST_ROUNDS, seed: int = SEED) -> np.ndarray:
+    """Shards x sources: how many slots of each shard each source gets."""
+    pick = np.random.default_rng([seed, *(_key(s.name, s.blocks, seed) for s in sources)])
+    lacks, room = np.array([s.slots for s in sources], float), np.array([most * s.blocks for s in sources], np.int64)
+    total = round(lacks.sum())
+    counts = np.zeros((shards, len(sources)), np.int64)
+    for shard in range(shards):
+        left = total * (shard + 1) // shards - total * shard // shards
+        while left > 0:
+            weight, bound = np.where(room > 0, np.maximum(lacks, 0), 0), np.minimum(room, np.ceil(np.maximum(lacks, 0)).astype(np.int64))
+            if not weight.sum() > 0:
+                weight, bound = room.astype(float), room
+            if not weight.sum() > 0:
+                break  # every block is drawn `most` times
+            drawn = np.minimum(pick.multinomial(left, weight / weight.sum()), bound)
+            counts[shard] += drawn
+            lacks, room, left = lacks - drawn, room - drawn, left - int(drawn.sum())
+    return counts
+
+
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """A keyed permutation of 0 .. n - 1, at the given indexes."""
     half = max(1, (max(1, n - 1).bit_length() + 1) // 2)
@@ -98,22 +120,16 @@ def _key(name: str | None, round_: int, seed: int) -> int:
     return zlib.crc32(f"{seed}|{'' if name is None else 's' + name}|{round_}".encode())
 
 
-def _slots(spark, sources: list[Source], seed: int) -> DataFrame:
-    """(place, block, shard), a row for each slot; place is the source's number."""
-    rows = [(i, s.name, s.blocks, s.slots) for i, s in enumerate(sources) if s.slots]
+def _slots(spark, sources: list[Source], most: int, seed: int) -> DataFrame:
+    """(place, block, shard, slot), a row for each slot; place is the source's number, slot its number in the source."""
     shards = max(64, math.ceil(sum(s.slots for s in sources) / SHARD_SLOTS))
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                counts = np.random.default_rng(_key(row["name"], -1, seed)).multinomial(row["slots"], np.full(shards, 1 / shards))
-                first = 0
-                for shard, count in enumerate(counts.tolist()):
-                    starts = list(range(first, first + count, CHUNK_SLOTS))
-                    first += count
-                    if starts:
-                        yield pa.RecordBatch.from_pylist(
-                            [row | {"shard": shard, "first": a, "past": min(a + CHUNK_SLOTS, first)} for a in starts], schema=drawn_schema)
+    counts = shard_counts(sources, shards, most, seed)
+    rows, first = [], np.zeros(len(sources), np.int64)
+    for shard in range(shards):
+        for i in np.flatnonzero(counts[shard]).tolist():
+            past = int(first[i] + counts[shard, i])
+            rows += [(i, sources[i].name, sources[i].blocks, shard, a, min(a + CHUNK_SLOTS, past)) for a in range(int(first[i]), past, CHUNK_SLOTS)]
+            first[i] = past
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,14 +141,11 @@ def _slots(spark, sources: list[Source], seed: int) -> DataFrame:
                     own = rounds == round_
                     block[own] = permuted(index[own], row["blocks"], _key(row["name"], round_, seed))
                 yield pa.record_batch({"place": pa.array(np.full(len(slot), row["place"], np.int32)), "block": pa.array(block),
-                                       "shard": pa.array(np.full(len(slot), row["shard"], np.int32))})
+                                       "shard": pa.array(np.full(len(slot), row["shard"], np.int32)), "slot": pa.array(slot)})
 
-    drawn_schema = pa.schema([("place", pa.int32()), ("name", pa.string()), ("blocks", pa.int64()), ("slots", pa.int64()),
-                              ("shard", pa.int32()), ("first", pa.int64()), ("past", pa.int64())])
-    given = spark.createDataFrame(rows, "place int, name string, blocks long, slots long")
-    drawn = given.mapInArrow(draw, "place int, name string, blocks long, slots long, shard int, first long, past long")
+    drawn = spark.createDataFrame(rows, "place int, name string, blocks long, shard int, first long, past long")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return drawn.repartition(tasks).mapInArrow(take, "place int, block long, shard int")
+    return drawn.repartition(tasks).mapInArrow(take, "place int, block long, shard int, slot long")
 
 
 def _sizes(text: str) -> Column:
@@ -141,11 +154,12 @@ def _sizes(text: str) -> Column:
 
 @dataclass(frozen=True)
 class Mix:
-    """sources in order; placed: rows with their place in the stream; pieces: their blocks with `times`."""
+    """sources in order; placed: rows with their place in the stream; pieces: their blocks with `times`; slots: the drawn blocks."""
 
     sources: list[Source]
     placed: DataFrame
     pieces: DataFrame
+    slots: DataFrame
 
 
 def plan_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: Sequence[float] = WEIGHTS,
@@ -175,17 +189,25 @@ def plan_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text:
         .join(before, ["place", "_salt"])
         .select("_id", "_source", "_hash", "place", "size", "source_size", "target", (F.col("_before") + F.col("_own")).alias("start"))
     )
-    times = _slots(spark, sources, seed).groupBy("place", "block").agg(F.count("*").alias("times"))
+    slots = _slots(spark, sources, most, seed)
+    times = slots.groupBy("place", "block").agg(F.count("*").alias("times"))
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
     from_ = F.greatest(F.col("start"), F.col("block") * block_words)
     to = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = (
         placed.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
-        .join(times, ["place", "block"], "left")
+        .join(times.hint("merge"), ["place", "block"], "left")  # blocks grow with the input
         .withColumn("times", F.coalesce("times", F.lit(0)))
         .withColumn("word", from_ - F.col("start")).withColumn("words", to - from_)
     )
-    return Mix(sources, placed, pieces)
+    return Mix(sources, placed, pieces, slots)
+
+
+def drawn_blocks(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **settings) -> DataFrame:
+    """(key, source, shard, slot, block, word, words): what each slot of the mix takes: `words` words of a text from its word number `word` on."""
+    made = plan_mix(docs, key, source, text, **settings)
+    taken = made.pieces.drop("times").join(made.slots.hint("merge"), ["place", "block"])
+    return taken.select(F.col("_id").alias(key), F.col("_source").alias(source), "shard", "slot", "block", "word", "words")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:

@@ -223,10 +223,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: one for each component, all with a null key."""
-    kept = near_duplicates(docs, key, text).where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_id")).distinct()
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("_doc"), F.col(key).alias("_id")).where("_id IS NOT NULL")
-    first = Window.partitionBy("_id").orderBy(F.xxhash64(F.col(f"_doc.`{text}`")))
-    single = rows.join(kept, "_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").select("_doc.*")
-    return single.unionByName(docs.where(F.col(key).isNull()))
+    """The rows of `docs` that stay, with all their columns: one of each component, that with the smallest key (null last).
+
+    Texts are compared, whatever their keys: each stands for itself under a hash of its own, so rows with one key or
+    with none are told apart by text. Texts without words are linked with nothing and all stay.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    rows = rows.select("_doc", F.col(f"_doc.`{key}`").alias("_key"), F.col(f"_doc.`{text}`").alias("_text")).withColumn("_text_id", F.xxhash64("_text"))
+    named = near_duplicates(rows.select("_text_id", "_text"), "_text_id", "_text").where("n_shingles > 0")
+    named = stage(named.select(F.col("_text_id").alias("_of"), F.col("component_id").alias("_component")).distinct(), "components")
+    best = F.min(F.struct(F.col("_key").isNull().alias("null"), F.col("_key").alias("key"), F.col("_of").alias("of"))).alias("_best")
+    first = rows.select("_key", "_text_id").join(named, F.col("_text_id") == F.col("_of")).groupBy("_component").agg(best)
+    first = stage(first.select(F.col("_best.key").alias("_best_key"), F.col("_best.of").alias("_best_of")), "kept")
+    chosen = rows.join(first, F.col("_key").eqNullSafe(F.col("_best_key")) & (F.col("_text_id") == F.col("_best_of")))
+    kept = chosen.groupBy("_key", "_text_id").agg(F.first("_doc").alias("_doc"))  # rows that are alike
+    wordless = rows.join(named, F.col("_text_id") == F.col("_of"), "left_anti")
+    return kept.select("_doc.*").unionByName(wordless.select("_doc.*"))

@@ -39,9 +39,9 @@ PIECE_COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long"
 
 def token_pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW,
                  grid: int = GRID, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """(key, start, length, ids_crc32, doc_tokens) for each piece; with_ids adds its ids."""
+    """(key, start, length, ids_crc32, doc_tokens) for each piece; with_ids adds its ids and `document`, a hash that tells texts of one key apart."""
     ship(docs.sparkSession)
-    narrow = docs.select(F.col(key), text_or_empty(text).alias("text"))
+    narrow = docs.select(F.col(key), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("document"))
     kind = narrow.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,18 +58,20 @@ def token_pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
                     lengths.append(b - a)
                     crcs.append(zlib.crc32(raw[4 * a : 4 * b]))
                     totals.append(len(own))
-                    if with_ids:
-                        kept.append(own[a:b])
+                if with_ids:
+                    kept.append(own)
             columns = {
                 key: batch.column(0).take(pa.array(rows, pa.int64())), "start": pa.array(starts, pa.int64()),
                 "length": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(crcs, pa.int64()),
                 "doc_tokens": pa.array(totals, pa.int64()),
             }
             if with_ids:
-                columns["ids"] = pa.array(kept, pa.list_(pa.int64()))
+                offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
+                flat = np.concatenate([np.zeros(0, "<u4"), *kept]).astype(np.int32)
+                columns |= {"document": batch.column(2).take(pa.array(rows, pa.int64())), "ids": pa.ListArray.from_arrays(offsets, pa.array(flat))}
             yield pa.record_batch(columns)
 
-    more = ", ids array<long>" if with_ids else ""
+    more = ", document long, ids array<int>" if with_ids else ""
     return narrow.mapInArrow(run, f"`{key}` {kind}, {PIECE_COLUMNS}{more}")
 
 
@@ -209,5 +211,5 @@ def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
     joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda piece: piece["ids"]))
     whole = packed.groupBy("sequence_id").agg(joined.alias("ids")).withColumn("n_tokens", F.size("ids"))
     power = F.expr("(n_tokens & (n_tokens - 1)) = 0")
-    padding = F.array_repeat(F.lit(pad_id).cast("long"), F.lit(window) - F.col("n_tokens"))
+    padding = F.array_repeat(F.lit(pad_id).cast("int"), F.lit(window) - F.col("n_tokens"))
     return whole.withColumn("ids", F.when(power, F.col("ids")).otherwise(F.concat("ids", padding)))

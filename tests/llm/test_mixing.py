@@ -69,3 +69,40 @@ def test_mixed_documents_hold_the_words_taken(odd, small, none):
                 assert all(w in whole[r.doc_id] for w in WORD.findall(r.text)[:50])
         assert +got == +taken
     assert mixing.mixed_documents(none).count() == 0
+
+
+def test_draws_of_the_shards():
+    sources = [mixing._source(n, size, target, 64, 3) for n, size, target in (("a", 64_000, 190_000.0), ("b", 640_000, 500_000.0), (None, 0, 0.0), ("c", 6_400, 19_200.0))]
+    counts = mixing.shard_counts(sources, 64)
+    assert counts.shape == (64, 4) and (counts >= 0).all() and len({tuple(row) for row in counts.tolist()}) > 50
+    assert abs(counts.sum() - sum(s.slots for s in sources)) <= 1
+    for own, s in zip(counts.sum(axis=0).tolist(), sources, strict=True):
+        assert own <= 3 * s.blocks and abs(own - s.slots) <= 40
+    assert (counts == mixing.shard_counts(sources, 64)).all() and (counts != mixing.shard_counts(sources, 64, seed=1)).any()
+    assert mixing.shard_counts([], 64).sum() == 0
+
+
+def test_taken_is_what_the_drawn_blocks_hold(small, odd, none):
+    """The mix by a plain loop: blocks of each source's stream, slots of the shards, permutations by index."""
+    for docs in (small, odd):
+        made = mixing.plan_mix(docs)
+        shards = max(64, -(-int(sum(s.slots for s in made.sources)) // mixing.SHARD_SLOTS))
+        counts = mixing.shard_counts(made.sources, shards)
+        times = Counter()
+        for place, s in enumerate(made.sources):
+            for slot in range(int(counts[:, place].sum())):
+                key = mixing._key(s.name, slot // s.blocks, mixing.SEED)
+                times[place, int(mixing.permuted(np.array([slot % s.blocks]), s.blocks, key)[0])] += 1
+        want, streams = Counter(), Counter()
+        for r in made.placed.collect():
+            streams[r.place] += r.size
+            taken = 0
+            for word in range(r.start, r.start + r.size):
+                taken += times[r.place, word // mixing.BLOCK_WORDS]
+            want[r._id, r.size, taken] += 1
+        assert Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs).collect()) == want
+        assert [streams[i] for i in range(len(made.sources))] == [s.size for s in made.sources]
+        blocks = mixing.drawn_blocks(docs).collect()
+        assert sum(r.words for r in blocks) == sum(size * 0 + taken * n for (_, size, taken), n in want.items())
+        assert len({(r.source, r.slot) for r in blocks}) == sum(times.values()) and {r.shard for r in blocks} <= set(range(shards))
+    assert mixing.drawn_blocks(none).count() == 0
