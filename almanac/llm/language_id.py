@@ -25,8 +25,10 @@ from almanac.llm.common import ship, slices, text_or_empty
 
 BUCKETS = 1 << 16
 ORDERS = 3
-#: Labelled rows, about, that the model is fitted on: chosen by a hash of the id, whole texts.
-TRAIN_ROWS = 20_000
+#: Labelled rows of each language, about, that the model is fitted on: chosen by a hash of the id, whole texts.
+TRAIN_ROWS = 5_000
+#: Languages, at most: 128 MB of log probabilities.
+MOST_LANGUAGES = 500
 #: Added to every count.
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -61,8 +63,11 @@ def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at[:n][inside], (hashed >> np.uint32(16))[inside].astype(np.int32) & (BUCKETS - 1)
 
 
-def train(rows: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities (languages x buckets), the last column being the prior) from labelled rows."""
+def train(rows: DataFrame, lang: str = "lang", text: str = "text", prior: dict[str, int] | None = None) -> tuple[list[str], np.ndarray]:
+    """(languages, log probabilities (languages x buckets), the last column being the prior) from labelled rows.
+
+    `prior`: rows of each language among all, where `rows` is a sample that does not keep their shares.
+    """
     ship(rows.sparkSession)
     labelled = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
 
@@ -89,9 +94,11 @@ def train(rows: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list
     if langs:
         place = {name: i for i, name in enumerate(langs)}
         counts[[place[x] for x in found["lang"].to_pylist()], found["bucket"].to_numpy()] = found["n"].to_numpy()
-        prior = counts[:, BUCKETS:] / counts[:, BUCKETS:].sum()
+        if prior is not None:
+            counts[:, BUCKETS] = [prior[name] for name in langs]
+        share = counts[:, BUCKETS:] / counts[:, BUCKETS:].sum()
         smooth = counts[:, :BUCKETS] + SMOOTHING
-        counts = np.log(np.hstack([smooth / smooth.sum(axis=1, keepdims=True), prior]))
+        counts = np.log(np.hstack([smooth / smooth.sum(axis=1, keepdims=True), share]))
     return langs, counts.astype(np.float32)
 
 
@@ -133,8 +140,16 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     return narrow.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
-def training_sample(docs: DataFrame, learnable: Column, key: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
-    """About `rows` of the learnable rows, by a hash of the key."""
-    chosen = docs.where(learnable & F.col(key).isNotNull())
-    step = max(1, chosen.count() // max(1, rows))
-    return chosen.where(F.pmod(F.xxhash64(F.col(key)), F.lit(step)) == 0)
+def row_counts(docs: DataFrame, learnable: Column, lang: str = "lang") -> dict[str, int]:
+    """Learnable rows of each language; ValueError beyond MOST_LANGUAGES, whose matrix would be too large to send."""
+    found = docs.where(learnable & F.col(lang).isNotNull()).groupBy(lang).count().limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    return {row[0]: row["count"] for row in found}
+
+
+def training_sample(docs: DataFrame, learnable: Column, counts: dict[str, int], key: str = "doc_id", lang: str = "lang", rows: int = TRAIN_ROWS) -> DataFrame:
+    """Of each language about `rows` of its learnable rows, all where it has fewer than twice as many, by a hash of the key."""
+    steps = docs.sparkSession.createDataFrame([(name, max(1, n // max(1, rows))) for name, n in counts.items()], "_lang string, _step long")
+    chosen = docs.where(learnable & F.col(key).isNotNull()).join(F.broadcast(steps), F.col(lang) == F.col("_lang"))  # MOST_LANGUAGES rows
+    return chosen.where(F.pmod(F.xxhash64(F.col(key)), F.col("_step")) == 0).drop("_lang", "_step")

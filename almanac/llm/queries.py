@@ -24,9 +24,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
-    sample = language_id.training_sample(docs, ~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return language_id.predict(docs, language_id.train(sample), keep=("doc_id", "held_out"))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
+    learnable = ~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    counts = language_id.row_counts(docs, learnable)
+    sample = language_id.training_sample(docs, learnable, counts)
+    return language_id.predict(docs, language_id.train(sample, prior=counts), keep=("doc_id", "held_out"))
 
 
 def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 5) == 0)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)))
     index = toxicity.build_index(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
     return toxicity.score(docs, index, keep=("doc_id", "held_out"))
 

@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples under the exact cosine of supervised TF-IDF weights.
 
 Terms are runs of letters, lower-cased. The index holds at most PER_CLASS examples of each label
 and every term of theirs; none is left out. A term weighs its inverse document frequency, counted

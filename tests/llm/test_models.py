@@ -33,6 +33,61 @@ def test_language_scores_are_bayes():
     assert weights.shape == (2, language_id.BUCKETS + 1)
 
 
+def plain_bayes(rows):
+    """(predicted, probability) of each text by loops: counts of hashed n-grams, sums of logs."""
+    def found(text):
+        points = []
+        for ch in text.lower() + "\n":
+            if ch.isalpha():
+                points.append(ord(ch))
+            elif points and points[-1]:
+                points.append(0)
+        for n in (1, 2, 3):
+            for i in range(len(points) - n + 1):
+                if n == 1 and not points[i]:
+                    continue
+                mixed = sum((points[i + j] + 1) * language_id.PLACES[j] for j in range(n)) % 2**32
+                yield ((mixed ^ (mixed >> 15)) * 2246822507 % 2**32 >> 16) % language_id.BUCKETS
+
+    counts, docs = {}, Counter()
+    for text, lang in rows:
+        if lang is not None and text is not None:
+            docs[lang] += 1
+            counts.setdefault(lang, Counter()).update(found(text))
+    logs = {}
+    for lang, own in counts.items():
+        whole = sum(own.values()) + language_id.SMOOTHING * language_id.BUCKETS
+        logs[lang] = lambda b, own=own, whole=whole: np.log((own[b] + language_id.SMOOTHING) / whole)
+    for text, _ in rows:
+        if text is None or not any(c.isalpha() for c in text):
+            yield "und", 0.0
+            continue
+        scores = {lang: np.log(docs[lang] / sum(docs.values())) + sum(logs[lang](b) for b in found(text)) for lang in sorted(logs)}
+        best = max(scores, key=scores.get)
+        yield best, 1 / sum(np.exp(v - scores[best]) for v in scores.values())
+
+
+def test_language_scores_by_brute_force(spark, odd):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 600").select("doc_id", "text", "lang").limit(60)
+    rows = texts.unionByName(odd.where("doc_id < 10").select("doc_id", "text", "lang")).collect()
+    docs = spark.createDataFrame([(i, r.text, r.lang) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, language_id.train(docs)).collect()}
+    for i, (lang, score) in enumerate(plain_bayes([(r.text, r.lang) for r in rows])):
+        assert got[i][0] == lang and abs(got[i][1] - score) < 0.01, (i, got[i], lang, score)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the same words of a language", "aa") for i in range(3000)] + [(5000 + i, "ganz andere Wörter sind hier", "bb") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = language_id.row_counts(docs, F.lit(True))
+    assert counts == {"aa": 3000, "bb": 3}
+    sample = language_id.training_sample(docs, F.lit(True), counts, rows=100)
+    kept = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert kept["bb"] == 3 and 50 < kept["aa"] < 200 and sample.columns == docs.columns
+    langs, weights = language_id.train(sample, prior=counts)
+    assert langs == ["aa", "bb"] and np.allclose(np.exp(weights[:, -1]), [3000 / 3003, 3 / 3003])
+
+
 def test_language_of_odd_rows(odd, none):
     model = language_id.train(odd)
     rows = language_id.predict(odd, model).collect()
