@@ -16,12 +16,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch, which JVM and worker both hold; and Spark's setting for it with its default.
+BATCH_BYTES = "4m"
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give tasks a copy of this package, once per application, so that workers import it and keep their caches."""
+    """Give tasks a copy of this package, once per application, so that workers import it and keep their caches.
+
+    Rows go to the workers in batches of BATCH_BYTES, unless the session says otherwise than Spark's default.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
