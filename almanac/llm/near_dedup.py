@@ -156,7 +156,9 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         "id", "n", F.shiftleft(F.col("_place").cast("long"), 32).bitwiseOR(F.col("_value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"))
     posts = stage(_prefix(listed, F.lit(COORDINATES), F.lit(COORDINATES - MATCHES + 1)).select("key", "id", "n", "weight"), "posts")
     used = posts.select("id").distinct()
-    sets = stage(_sets(docs.join(used, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))), "sets")
+    # Combined before the shuffle, so that many rows of one id are no hot key.
+    first = docs.groupBy("id").agg(F.min("text").alias("text"))
+    sets = stage(_sets(first.join(used, "id", "left_semi")), "sets")
 
     pivots = posts.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("_minus"), F.col("n").alias("_n"))).alias("_pivot"))
     stars = (
