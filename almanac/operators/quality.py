@@ -50,10 +50,15 @@ def run_tests(
     `known` has rows that failed, as counted when a table was written. They decide not_null tests, and accepted_values
     tests that no row failed; what is left reads the tables.
     """
-    known = known or {}
-    decided = [(m, t, known[m][t]) for m in tables for t in tests[m] if t in known.get(m, {}) and (t.test == "not_null" or not known[m][t])]
-    settled = {(m, t) for m, t, _ in decided}
-    left = {m: [t for t in tests[m] if (m, t) not in settled] for m in tables}
+    decided, left = [], {m: [] for m in tables}
+    for m in tables:
+        counts = (known or {}).get(m)
+        for t in tests[m]:
+            failed = counts.get(t) if counts else None
+            if failed is not None and (t.test == "not_null" or not failed):
+                decided.append((m, t, failed))
+            else:
+                left[m].append(t)
     spark = next(iter(tables.values())).sparkSession
     rows = [(m, t.column, t.test, n, n == 0) for m, t, n in decided]
     parts = [spark.createDataFrame(rows, "model string, column string, test string, failures bigint, passed boolean")] if rows else []
