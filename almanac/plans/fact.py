@@ -11,6 +11,8 @@ from almanac.functions.clean import utc_day
 from almanac.operators.series import HOT_ROWS, SeriesMetrics, with_series
 
 LOCATION = ["data_source", "country_region", "province_state", "admin2"]
+# Buckets of the cleaned tables: the columns of a location that both feeds have.
+PLACE = ("country_region", "province_state")
 # Rows of one location and date are taken in the order of their source table, and then of what is
 # measured: rows that still are equal give the same series in any order, whichever way it is computed.
 SERIES_ORDER = ["report_date", "_source_table", "confirmed_cases", "total_deaths", "people_tested"]
@@ -63,7 +65,13 @@ def _absent(columns: dict[str, str]) -> list[Column]:
 
 
 def combine_feeds(silver_us: DataFrame, silver_global: DataFrame) -> DataFrame:
-    """Align both feeds and stack them. The global feed's own US and unnamed rows are left out."""
+    """Both feeds, aligned and stacked."""
+    us, elsewhere = aligned_feeds(silver_us, silver_global)
+    return us.unionByName(elsewhere)
+
+
+def aligned_feeds(silver_us: DataFrame, silver_global: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both feeds with the same columns. The global feed's own US and unnamed rows are left out."""
     us = silver_us.filter(F.col("snapshot_date").isNotNull()).select(
         F.lit("US").alias("data_source"),
         F.col("snapshot_date").alias("report_date"),
@@ -74,7 +82,7 @@ def combine_feeds(silver_us: DataFrame, silver_global: DataFrame) -> DataFrame:
         utc_day(F.col("last_updated_at")).alias("report_date"),
         *_SHARED, *_absent(_US_ONLY), *_GLOBAL_ONLY,
     )
-    return us.unionByName(elsewhere)
+    return us, elsewhere
 
 
 def fact_daily(
@@ -83,9 +91,14 @@ def fact_daily(
     one_row_per_day: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """One shuffle by location serves all five window columns; the rest is row-wise."""
-    rows = combine_feeds(silver_us, silver_global)
-    rows = with_series(rows, LOCATION, SERIES_ORDER, SERIES, one_row_per_day, hot_rows)
+    """One shuffle by location serves all five window columns, none for a feed in buckets by PLACE; the rest is row-wise.
+
+    A location is in one feed. The series are computed before the feeds are stacked, where their buckets count.
+    """
+    us, elsewhere = (
+        with_series(feed, LOCATION, SERIES_ORDER, SERIES, one_row_per_day, hot_rows) for feed in aligned_feeds(silver_us, silver_global)
+    )
+    rows = us.unionByName(elsewhere)
 
     cases, deaths, tested = F.col("confirmed_cases"), F.col("total_deaths"), F.col("people_tested")
     prev_cases, prev_deaths, prev_tested = F.col("_prev_cases"), F.col("_prev_deaths"), F.col("_prev_tested")

@@ -15,6 +15,7 @@ from almanac.operators.union import union_drifting
 from almanac.plans import agg, fact, mart, report, silver
 from almanac.plans.column_tests import MODEL_TESTS
 from almanac.sources.bronze import Bronze
+from almanac.sources.buckets import buckets_by
 from almanac.sources.feeds import SOURCE
 from almanac.sources.files import path_of
 from almanac.sources.warehouse import AT_ONCE, Warehouse
@@ -29,6 +30,7 @@ class Model:
     build: Callable[..., DataFrame]
     partition_by: tuple[str, ...] = ()
     sort_by: str | None = None
+    bucket_by: tuple[str, ...] = ()
 
 
 def _gold(name: str, tag: str, build: Callable[..., DataFrame], *inputs: str, **kwargs) -> Model:
@@ -41,8 +43,8 @@ SILVER_GLOBAL, SILVER_US = "silver_covid_cases_global", "silver_covid_cases_us"
 MODELS = {
     model.name: model
     for model in [
-        Model(SILVER_GLOBAL, "silver", frozenset({"silver"}), ("feed:global",), silver.silver_global),
-        Model(SILVER_US, "silver", frozenset({"silver"}), ("feed:us",), silver.silver_us),
+        Model(SILVER_GLOBAL, "silver", frozenset({"silver"}), ("feed:global",), silver.silver_global, bucket_by=fact.PLACE),
+        Model(SILVER_US, "silver", frozenset({"silver"}), ("feed:us",), silver.silver_us, bucket_by=fact.PLACE),
         _gold(FACT, "fact", fact.fact_daily, SILVER_US, SILVER_GLOBAL, partition_by=fact.FACT_FOLDERS, sort_by=fact.FACT_SORT),
         _gold("agg_daily_summary", "agg", agg.daily_summary),
         _gold("agg_state_summary", "agg", agg.state_summary),
@@ -93,7 +95,8 @@ def run_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[s
 
 def _build(warehouse: Warehouse, model: Model) -> None:
     rows = model.build(*[_input(warehouse, name) for name in model.inputs])
-    warehouse.write(model.layer, model.name, rows, model.partition_by, model.sort_by, MODEL_TESTS.get(model.name, ()))
+    buckets = buckets_by(warehouse.spark, *model.bucket_by) if model.bucket_by else None
+    warehouse.write(model.layer, model.name, rows, model.partition_by, model.sort_by, MODEL_TESTS.get(model.name, ()), buckets)
 
 
 def test_models(warehouse: Warehouse, tags: Iterable[str] = (), names: Iterable[str] = ()) -> DataFrame:

@@ -16,9 +16,10 @@ from pyspark.sql.window import Window
 from almanac.functions import clean
 from almanac.operators.quality import ColumnTest, watched
 from almanac.plans.column_tests import MODEL_TESTS
-from almanac.plans.fact import FACT_FOLDERS, FACT_SORT, fact_daily
+from almanac.plans.fact import FACT_FOLDERS, FACT_SORT, PLACE, combine_feeds, fact_daily
+from almanac.sources.buckets import Buckets, buckets_by
 from almanac.sources.files import files_of
-from almanac.sources.stage import stage, still_there
+from almanac.sources.stage import stage, stage_in_buckets, still_there
 
 # Written tables of this process, by application, input folder and state of the input tables.
 _built: dict[tuple, DataFrame] = {}
@@ -116,6 +117,11 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_daily(us, elsewhere, one_row_per_day=True)
 
 
+def built_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds, stacked, as a table in buckets by place: series by location read it without a shuffle."""
+    return build_once("reports", spark, sf_dir, lambda s, sf: combine_feeds(*cleaned_reports(s, sf)), buckets=buckets_by(spark, *PLACE))
+
+
 def built_nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily sums as a written table: both feeds read it, so the lines are scanned once."""
     return build_once("nation_days", spark, sf_dir, nation_days)
@@ -134,12 +140,13 @@ def build_once(
     partition_by: list[str] | None = None,
     sort_by: str | None = None,
     tests: Sequence[ColumnTest] = (),
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """The written table, written again when the input tables have changed or its files are gone."""
     key = _key(name, spark, sf_dir)
     if key not in _built or not still_there(_built[key]):
         rows, failed = watched(build(spark, sf_dir), tests)
-        _built[key] = stage(rows, name, partition_by, sort_by)
+        _built[key] = stage_in_buckets(rows, name, buckets) if buckets else stage(rows, name, partition_by, sort_by)
         _failed[key] = failed()
     return _built[key]
 

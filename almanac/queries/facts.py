@@ -19,8 +19,7 @@ PLACE = ["country_region", "province_state", "report_date"]
 
 
 def _series(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fact_plan.combine_feeds(*trade.cleaned_reports(spark, sf))
-    return with_series(rows, fact_plan.LOCATION, fact_plan.SERIES_ORDER, fact_plan.SERIES, one_row_per_day=True)
+    return with_series(trade.built_reports(spark, sf), fact_plan.LOCATION, fact_plan.SERIES_ORDER, fact_plan.SERIES, one_row_per_day=True)
 
 
 @query("fact_daily", on_fact(f"SELECT {', '.join(STABLE_COLUMNS)} FROM fact"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.clean import quoted
+from almanac.sources.buckets import Buckets, open_buckets, write_buckets
 from almanac.sources.files import exists, remove_folder
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -70,8 +71,7 @@ _inside: ContextVar[str] = ContextVar("inside", default="")
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: str | None = None, to_stay: bool = False) -> DataFrame:
     """Write the rows once and return the written table; `to_stay`: not with the tables of a `scratch`."""
-    inside = "" if to_stay else _inside.get()
-    path = "/".join([stage_folder(df.sparkSession), *([inside] if inside else []), f"{name}-{uuid.uuid4().hex}"])
+    path = _new_path(df.sparkSession, name, to_stay)
     writer = clustered(df, partition_by or [], sort_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -79,6 +79,18 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
+def stage_in_buckets(df: DataFrame, name: str, buckets: Buckets) -> DataFrame:
+    """Write the rows once, in buckets: what reads them by those columns again and again shuffles them no more."""
+    path = _new_path(df.sparkSession, name)
+    write_buckets(df, path, buckets)
+    return open_buckets(df.sparkSession, path, df.schema, buckets)
+
+
+def _new_path(spark: SparkSession, name: str, to_stay: bool = False) -> str:
+    inside = "" if to_stay else _inside.get()
+    return "/".join([stage_folder(spark), *([inside] if inside else []), f"{name}-{uuid.uuid4().hex}"])
+
+
 def root_of(staged: DataFrame, partition_by: Sequence[str] = ()) -> str | None:
     """The folder of a staged table that is partitioned so; None when it has no rows."""
     files = staged._jdf.inputFiles()

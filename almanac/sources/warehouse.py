@@ -7,6 +7,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.operators.quality import ColumnTest, watched
+from almanac.sources.buckets import Buckets, create_named, open_buckets, write_buckets
 from almanac.sources.commits import Commits
 from almanac.sources.files import has_files, path_of, qualified, remove_folder, subfolders, time_of
 from almanac.sources.stage import clustered
@@ -31,6 +33,12 @@ def _as_read(schema: T.StructType) -> str:
     return re.sub(r'("(?:nullable|containsNull|valueContainsNull)"): ?false', r"\1:true", schema.json())
 
 
+def _in_buckets(state: dict) -> tuple[T.StructType, Buckets]:
+    """Schema and buckets of a committed version."""
+    held = state["buckets"]
+    return T.StructType.fromJson(json.loads(state["schema"])), Buckets(tuple(held["columns"]), held["number"], tuple(held["sort_by"]))
+
+
 def _no_glob(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
@@ -53,8 +61,8 @@ class Warehouse:
         return f"{folder}/{version}" if version else folder
 
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: str | None = None,
-              tests: Sequence[ColumnTest] = ()) -> None:
-        """Replace the table with the rows of `df`.
+              tests: Sequence[ColumnTest] = (), buckets: Buckets | None = None) -> None:
+        """Replace the table with the rows of `df`, in folders by `partition_by` or in `buckets`.
 
         Rows that fail one of the `tests` are counted as they are written; the commit keeps the counts.
 
@@ -62,11 +70,20 @@ class Warehouse:
         go on with the version before; it is removed `keep_hours` after it was replaced. Rows are brought
         together by folder, so that a folder has few files, whatever the number of tasks.
         """
+        if buckets and (partition_by or sort_by):
+            raise ValueError("folders or buckets; the order of rows within buckets is part of the buckets")
         version = f"v-{uuid.uuid4().hex}"
         rows, failed = watched(df, tests)
-        clustered(rows, partition_by, sort_by).write.partitionBy(*partition_by).parquet(f"{self.root}/{layer}/{table}/{version}")
-        counts = [[t.column, t.test, list(t.values), n] for t, n in failed().items()]
-        self._commits(layer, table).commit(lambda _: {"version": version, "schema": _as_read(df.schema), "tests": counts})
+        path = f"{self.root}/{layer}/{table}/{version}"
+        if buckets:
+            write_buckets(rows, path, buckets)
+        else:
+            clustered(rows, partition_by, sort_by).write.partitionBy(*partition_by).parquet(path)
+        state = {"version": version, "schema": _as_read(df.schema)}
+        state["tests"] = [[t.column, t.test, list(t.values), n] for t, n in failed().items()]
+        if buckets:
+            state["buckets"] = asdict(buckets)
+        self._commits(layer, table).commit(lambda _: state)
         self._name(layer, table, None if partition_by else T.StructType.fromJson(json.loads(_as_read(df.schema))))
         self.clean(layer, table)
 
@@ -129,6 +146,9 @@ class Warehouse:
         return {ColumnTest(c, t, tuple(v)): n for c, t, v, n in self._commits(layer, table).head().get("tests", [])}
 
     def read(self, layer: str, table: str) -> DataFrame:
+        state = self._commits(layer, table).head()
+        if "buckets" in state:
+            return open_buckets(self.spark, f"{self.root}/{layer}/{table}/{state['version']}", *_in_buckets(state))
         return self.spark.read.parquet(self.path(layer, table))
 
     def tables(self, layer: str, prefix: str = "") -> list[str]:
@@ -145,6 +165,10 @@ class Warehouse:
         # the catalog takes letters, digits and underscores only
         name, catalog = f"{layer}.`{re.sub(r'[^A-Za-z0-9_]', '_', table)}`", self.spark.catalog
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name only; files stay
+        state = self._commits(layer, table).head()
+        if "buckets" in state:
+            create_named(self.spark, name, f"{self.root}/{layer}/{table}/{state['version']}", *_in_buckets(state))
+            return
         catalog.createTable(name, path=self.path(layer, table), source="parquet", schema=schema)
         if schema is None and any(column.isPartition for column in catalog.listColumns(name)):
             catalog.recoverPartitions(name)

@@ -36,15 +36,14 @@ def test_lines_are_combined_per_order_before_the_join(spark):
     assert "l_extendedprice" not in scan and "l_shipdate" not in scan
 
 
-def test_fact_shuffles_once_by_location(spark):
+def test_fact_shuffles_each_feed_once_by_location(spark):
     us, elsewhere = trade.cleaned_reports(spark, SF_DIR)
     # the cleaned tables as written tables, as a run over the layers has them
     from almanac.sources.stage import stage
 
     df = fact_plan.fact_daily(stage(us, "us"), stage(elsewhere, "elsewhere"), one_row_per_day=True)
     plan = simple_plan(df)
-    assert plan.count("Exchange") == 1 and plan.count("Window [") == 1
-    assert "hashpartitioning(data_source" in plan
+    assert plan.count("Exchange hashpartitioning(country_region") == plan.count("Exchange") == plan.count("Window [") == 2
 
 
 def test_unused_series_columns_need_no_shuffle(spark):
