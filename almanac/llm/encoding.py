@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words a worker keeps; when full, all but the given frequent ones are forgotten.
+#: Words a worker keeps; when full, all are forgotten.
 CACHE_WORDS = 250_000
 #: Longer words are encoded each time, so that the cache's bytes are bounded too.
 CACHE_WORD_BYTES = 64
@@ -67,10 +68,18 @@ class _Pieces:
         return self._added[0]
 
 
+@dataclass(frozen=True)
+class Lengths:
+    """A table of words and how many tokens each has."""
+
+    words: pa.Array
+    tokens: np.ndarray
+
+
 class Encoder:
-    """ids of texts; `frequent` are words to know from the start."""
+    """ids of texts."""
 
-    def __init__(self, path: str, frequent: tuple[str, ...] = (), most_words: int = CACHE_WORDS):
+    def __init__(self, path: str, most_words: int = CACHE_WORDS):
         self.path, self.most_words = path, most_words
         if path.endswith(".model"):
             import sentencepiece
@@ -92,8 +101,6 @@ class Encoder:
             self._plain_words(spec)
         self.pieces = _Pieces()
         self._clear()
-        self._learn(list(frequent))
-        self.kept = self.words, self.starts, self.lengths, self.ids
 
     def _plain_words(self, spec: dict) -> None:
         """Where the steps before the merges only lower-case and split off marks, letters go straight to the merges."""
@@ -175,24 +182,33 @@ class Encoder:
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])
 
-    def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words per text; then for each word where its ids start and how many there are, and the ids."""
+    def table(self, words: list[str]) -> Lengths:
+        """Lengths of words without white space, each a different one; empty where this vocabulary's tokens span gaps."""
+        if not self.by_word or not words:
+            return Lengths(pa.array([], pa.string()), np.zeros(0, np.int32))
+        return Lengths(pa.array(words, pa.string()), self._encode_words(words)[0].astype(np.int32))
+
+    def _coded(self, texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+        """Words per text, and all words, numbered."""
         split = pc.ascii_split_whitespace(texts)
         flat = split.flatten()
         keep = pc.not_equal(flat, "")
         per_text = np.add.reduceat(np.append(np.asarray(keep, np.int64), 0), split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()) \
             if len(texts) else np.zeros(0, np.int64)
         per_text = np.where(np.diff(split.offsets.to_numpy()) > 0, per_text, 0)
-        coded = flat.filter(keep).dictionary_encode()
+        return per_text, flat.filter(keep).dictionary_encode()
+
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each of the different words where its ids start and how many there are, and the ids."""
         if len(self.words) > self.most_words:
-            self.words, self.starts, self.lengths, self.ids = self.kept
-        known = pc.index_in(coded.dictionary, value_set=self.words)
-        new = coded.dictionary.filter(pc.is_null(known))
+            self._clear()
+        known = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(known))
         short = pc.less_equal(pc.binary_length(new), CACHE_WORD_BYTES)
         self._learn(new.filter(short).to_pylist())
         once = new.filter(pc.invert(short)).to_pylist()
         if new:
-            known = pc.index_in(coded.dictionary, value_set=self.words)
+            known = pc.index_in(words, value_set=self.words)
         at = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         starts, lengths, ids = self.starts, self.lengths, self.ids
         if once:
@@ -200,9 +216,26 @@ class Encoder:
             at[at < 0] = len(starts) + np.arange(len(once))
             starts = np.concatenate([starts, len(ids) + np.cumsum(own) - own])
             lengths, ids = np.concatenate([lengths, own]), np.concatenate([ids, more])
-        codes = at[coded.indices.to_numpy()]
+        return starts[at], lengths[at], ids
+
+    def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words per text; then for each word where its ids start and how many there are, and the ids."""
+        per_text, coded = self._coded(texts)
+        starts, lengths, ids = self._looked_up(coded.dictionary)
+        codes = coded.indices.to_numpy()
         return per_text, starts[codes], lengths[codes], ids
 
+    def _word_lengths(self, words: pa.Array, table: Lengths | None) -> np.ndarray:
+        """Tokens of each of the different words: from the table, and those it misses from the cache."""
+        if table is None or not len(table.words):
+            return self._looked_up(words)[1]
+        found = pc.index_in(words, value_set=table.words)
+        missed = pc.is_null(found).to_numpy(zero_copy_only=False)
+        lengths = table.tokens[pc.fill_null(found, 0).to_numpy(zero_copy_only=False)].astype(np.int64)
+        if missed.any():
+            lengths[missed] = self._looked_up(words.filter(pa.array(missed)))[1]
+        return lengths
+
     def _whole_rows(self, texts: pa.Array) -> np.ndarray:
         if not self.by_word:
             return np.ones(len(texts), bool)
@@ -211,12 +244,13 @@ class Encoder:
             found |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
         return found
 
-    def count(self, texts: pa.Array) -> np.ndarray:
-        """Tokens per text; no nulls in `texts`."""
+    def count(self, texts: pa.Array, table: Lengths | None = None) -> np.ndarray:
+        """Tokens per text; no nulls in `texts`. Only words that the table misses are encoded or kept."""
         whole = self._whole_rows(texts)
         counts = np.zeros(len(texts), np.int64)
         if not whole.all():
-            per_text, _, lengths, _ = self._by_word(texts.filter(pa.array(~whole)))
+            per_text, coded = self._coded(texts.filter(pa.array(~whole)))
+            lengths = self._word_lengths(coded.dictionary, table)[coded.indices.to_numpy()]
             ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(per_text))]
             counts[~whole] = np.diff(ends)
         for row in np.flatnonzero(whole):
@@ -247,6 +281,6 @@ def _drops_white_space(spec: dict) -> bool:
 
 
 @lru_cache(maxsize=2)
-def worker_encoder(path: str, frequent: tuple[str, ...] = ()) -> Encoder:
+def worker_encoder(path: str) -> Encoder:
     """The encoder of this Python worker, kept over its tasks."""
-    return Encoder(path, frequent)
+    return Encoder(path)

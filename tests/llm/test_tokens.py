@@ -49,11 +49,27 @@ def test_any_vocabulary(odd_rows, name):
 
 def test_forgetting_words_changes_nothing(odd_rows):
     texts = [row[1] or "" for row in odd_rows]
-    few = Encoder(PATH, frequent=("one", "two"), most_words=3)
+    few = Encoder(PATH, most_words=3)
     for text in texts * 2:
         assert few.encode(pa.array([text]))[1].tolist() == few.whole(text)
 
 
+def test_the_table_has_lengths_and_spares_the_cache(small, odd_rows, library):
+    table = token_counts.frequent_lengths(small, PATH)
+    words = table.words.to_pylist()
+    assert words and len(set(words)) == len(words) <= token_counts.TABLE_WORDS
+    assert table.tokens.tolist() == [len(ids(library, word)) for word in words]
+    encoder = Encoder(PATH)
+    assert encoder.count(pa.array([" ".join(words[:500]), ""]), table).tolist() == [int(table.tokens[:500].sum()), 0]
+    assert len(encoder.words) == 0, "words of the table are not encoded again"
+    texts = [row[1] or "" for row in odd_rows] + [" ".join(words[::-7]) + " unheard-of0 " + "y" * 300]
+    want = [len(ids(library, text)) for text in texts]
+    for table in (table, token_counts.frequent_lengths(small, PATH, table_words=3), encoder.table([]), None):
+        assert Encoder(PATH).count(pa.array(texts), table).tolist() == want
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not len(token_counts.frequent_lengths(small, other).words), "its tokens span white space"
+
+
 def test_pieces_hold_each_id_once(odd, small, library):
     for docs in (odd, small):
         rows = packing.pack_documents(docs, PATH).collect()
